@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from burrowline.llm import quality_rules
+from burrowline.llm import packing, quality_rules, sentencepiece_bpe, token_counts, token_files
 from burrowline.llm.common import documents
 
 
@@ -14,7 +15,27 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op1(documents(spark, sf_dir))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_bpe.op4(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.op10(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_sentencepiece": op4_sentencepiece,
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op8_token_counts": op8_token_counts,
+    "op10_token_files": op10_token_files,
 }
 ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.SQL}
