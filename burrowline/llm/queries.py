@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from burrowline.llm import packing, quality_rules, sentencepiece_bpe, token_counts, token_files
+from burrowline.llm import packing, pii, quality_rules, secrets, sentencepiece_bpe, simhash, suffix_dedup, token_counts, token_files, topk
 from burrowline.llm.common import documents
 
 
@@ -15,6 +15,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op1(documents(spark, sf_dir))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(documents(spark, sf_dir))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(documents(spark, sf_dir))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.op4(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -23,19 +31,40 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.op9(documents(spark, sf_dir))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.op10(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_quality_rules": op1_quality_rules,
-    "op4_sentencepiece": op4_sentencepiece,
-    "op5_best_fit_packing": op5_best_fit_packing,
-    "op8_token_counts": op8_token_counts,
-    "op10_token_files": op10_token_files,
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_personal_data,
+        op3_secrets,
+        op4_sentencepiece,
+        op5_best_fit_packing,
+        op6_simhash,
+        op7_top_k,
+        op8_token_counts,
+        op9_suffix_dedup,
+        op10_token_files,
+    )
 }
-ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.SQL}
+#: The others tokenize, hash or iterate in ways that SQL can't state; tests hold them against brute force.
+ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.SQL, "op7_top_k": topk.SQL}
