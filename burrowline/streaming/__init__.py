@@ -1,0 +1 @@
+"""Nothing here yet: the behaviours that this library rebuilds are batch jobs over whole cohorts, none works on streams."""
