@@ -147,5 +147,5 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1)
             k = np.searchsorted(keys, (length << 48) + rank, side="right") - 1
             yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(sequences[k] + rank - ranks[k]), pa.array(offsets[k])], names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    ranked = cut.join(per_part.select("part", "length", "before"), ["part", "length"])
+    ranked = cut.join(per_part.select("part", "length", "before").hint("merge"), ["part", "length"])
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("local_rank")).alias("rank")).mapInArrow(place, PLACED)

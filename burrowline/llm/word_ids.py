@@ -1,8 +1,9 @@
-"""Token ids of whole texts by the tokenizers library, word by word where the tokenizer allows it.
+"""Token ids of whole texts by the tokenizers library, part by part where the tokenizer allows it.
 
-A tokenizer whose normaliser and pre-tokeniser drop white space, and never join what stands on both sides of it, gives a
-text the ids of its words one after another. For such a file every distinct word goes through the library once per
-Python worker; the ids are kept in a table of bounded size. Any other file gets whole texts.
+A tokenizer whose pre-tokeniser keeps runs of letters, single digits and runs of other marks, and drops white space, gives
+a text the ids of these parts one after another. For such a file every distinct part goes through the library; the ids of
+the first KEPT_PARTS are kept for the life of the Python worker, those of the rest for one text. Any other file gets whole
+texts.
 """
 
 from __future__ import annotations
@@ -13,10 +14,15 @@ import re
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
+import numpy as np  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
-WORDS = re.compile(r"[^ \t\n\r\x0b\x0c]+")
-CACHE_WORDS, CACHE_CHARS = 150_000, 48
+LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"  # composed Latin letters whose lower case is one letter
+SAFE = r"!-&(-;=-@\[-`{-~"  # ASCII digits and marks but for the apostrophe (contractions) and < (special tokens)
+SPACES = r" \t\n\r\x0b\x0c"
+#: Letters up to a space or safe mark; safe marks up to a space or letter; else all up to a space. No pre-token crosses these cuts.
+PARTS = re.compile(f"[{LETTER}]++(?=[{SPACES}{SAFE}]|\\Z)|[{SAFE}]++(?=[{SPACES}{LETTER}]|\\Z)|[^{SPACES}]++")
+KEPT_PARTS, KEPT_CHARS = 400_000, 40
 
 
 def drops_space(config: dict) -> bool:
@@ -33,33 +39,39 @@ def drops_space(config: dict) -> bool:
 class WordIds:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
-            self.by_word = drops_space(json.load(f))
+            self.by_part = drops_space(json.load(f))
         self.tokenizer = Tokenizer.from_file(path)
         self.table: dict[str, bytes] = {}
+        self.seen = self.missed = 0
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if not self.by_word:
+        if not self.by_part:
             return self._encode([text])[0]
-        words, table = WORDS.findall(text), self.table
+        if "<|" not in text:  # lower case could make a special token's string of another
+            text = text.encode().lower().decode()  # A-Z only; the rest is the library's
+        parts, table = PARTS.findall(text), self.table
         try:
-            return b"".join([table[w] for w in words])
+            return b"".join([table[p] for p in parts])
         except KeyError:
             pass
-        if len(table) > CACHE_WORDS:
-            table.clear()
-        new = [w for w in dict.fromkeys(words) if w not in table]
-        long = {}
+        new = [p for p in dict.fromkeys(parts) if p not in table]
+        self.seen, self.missed = self.seen + len(parts), self.missed + len(new)
+        if len(table) >= KEPT_PARTS and self.seen > 1_000_000:
+            # what comes early is mostly what is common, so a full table stays - unless the texts have changed
+            if self.missed > 0.2 * self.seen:
+                table.clear()
+                new = list(dict.fromkeys(parts))
+            self.seen = self.missed = 0
+        rest = {}
         for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for w, b in zip(part, self._encode(part), strict=True):
-                (table if len(w) <= CACHE_CHARS else long)[w] = b
-        return b"".join([table[w] if w in table else long[w] for w in words])
+            some = new[at : at + 4096]
+            for p, ids in zip(some, self._encode(some), strict=True):
+                (table if len(p) <= KEPT_CHARS and len(table) < KEPT_PARTS else rest)[p] = ids
+        return b"".join([table[p] if p in table else rest[p] for p in parts])
 
 
 _OPEN: dict[str, WordIds] = {}
