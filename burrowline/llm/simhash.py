@@ -11,7 +11,12 @@ trees of all shards, so that no task holds more than a shard's tree. A task does
 becomes a star of links, at most one per fingerprint, and components() joins the stars. The trees move by shuffle and not
 by broadcast, since their size has no bound that the data can't break.
 
-Radii over 3 need more blocks and are refused. Defined results: null text counts as empty; texts without words have
+Block keys hold for radii up to 3, which only very close copies reach: two texts whose 5-word shingles have a Jaccard
+similarity of 0.8 differ in some 15% of the bits. ``similar_classes`` therefore takes WIDE_WORDS x 64 bits per text and
+links at that share of differing bits and 1.5 standard deviations more (so a pair at 0.74 links as often as not); since no few blocks of them must agree, its keys are TABLES samples of SAMPLED bits
+(two texts at similarity 0.8 share a key with probability 0.99, at 0.85 with 0.999), and the same trees do the rest.
+
+Defined results: null text counts as empty; texts without words have
 fingerprint zero and link like any other; repeated rows share a fingerprint and each keep their row; an empty table gives
 no rows; a null doc_id is never a component's smallest id unless all its documents have none.
 """
@@ -30,35 +35,44 @@ from pyspark.sql import functions as F
 from burrowline.llm.common import ready, staged, text_of
 from burrowline.llm.components import components
 
-RADIUS, WIDTHS, SHARD, FRONTIER, CHUNK = 3, (13, 13, 13, 13, 12), 4096, 1 << 20, 1 << 16
-
-
-def fingerprint(text: bytes, size: int = 3, seed: int = 42) -> int:
-    """Majority of the bits of the shingles' XXH64, unsigned."""
-    words = text.lower().split()  # bytes: A-Z only, and white space of ASCII only
-    if not words:
-        return 0
-    line, hash64 = b" ".join(words), xxhash.xxh64_intdigest
-    starts = list(accumulate((len(w) + 1 for w in words), initial=0))
-    if len(words) <= size:
-        return hash64(line, seed)
-    hashes = np.array([hash64(line[a : b - 1], seed) for a, b in zip(starts, starts[size:], strict=False)], "<u8")
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        ones += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
-
-
-def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
-    """doc_id, fp: the fingerprint's bits as a signed long."""
+RADIUS, WIDTHS, SHARD, FRONTIER, CHUNK = 3, (13, 13, 13, 13, 12), 4096, 1 << 18, 1 << 16
+WIDE_WORDS, TABLES, SAMPLED = 4, 64, 16
+ODD = np.random.default_rng(64).integers(0, 1 << 63, WIDE_WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def fingerprint(text: bytes, size: int = 3, seed: int = 42, words: int = 1) -> np.ndarray:
+    """Majority of the bits of the shingles' XXH64, unsigned; further 64-bit words from that hash mixed with odd numbers."""
+    parts = text.lower().split()  # bytes: A-Z only, and white space of ASCII only
+    if not parts:
+        return np.zeros(words, "<u8")
+    line, hash64 = b" ".join(parts), xxhash.xxh64_intdigest
+    starts = list(accumulate((len(w) + 1 for w in parts), initial=0))
+    spans = zip(starts, starts[size:], strict=False) if len(parts) > size else [(0, len(line) + 1)]
+    hashes = np.array([hash64(line[a : b - 1], seed) for a, b in spans], "<u8")
+    if words > 1:
+        hashes = np.unique(hashes)  # the wide fingerprint stands for the set of shingles, as Jaccard similarity does
+    ones = np.zeros(64 * words, np.int64)
+    for at in range(0, len(hashes), 1 << 14):
+        some = hashes[at : at + (1 << 14), None]
+        if words > 1:
+            some = some * ODD[None, :words]
+            some = (some ^ (some >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            some ^= some >> np.uint64(32)
+        ones += np.unpackbits(np.ascontiguousarray(some).view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")
+
+
+def fingerprints(docs: DataFrame, size: int = 3, words: int = 1) -> DataFrame:
+    """doc_id, fp0 ...: the fingerprint's bits as signed longs."""
+    names = [f"fp{k}" for k in range(words)]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t.as_buffer().to_pybytes(), size) for t in b.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            fps = np.array([fingerprint(t.as_buffer().to_pybytes(), size, words=words) for t in b.column(1)], np.uint64).reshape(-1, words)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(fps[:, k].view(np.int64)) for k in range(words))], names=["doc_id", *names])
 
     ready(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
 
 
 def block_keys(fp: Column) -> Column:
@@ -74,30 +88,33 @@ class Forest:
     """BK-trees of several groups at once: rows are nodes, a child is the first row of those at one distance from its parent."""
 
     def __init__(self, fps: np.ndarray, group: np.ndarray, in_tree: np.ndarray):
-        self.fps = fps
+        """fps: a row of 64-bit words for each fingerprint."""
+        self.fps, self.bits = fps, 64 * fps.shape[1]
         rows = np.flatnonzero(in_tree)
         rows = rows[np.argsort(group[rows], kind="stable")]
         label = group[rows]
         first = np.concatenate([[True], label[1:] != label[:-1]]) if len(rows) else np.zeros(0, bool)
         self.root = np.full(int(group.max(initial=-1)) + 1, -1, np.int64)
         self.root[label[first]] = rows[first]
-        parents, keys, kids = [], [], []
+        keys, kids = [], []
         while len(rows):
             head = rows[first][np.cumsum(first) - 1]
             rest = ~first
             rows, head = rows[rest], head[rest]
-            key = head * 65 + np.bitwise_count(fps[rows] ^ fps[head]).astype(np.int64)
+            key = head * (self.bits + 1) + self.distance(rows, head)
             order = np.argsort(key, kind="stable")
             rows, key = rows[order], key[order]
             first = np.concatenate([[True], key[1:] != key[:-1]]) if len(rows) else np.zeros(0, bool)
             keys.append(key[first])
             kids.append(rows[first])
-            parents.append(key[first] // 65)
         self.keys = np.concatenate(keys) if keys else np.zeros(0, np.int64)
         self.kids = np.concatenate(kids) if kids else np.zeros(0, np.int64)
         order = np.argsort(self.keys)
         self.keys, self.kids = self.keys[order], self.kids[order]
 
+    def distance(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(self.fps[a] ^ self.fps[b]).sum(axis=1, dtype=np.int64)
+
     def links(self, queries: np.ndarray, group: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs (query row, tree row) within the radius, slice by slice."""
         root = self.root[group[queries]]
@@ -107,12 +124,12 @@ class Forest:
             if len(q) > FRONTIER:
                 stack += [(q[FRONTIER:], node[FRONTIER:])]
                 q, node = q[:FRONTIER], node[:FRONTIER]
-            d = np.bitwise_count(self.fps[q] ^ self.fps[node]).astype(np.int64)
+            d = self.distance(q, node)
             near = (d <= radius) & (q != node)
             if near.any():
                 yield q[near], node[near]
-            low = np.searchsorted(self.keys, node * 65 + np.maximum(d - radius, 0))
-            n = np.searchsorted(self.keys, node * 65 + np.minimum(d + radius, 64), side="right") - low
+            low = np.searchsorted(self.keys, node * (self.bits + 1) + np.maximum(d - radius, 0))
+            n = np.searchsorted(self.keys, node * (self.bits + 1) + np.minimum(d + radius, self.bits), side="right") - low
             if n.any():
                 at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 stack.append((np.repeat(q, n), self.kids[at]))
@@ -130,71 +147,113 @@ def joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             label = label[label]
 
 
-def stars(keyed: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """keyed (key, shard, fp, in_tree) -> links (u, v) that connect what is linked under a key and shard."""
+def stars(keyed: DataFrame, radius: int, words: int = 1) -> DataFrame:
+    """keyed (key, shard, node, fp0 ..., in_tree) -> links (u, v) of nodes that connect what is linked under a key and shard."""
+    names = [f"fp{k}" for k in range(words)]
+
+    def solve(cols: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+        key, shard, node, in_tree, *fps = cols
+        group = np.cumsum(np.concatenate([[True], (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])])) - 1
+        several = np.bincount(group)[group] > 1
+        group, node, in_tree, fp = group[several], node[several], in_tree[several], np.stack([f[several] for f in fps], axis=1).view(np.uint64)
+        label = np.arange(len(node))
+        if len(node):
+            for a, b in Forest(fp, group, in_tree).links(label.copy(), group, radius):
+                label = joined(label, a, b)
+        moved = np.flatnonzero(label != np.arange(len(label)))
+        return pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[label[moved]])], names=["u", "v"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         count = 0
-
-        def solve(key: np.ndarray, shard: np.ndarray, fp: np.ndarray, in_tree: np.ndarray) -> pa.RecordBatch:
-            new = np.concatenate([[True], (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])])
-            group = np.cumsum(new) - 1
-            alone = np.bincount(group)[group] < 2
-            key, group, fp, in_tree = key[~alone], group[~alone], fp[~alone].view(np.uint64), in_tree[~alone]
-            label = np.arange(len(fp))
-            if len(fp):
-                for a, b in Forest(fp, group, in_tree).links(label.copy(), group, radius):
-                    label = joined(label, a, b)
-            moved = np.flatnonzero(label != np.arange(len(label)))
-            return pa.RecordBatch.from_arrays([pa.array(fp[moved].view(np.int64)), pa.array(fp[label[moved]].view(np.int64))], names=["u", "v"])
-
         for b in batches:
-            cols = tuple(b.column(k).to_numpy(zero_copy_only=False) for k in range(4))
-            held.append(cols)
+            held.append(tuple(c.to_numpy(zero_copy_only=False) for c in b.columns))
             count += b.num_rows
             if count >= CHUNK:
-                key, shard, fp, in_tree = (np.concatenate(x) for x in zip(*held, strict=True))
-                cut = int(np.flatnonzero((key != key[-1]) | (shard != shard[-1]))[-1]) + 1 if ((key != key[-1]) | (shard != shard[-1])).any() else 0
+                cols = tuple(np.concatenate(x) for x in zip(*held, strict=True))
+                other = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]))
+                cut = int(other[-1]) + 1 if len(other) else 0
                 if cut:
-                    yield solve(key[:cut], shard[:cut], fp[:cut], in_tree[:cut])
-                held, count = [(key[cut:], shard[cut:], fp[cut:], in_tree[cut:])], len(key) - cut
+                    yield solve(tuple(c[:cut] for c in cols))
+                held, count = [tuple(c[cut:] for c in cols)], len(cols[0]) - cut
         if count:
-            yield solve(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            yield solve(tuple(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    return keyed.repartition("key", "shard").sortWithinPartitions("key", "shard", "fp").select("key", "shard", "fp", "in_tree").mapInArrow(run, "u long, v long")
+    chosen = keyed.repartition("key", "shard").sortWithinPartitions("key", "shard", "node").select("key", "shard", "node", "in_tree", *names)
+    return chosen.mapInArrow(run, "u long, v long")
 
 
-def classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """prints (doc_id, fp) -> fp, component_id: the smallest doc_id of all that links reach."""
-    if not 0 <= radius <= RADIUS:
-        raise ValueError("the block keys hold for radii up to 3")
-    distinct = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
-    keyed = distinct.select("fp", F.explode(block_keys(F.col("fp"))).alias("key"))
+def sharded(keyed: DataFrame) -> DataFrame:
+    """keyed with shard and in_tree: keys of more than SHARD nodes get several trees, and each node searches all of them."""
     crowded = staged(keyed.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > SHARD).select("key", F.ceil(F.col("n") / SHARD).cast("int").alias("shards")), "crowded")
     dealt = keyed.join(crowded, "key", "left").withColumn("shards", F.coalesce("shards", F.lit(1)))
-    dealt = dealt.select("key", "fp", "shards", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
-    dealt = dealt.withColumn("in_tree", F.pmod(F.xxhash64("fp"), F.col("shards")) == F.col("shard"))
-    roots = components(stars(dealt, radius))
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    dealt = dealt.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+    return dealt.withColumn("in_tree", F.pmod(F.xxhash64("node"), F.col("shards")) == F.col("shard")).drop("shards")
+
+
+def sampled_keys(distinct: DataFrame, words: int) -> DataFrame:
+    """A row for each of TABLES keys of a node: the table's number and its sample of the bits."""
+    names = [f"fp{k}" for k in range(words)]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng = np.random.default_rng(7)
+        sample = np.stack([rng.permutation(64 * words)[:SAMPLED] for _ in range(TABLES)])
+        for b in batches:
+            for at in range(0, b.num_rows, 2048):
+                part = b.slice(at, 2048)
+                fps = np.stack([part.column(n).to_numpy() for n in names], axis=1)
+                bits = np.unpackbits(np.ascontiguousarray(fps).view(np.uint8), axis=1, bitorder="little")
+                keys = (bits[:, sample].astype(np.int64) << np.arange(SAMPLED)).sum(axis=2) + (np.arange(TABLES) << SAMPLED)
+                rows = np.repeat(np.arange(len(fps)), TABLES)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(part.column("node").to_numpy()[rows]), *(pa.array(fps[rows, k]) for k in range(words))], names=["key", "node", *names])
+
+    return distinct.select("node", *names).mapInArrow(run, "key long, node long, " + ", ".join(f"{n} long" for n in names))
+
+
+def classes(prints: DataFrame, radius: int = RADIUS, words: int = 1) -> DataFrame:
+    """prints (doc_id, fp0 ...) -> fp0 ..., component_id: the smallest doc_id of all that links reach."""
+    names = [f"fp{k}" for k in range(words)]
+    node = F.col("fp0") if words == 1 else F.xxhash64(*names)
+    distinct = staged(prints.groupBy(*names).agg(F.min("doc_id").alias("least")).withColumn("node", node), "fingerprints")
+    if words == 1:
+        if not 0 <= radius <= RADIUS:
+            raise ValueError("the block keys hold for radii up to 3")
+        keyed = distinct.select("node", "fp0", F.explode(block_keys(F.col("fp0"))).alias("key"))
+    else:
+        keyed = sampled_keys(distinct, words)
+    roots = components(stars(sharded(keyed), radius, words))
+    rooted = distinct.join(roots.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select(*names, "least", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+    return rooted.join(least, "root").select(*names, "component_id")
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id."""
+    """doc_id, fingerprint (16 hex digits), component_id, by 64 bits and a radius of at most 3."""
     prints = staged(fingerprints(docs, size), "prints")
     named = staged(classes(prints, radius), "classes")
-    return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints.join(named, "fp0").select("doc_id", F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def bits_apart(similarity: float, bits: int) -> int:
+    """Bits that differ between sets of this Jaccard similarity, by the angle between them, and 1.5 standard deviations."""
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(bits * share + 1.5 * np.sqrt(bits * share * (1 - share)))
+
+
+def similar_classes(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """doc_id, component_id, by shingles of size words and a Jaccard similarity, over WIDE_WORDS x 64 bits."""
+    prints = staged(fingerprints(docs, size, WIDE_WORDS), "prints")
+    named = staged(classes(prints, bits_apart(similarity, 64 * WIDE_WORDS), WIDE_WORDS), "classes")
+    return prints.join(named, [f"fp{k}" for k in range(WIDE_WORDS)]).select("doc_id", "component_id")
 
 
-def keep_one(docs: DataFrame, size: int = 5, radius: int = RADIUS) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs without those that are linked to a document with a smaller doc_id. Of rows that share the smallest doc_id one
     stays: the one with the longest, then the smallest text. Documents without words or doc_id all stay."""
-    found = near_duplicates(docs.filter(F.col("doc_id").isNotNull() & text_of().rlike(r"[^\x20\x09-\x0D]")), size, radius)
+    found = similar_classes(docs.filter(F.col("doc_id").isNotNull() & text_of().rlike(r"[^\x20\x09-\x0D]")), size, similarity)
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
     left = docs.join(gone, "doc_id", "left_anti")
-    twice = left.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    twice = left.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     first = Window.partitionBy("doc_id").orderBy(F.length(text_of()).desc(), text_of())
     again = left.join(twice, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").drop("_nth")
     return left.join(twice, "doc_id", "left_anti").unionByName(again)
