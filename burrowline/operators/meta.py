@@ -11,7 +11,7 @@ from burrowline.operators.discover import keep_last
 
 def clean_registry(sheet: DataFrame) -> DataFrame:
     """Rows that aren't empty; task list split and trimmed; whole numbers for animal and cohort (SC1)."""
-    out = sheet.na.drop("all")
+    out = sheet.filter(F.coalesce(*[F.col(f"`{c}`").cast("string") for c in sheet.columns]).isNotNull())
     for old, new in (("animal ID", "animal_id"), ("cohort no.", "cohort_no")):
         if old in out.columns:
             out = out.withColumn(new, whole(F.col(f"`{old}`"))).drop(old)
@@ -101,7 +101,7 @@ def devices_of(sessions: DataFrame, devices: DataFrame, rules: DataFrame) -> Dat
     (F8; the stated intent, Q8). A device without a rule is always there."""
     pairs = sessions.join(F.broadcast(devices), "task")
     ruled = pairs.join(F.broadcast(rules.withColumnRenamed("device", "name")), ["task", "name"], "left")
-    return ruled.filter(F.col("session_pattern").isNull() | F.col("session").rlike(F.col("session_pattern"))).drop("session_pattern")
+    return ruled.filter(F.col("session_pattern").isNull() | F.rlike("session", F.col("session_pattern"))).drop("session_pattern")
 
 
 def layered(*layers: Column) -> Column:

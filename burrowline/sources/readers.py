@@ -20,7 +20,7 @@ def text_csv(spark: SparkSession, path: str, **options) -> DataFrame:
 def positional_csv(spark: SparkSession, path: str, width: int, sep: str = ",") -> DataFrame:
     """Cells as c0, c1, ..., with path and row_no (a line's place in its file). Headers of these sheets repeat and have blanks,
     so the first line is a row like any other (SC9). Each file is read as one line-numbered text, in one task per file."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", "\r?\n")).alias("row_no", "line")).filter(F.trim("line") != "")
+    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", "\r?\n")).alias("row_no", "line")).filter(F.trim("line") != "")
     cells = F.from_csv("line", ", ".join(f"c{i} string" for i in range(width)), {"sep": sep, "mode": "PERMISSIVE"})
     return lines.select("path", "row_no", cells.alias("c")).select("path", "row_no", "c.*")
 
