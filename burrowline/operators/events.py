@@ -107,6 +107,11 @@ def enrich(events: DataFrame, info: DataFrame, key: list[str], values: list[str]
     return events.join(last, key, "left").fillna("", values)
 
 
+def intervals(df: DataFrame) -> DataFrame:
+    """Events that last: those with a duration (F16)."""
+    return df.filter(F.col("duration_s").isNotNull() & ~F.isnan("duration_s"))
+
+
 def labelled(df: DataFrame, column: str = "object") -> DataFrame:
     """F15."""
     return df.filter(F.col(column) != "")
