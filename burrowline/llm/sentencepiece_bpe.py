@@ -2,12 +2,14 @@
 
 Encoding keeps an agenda of adjacent symbol pairs ordered by the score of the piece they would make (ties: the leftmost).
 The best pair is merged and its new neighbours enter the agenda, until no pair makes a piece; what is no piece then falls
-back to bytes. If no piece holds a space mark after another character, no merge can cross from a word to the space before
-the next one: the agenda then runs on each stretch "spaces + word" alone, and its outcome is kept in a table of bounded
-size. For other vocabularies it runs on whole texts.
+back to bytes. A merge can't cross two characters that stand side by side in no piece. If the vocabulary shows that of a
+space mark after anything else, and of letters beside ASCII marks or line ends, texts are cut there: the agenda runs on
+each part alone, and the outcomes of the first KEPT_PARTS parts are kept for the life of the Python worker. For other
+vocabularies it runs on whole texts.
 
-Every Arrow batch is checked against the sentencepiece library: whole texts are encoded by both, and the column
-``agrees`` says whether ids and decoded text are the same. The ids returned are those of the agenda.
+The outcome is checked against the sentencepiece library in Arrow batches: what a batch adds (each new part, or each whole
+text where parts don't serve) is encoded and decoded by both. The column ``agrees`` says whether all that a text is made
+of came out the same. The ids returned are those of the agenda.
 
 Models with a normalisation table, unigram models and models with user-defined pieces are refused with a ValueError.
 
@@ -29,8 +31,17 @@ from pyspark.sql import functions as F
 from burrowline.llm.common import ready, text_of
 
 SPACE = "▁"
-STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-CACHE_STRETCHES, CACHE_CHARS = 150_000, 48
+LETTERS, MARKS, ENDS = r"[^\W_¹²³]", r"!-/:-@\[-`{-~", r"\n"  # small raised figures stand beside marks in some pieces
+#: Spaces with letters up to a mark, marks up to letters, line ends; else all up to a space.
+PARTS = re.compile(
+    f"{SPACE}*+{LETTERS}++(?=[{MARKS}{ENDS}{SPACE}]|\\Z)|{SPACE}*+[{MARKS}]++(?={LETTERS}|[{ENDS}{SPACE}]|\\Z)"
+    f"|{SPACE}*+[{ENDS}]++(?={LETTERS}|[{MARKS}{SPACE}]|\\Z)|{SPACE}*[^{SPACE}]+|{SPACE}+"
+)
+KEPT_PARTS, KEPT_CHARS = 300_000, 40
+
+
+def kind(c: str) -> int:
+    return 0 if re.match(LETTERS, c) else 1 if re.match(f"[{MARKS}]", c) else 2 if c == "\n" else 3
 
 
 class Agenda:
@@ -60,65 +71,92 @@ class Agenda:
                 self.surface[k] = b""
             elif p.type == kinds.UNKNOWN:
                 self.surface[k] = model.trainer_spec.unk_surface.encode()
-        self.by_stretch = not any(SPACE in p.lstrip(SPACE) for p in self.score)
-        self.table: dict[str, list[int]] = {}
+        scores = sorted({x for x, _ in self.score.values()})
+        order = {x: k for k, x in enumerate(scores)}
+        self.rank = {p: order[x] for p, (x, _) in self.score.items()}
+        beside = {(kind(a), kind(b)) for p in self.score for a, b in zip(p, p[1:], strict=False) if SPACE not in (a, b)}
+        crossing = {(a, b) for a in range(3) for b in range(3) if a != b} & beside
+        self.by_part = self.prefix == SPACE and not crossing and not any(SPACE in p.lstrip(SPACE) for p in self.score)
+        self.table: dict[str, bytes] = {}
+        self.seen = self.missed = 0
+        self.odd: dict[str, bytes] = {}  # parts that don't decode to themselves
+        self.differ: set[str] = set()
 
     def merge(self, text: str) -> list[int]:
-        """Ids of one stretch by the agenda."""
-        score, symbols = self.score, list(text)
+        """Ids of one part by the agenda. An entry is the rank of a piece and the place of its left symbol, in one number."""
+        rank, symbols = self.rank.get, list(text)
         n = len(symbols)
-        left, right = list(range(-1, n - 1)), [*range(1, n), -1]
-        agenda: list[tuple[float, int, int, str]] = []
-
-        def offer(a: int, b: int) -> None:
-            if a >= 0 and b >= 0 and (piece := symbols[a] + symbols[b]) in score:
-                heapq.heappush(agenda, (score[piece][0], a, b, piece))
-
-        for i in range(n - 1):
-            offer(i, i + 1)
+        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
+        agenda = [r << 32 | i for i in range(n - 1) if (r := rank(symbols[i] + symbols[i + 1])) is not None]
+        heapq.heapify(agenda)
         while agenda:
-            _, a, b, piece = heapq.heappop(agenda)
-            if right[a] != b or not symbols[a] or not symbols[b] or symbols[a] + symbols[b] != piece:
-                continue
+            best = heapq.heappop(agenda)
+            a = best & 0xFFFFFFFF
+            b = right[a]
+            if not symbols[a] or b >= n or rank(piece := symbols[a] + symbols[b]) != best >> 32:
+                continue  # one of the two has been merged meanwhile
             symbols[a], symbols[b] = piece, ""
-            right[a] = right[b]
-            if right[b] >= 0:
-                left[right[b]] = a
-            right[b] = -1
-            offer(left[a], a)
-            offer(a, right[a])
+            right[a] = c = right[b]
+            if c < n:
+                left[c] = a
+                if (r := rank(piece + symbols[c])) is not None:
+                    heapq.heappush(agenda, r << 32 | a)
+            if (p := left[a]) >= 0 and (r := rank(symbols[p] + piece)) is not None:
+                heapq.heappush(agenda, r << 32 | p)
         ids: list[int] = []
         for s in symbols:
-            if s in score:
-                ids.append(score[s][1])
+            if s in self.score:
+                ids.append(self.score[s][1])
             elif s and self.bytes:
                 ids += [self.bytes[x] for x in s.encode()]
             elif s:
                 ids.append(self.unknown)
         return ids
 
-    def encode(self, text: str) -> list[int]:
+    def parts(self, text: str) -> list[str]:
+        """The parts of a text, or the text as one; with the prefix and with marks for spaces."""
         if not text:
             return []
         text = self.prefix + text.replace(" ", SPACE)
-        if not self.by_stretch:
-            return self.merge(text)
-        table, out = self.table, []
-        if len(table) > CACHE_STRETCHES:
-            table.clear()
-        for s in STRETCH.findall(text):
-            ids = table.get(s)
-            if ids is None:
-                ids = self.merge(s)
-                if len(s) <= CACHE_CHARS:
-                    table[s] = ids
-            out += ids
-        return out
+        return PARTS.findall(text) if self.by_part else [text]
+
+    def learn(self, texts: list[list[str]], check: bool) -> dict[str, bytes]:
+        """Encode what of these parts the table doesn't hold, and check it; returns what the table doesn't take."""
+        table, rest = self.table, {}
+        new = {p for parts in texts for p in parts if p not in table}
+        self.seen, self.missed = self.seen + sum(map(len, texts)), self.missed + len(new)
+        if len(table) >= KEPT_PARTS and self.seen > 1_000_000:
+            # what comes early is mostly what is common, so a full table stays - unless the texts have changed
+            if self.missed > 0.2 * self.seen:
+                table.clear()
+                self.odd.clear()
+                self.differ.clear()
+                new = {p for parts in texts for p in parts}
+            self.seen = self.missed = 0
+        tried = []
+        for p in new:
+            ids = self.merge(p)
+            whole = b"".join([self.surface[i] for i in ids])
+            (table if len(p) <= KEPT_CHARS and len(table) < KEPT_PARTS else rest)[p] = ",".join(map(str, ids)).encode()
+            if whole != p.replace(SPACE, " ").encode():
+                self.odd[p] = whole
+            if check and p != self.prefix:  # the prefix alone is no text's encoding
+                tried.append((p, ids, whole))
+        if tried:
+            # a part without the prefix is given to the library after a character from which it is always cut off
+            before = ["" if p.startswith(self.prefix) else "a" if kind(p[0]) else "," for p, _, _ in tried]
+            lead = {c: self.merge(self.prefix + c) if c else [] for c in set(before)}
+            theirs = self.library.encode([c + (p if c else p[len(self.prefix) :]).replace(SPACE, " ") for c, (p, _, _) in zip(before, tried, strict=True)], num_threads=1)
+            decoded = self.library.decode(theirs, num_threads=1)
+            self.differ.update(p for c, (p, ids, whole), t, d in zip(before, tried, theirs, decoded, strict=True) if lead[c] + ids != t or (c + whole.decode("utf-8", "replace") if c else self.plain(whole)) != d)
+        return rest
+
+    def plain(self, whole: bytes) -> str:
+        """Decoded bytes as text, without the space that the prefix stands for."""
+        return (whole[1:] if self.prefix and whole[:1] == b" " else whole).decode("utf-8", "replace")
 
     def decode(self, ids: list[int]) -> str:
-        surface = self.surface
-        whole = b"".join([surface[i] for i in ids])
-        return (whole[1:] if self.prefix and whole[:1] == b" " else whole).decode("utf-8", "replace")
+        return self.plain(b"".join([self.surface[i] for i in ids]))
 
 
 _OPEN: dict[str, Agenda] = {}
@@ -147,18 +185,30 @@ def _run(docs: DataFrame, model: str, check: bool, digests: bool) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                texts = part.column(1).to_pylist()
-                ids = [agenda.encode(t) for t in texts]
-                decoded = [agenda.decode(i) for i in ids]
-                agrees = [None] * len(ids)
-                if check:
-                    theirs = agenda.library.encode(texts, num_threads=1)
-                    agrees = [a == b and c == d for a, b, c, d in zip(ids, theirs, decoded, agenda.library.decode(theirs, num_threads=1) if texts else [], strict=True)]
+                texts = [agenda.parts(t.as_py()) for t in part.column(1)]
+                rest = agenda.learn(texts, check)
+                table, odd, differ = agenda.table, agenda.odd, agenda.differ
+                out: tuple[list, ...] = ([], [], [])
+                agrees = [None if not check else not differ or differ.isdisjoint(parts) for parts in texts]
+                for parts in texts:
+                    try:
+                        ids = b",".join([table[p] for p in parts])
+                    except KeyError:
+                        ids = b",".join([table[p] if p in table else rest[p] for p in parts])
+                    if odd and not odd.keys().isdisjoint(parts):
+                        decoded = agenda.plain(b"".join([odd[p] if p in odd else p.replace(SPACE, " ").encode() for p in parts]))
+                    else:  # every part decodes to itself
+                        decoded = "".join(parts).replace(SPACE, " ")[len(agenda.prefix) :]
+                    row = (ids.count(b",") + bool(ids), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()) if digests else ([int(x) for x in ids.split(b",") if x], decoded, None)
+                    for o, v in zip(out, row, strict=True):
+                        o.append(v)
                 if digests:
-                    cols = [pa.array([len(i) for i in ids], pa.int64()), pa.array([hashlib.sha256(",".join(map(str, i)).encode()).hexdigest() for i in ids]), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded])]
-                    names = ["n_tokens", "ids_sha256", "decoded_sha256"]
+                    cols, names = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"]
                 else:
-                    cols, names = [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded)], ["ids", "decoded"]
+                    cols, names = [pa.array(out[0], pa.list_(pa.int32())), pa.array(out[1], pa.string())], ["ids", "decoded"]
+                for p in rest:
+                    odd.pop(p, None)
+                    differ.discard(p)
                 yield pa.RecordBatch.from_arrays([part.column(0), *cols, pa.array(agrees, pa.bool_())], names=["doc_id", *names, "agrees"])
 
     ready(docs.sparkSession)
