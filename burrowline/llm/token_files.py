@@ -3,19 +3,20 @@
 Format, a folder with three Parquet tables:
   codebook  id, length: code lengths; the codes are canonical (by length, then id), so lengths say all
   blocks    part, block, before (ids of this part before the block), doc_ids, doc_lens, marks, payload: whole documents,
-            coded most significant bit first; marks holds the bit offset of every 512th id, from where decoding can start
+            coded most significant bit first; marks holds the bit offset of every 256th id, from where decoding can start
   index     part, base: ids of all parts before it. Parts and blocks follow ascending doc_id
 Blocks are read and decoded alone; decoding goes through one table of 2^limit entries, all marks of a block at once.
 
 Lengths come from global counts by package-merge, limited to 20 bits (more if the ids need it).
 
 Defined results: null or empty text: the end id alone; a null doc_id comes first; rows that share a doc_id are kept each,
-ordered by their ids; an empty table gives empty tables; other input columns are left out. A document is never cut, so a
+ordered by their number of ids, then by content; an empty table gives empty tables; other input columns are left out. A document is never cut, so a
 block holds one document at least and about 2^18 ids unless one document is longer.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,37 +28,47 @@ from pyspark.sql import functions as F
 from burrowline.llm.common import fresh_path, ready, staged, text_of
 from burrowline.llm.word_ids import opened
 
-MARK, BLOCK_IDS, LIMIT = 512, 1 << 18, 20
+MARK, BLOCK_IDS, LIMIT = 256, 1 << 18, 20
 
 
-def encoded(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
-    """doc_id, n, ids: little-endian 32-bit ids with the end id."""
+def width(tokenizer: str, end_id: int) -> str:
+    """Ids on their way to the files take two bytes if all of them fit."""
+    return "<u2" if max(opened(tokenizer).tokenizer.get_vocab_size(True), end_id + 1) <= 1 << 16 else "<u4"
+
+
+def encoded(docs: DataFrame, tokenizer: str, kind: str, end_id: int = 1) -> DataFrame:
+    """doc_id, n, ids: with the end id, compressed."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = opened(tokenizer), np.array([end_id], "<u4").tobytes()
         for b in batches:
-            ids = [encoder.ids(t.as_py()) + end for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n", "ids"])
+            ids = [np.frombuffer(encoder.ids(t.as_py()) + end, "<u4") for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([pa.compress(x.astype(kind).tobytes(), "zstd", asbytes=True) for x in ids], pa.binary())], names=["doc_id", "n", "ids"])
 
     ready(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(run, "doc_id long, n long, ids binary")
 
 
-def id_counts(tokens: DataFrame) -> DataFrame:
+def unpacked(b: pa.RecordBatch, kind: str) -> list[np.ndarray]:
+    size = np.dtype(kind).itemsize
+    return [np.frombuffer(pa.decompress(x.as_buffer(), n * size, "zstd"), kind) for n, x in zip(b.column("n").to_pylist(), b.column("ids"), strict=True)]
+
+
+def id_counts(tokens: DataFrame, kind: str) -> DataFrame:
     """id, n over all documents, summed within a task first."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for b in batches:
-            for x in b.column(0):
-                c = np.bincount(np.frombuffer(x.as_buffer(), "<u4"))
+            for at in range(0, b.num_rows, 512):
+                c = np.bincount(np.concatenate(unpacked(b.slice(at, 512), kind)))
                 if len(c) > len(total):
                     total = np.concatenate([total, np.zeros(len(c) - len(total), np.int64)])
                 total[: len(c)] += c
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["id", "n"])
 
-    return tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return tokens.select("n", "ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def code_lengths(counts: np.ndarray, limit: int) -> np.ndarray:
@@ -100,11 +111,12 @@ class Book:
         codes[self.ids], lengths[self.ids] = self.codes, self.lengths
         return codes, lengths
 
-    def to_table(self) -> tuple[np.ndarray, np.ndarray]:
+    def to_table(self) -> np.ndarray:
+        """For each run of limit bits the id that it begins with, and that id's length in the last 6 bits."""
         span = np.int64(1) << (self.limit - self.lengths)
-        ids, lengths = np.zeros(1 << self.limit, np.int64), np.ones(1 << self.limit, np.int64)
-        ids[: span.sum()], lengths[: span.sum()] = np.repeat(self.ids, span), np.repeat(self.lengths, span)
-        return ids, lengths
+        table = np.ones(1 << self.limit, np.int64 if self.ids.max(initial=0) >= 1 << 25 else np.int32)
+        table[: span.sum()] = np.repeat((self.ids << 6) | self.lengths, span)
+        return table
 
 
 def pack_bits(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -124,27 +136,27 @@ def pack_bits(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[
     return words.astype(">u8").tobytes(), start[::MARK]
 
 
-def unpack_bits(payload: bytes, marks: np.ndarray, n: int, table: tuple[np.ndarray, np.ndarray], limit: int) -> np.ndarray:
-    ids, lengths = table
+def unpack_bits(payload: bytes, marks: np.ndarray, n: int, table: np.ndarray, limit: int) -> np.ndarray:
+    """All stretches between marks at once, one id of each per step."""
     words = np.frombuffer(payload, ">u8").astype(np.uint64)
-    at, lanes = marks.astype(np.int64), len(marks)
-    out = np.zeros((MARK, lanes), np.int64)
-    shift, top = np.uint64(64 - limit), len(words) - 2
+    at = marks.astype(np.int64)
+    out = np.zeros((MARK, len(marks)), table.dtype)
+    shift, top, one, last = np.uint64(64 - limit), len(words) - 2, np.uint64(1), np.uint64(63)
     for step in range(min(MARK, n)):
         word, bit = np.minimum(at >> 6, top), (at & 63).astype(np.uint64)
-        seen = (words[word] << bit) | ((words[word + 1] >> np.uint64(1)) >> (np.uint64(63) - bit))
-        key = seen >> shift
-        out[step] = ids[key]
-        at = at + lengths[key]
-    return out.T.reshape(-1)[:n]
+        found = table[((words[word] << bit) | ((words[word + 1] >> one) >> (last - bit))) >> shift]
+        out[step] = found
+        at += found & 63
+    return (out >> 6).T.reshape(-1)[:n]
 
 
 def write(docs: DataFrame, tokenizer: str, end_id: int = 1, path: str | None = None) -> str:
     """Write the files of docs and return their folder."""
     spark = docs.sparkSession
     path = path or fresh_path(spark, "token-files")
-    tokens = staged(encoded(docs, tokenizer, end_id), "tokens")
-    counted = sorted((r["id"], r["n"]) for r in id_counts(tokens).collect())  # as many rows as the vocabulary has ids, at most
+    kind = width(tokenizer, end_id)
+    tokens = staged(encoded(docs, tokenizer, kind, end_id), "tokens")
+    counted = sorted((r["id"], r["n"]) for r in id_counts(tokens, kind).collect())  # as many rows as the vocabulary has ids, at most
     ids, counts = (np.array([x[k] for x in counted], np.int64) for k in (0, 1))
     lengths = code_lengths(counts, max(LIMIT, len(ids).bit_length() + 1))
     codebook = spark.createDataFrame([(int(i), int(n)) for i, n in zip(ids, lengths, strict=True)], "id long, length int")
@@ -169,10 +181,10 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 1, path: str | None = N
 
         waiting = 0
         for b in batches:
-            for doc, x in zip(b.column("doc_id").to_pylist(), b.column("ids"), strict=True):
+            for doc, ids_here in zip(b.column("doc_id").to_pylist(), unpacked(b, kind), strict=True):
                 docs_here.append(doc)
-                held.append(np.frombuffer(x.as_py(), "<u4").astype(np.int64))
-                waiting += len(held[-1])
+                held.append(ids_here)
+                waiting += len(ids_here)
                 if waiting >= BLOCK_IDS:
                     waiting = 0
                     yield flush()
@@ -180,7 +192,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 1, path: str | None = N
             yield flush()
 
     schema = "part int, block int, before long, doc_ids array<long>, doc_lens array<long>, marks array<long>, payload binary"
-    ordered = tokens.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
+    ordered = tokens.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n", "ids")
     ordered.mapInArrow(blocks, schema).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     sizes = spark.read.parquet(f"{path}/blocks").select("part", F.aggregate("doc_lens", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
     rows, base = [], 0
@@ -191,8 +203,8 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 1, path: str | None = N
     return path
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids (little-endian 32-bit), from the files alone."""
+def read(spark: SparkSession, path: str, checksum: bool = False) -> DataFrame:
+    """doc_id, start, n_tokens, ids (little-endian 32-bit), from the files alone; or ids_crc32 in place of ids."""
     book = spark.read.parquet(f"{path}/codebook").collect()  # as many rows as the vocabulary has ids, at most
     ids, lengths = (np.array([r[k] for r in book], np.int64) for k in ("id", "length"))
     base = {r["part"]: r["base"] for r in spark.read.parquet(f"{path}/index").collect()}
@@ -206,16 +218,18 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 lens = np.array(row["doc_lens"], np.int64)
                 ends = np.cumsum(lens)
                 found = unpack_bits(row["payload"], np.array(row["marks"]), int(ends[-1]), table, book.limit).astype("<u4")
-                texts = [found[e - n : e].tobytes() for e, n in zip(ends, lens, strict=True)]
+                out = [found[e - n : e].tobytes() for e, n in zip(ends, lens, strict=True)]
+                last = pa.array(list(map(zlib.crc32, out)), pa.int64()) if checksum else pa.array(out, pa.binary())
                 starts = base[row["part"]] + row["before"] + ends - lens
-                yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(starts), pa.array(lens), pa.array(texts, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(starts), pa.array(lens), last], names=["doc_id", "start", "n_tokens", name])
 
     ready(spark)
-    return spark.read.parquet(f"{path}/blocks").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    name = "ids_crc32" if checksum else "ids"
+    return spark.read.parquet(f"{path}/blocks").mapInArrow(run, f"doc_id long, start long, n_tokens long, {name} {'long' if checksum else 'binary'}")
 
 
 def op10(docs: DataFrame, tokenizer: str) -> DataFrame:
     spark = docs.sparkSession
-    return read(spark, write(docs, tokenizer)).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return read(spark, write(docs, tokenizer), checksum=True)
 
 
