@@ -40,8 +40,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int =
         part = TaskContext.get().partitionId()
         for b in batches:
             out: tuple[list, ...] = ([], [], [], [], [], [])
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                ids = encoder.ids(text.as_py()) + end
+            texts = [t for at in range(0, b.num_rows, 64) for t in encoder.many(b.column(1).slice(at, 64).to_pylist())]
+            for doc, ids in zip(b.column(0).to_pylist(), texts, strict=True):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     one = ids[at : at + 4 * capacity]
                     n = len(one) // 4

@@ -51,7 +51,7 @@ def counter(path: str):
         else:
             from burrowline.llm.word_ids import opened
 
-            _OPEN[path] = lambda texts: [len(opened(path).ids(t)) // 4 for t in texts]
+            _OPEN[path] = lambda texts: [len(t) // 4 for t in opened(path).many(texts)]
     return _OPEN[path]
 
 

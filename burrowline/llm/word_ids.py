@@ -1,9 +1,9 @@
 """Token ids of whole texts by the tokenizers library, part by part where the tokenizer allows it.
 
 A tokenizer whose pre-tokeniser keeps runs of letters, single digits and runs of other marks, and drops white space, gives
-a text the ids of these parts one after another. For such a file every distinct part goes through the library; the ids of
-the first KEPT_PARTS are kept for the life of the Python worker, those of the rest for one text. Any other file gets whole
-texts.
+a text the ids of its words one after another, and a word those of its parts. For such a file every distinct part goes
+through the library. The ids of the first KEPT words and parts are kept for the life of the Python worker, those of the
+rest for one batch of texts. Any other file gets whole texts.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -18,11 +19,15 @@ import numpy as np  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
 LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"  # composed Latin letters whose lower case is one letter
+SPACE_RUN = re.compile(r"[ \t\n\r\x0b\x0c]+")
 SAFE = r"!-&(-;=-@\[-`{-~"  # ASCII digits and marks but for the apostrophe (contractions) and < (special tokens)
 SPACES = r" \t\n\r\x0b\x0c"
 #: Letters up to a space or safe mark; safe marks up to a space or letter; else all up to a space. No pre-token crosses these cuts.
 PARTS = re.compile(f"[{LETTER}]++(?=[{SPACES}{SAFE}]|\\Z)|[{SAFE}]++(?=[{SPACES}{LETTER}]|\\Z)|[^{SPACES}]++")
-KEPT_PARTS, KEPT_CHARS = 400_000, 40
+KEPT, KEPT_CHARS = 300_000, 40
+LETTERS_ONLY = re.compile(f"[{LETTER}]+\\Z")
+#: White space for str.split(), but not for the tokenizer.
+SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 def drops_space(config: dict) -> bool:
@@ -39,39 +44,81 @@ def drops_space(config: dict) -> bool:
 class WordIds:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
-            self.by_part = drops_space(json.load(f))
+            config = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
-        self.table: dict[str, bytes] = {}
+        self.by_part = drops_space(config)
+        suffix = config["model"].get("end_of_word_suffix")
+        #: ids that end a word, where the vocabulary marks them.
+        self.ends = np.array([bool(suffix) and (t or "").endswith(suffix) for t in map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size(True)))])
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         self.seen = self.missed = 0
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def ids(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        if not self.by_part:
-            return self._encode([text])[0]
-        if "<|" not in text:  # lower case could make a special token's string of another
-            text = text.encode().lower().decode()  # A-Z only; the rest is the library's
-        parts, table = PARTS.findall(text), self.table
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of runs of letters: many at a time, cut after the ids that end a word."""
+        if not words:
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        cut = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+        if len(cut) != len(words) or cut[-1] != 4 * len(ids):
+            return self._encode(words)
+        raw = ids.tobytes()
+        return [raw[a:z] for a, z in zip([0, *cut[:-1].tolist()], cut.tolist(), strict=True)]
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of words that the table doesn't hold; it takes them while it has room."""
+        split, table, more = [PARTS.findall(w) for w in new], self.parts, {}
+        missing = list({p for parts in split for p in parts if p not in table})
+        self.missed += len(missing)
+        plain, other = [], []
+        for p in missing:
+            (plain if LETTERS_ONLY.match(p) else other).append(p)
+        for chosen, encode, size in ((plain, self._encode_words, 512), (other, self._encode, 4096)):
+            for at in range(0, len(chosen), size):
+                some = chosen[at : at + size]
+                for p, ids in zip(some, encode(some), strict=True):
+                    (table if len(p) <= KEPT_CHARS and len(table) < KEPT else more)[p] = ids
         try:
-            return b"".join([table[p] for p in parts])
+            ids = [b"".join([table[p] for p in parts]) for parts in split]
         except KeyError:
-            pass
-        new = [p for p in dict.fromkeys(parts) if p not in table]
-        self.seen, self.missed = self.seen + len(parts), self.missed + len(new)
-        if len(table) >= KEPT_PARTS and self.seen > 1_000_000:
-            # what comes early is mostly what is common, so a full table stays - unless the texts have changed
-            if self.missed > 0.2 * self.seen:
-                table.clear()
-                new = list(dict.fromkeys(parts))
+            ids = [b"".join([table[p] if p in table else more[p] for p in parts]) for parts in split]
+        out = dict(zip(new, ids, strict=True))
+        room = KEPT - len(self.words)
+        if room > 0:
+            self.words.update((w, out[w]) for w in new[:room] if len(w) <= KEPT_CHARS)
+        return out
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        if not self.by_part:
+            return self._encode(texts)
+        lists = []
+        for t in texts:
+            if "<|" not in t:  # lower case could make a special token's string of another
+                t = t.lower() if t.isascii() else t.encode().lower().decode()  # A-Z only; the rest is the library's
+            lists.append([w for w in SPACE_RUN.split(t) if w] if SEPARATORS.search(t) else t.split())
+        self.seen += sum(map(len, lists))
+        if self.seen > 1_000_000:
+            # what comes early is mostly what is common, so full tables stay - unless the texts have changed
+            if len(self.parts) >= KEPT and self.missed > 0.2 * self.seen:
+                self.parts.clear()
+                self.words.clear()
             self.seen = self.missed = 0
-        rest = {}
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for p, ids in zip(some, self._encode(some), strict=True):
-                (table if len(p) <= KEPT_CHARS and len(table) < KEPT_PARTS else rest)[p] = ids
-        return b"".join([table[p] if p in table else rest[p] for p in parts])
+        found = [list(map(self.words.get, words)) for words in lists]
+        gaps = [[i for i, x in enumerate(f) if x is None] if None in f else () for f in found]
+        new = {words[i]: None for words, g in zip(lists, gaps, strict=True) for i in g}
+        if new:
+            learnt = self._learn(list(new))
+            for words, f, g in zip(lists, found, gaps, strict=True):
+                for i in g:
+                    f[i] = learnt[words[i]]
+        return [b"".join(f) for f in found]
+
+    def ids(self, text: str) -> bytes:
+        return self.many([text])[0]
 
 
 _OPEN: dict[str, WordIds] = {}
