@@ -1,0 +1,239 @@
+"""Exact join of documents by the Jaccard similarity of their shingle sets, by prefixes under one global order.
+
+1. Prefix keys. All shingles have one order: those that a sample of the documents shows to be frequent come last, the most
+   frequent at the very end, the others by hash. Sets of n shingles with a similarity of s share at least s * n of them, so
+   two such sets share one of their first n - ceil(s * n) + 1 shingles, which are the keys. The sample decides only how many
+   documents meet under a key; whatever the order, no pair is lost.
+2. Equal sets are one node. A task sends on the first of those that it has seen itself.
+3. Links. Under each key all nodes are first compared with the key's smallest node, and what is found similar is put together;
+   then all pairs under a key that are not together yet are compared. Counts of the shingles by their last byte bound what
+   two sets can share and rule most pairs out before a text moves. The others are compared by their shingles themselves
+   (64-bit hashes), read from the two texts, once. Texts move compressed and only for pairs that a key proposes; the pairs
+   of a node that stands in many are dealt out with copies of its text, so no task holds a hub's pairs.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from burrowline.llm.common import ready, staged, text_of
+from burrowline.llm.components import components
+
+#: Documents sampled and shingles remembered for the order; pairs of a node in one place; pairs and rows handled together.
+SAMPLE, FREQUENT, HUB, PAIRS, CHUNK = 4000, 1 << 16, 256, 1 << 19, 1 << 17
+
+
+def shingles(text: bytes, size: int) -> np.ndarray:
+    """The set of a text's shingles as sorted XXH64; a text of fewer words is one shingle."""
+    parts = text.lower().split()  # bytes: A-Z only, and white space of ASCII only
+    hash64 = xxhash.xxh64_intdigest
+    lines = [b" ".join(parts[i : i + size]) for i in range(max(1, len(parts) - size + 1))]
+    return np.unique(np.array([hash64(x, 42) for x in lines], np.uint64))
+
+
+def similarity_of(a: np.ndarray, b: np.ndarray) -> float:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
+
+
+def prefix(sorted_set: np.ndarray, similarity: float, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The set's first shingles in the global order: frequent (sorted) come last, by their rank."""
+    n = len(sorted_set)
+    keep = n - int(np.ceil(similarity * n - 1e-9)) + 1
+    late = np.zeros(n, np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, sorted_set), len(frequent) - 1)
+        late = np.where(frequent[at] == sorted_set, rank[at] + 1, 0)
+    return sorted_set[np.argsort(late, kind="stable")[:keep]]
+
+
+def counts_of(sorted_set: np.ndarray) -> bytes:
+    """How many shingles end in each byte, in two bytes each; empty if one count doesn't fit."""
+    found = np.bincount((sorted_set & np.uint64(255)).astype(np.int64), minlength=256)
+    return found.astype("<u2").tobytes() if found.max() < 1 << 16 else b""
+
+
+def frequent_shingles(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of several sampled documents, at most FREQUENT, sorted, and their ranks by frequency."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for t in b.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingles(t.as_buffer().to_pybytes(), size).view(np.int64))], names=["h"])
+
+    n = docs.count()
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    some = docs.select(text_of().alias("text")).sample(min(1.0, SAMPLE / n), 5)
+    counts = some.mapInArrow(run, "h long").groupBy("h").count().filter("count > 2").orderBy(F.desc("count"), "h").limit(FREQUENT)
+    found = counts.select("h").toArrow().column("h").to_numpy().view(np.uint64)  # at most FREQUENT rows
+    by = np.argsort(found)
+    return found[by], (len(found) - 1 - by).astype(np.int64)
+
+
+def nodes(docs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """doc_id, node (digest of the set), n (its size); for the task's first of a node also its keys, counts and compressed text."""
+    frequent, rank = frequent_shingles(docs, size)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for b in batches:
+            node, count, keys, counts, packed, length = [], [], [], [], [], []
+            for t in b.column(1):
+                raw = t.as_buffer().to_pybytes()
+                s = shingles(raw, size)
+                d = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
+                node.append(d)
+                count.append(len(s))
+                length.append(len(raw))
+                first = d not in seen
+                seen.add(d)
+                keys.append(prefix(s, similarity, frequent, rank).view(np.int64) if first else None)
+                counts.append(counts_of(s) if first else None)
+                packed.append(pa.compress(raw, "zstd", asbytes=True) if first else None)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(node, pa.int64()), pa.array(count, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(counts, pa.binary()), pa.array(packed, pa.binary()), pa.array(length, pa.int64())], names=["doc_id", "node", "n", "keys", "counts", "packed", "size"])
+
+    ready(docs.sparkSession)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return staged(docs.select("doc_id", text_of().alias("text")).mapInArrow(run, f"doc_id {kind}, node long, n long, keys array<long>, counts binary, packed binary, size long"), "nodes")
+
+
+def by_key(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Columns of batches sorted by their first one, put together so that equal keys are never parted."""
+    held: list[tuple[np.ndarray, ...]] = []
+    count = 0
+    for b in batches:
+        held.append(tuple(c.to_numpy(zero_copy_only=False) for c in b.columns))
+        count += b.num_rows
+        if count >= CHUNK:
+            cols = tuple(np.concatenate(x) for x in zip(*held, strict=True))
+            cut = int(np.flatnonzero(np.concatenate([[True], cols[0][1:] != cols[0][:-1]]))[-1])
+            if cut:
+                yield tuple(c[:cut] for c in cols)
+            held, count = [tuple(c[cut:] for c in cols)], len(cols[0]) - cut
+    if count:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
+def changes(*cols: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before it."""
+    new = np.ones(len(cols[0]), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in cols], axis=0)
+    return new
+
+
+def met(keyed: DataFrame) -> DataFrame:
+    """keyed (key, node, n) -> the same rows once, with rep, the key's smallest node, for keys of several nodes."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cols in by_key(batches):
+            once = changes(cols[0], cols[1])
+            key, node, n = (c[once] for c in cols)
+            new = changes(key)
+            group = np.cumsum(new) - 1
+            several = np.bincount(group)[group] > 1
+            rep = np.flatnonzero(new)[group]
+            yield pa.RecordBatch.from_arrays([pa.array(x[several]) for x in (key, node, n, node[rep], n[rep])], names=["key", "node", "n", "rep", "rep_n"])
+
+    return staged(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, node long, n long, rep long, rep_n long"), "met")
+
+
+def apart(found: DataFrame, similarity: float) -> DataFrame:
+    """found (key, root, node, n) -> pairs (u, v) of nodes under a key with different roots, of sizes that can be similar."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, root, node, n in by_key(batches):
+            starts = np.flatnonzero(changes(key))
+            end = np.append(starts[1:], len(key))[np.cumsum(changes(key)) - 1]
+            same = np.flatnonzero(changes(key, root))
+            low = np.append(same[1:], len(key))[np.cumsum(changes(key, root)) - 1]
+            left = np.flatnonzero(end > low)
+            while len(left):  # partners of a row: those of its key that stand behind its root's rows
+                room = np.cumsum(end[left] - low[left])
+                take = max(1, int(np.searchsorted(room, PAIRS, side="right")))
+                rows, left = left[:take], left[take:]
+                many = end[rows] - low[rows]
+                a = np.repeat(rows, many)
+                b = np.repeat(low[rows] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+                near = np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9
+                u, v = np.minimum(node[a[near]], node[b[near]]), np.maximum(node[a[near]], node[b[near]])
+                by = np.lexsort((v, u))
+                u, v = u[by], v[by]
+                once = changes(u, v)
+                yield pa.RecordBatch.from_arrays([pa.array(u[once]), pa.array(v[once])], names=["u", "v"])
+
+    chosen = found.select("key", "root", "node", "n").repartition("key").sortWithinPartitions("key", "root", "node")
+    return chosen.mapInArrow(run, "u long, v long").distinct()
+
+
+def with_side(pairs: DataFrame, rows: DataFrame, side: str) -> DataFrame:
+    """pairs with the columns of one side's node; a node of many pairs has a copy of its row for each HUB of them."""
+    other = "v" if side == "u" else "u"
+    parts = pairs.groupBy(side).agg(F.ceil(F.count("*") / HUB).cast("int").alias("parts")).filter("parts > 1")
+    named = rows.select(*[F.col(c).alias(side if c == "node" else f"{side}_{c}") for c in rows.columns])
+    copies = named.join(parts, side, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    salted = pairs.join(parts, side, "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64(other), F.col("parts")).cast("int"), F.lit(0))).drop("parts")
+    return salted.join(copies, [side, "salt"]).drop("salt")
+
+
+def with_both(pairs: DataFrame, every: DataFrame, *names: str) -> DataFrame:
+    """pairs with columns of both nodes (u_..., v_...), of one of the rows that know them."""
+    needed = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    wanted = every.filter("keys IS NOT NULL").select("node", *names).join(needed, "node", "left_semi")
+    rows = staged(wanted.groupBy("node").agg(F.min(F.struct(*names)).alias("t")).select("node", "t.*"), "sides")
+    return with_side(with_side(pairs, rows, "u"), rows, "v").select("u", "v", *[f"{x}_{c}" for x in "uv" for c in names])
+
+
+def possible(pairs: DataFrame, every: DataFrame, similarity: float) -> DataFrame:
+    """The pairs without those whose counts show that they share too little."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yes = np.ones(b.num_rows, bool)
+            for i, (x, y) in enumerate(zip(b.column("u_counts").to_pylist(), b.column("v_counts").to_pylist(), strict=True)):
+                if x and y:
+                    p, q = np.frombuffer(x, "<u2"), np.frombuffer(y, "<u2")
+                    share = int(np.minimum(p, q).sum(dtype=np.int64))
+                    yes[i] = share >= similarity * (int(p.sum(dtype=np.int64)) + int(q.sum(dtype=np.int64)) - share) - 1e-6
+            yield pa.RecordBatch.from_arrays([pa.array(b.column(c).to_numpy()[yes]) for c in ("u", "v")], names=["u", "v"])
+
+    return staged(with_both(pairs, every, "counts").mapInArrow(run, "u long, v long"), "possible")
+
+
+def linked(pairs: DataFrame, every: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs whose shingle sets have at least this similarity."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        @lru_cache(64)
+        def of(packed: bytes, length: int) -> np.ndarray:
+            return shingles(pa.decompress(packed, length, "zstd", asbytes=True), size)
+
+        for b in batches:
+            cols = [b.column(c).to_pylist() for c in ("u_packed", "u_size", "v_packed", "v_size")]
+            yes = np.array([similarity_of(of(p, m), of(q, n)) >= similarity for p, m, q, n in zip(*cols, strict=True)], bool)
+            yield pa.RecordBatch.from_arrays([pa.array(b.column(c).to_numpy()[yes]) for c in ("u", "v")], names=["u", "v"])
+
+    return staged(with_both(possible(pairs, every, similarity), every, "size", "packed").mapInArrow(run, "u long, v long"), "links")
+
+
+def similar_classes(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """doc_id, component_id: the smallest doc_id of all that links of this similarity or more reach. docs have words."""
+    every = nodes(docs, size, similarity)
+    found = met(every.filter("keys IS NOT NULL").select(F.explode("keys").alias("key"), "node", "n"))
+    can = F.least("n", "rep_n") >= similarity * F.greatest("n", "rep_n") - 1e-9
+    first = staged(found.filter(F.col("node") != F.col("rep")).filter(can).select(F.col("rep").alias("u"), F.col("node").alias("v")).distinct(), "pairs")
+    links = linked(first, every, size, similarity)
+    roots = components(links)
+    rooted = found.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    more = staged(apart(rooted, similarity).join(first, ["u", "v"], "left_anti"), "pairs")
+    roots = components(links.unionByName(linked(more, every, size, similarity)))
+    named = every.select("doc_id", "node").join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
+    named = staged(named, "named")
+    return named.join(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("doc_id", "component_id")

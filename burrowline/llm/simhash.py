@@ -11,10 +11,8 @@ trees of all shards, so that no task holds more than a shard's tree. A task does
 becomes a star of links, at most one per fingerprint, and components() joins the stars. The trees move by shuffle and not
 by broadcast, since their size has no bound that the data can't break.
 
-Block keys hold for radii up to 3, which only very close copies reach: two texts whose 5-word shingles have a Jaccard
-similarity of 0.8 differ in some 15% of the bits. ``similar_classes`` therefore takes WIDE_WORDS x 64 bits per text and
-links at that share of differing bits and 1.5 standard deviations more (so a pair at 0.74 links as often as not); since no few blocks of them must agree, its keys are TABLES samples of SAMPLED bits
-(two texts at similarity 0.8 share a key with probability 0.99, at 0.85 with 0.999), and the same trees do the rest.
+Which of two texts are similar by a given Jaccard similarity no radius decides: sets at one similarity differ in a number of
+bits that varies by chance. ``keep_one`` therefore takes its links from ``shingle_join``, which compares the shingles.
 
 Defined results: null text counts as empty; texts without words have
 fingerprint zero and link like any other; repeated rows share a fingerprint and each keep their row; an empty table gives
@@ -34,45 +32,37 @@ from pyspark.sql import functions as F
 
 from burrowline.llm.common import ready, staged, text_of
 from burrowline.llm.components import components
+from burrowline.llm.shingle_join import similar_classes
 
 RADIUS, WIDTHS, SHARD, FRONTIER, CHUNK = 3, (13, 13, 13, 13, 12), 4096, 1 << 18, 1 << 16
-WIDE_WORDS, TABLES, SAMPLED = 4, 64, 16
-ODD = np.random.default_rng(64).integers(0, 1 << 63, WIDE_WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def fingerprint(text: bytes, size: int = 3, seed: int = 42, words: int = 1) -> np.ndarray:
-    """Majority of the bits of the shingles' XXH64, unsigned; further 64-bit words from that hash mixed with odd numbers."""
+def fingerprint(text: bytes, size: int = 3, seed: int = 42) -> np.ndarray:
+    """Majority of the bits of the shingles' XXH64, unsigned."""
     parts = text.lower().split()  # bytes: A-Z only, and white space of ASCII only
     if not parts:
-        return np.zeros(words, "<u8")
+        return np.zeros(1, "<u8")
     line, hash64 = b" ".join(parts), xxhash.xxh64_intdigest
     starts = list(accumulate((len(w) + 1 for w in parts), initial=0))
     spans = zip(starts, starts[size:], strict=False) if len(parts) > size else [(0, len(line) + 1)]
     hashes = np.array([hash64(line[a : b - 1], seed) for a, b in spans], "<u8")
-    if words > 1:
-        hashes = np.unique(hashes)  # the wide fingerprint stands for the set of shingles, as Jaccard similarity does
-    ones = np.zeros(64 * words, np.int64)
+    ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 14):
         some = hashes[at : at + (1 << 14), None]
-        if words > 1:
-            some = some * ODD[None, :words]
-            some = (some ^ (some >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            some ^= some >> np.uint64(32)
         ones += np.unpackbits(np.ascontiguousarray(some).view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")
 
 
-def fingerprints(docs: DataFrame, size: int = 3, words: int = 1) -> DataFrame:
-    """doc_id, fp0 ...: the fingerprint's bits as signed longs."""
-    names = [f"fp{k}" for k in range(words)]
+def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
+    """doc_id, fp0: the fingerprint's bits as a signed long."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t.as_buffer().to_pybytes(), size, words=words) for t in b.column(1)], np.uint64).reshape(-1, words)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(fps[:, k].view(np.int64)) for k in range(words))], names=["doc_id", *names])
+            fps = np.array([fingerprint(t.as_buffer().to_pybytes(), size) for t in b.column(1)], np.uint64).reshape(-1)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp0"])
 
     ready(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
+    return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(run, "doc_id long, fp0 long")
 
 
 def block_keys(fp: Column) -> Column:
@@ -147,15 +137,14 @@ def joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             label = label[label]
 
 
-def stars(keyed: DataFrame, radius: int, words: int = 1) -> DataFrame:
-    """keyed (key, shard, node, fp0 ..., in_tree) -> links (u, v) of nodes that connect what is linked under a key and shard."""
-    names = [f"fp{k}" for k in range(words)]
+def stars(keyed: DataFrame, radius: int) -> DataFrame:
+    """keyed (key, shard, node, fp0, in_tree) -> links (u, v) of nodes that connect what is linked under a key and shard."""
 
     def solve(cols: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-        key, shard, node, in_tree, *fps = cols
+        key, shard, node, in_tree, fp = cols
         group = np.cumsum(np.concatenate([[True], (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])])) - 1
         several = np.bincount(group)[group] > 1
-        group, node, in_tree, fp = group[several], node[several], in_tree[several], np.stack([f[several] for f in fps], axis=1).view(np.uint64)
+        group, node, in_tree, fp = group[several], node[several], in_tree[several], fp[several].view(np.uint64)[:, None]
         label = np.arange(len(node))
         if len(node):
             for a, b in Forest(fp, group, in_tree).links(label.copy(), group, radius):
@@ -179,7 +168,7 @@ def stars(keyed: DataFrame, radius: int, words: int = 1) -> DataFrame:
         if count:
             yield solve(tuple(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    chosen = keyed.repartition("key", "shard").sortWithinPartitions("key", "shard", "node").select("key", "shard", "node", "in_tree", *names)
+    chosen = keyed.repartition("key", "shard").sortWithinPartitions("key", "shard", "node").select("key", "shard", "node", "in_tree", "fp0")
     return chosen.mapInArrow(run, "u long, v long")
 
 
@@ -191,40 +180,16 @@ def sharded(keyed: DataFrame) -> DataFrame:
     return dealt.withColumn("in_tree", F.pmod(F.xxhash64("node"), F.col("shards")) == F.col("shard")).drop("shards")
 
 
-def sampled_keys(distinct: DataFrame, words: int) -> DataFrame:
-    """A row for each of TABLES keys of a node: the table's number and its sample of the bits."""
-    names = [f"fp{k}" for k in range(words)]
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rng = np.random.default_rng(7)
-        sample = np.stack([rng.permutation(64 * words)[:SAMPLED] for _ in range(TABLES)])
-        for b in batches:
-            for at in range(0, b.num_rows, 2048):
-                part = b.slice(at, 2048)
-                fps = np.stack([part.column(n).to_numpy() for n in names], axis=1)
-                bits = np.unpackbits(np.ascontiguousarray(fps).view(np.uint8), axis=1, bitorder="little")
-                keys = (bits[:, sample].astype(np.int64) << np.arange(SAMPLED)).sum(axis=2) + (np.arange(TABLES) << SAMPLED)
-                rows = np.repeat(np.arange(len(fps)), TABLES)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(part.column("node").to_numpy()[rows]), *(pa.array(fps[rows, k]) for k in range(words))], names=["key", "node", *names])
-
-    return distinct.select("node", *names).mapInArrow(run, "key long, node long, " + ", ".join(f"{n} long" for n in names))
-
-
-def classes(prints: DataFrame, radius: int = RADIUS, words: int = 1) -> DataFrame:
-    """prints (doc_id, fp0 ...) -> fp0 ..., component_id: the smallest doc_id of all that links reach."""
-    names = [f"fp{k}" for k in range(words)]
-    node = F.col("fp0") if words == 1 else F.xxhash64(*names)
-    distinct = staged(prints.groupBy(*names).agg(F.min("doc_id").alias("least")).withColumn("node", node), "fingerprints")
-    if words == 1:
-        if not 0 <= radius <= RADIUS:
-            raise ValueError("the block keys hold for radii up to 3")
-        keyed = distinct.select("node", "fp0", F.explode(block_keys(F.col("fp0"))).alias("key"))
-    else:
-        keyed = sampled_keys(distinct, words)
-    roots = components(stars(sharded(keyed), radius, words))
-    rooted = distinct.join(roots.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select(*names, "least", F.coalesce("root", "node").alias("root"))
+def classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """prints (doc_id, fp0) -> fp0, component_id: the smallest doc_id of all that links reach."""
+    if not 0 <= radius <= RADIUS:
+        raise ValueError("the block keys hold for radii up to 3")
+    distinct = staged(prints.groupBy("fp0").agg(F.min("doc_id").alias("least")).withColumn("node", F.col("fp0")), "fingerprints")
+    keyed = distinct.select("node", "fp0", F.explode(block_keys(F.col("fp0"))).alias("key"))
+    roots = components(stars(sharded(keyed), radius))
+    rooted = distinct.join(roots.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("fp0", "least", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(least, "root").select(*names, "component_id")
+    return rooted.join(least, "root").select("fp0", "component_id")
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, radius: int = RADIUS) -> DataFrame:
@@ -234,19 +199,6 @@ def near_duplicates(docs: DataFrame, size: int = 3, radius: int = RADIUS) -> Dat
     return prints.join(named, "fp0").select("doc_id", F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def bits_apart(similarity: float, bits: int) -> int:
-    """Bits that differ between sets of this Jaccard similarity, by the angle between them, and 1.5 standard deviations."""
-    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return int(bits * share + 1.5 * np.sqrt(bits * share * (1 - share)))
-
-
-def similar_classes(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """doc_id, component_id, by shingles of size words and a Jaccard similarity, over WIDE_WORDS x 64 bits."""
-    prints = staged(fingerprints(docs, size, WIDE_WORDS), "prints")
-    named = staged(classes(prints, bits_apart(similarity, 64 * WIDE_WORDS), WIDE_WORDS), "classes")
-    return prints.join(named, [f"fp{k}" for k in range(WIDE_WORDS)]).select("doc_id", "component_id")
-
-
 def keep_one(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs without those that are linked to a document with a smaller doc_id. Of rows that share the smallest doc_id one
     stays: the one with the longest, then the smallest text. Documents without words or doc_id all stay."""

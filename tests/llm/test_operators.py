@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 import xxhash
 
-from burrowline.llm import components, packing, pii, quality_rules, secrets, sentencepiece_bpe, simhash, suffix_dedup, token_counts, token_files, topk, word_ids
+from burrowline.llm import components, packing, pii, quality_rules, secrets, sentencepiece_bpe, shingle_join, simhash, suffix_dedup, token_counts, token_files, topk, word_ids
 from burrowline.llm.common import fresh_path
 
 PIECE, WORD = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
@@ -405,6 +405,41 @@ def test_keep_one(spark, hard, empty):
     assert simhash.keep_one(hard[0]).columns == hard[0].columns and simhash.keep_one(empty).count() == 0
 
 
+def shingles(t, size=5):
+    w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t))
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))}
+
+
+def around_the_bound():
+    """Families of copies whose similarity to their first one, and to each other, lies closely on both sides of 0.8."""
+    r, rows = random.Random(17), []
+    for f in range(12):
+        base = prose(r.choice([60, 150, 400]), 500 + f).split()
+        for k in range(10):
+            w, changed = list(base), (r.randint(0, len(base) // 40 + 1) if f % 3 else len(base) // 45 + r.randint(0, 1)) if k else 0
+            for at in r.sample(range(len(w)), changed):
+                w[at] = f"other{r.random()}"
+            rows.append((100 * k + f, " ".join(w)))
+    shared = prose(160, 900)  # a template: 0.6 to 0.75 alike, all to be kept
+    rows += [(5000 + i, shared + " " + prose(r.randint(25, 36), 2000 + i)) for i in range(30)]
+    return rows + [(7000 + i, t) for i, t in enumerate(["one", "One", "one two", "one two", "a b c d e", "a b c d f", rows[3][1].upper(), rows[3][1].replace(" ", "\n")])]
+
+
+@pytest.mark.parametrize("hub", [256, 2])
+def test_similarity_is_exact_at_the_bound(spark, monkeypatch, hub):
+    monkeypatch.setattr(shingle_join, "HUB", hub)
+    monkeypatch.setattr(shingle_join, "PAIRS", 50)
+    monkeypatch.setattr(shingle_join, "CHUNK", 500)
+    rows = around_the_bound()
+    sets = [shingles(t) for _, t in rows]
+    alike = [[len(a & b) / len(a | b) for b in sets] for a in sets]
+    assert sum(0.76 <= x < 0.8 for y in alike for x in y) > 20 < sum(0.8 <= x < 0.84 for y in alike for x in y)
+    expected = smallest([d for d, _ in rows], lambda i: [j for j in range(len(rows)) if alike[i][j] >= 0.8])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    same(shingle_join.similar_classes(df).collect(), list(zip([d for d, _ in rows], expected, strict=True)))
+    assert {r["doc_id"] for r in simhash.keep_one(df).collect()} == set(expected)
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(50)] + [(1000, 1000 + i) for i in range(1, 300)] + [(7, 7), (2000, 1999)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
