@@ -13,6 +13,8 @@ the same document. Equal strings must meet in one place without moving every suf
    extension, which a binary search over prefix polynomial hashes finds in a logarithmic number of steps. Neighbours'
    extensions bound how far strings agree to the right of the anchor, prefix hashes tell what agrees to its left, and
    each string found equal is compared byte for byte with its earlier one before anything is removed.
+   An anchor hash with more than HOT contents (the edge of a passage that very many documents hold) is not sorted in one
+   place: its runs become single strings, which Spark groups by their bytes for the earliest place, first within each task.
 3. Per document the spans are put together and cut out.
 
 Everything within a task is numpy over some MB at a time; documents of any length are read in overlapping slices.
@@ -39,6 +41,8 @@ LENGTH, GRAM = 100, 32
 #: Bytes looked at together; places within them take 24 bits of a hash, which leaves 40 to compare.
 SLICE, PLACE_BITS = 2 << 20, 24
 CHUNK_BYTES = 3 << 20
+#: Contents of one anchor hash that are sorted together.
+HOT = 4096
 NO_ID = -(1 << 63)
 
 _rng = np.random.default_rng(20240229)
@@ -220,11 +224,12 @@ def grouped(batches: Iterable[pa.RecordBatch], enough: int, weight) -> Iterator[
         yield pa.Table.from_batches(held)
 
 
-MARKS = "k long, dk long, sid long, start long, n int, compare boolean"
+MARKS = "k long, dk long, sid long, start long, n int, compare boolean, hot boolean"
 
 
 def judged(found: DataFrame) -> DataFrame:
-    """RUNS met by anchor hash -> MARKS: strings that go, and (compare) the first runs of each content that share an anchor."""
+    """RUNS met by anchor hash -> MARKS: strings that go, and (compare) the first runs of each content that share an anchor; hot: with more than HOT."""
+    most = HOT
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in grouped(batches, 200_000, lambda b: b.num_rows):
@@ -237,11 +242,13 @@ def judged(found: DataFrame) -> DataFrame:
             later = (dk[at] != dk[lead]) | (start[at] != start[lead])
             heads = at[new]
             _, group, contents = np.unique(k[heads], return_inverse=True, return_counts=True)
-            heads = heads[contents[group] > 1] if len(heads) else heads
+            crowd = contents[group] if len(heads) else np.zeros(0, np.int64)
+            heads, crowd = heads[crowd > 1], crowd[crowd > 1]
             gone = np.concatenate([np.flatnonzero(repeated), at[later]])
             rows = np.concatenate([gone, heads])
             flag = np.concatenate([np.zeros(len(gone), bool), np.ones(len(heads), bool)])
-            yield pa.RecordBatch.from_arrays([*(pa.array(x[rows]) for x in (k, dk, sid, start, n)), pa.array(flag)], names=["k", "dk", "sid", "start", "n", "compare"])
+            hot = np.concatenate([np.zeros(len(gone), bool), crowd > most])
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[rows]) for x in (k, dk, sid, start, n)), pa.array(flag), pa.array(hot)], names=["k", "dk", "sid", "start", "n", "compare", "hot"])
 
     return found.repartition("k").sortWithinPartitions("k").mapInArrow(run, MARKS)
 
@@ -390,6 +397,15 @@ def compared(found: DataFrame, length: int) -> DataFrame:
     return found.repartition("k").sortWithinPartitions("k", "dk", "start").mapInArrow(run, "dk long, sid long, start long, n int")
 
 
+def strings_compared(found: DataFrame, length: int) -> DataFrame:
+    """CONTEXTS -> (dk, sid, start, n): the same as compared(), string by string, so that no anchor's contexts must meet."""
+    each = found.select("dk", "sid", "start", "context", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+    each = each.select("dk", "sid", (F.col("start") + F.col("i")).alias("start"), F.substring("context", F.col("i") + 1, F.lit(length)).alias("string"))
+    least = each.groupBy("string").agg(F.min(F.struct("dk", "start")).alias("first"))
+    later = each.join(least, "string").filter(F.struct("dk", "start") != F.col("first"))
+    return later.select("dk", "sid", "start", F.lit(1).alias("n"))
+
+
 def keyed_docs(docs: DataFrame, text: str = "text") -> DataFrame:
     t = text_of(f"`{text}`")
     return docs.withColumns({"dk": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "sid": F.crc32(t.cast("binary")), text: t})
@@ -402,7 +418,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     keyed = keyed_docs(docs).select("dk", "sid", "text")
     ready(docs.sparkSession)
     marks = staged(judged(runs(keyed, length, gram)), "marks")
-    more = compared(contexts(keyed, marks, length, gram), length)
+    more = compared(contexts(keyed, marks.filter("NOT hot"), length, gram), length)
+    if not marks.filter("hot").isEmpty():
+        more = more.unionByName(strings_compared(staged(contexts(keyed, marks.filter("hot"), length, gram), "hot"), length))
     every = marks.filter("NOT compare").select("dk", "sid", "start", "n").unionByName(more)
     return every.groupBy("dk", "sid").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 

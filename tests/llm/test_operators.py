@@ -516,6 +516,17 @@ def test_suffix_dedup_of_overlapping_passages(spark, monkeypatch):
     same(suffix_dedup.op9(df).collect(), plain_dedup(rows))
 
 
+def test_crowded_anchors_do_not_meet_in_one_place(spark, monkeypatch):
+    r, seen, sort = random.Random(8), [], suffix_dedup.compared
+    monkeypatch.setattr(suffix_dedup, "HOT", 6)
+    monkeypatch.setattr(suffix_dedup, "compared", lambda found, length: seen.append(max([x["count"] for x in found.groupBy("k").count().collect()], default=0)) or sort(found, length))
+    licence, other = prose(40, 300), prose(30, 301)
+    rows = [(i // 2 if i % 7 == 0 else i, prose(r.randint(3, 30), 400 + i) + licence[r.randint(0, 9) :] + prose(r.randint(3, 30), 600 + i) + (other if i % 15 == 0 else "")) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    same(suffix_dedup.op9(df).collect(), plain_dedup(rows))
+    assert 1 < seen[0] <= 6
+
+
 def test_dedup_keeps_columns(hard, empty):
     out = suffix_dedup.dedup(hard[0])
     assert set(hard[0].columns) - {"dk", "spans", "size", "packed"} <= set(out.columns) and out.count() == len(hard[1])
