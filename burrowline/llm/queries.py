@@ -15,6 +15,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op1(documents(spark, sf_dir))
 
 
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy of operator 1 rejects, from the stored ledger."""
+    return quality_rules.ablation(quality_rules.stored_ledger(documents(spark, sf_dir)))
+
+
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
 
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        quality_ablation,
         op2_personal_data,
         op3_secrets,
         op4_sentencepiece,
@@ -67,4 +73,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 #: The others tokenize, hash or iterate in ways that SQL can't state; tests hold them against brute force.
-ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.SQL, "op7_top_k": topk.SQL}
+ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.SQL, "quality_ablation": quality_rules.ABLATION_SQL, "op7_top_k": topk.SQL}
