@@ -10,10 +10,15 @@ later bucket has a local cosine threshold per query, bound / (query's norm x buc
 Products are then verified in exact integer arithmetic. Queries and buckets meet block by block; a query's best k of each
 bucket are merged by a window whose partial limit runs before the shuffle.
 
-Components are quantised by floor(scale * x). Defined results: vectors that are null or hold null or non-finite components,
+Queries are cut into blocks by the norm that a bucket must reach to matter to them, so that a weak query keeps only others like
+it from skipping buckets.
+
+Components are quantised by floor(scale * x), as longs. Products that doubles hold exactly are taken in doubles, others in
+longs, and where longs could overflow in Python's integers; a score beyond a long's range becomes that range's end, and so
+does a quantised component. Defined results: vectors that are null or hold null or non-finite components,
 and rows without vec_id, take no part; shorter vectors are filled up with zeros; empty vectors score 0; rows that share a
 vec_id count as one candidate, with its best product, and as one query; ties go to the smaller vec_id; other columns are
-left out. Quantised components must stay below 2^31.
+left out.
 """
 
 from __future__ import annotations
@@ -22,13 +27,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from burrowline.llm.common import ready, staged
 
-BUCKET, QUERIES, COORDINATE = 4096, 1024, 0.7
-BLOCK = "block long, n int, dim int, greatest double, ids binary, vectors binary"
+BUCKET, QUERIES, COORDINATE, COMPONENTS = 4096, 1024, 0.7, 1 << 22
+BLOCK = "block long, n int, dim int, greatest double, needs double, ids binary, vectors binary, bounds binary"
+LONG = (-(1 << 63), (1 << 63) - 1)
 
 
 def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
@@ -36,54 +43,76 @@ def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
     x = F.transform("embedding", lambda c: c.cast("double"))
     fine = F.coalesce(F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))), F.lit(False))
     kept = vectors.filter(F.col("vec_id").isNotNull() & fine).select(F.col("vec_id").cast("long"), F.transform(x, lambda c: F.floor(c * scale)).alias("v"))
-    return kept.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c)))
+    return kept.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))))
 
 
 def matrix(ids: bytes, vectors: bytes, dim: int) -> tuple[np.ndarray, np.ndarray]:
     i = np.frombuffer(ids, np.int64)
-    return i, np.frombuffer(vectors, np.int32).reshape(len(i), dim)
+    return i, np.frombuffer(vectors, np.int64).reshape(len(i), dim)
 
 
-def blocks(rows: DataFrame, size: int) -> DataFrame:
-    """Vectors sorted by falling norm, cut into blocks of at most size; block numbers are unique but not consecutive."""
+def filled(vectors: list[np.ndarray]) -> np.ndarray:
+    """Vectors as rows, shorter ones filled up with zeros."""
+    m = np.zeros((len(vectors), max(map(len, vectors), default=0)), np.int64)
+    for r, v in zip(m, vectors, strict=True):
+        r[: len(v)] = v
+    return m
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
 
-        part, number = TaskContext.get().partitionId(), 0
-        held: list[tuple[int, np.ndarray, float]] = []
+def blocks(rows: DataFrame, size: int, by: str) -> DataFrame:
+    """rows (vec_id, v, norm, bound, need) sorted by a falling column and cut into blocks of at most size vectors and some
+    COMPONENTS components; block numbers are unique but not consecutive."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number, components = TaskContext.get().partitionId(), 0, 0
+        held: list[tuple[int, np.ndarray, float, float, float]] = []
+        types = (pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.binary())
+        names = [x.split()[0] for x in BLOCK.split(", ")]
 
         def flush() -> pa.RecordBatch:
-            nonlocal number
-            dim = max(len(v) for _, v, _ in held)
-            m = np.zeros((len(held), dim), np.int32)
-            for r, (_, v, _) in zip(m, held, strict=True):
-                r[: len(v)] = v
-            row = [(part << 32) + number, len(held), dim, max(x[2] for x in held), np.array([x[0] for x in held], np.int64).tobytes(), m.tobytes()]
-            number += 1
+            nonlocal number, components
+            ids, vectors, norms, bounds, needs = zip(*held, strict=True)
+            m = filled(list(vectors))
+            packed = [np.array(x, t).tobytes() for x, t in ((ids, np.int64), (m, np.int64), (bounds, np.float64))]
+            row = [(part << 32) + number, len(held), m.shape[1], max(norms), min(needs), *packed]
+            number, components = number + 1, 0
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.binary(), pa.binary()), strict=True)], names=["block", "n", "dim", "greatest", "ids", "vectors"])
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names=names)
 
         for b in batches:
-            for i, v, norm in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
-                held.append((i, v.values.to_numpy(), norm))
-                if len(held) == size:
+            others = [b.column(c).to_pylist() for c in ("norm", "bound", "need")]
+            for i, v, *rest in zip(b.column("vec_id").to_pylist(), b.column("v"), *others, strict=True):
+                held.append((i, v.values.to_numpy(), *rest))
+                components += len(held[-1][1])
+                if len(held) == size or components >= COMPONENTS:
                     yield flush()
         if held:
             yield flush()
 
     ready(rows.sparkSession)
-    sorted_ = rows.repartitionByRange(F.desc("norm")).sortWithinPartitions(F.desc("norm"), "vec_id")
-    return staged(sorted_.select("vec_id", "v", "norm").mapInArrow(run, BLOCK), "blocks")
+    order = [F.desc(by), F.col("vec_id")]  # vec_id parts the vectors of one length
+    sorted_ = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return staged(sorted_.select("vec_id", "v", "norm", "bound", "need").mapInArrow(run, BLOCK), "blocks")
 
 
 def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact integer products; in doubles where these hold them exactly."""
+    """Exact integer products; in doubles where these hold them exactly, beyond longs in Python's integers."""
     dim = min(q.shape[1], c.shape[1])
     q, c = q[:, :dim], c[:, :dim]
-    if dim * float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) < 2**53:
+    most = dim * float(np.abs(q.astype(np.float64)).max(initial=0)) * float(np.abs(c.astype(np.float64)).max(initial=0))
+    if most < 2**53:
         return (q.astype(np.float64) @ c.T.astype(np.float64)).astype(np.int64)
-    return q.astype(np.int64) @ c.T.astype(np.int64)
+    if most < 2**62:
+        return q @ c.T
+    exact = q.astype(object) @ c.T.astype(object) if dim else np.zeros((len(q), len(c)), object)
+    return np.clip(exact, *LONG).astype(np.int64)
+
+
+def least_needed(bound: np.ndarray, divisor: np.ndarray | float) -> np.ndarray:
+    """What a norm (or a cosine times a norm) must reach for a product of at least bound, a little less for rounding; 0 for
+    bounds that anything reaches."""
+    low = bound - 0.5 - np.abs(bound) * 1e-12
+    return np.where(bound > 0, low / np.maximum(divisor, 1e-300), 0.0)
 
 
 def best(ids: np.ndarray, scores: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,8 +137,8 @@ def searched(q_ids: np.ndarray, q: np.ndarray, bound: np.ndarray, c_ids: np.ndar
     norm_c = np.sqrt((c.astype(np.float64) ** 2).sum(1))
     greatest = norm_c.max(initial=0.0)
     with np.errstate(divide="ignore", invalid="ignore"):
-        local = np.where(bound > 0, (bound - 0.5) / (norm_q * greatest), -np.inf)
-        least = np.where(bound > 0, (bound - 0.5) / norm_q, 0.0)
+        local = np.where(bound > 0, least_needed(bound, norm_q * greatest), -np.inf)
+        least = least_needed(bound, norm_q)
         unit = np.where(norm_c[:, None] > 0, c / norm_c[:, None], 0.0)
     by_coordinate = (local >= COORDINATE) & (local <= 1)
     by_length = local < COORDINATE
@@ -136,33 +165,38 @@ def searched(q_ids: np.ndarray, q: np.ndarray, bound: np.ndarray, c_ids: np.ndar
                 yield r, *best(c_ids[long_enough][reach], mine[reach], q_ids[r], k)
 
 
-def top_k(vectors: DataFrame, query_step: int = 50, k: int = 5, scale: int = 256, bucket: int = BUCKET) -> DataFrame:
-    """query_id, rank, vec_id, score for every query (vec_id divisible by query_step)."""
-    spark = vectors.sparkSession
-    rows = staged(quantised(vectors, scale), "quantised")
-    buckets = blocks(rows, bucket)
-    asked = blocks(rows.filter(F.col("vec_id") % query_step == 0), QUERIES)
-    seed = buckets.orderBy(F.desc("greatest"), "block").limit(1).collect()  # one bucket: at most BUCKET vectors
-    seeds = [(r["ids"], r["vectors"], r["dim"]) for r in seed]
+def bounded(asked: DataFrame, seeds: list[tuple[bytes, bytes, int]], k: int) -> DataFrame:
+    """asked (vec_id, v, norm) with bound, the k-th best product with the seeds, and need, the norm that others must reach."""
 
-    def bounded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [matrix(*s) for s in seeds]
         for b in batches:
-            bounds, most = [], []
-            for r in range(b.num_rows):
-                ids, q = matrix(b.column("ids")[r].as_py(), b.column("vectors")[r].as_py(), b.column("dim")[r].as_py())
+            for at in range(0, b.num_rows, QUERIES):
+                part = b.slice(at, QUERIES)
+                ids, q = part.column("vec_id").to_numpy(), filled([v.values.to_numpy() for v in part.column("v")])
                 bound = np.full(len(ids), -np.inf)
-                for s_ids, s_vectors, dim in seeds:
-                    c_ids, c = matrix(s_ids, s_vectors, dim)
+                for c_ids, c in known:
                     for row, _, found in searched(ids, q, bound.copy(), c_ids, c, k):
                         if len(found) == k:
                             bound[row] = found[-1]
-                norm = np.sqrt((q.astype(np.float64) ** 2).sum(1))
-                bounds.append(bound.tobytes())
-                # a bucket whose greatest norm is below this can't hold anything for any query of the block
-                most.append(float(np.min(np.where(bound > 0, (bound - 0.5) / np.maximum(norm, 1e-300), 0.0), initial=np.inf)))
-            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("dim"), b.column("ids"), b.column("vectors"), pa.array(bounds, pa.binary()), pa.array(most, pa.float64())], names=["q_block", "q_dim", "q_ids", "q_vectors", "bounds", "needs"])
+                need = least_needed(bound, part.column("norm").to_numpy())
+                cols = [*part.select(["vec_id", "v", "norm"]).columns, pa.array(bound), pa.array(need)]
+                yield pa.RecordBatch.from_arrays(cols, names=["vec_id", "v", "norm", "bound", "need"])
+
+    return asked.select("vec_id", "v", "norm").mapInArrow(run, "vec_id long, v array<long>, norm double, bound double, need double")
+
 
-    asked = staged(asked.mapInArrow(bounded, "q_block long, q_dim int, q_ids binary, q_vectors binary, bounds binary, needs double"), "asked")
+def top_k(vectors: DataFrame, query_step: int = 50, k: int = 5, scale: int = 256, bucket: int = BUCKET) -> DataFrame:
+    """query_id, rank, vec_id, score for every query (vec_id divisible by query_step)."""
+    rows = staged(quantised(vectors, scale), "quantised")
+    free = rows.withColumns({"bound": F.lit(float("-inf")), "need": F.lit(0.0)})
+    buckets = blocks(free, bucket, "norm")
+    seed = buckets.orderBy(F.desc("greatest"), "block").limit(1).collect()  # one bucket: BUCKET vectors, COMPONENTS components
+    seeds = [(r["ids"], r["vectors"], r["dim"]) for r in seed]
+    queries = staged(bounded(rows.filter(F.col("vec_id") % query_step == 0), seeds, k), "bounded")
+    asked = blocks(queries, QUERIES, "need")
+    asked = asked.select(F.col("block").alias("q_block"), F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), "bounds", "needs")
+    buckets = buckets.select("block", "dim", "greatest", "ids", "vectors")
     # which blocks meet: block numbers only, then each side's data by an equal key
     part = F.shiftright("block", 32).cast("int")
     last = buckets.agg(F.max(part)).first()[0]

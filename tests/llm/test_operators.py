@@ -473,6 +473,20 @@ def test_top_k(spark):
     same(topk.top_k(df.filter("vec_id in (0, 3, 5)"), 10).collect(), plain_top([r for r in rows if r[0] in (0, 3, 5)], 10, 5))
 
 
+def test_top_k_of_great_components_and_equal_norms(spark):
+    rows = [(0, [1e7, 0.0]), (1, [1.0, 0.0]), (2, [-1e7, 3e6]), (3, [2e6, 5e6]), (10, [1e6, -1e6]), (11, [9e6, 1.0]), (12, [0.25, 0.5])]
+    same(topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 10, 5, bucket=2).collect(), plain_top(rows, 10, 5))
+    huge = topk.top_k(spark.createDataFrame([(0, [1e30]), (1, [1e30]), (2, [-1e30])], "vec_id long, embedding array<double>"), 10, 5).collect()
+    assert [(r["vec_id"], r["score"]) for r in sorted(huge, key=lambda r: r["rank"])] == [(1, (1 << 63) - 1), (2, -(1 << 63))]
+    ones = [(i, [0.6, 0.8]) for i in range(500)]
+    df = spark.createDataFrame(ones, "vec_id long, embedding array<double>").repartition(4)
+    same(topk.top_k(df, 100, 5, bucket=32).collect(), plain_top(ones, 100, 5))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    parts = topk.blocks(topk.quantised(df).selectExpr("*", "0D bound", "0D need"), 32, "norm").selectExpr("shiftright(block, 32) p", "n").groupBy("p").sum("n").collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(parts) > 1 and max(r[1] for r in parts) < 400
+
+
 # 9 suffix-array dedup
 
 
