@@ -81,7 +81,9 @@ def media_class(path: Column) -> Column:
 
 def natural_key(name: Column) -> Column:
     """Sort key under which digits compare as numbers (O2)."""
-    part = lambda p: F.when(p.rlike("^[0-9]"), F.lpad(p, 20, "0")).otherwise(p)
+    plain = lambda p: F.regexp_replace(p, "^0+(?=.)", "")
+    # a number is its own length and then its digits, so runs of any length compare as numbers
+    part = lambda p: F.when(p.rlike("^[0-9]"), F.concat(F.lpad(F.length(plain(p)).cast("string"), 9, "0"), plain(p))).otherwise(p)
     return F.array_join(F.transform(F.regexp_extract_all(name, F.lit(r"([0-9]+|[^0-9]+)"), F.lit(1)), part), "")
 
 
@@ -122,7 +124,7 @@ def sex_code(c: Column) -> Column:
 
 
 def genotype(c: Column) -> Column:
-    """null where the reference would stop; callers turn that into a reject reason."""
+    """Fixed values of the cohort's sheets (F9): null where the reference would stop; callers turn that into a reject reason."""
     return F.when(c == "wt", "WT").when(c == "het", "Syngap1+/Delta-GAP")
 
 
@@ -132,7 +134,7 @@ def clean_label(c: Column) -> Column:
 
 
 def session_kind(session: Column) -> Column:
-    """F7."""
+    """The kinds of session, fixed values, in order of precedence."""
     return F.when(session.contains("LTM"), "LTM").when(session.contains("STM"), "STM").when(session.contains("Hab"), "Hab").when(session.contains("Test"), "Test").otherwise("other")
 
 

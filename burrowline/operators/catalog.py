@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from burrowline.operators.discover import first_match
 from burrowline.operators.guards import exactly_one
 
 
@@ -46,12 +47,13 @@ def cascade(tables: dict[str, DataFrame], links: list[tuple[str, str, dict[str,
     return out
 
 
-def insertable(new: DataFrame, existing: DataFrame, key: list[str], parent: DataFrame | None = None, parent_key: list[str] | None = None) -> DataFrame:
-    """New rows whose parent exists and whose key isn't there yet, one per key (J16, SK4, SK5)."""
+def insertable(new: DataFrame, existing: DataFrame, key: list[str], parent: DataFrame | None = None, parent_key: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
+    """New rows whose parent exists and whose key isn't there yet, one per key: the first by order, or any (J16, SK4)."""
     rows = new
     if parent is not None:
         rows = rows.join(parent.select(*(parent_key or key)), parent_key or key, "left_semi")
-    return rows.join(existing.select(*key), key, "left_anti").dropDuplicates(key)
+    fresh = rows.join(existing.select(*key), key, "left_anti")
+    return first_match(fresh, key, [F.col(c) for c in order]) if order else fresh.dropDuplicates(key)
 
 
 def events_to_insert(events: DataFrame, sessions: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:

@@ -32,8 +32,9 @@ def behaviours(projects: DataFrame) -> DataFrame:
 def media_rate(projects: DataFrame) -> DataFrame:
     """First frame rate of each observation, the resolution, and whether the media differ."""
     rates = F.map_values("o.media_info.fps")
-    obs = projects.select(F.explode("observations").alias("observation_id", "o"))
-    return obs.select("observation_id", F.try_element_at(rates, F.lit(1)).alias("fps"), F.try_divide(F.lit(1.0), F.try_element_at(rates, F.lit(1))).alias("resolution"), (F.size(F.array_distinct(rates)) > 1).alias("fps_differ"))
+    keep = [c for c in projects.columns if c not in ("observations", "behaviors_conf")]
+    obs = projects.select(*keep, F.explode("observations").alias("observation_id", "o"))
+    return obs.select(*keep, "observation_id", F.try_element_at(rates, F.lit(1)).alias("fps"), F.try_divide(F.lit(1.0), F.try_element_at(rates, F.lit(1))).alias("resolution"), (F.size(F.array_distinct(rates)) > 1).alias("fps_differ"))
 
 
 def numbered_marks(rows: DataFrame, key: list[str], order: list[str], time: str) -> DataFrame:
@@ -55,8 +56,10 @@ def unmatched_marks(rows: DataFrame, key: list[str], order: list[str], time: str
 
 
 def annotated_events(rows: DataFrame, kinds: DataFrame, key: list[str]) -> DataFrame:
-    """State bouts and point events (null duration) in one long table; labels of neither kind are left out."""
-    typed = rows.join(F.broadcast(kinds.select("label", "kind").distinct()), "label")
+    """State bouts and point events (null duration) in one long table; labels of neither kind are left out. kinds go by
+    label and by whatever else both sides share, such as the project's path."""
+    own = [c for c in kinds.columns if c in rows.columns]  # label, and the project that both are of
+    typed = rows.join(kinds.select(*own, "kind").distinct(), own)
     states = state_bouts(typed.filter("kind = 'state'"), [*key, "label"], ["ord"], "t_s")
     states = states.select(*key, "label", F.col("bout").alias("ord"), F.col("start").alias("start_s"), (F.col("stop") - F.col("start")).alias("duration_s"))
     points = typed.filter("kind = 'point'").withColumn("ord", F.row_number().over(Window.partitionBy(*key, "label").orderBy("ord")))

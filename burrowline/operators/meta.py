@@ -46,7 +46,7 @@ def pooled_cages(files: list[tuple[str, DataFrame]]) -> DataFrame:
             df = df.withColumnRenamed("Unique animal ID", "animal ID")
         if not {"animal ID", "cohort ID", "cage ID"} <= set(df.columns):
             continue
-        row = F.col("_row") if "_row" in df.columns else F.monotonically_increasing_id()
+        row = F.col("_row") if "_row" in df.columns else F.monotonically_increasing_id().cast("string")
         one = df.select(whole(F.col("`animal ID`")).alias("animal_id"), F.trim(F.col("`cohort ID`").cast("string")).alias("cohort_id"), whole(F.col("`cage ID`")).alias("cage_id"), F.lit(name).alias("_file"), row.alias("_row"))
         out = one if out is None else out.unionByName(one, allowMissingColumns=True)
     if out is None:
@@ -85,7 +85,7 @@ def task_people(subjects: DataFrame, tasks: list[str], key: list[str]) -> DataFr
 
 def with_session_type(sessions: DataFrame, types: DataFrame, key: str = "session_key") -> DataFrame:
     """Task metadata by session key; an unknown key gets a reason."""
-    out = sessions.join(F.broadcast(types.withColumn("_known", F.lit(True))), key, "left")
+    out = sessions.join(types.withColumn("_known", F.lit(True)), key, "left")
     return out.withColumn("reason", F.when(F.col("_known").isNull(), "unknown session type")).drop("_known")
 
 
@@ -99,8 +99,8 @@ def with_genotype(sessions: DataFrame, sheet: DataFrame) -> DataFrame:
 def devices_of(sessions: DataFrame, devices: DataFrame, rules: DataFrame) -> DataFrame:
     """Devices of a session by task, but for those that a rule (task, device, session_pattern) keeps to other sessions
     (F8; the stated intent, Q8). A device without a rule is always there."""
-    pairs = sessions.join(F.broadcast(devices), "task")
-    ruled = pairs.join(F.broadcast(rules.withColumnRenamed("device", "name")), ["task", "name"], "left")
+    pairs = sessions.join(devices, "task")
+    ruled = pairs.join(rules.withColumnRenamed("device", "name"), ["task", "name"], "left")
     return ruled.filter(F.col("session_pattern").isNull() | F.rlike("session", F.col("session_pattern"))).drop("session_pattern")
 
 

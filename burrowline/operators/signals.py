@@ -57,7 +57,7 @@ def silent_channels(summary: DataFrame) -> DataFrame:
 
 
 #: Names of the trigger lines.
-TTL_NAMES = ((1, "audio"), (2, "LED"))
+TTL_NAMES = ((1, "TTL_audio_trigger"), (2, "TTL_LED_trigger"))
 
 
 def named_channels(ttl: DataFrame) -> DataFrame:
@@ -124,7 +124,7 @@ def channel_map(sheet: DataFrame, key: list[str], channels: int = 16) -> DataFra
 
 def electrodes(channels: DataFrame, groups: DataFrame) -> DataFrame:
     """Channels with their electrode group; codes that share a group name share the group."""
-    return channels.join(F.broadcast(groups), "location_code", "left")
+    return channels.join(groups, "location_code", "left")
 
 
 def electrode_group_list(electrode_rows: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from burrowline.functions.scalar import day_and_clock, number, whole
 from burrowline.operators.align import relative_to_first, with_stop
 
+#: The order of a block's columns.
 QUADRANTS = ("NE", "NW", "SW", "SE")
 ZONES = ("NE", "NE_A", "SE", "SE_A", "SW", "SW_A", "NW", "NW_A")
 #: Header, column and type of the seven standard metrics.
@@ -74,38 +75,30 @@ def metrics_long(df: DataFrame, key: list[str], metrics: list[str], name: str =
     return df.unpivot(key, metrics, name, value)
 
 
-def threshold_column(df: DataFrame) -> str | None:
-    """The first column with a cell that holds 'Threshold' (R1): one aggregate over the sheet, one row to the driver."""
-    r = df.agg(*[F.max(F.coalesce(F.col(f"`{c}`").cast("string").contains("Threshold"), F.lit(False))).alias(f"x{i}") for i, c in enumerate(df.columns)]).first()
-    return next((c for i, c in enumerate(df.columns) if r[i]), None)
-
-
 def without_empty_columns(df: DataFrame) -> DataFrame:
     """SC7: one pass counts values per column, columns without any go."""
     r = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"x{i}") for i, c in enumerate(df.columns)]).first()
     return df.drop(*[c for i, c in enumerate(df.columns) if not r[i]])
 
 
-def freeze_trials(sheet: DataFrame, label: str = "% freeze", row_no: str = "row_no", key: list[str] | None = None) -> DataFrame:
-    """Freeze-score sheet to one row per animal row and bin (R1): row 0 has onsets, row 1 durations, row 2 the bout duration
-    beside the threshold column; bins lie left of it."""
+def freeze_trials(sheet: DataFrame, row_no: str = "row_no", key: list[str] | None = None) -> DataFrame:
+    """Freeze-score sheets to one row per animal row and bin (R1): row 0 has onsets, row 1 durations, row 2 the bout duration
+    beside the threshold column; bins lie left of it. Each key has its own threshold column, found in the one aggregate that
+    also takes up its first rows; a key without one has no bins."""
     key = key or []
     cells = [c for c in sheet.columns if c not in (row_no, *key)]
-    edge = threshold_column(sheet.select(*[F.col(f"`{c}`") for c in cells]))
-    if edge is None:
-        raise ValueError("no column with Threshold in it")
-    k = cells.index(edge)
-    bins, q = cells[1:k], lambda c: F.col(f"`{c}`")
-    place = F.create_map(*[x for i, c in enumerate(bins) for x in (F.lit(c), F.lit(i))])
-    get = lambda i: q(cells[i]) if i < len(cells) else F.lit(None).cast("string")
-    text = sheet.select(*key, row_no, q(cells[0]).alias("animal"), get(k).alias("threshold"), get(k + 1).alias("_bout"), get(k + 2).alias("protocol"), *[q(c).cast("string") for c in bins])
-    long = text.unpivot([*key, row_no, "animal", "threshold", "_bout", "protocol"], [f"`{c}`" for c in bins], "_bin", "_v").withColumn("bin", place[F.regexp_replace("_bin", "`", "")]).drop("_bin")
-    head = lambda n, name: long.filter(F.col(row_no) == n).select(*key, "bin", number(F.col("_v")).alias(name))
-    bout = text.filter(F.col(row_no) == 2).select(*key, number(F.col("_bout")).alias("bout_duration"))
-    rows = long.filter(F.col(row_no) >= 2).withColumn("freezing", number(F.col("_v"))).drop("_v", "_bout")
-    out = rows.join(head(0, "start_s"), [*key, "bin"]).join(head(1, "duration_s"), [*key, "bin"])
-    out = out.join(bout, key) if key else out.join(F.broadcast(bout))
-    return out.withColumn("stop_s", F.col("start_s") + F.col("duration_s"))
+    rows = sheet.select(*key, F.col(row_no).alias("row_no"), F.array(*[F.col(f"`{c}`").cast("string") for c in cells]).alias("c"))
+    edge = F.array_position(F.transform("c", lambda x: F.coalesce(x.contains("Threshold"), F.lit(False))), True)
+    line = lambda n: F.max(F.when(F.col("row_no") == n, F.col("c")))
+    head = rows.groupBy(*key) if key else rows.groupBy()
+    head = head.agg(F.min(F.when(edge > 0, edge)).cast("int").alias("edge"), line(0).alias("onset"), line(1).alias("lasts"), line(2).alias("third"))
+    body = rows.filter("row_no >= 2")
+    both = body.join(head, key) if key else body.join(F.broadcast(head))  # one row
+    at = lambda c, i: F.get(c, F.col("edge") - 1 + i)
+    bins = F.posexplode(F.slice("c", F.lit(2), F.greatest(F.coalesce("edge", F.lit(2)) - 2, F.lit(0))))
+    long = both.select(*key, F.col("row_no").alias(row_no), F.get("c", F.lit(0)).alias("animal"), at("c", 0).alias("threshold"), at("c", 2).alias("protocol"), at("third", 1).alias("bout"), "onset", "lasts", bins.alias("bin", "v"))
+    start, lasts = number(F.get("onset", F.col("bin") + 1)), number(F.get("lasts", F.col("bin") + 1))
+    return long.select(*key, row_no, "animal", "threshold", "protocol", "bin", number(F.col("v")).alias("freezing"), start.alias("start_s"), lasts.alias("duration_s"), number(F.col("bout")).alias("bout_duration"), (start + lasts).alias("stop_s"))
 
 
 def paired_by_position(left: DataFrame, right: DataFrame, key: list[str], left_order: list, right_order: list, how: str = "inner") -> DataFrame:

@@ -103,15 +103,18 @@ def phase_weighted_mean(spark, sf_dir):
     return analytics.phase_means(e, phases, ["user_id"], "value", "dur", "part_of_day").select("user_id", "phase", r4(F.col("mean")).alias("mean"))
 
 
-@query(f"""WITH b AS (SELECT user_id, bout, start / 3.6e9 - 473352.0 AS a, stop / 3.6e9 - 473352.0 AS z FROM {BOUTS} WHERE event_type = 'error'),
-r AS (SELECT *, CAST(round_even(a, 0) AS BIGINT) AS x, least(CAST(round_even(z, 0) AS BIGINT), 700) AS y FROM b),
+@query(f"""WITH x AS (SELECT user_id, min(us) AS u0, CAST(ceil((max(us) - min(us)) / 3.6e9) AS BIGINT) AS len FROM {EV} GROUP BY user_id),
+b AS (SELECT user_id, bout, len, (start - u0) / 3.6e9 AS a, (stop - u0) / 3.6e9 AS z FROM {BOUTS} JOIN x USING (user_id) WHERE event_type = 'error'),
+r AS (SELECT *, CAST(round_even(a, 0) AS BIGINT) AS x, least(CAST(round_even(z, 0) AS BIGINT), len) AS y FROM b),
 s AS (SELECT user_id, bout, unnest(generate_series(x, y - 1)) AS second FROM r WHERE y > x)
 SELECT user_id, second, count(*) AS n, CAST(0.5 AS DOUBLE) AS intensity FROM s GROUP BY ALL""")
 def second_raster(spark, sf_dir):
-    """One row per hour that a bout covers, below the session's length (the hour stands for the second)."""
-    b = bouts(spark, sf_dir).filter("event_type = 'error'")
-    b = b.select("user_id", "bout", (F.col("start") / 3.6e9 - 473352.0).alias("a"), (F.col("stop") / 3.6e9 - 473352.0).alias("z"), F.lit(50.0).alias("pct"))
-    out = analytics.raster(b, ["user_id"], "a", "z", F.lit(700), "pct")
+    """One row per hour that a bout covers, within the subject's own session (the hour stands for the second)."""
+    length = F.ceil((F.max("us") - F.min("us")) / 3.6e9).cast("long")
+    session = events(spark, sf_dir).groupBy("user_id").agg(F.min("us").alias("u0"), length.alias("len"))
+    b = bouts(spark, sf_dir).filter("event_type = 'error'").join(session, "user_id")
+    b = b.select("user_id", "bout", "len", ((F.col("start") - F.col("u0")) / 3.6e9).alias("a"), ((F.col("stop") - F.col("u0")) / 3.6e9).alias("z"), F.lit(50.0).alias("pct"))
+    out = analytics.raster(b, ["user_id"], "a", "z", F.col("len"), "pct")
     return out.groupBy("user_id", "second", "intensity").agg(F.count("*").alias("n")).select("user_id", "second", "n", "intensity")
 
 

@@ -34,15 +34,23 @@ def restrict_cascade(spark, sf_dir):
     return catalog.cascade(tables(spark, sf_dir), LINKS, "region", {"r_regionkey": 2})["orders"].select("o_orderkey", "o_custkey")
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 1 AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 2 = 0 AND o_orderstatus = 'P')")
+@query("""SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F' AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)
+AND (o_custkey, o_orderdate) NOT IN (SELECT (o_custkey, o_orderdate) FROM orders WHERE o_orderstatus = 'F') QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey) = 1""")
 def insert_new_only(spark, sf_dir):
-    """J16, SK4, SK5: parents must exist, keys must be new."""
+    """J16, SK4: of the open orders those whose customer exists and has no finished order of that day yet, one a day."""
     t = tables(spark, sf_dir)
-    new = t["orders"].filter("o_orderkey % 2 = 1")
     parents = t["customer"].filter("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"))
-    there = t["orders"].filter("o_orderkey % 2 = 0 AND o_orderstatus = 'P'")
-    having = catalog.events_to_insert(parents, new, there, ["o_custkey"])
-    return catalog.insertable(having, new.limit(0), ["o_orderkey"]).select("o_orderkey")
+    there = t["orders"].filter("o_orderstatus = 'F'")
+    out = catalog.insertable(t["orders"].filter("o_orderstatus <> 'F'"), there, ["o_custkey", "o_orderdate"], parents, ["o_custkey"], ["o_orderkey"])
+    return out.select("o_orderkey")
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '5-LOW')")
+def annotated_events_insert(spark, sf_dir):
+    """SK5: sessions that have events and aren't in the table yet."""
+    t = tables(spark, sf_dir)
+    of = lambda p: t["orders"].filter(F.col("o_orderpriority") == p).select(F.col("o_custkey").alias("c_custkey"))
+    return catalog.events_to_insert(of("1-URGENT"), t["customer"], of("5-LOW"), ["c_custkey"]).select("c_custkey")
 
 
 @query("SELECT o_orderkey, count(l_orderkey) AS n_items FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey = 4) GROUP BY o_orderkey")

@@ -32,7 +32,7 @@ def session_matrix_missing(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderstatus").alias("session"))
     sessions = discover.distinct_sessions(o, "session").withColumn("task", F.lit("task"))
     subjects = table(spark, sf_dir, "customer").select("c_custkey").withColumn("task", F.lit("task"))
-    return discover.missing(discover.session_matrix(subjects, F.broadcast(sessions), ["task"]), o, ["c_custkey", "session"]).select("c_custkey", "session")
+    return discover.missing(discover.session_matrix(subjects, sessions, ["task"]), o, ["c_custkey", "session"]).select("c_custkey", "session")
 
 
 @query("""WITH p AS (SELECT page_id, url, regexp_extract(url, 'example\\.([a-z]+)/', 1) AS dir FROM pages),
@@ -42,7 +42,7 @@ SELECT animal, dir, page_id, prio FROM m WHERE prio IS NOT NULL QUALIFY row_numb
 def file_match_fallback(spark, sf_dir):
     """Files by the animal's id, else by its cage; the first of the better kind."""
     p = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("name"), F.regexp_extract("url", r"example\.([a-z]+)/", 1).alias("dir"))
-    s = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("animal")).withColumn("task", F.lit("task")).join(F.broadcast(p.select("dir").distinct().withColumn("task", F.lit("task"))), "task")
+    s = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("animal")).withColumn("task", F.lit("task")).join(p.select("dir").distinct().withColumn("task", F.lit("task")), "task")
     a = F.col("animal").cast("string")
     hit = discover.match_names(s, p, ["dir"], ["animal", "dir"], [F.concat(F.lit("/"), a, F.lit("0")), F.concat(F.lit("page="), a)])
     return discover.first_match(hit, ["animal", "dir"], [F.col("prio"), F.col("name"), F.col("page_id")]).select("animal", "dir", "page_id", "prio")
@@ -57,15 +57,15 @@ def path_template_fields(spark, sf_dir):
     return p.select("page_id", F.regexp_extract(u, "://([^/]+)/", 1).alias("host"), F.regexp_extract(u, "://[^/]+/([a-z]+)/", 1).alias("lang"), scalar.file_name(u).alias("file"), scalar.suffix(u).alias("ext"))
 
 
-@query("""WITH n AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate + INTERVAL 37 SECOND, '%Y-%m-%d %H-%M-%S') || '_597L.ts' WHEN 1 THEN strftime(o_orderdate + INTERVAL 61 MINUTE, '%Y-%m-%d_%H-%M-%S') || '_471.mp4'
-  WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d') || '_302_compressed.mp4' ELSE 'trial2.avi' END AS name FROM orders)
+@query("""WITH n AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate + INTERVAL 37 SECOND, '%Y-%m-%d %H-%M-%S') || '_rat9.ts' WHEN 1 THEN strftime(o_orderdate + INTERVAL 61 MINUTE, '%Y-%m-%d_%H-%M-%S') || '_m12.mp4'
+  WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d') || '_m7_small.mp4' ELSE 'trial2.avi' END AS name FROM orders)
 SELECT o_orderkey, CAST(epoch(coalesce(try_strptime(nullif(regexp_extract(name, '([0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}-[0-9]{2}-[0-9]{2})[_ ]', 1), ''), '%Y-%m-%d %H-%M-%S'),
   try_strptime(nullif(regexp_extract(name, '([0-9]{4}-[0-9]{2}-[0-9]{2}_[0-9]{2}-[0-9]{2}-[0-9]{2})_', 1), ''), '%Y-%m-%d_%H-%M-%S'),
   try_strptime(nullif(regexp_extract(name, '([0-9]{4}-[0-9]{2}-[0-9]{2})[_ ]', 1), ''), '%Y-%m-%d'))) AS BIGINT) AS t, CASE WHEN name LIKE '%.ts' THEN 'convertible' ELSE 'supported' END AS media FROM n""")
 def filename_datetime(spark, sf_dir):
     """X1, X2, F5."""
     d, k = F.col("o_orderdate").cast("timestamp"), F.col("o_orderkey") % 4
-    name = F.when(k == 0, F.concat(F.date_format(d + F.expr("INTERVAL 37 SECOND"), "yyyy-MM-dd HH-mm-ss"), F.lit("_597L.ts"))).when(k == 1, F.concat(F.date_format(d + F.expr("INTERVAL 61 MINUTE"), "yyyy-MM-dd_HH-mm-ss"), F.lit("_471.mp4"))).when(k == 2, F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit("_302_compressed.mp4"))).otherwise("trial2.avi")
+    name = F.when(k == 0, F.concat(F.date_format(d + F.expr("INTERVAL 37 SECOND"), "yyyy-MM-dd HH-mm-ss"), F.lit("_rat9.ts"))).when(k == 1, F.concat(F.date_format(d + F.expr("INTERVAL 61 MINUTE"), "yyyy-MM-dd_HH-mm-ss"), F.lit("_m12.mp4"))).when(k == 2, F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit("_m7_small.mp4"))).otherwise("trial2.avi")
     o = table(spark, sf_dir, "orders").select("o_orderkey", name.alias("name"))
     return o.select("o_orderkey", F.unix_seconds(scalar.name_time(F.col("name"))).alias("t"), scalar.media_class(F.col("name")).alias("media"))
 

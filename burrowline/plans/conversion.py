@@ -18,7 +18,7 @@ def behavioural_sessions(subjects: DataFrame, sessions: DataFrame, files: DataFr
     subjects: animal_id, cohort_id, line, cage_id, tasks. sessions: task, ord, session. files: dir (line/cohort_task/session)
     and name. expected: the number of videos that a session must have, over the session's columns; null: any."""
     who = discover.did_task(subjects, task).withColumn("task", F.lit(task)).select("task", "animal_id", "cohort_id", "line", "cage_id")
-    wanted = discover.session_matrix(who, F.broadcast(sessions.filter(F.col("task") == task).select("task", "session")), ["task"])
+    wanted = discover.session_matrix(who, sessions.filter(F.col("task") == task).select("task", "session"), ["task"])
     wanted = wanted.withColumn("dir", discover.folder_of(F.col("line"), F.col("cohort_id"), F.col("task"), F.col("session")))
     media = discover.without_stimulus(files).filter(scalar.media_class(F.col("name")) != "unsupported").select("dir", "name")
     animal, cage = F.col("animal_id").cast("string"), F.concat(F.lit("cage"), F.col("cage_id").cast("string"))
@@ -48,14 +48,21 @@ def recording_tables(sheet: DataFrame, groups: DataFrame, sessions: DataFrame) -
     return e.join(good.select("subject_id").distinct(), "subject_id", "left_semi"), good, bad
 
 
-def aligned_recordings(ttl: DataFrame, cs_frames: DataFrame, frames: DataFrame, rate: float = 2000.0) -> DataFrame:
+def aligned_recordings(ttl: DataFrame, cs_frames: DataFrame, frames: DataFrame, videos: DataFrame | None = None, rate: float = 2000.0) -> DataFrame:
     """Clock offset per session (A2, J12, X12); sessions without a pulse or a shown frame are unaligned (Q1)."""
-    return align.clock_offset(align.first_onset(ttl, ["subject_id", "session_id"], 2, rate), cs_frames, frames, ["subject_id", "session_id"])
+    key = ["subject_id", "session_id"]
+    return align.clock_offset(align.first_onset(ttl, key, 2, rate), cs_frames, frames, key, videos)
 
 
-def enriched_events(projects: DataFrame, sheet: DataFrame, sheet_key: list[str]) -> DataFrame:
-    """Events of scoring projects with what is known of each object."""
-    long = events.annotated_events(events.marks(projects).filter(F.col("t_s").isNotNull()), events.behaviours(projects), ["observation_id"])
-    typed = long.withColumn("trial_type", F.when(F.lower("observation_id").contains("sample"), "sample").when(F.lower("observation_id").contains("test"), "test"))
+def enriched_events(projects: DataFrame, sheet: DataFrame, sheet_key: list[str], derived: dict[str, Column] | None = None) -> DataFrame:
+    """Events of scoring projects with what is known of each object (R7, W2, R5, J13). sheet_key: columns by which a row of
+    the sheet belongs to a session; those that the projects don't have are made of the observation's id (derived)."""
+    own = [c for c in projects.columns if c not in ("observations", "behaviors_conf")]
+    key = [*own, "observation_id"]
+    long = events.annotated_events(events.marks(projects).filter(F.col("t_s").isNotNull()), events.behaviours(projects), key)
+    made = {"test": scalar.session_kind(F.col("observation_id"))} | (derived or {})
+    named = long.withColumns({c: made[c] for c in sheet_key if c not in own})
+    o = F.lower("observation_id")
+    typed = named.withColumn("trial_type", F.when(o.contains("sample"), "sample").when(o.contains("test"), "test"))
     info = events.object_info(sheet, sheet_key)
-    return events.enrich(typed, info, ["trial_type", "label"], ["position", "novelty", "object"], ["ord"])
+    return events.enrich(typed, info, [*sheet_key, "trial_type", "label"], ["position", "novelty", "object"], ["ord"])

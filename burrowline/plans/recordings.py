@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from burrowline.functions.scalar import split_offset
 from burrowline.operators import align, signals
 from burrowline.plans.base import EV, events, query, r4, table
 
@@ -18,13 +18,14 @@ def ttl_step_intervals(spark, sf_dir):
     return signals.step_intervals(events(spark, sf_dir), LINE, "us", "state", ["event_id"])
 
 
-@query(f"""WITH u AS (SELECT DISTINCT user_id FROM events), h AS (SELECT user_id, unnest(generate_series(473352, 474047)) AS hour FROM u),
+@query(f"""WITH u AS (SELECT user_id, min(us) // 3600000000 AS a, max(us) // 3600000000 AS z FROM {EV} GROUP BY user_id), h AS (SELECT user_id, unnest(generate_series(a, z)) AS hour FROM u),
 e AS (SELECT user_id, us, max_by(state, event_id) AS state FROM {EV} GROUP BY ALL)
 SELECT h.user_id, h.hour, coalesce(e.state, 0) AS state FROM h ASOF LEFT JOIN e ON h.user_id = e.user_id AND h.hour * 3600000000 >= e.us""")
 def ttl_dense_hourly(spark, sf_dir):
-    """W1 at every hour of the recording."""
+    """W1 at every hour of each subject's recording, from its first to its last event."""
     e = events(spark, sf_dir)
-    hours = e.select("user_id").distinct().withColumn("hour", F.explode(F.sequence(F.lit(473352).cast("long"), F.lit(474047).cast("long"))))
+    hour = lambda c: F.floor(c / 3600000000)
+    hours = e.groupBy("user_id").agg(hour(F.min("us")).alias("a"), hour(F.max("us")).alias("z")).select("user_id", F.explode(F.sequence("a", "z")).alias("hour"))
     grid = hours.select("user_id", (F.col("hour") * 3600000000).alias("us"))
     out = signals.dense_steps(grid, e, ["user_id"], "us", "state", ["event_id"])
     return out.select("user_id", F.floor(F.col("us") / 3600000000).alias("hour"), "state")
@@ -60,15 +61,20 @@ def time_window_slice(spark, sf_dir):
     return signals.window_slice(events(spark, sf_dir), 1704844800.0, 1705060800.0, 1e6, 0.0, "us").select("event_id", "us")
 
 
-@query(f"""WITH o AS (SELECT user_id, min(us) FILTER (event_type = 'error') / 1e6 - min(us) FILTER (event_type = 'view') / 1e6 AS d FROM {EV} GROUP BY user_id)
+@query(f"""WITH n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) - 1 AS i FROM {EV}),
+c AS (SELECT user_id, min(i) AS i FROM n WHERE event_type = 'view' GROUP BY user_id), s AS (SELECT user_id, us / 1e6 AS frame_s FROM n JOIN c USING (user_id, i)),
+t AS (SELECT user_id, min(us) / 1e6 AS cs FROM {EV} WHERE event_type = 'error' GROUP BY user_id), o AS (SELECT user_id, cs - frame_s AS d FROM t LEFT JOIN s USING (user_id))
 SELECT user_id, round(d, 3) AS offset_s, round(CASE WHEN d IS NOT NULL THEN greatest(d, 0) END, 3) AS video_offset, round(CASE WHEN d IS NOT NULL THEN greatest(-d, 0) END, 3) AS recording_offset, d IS NOT NULL AS aligned FROM o""")
 def clock_offset_split(spark, sf_dir):
-    """First pulse against first shown frame; subjects without either aren't aligned."""
-    first = lambda kind: F.min(F.when(F.col("event_type") == kind, F.col("us"))) / 1e6
-    o = events(spark, sf_dir).groupBy("user_id").agg((first("error") - first("view")).alias("d"))
-    v, r = split_offset(F.col("d"))
-    there = F.col("d").isNotNull()
-    return o.select("user_id", F.round("d", 3).alias("offset_s"), F.when(there, F.round(v, 3)).alias("video_offset"), F.when(there, F.round(r, 3)).alias("recording_offset"), there.alias("aligned"))
+    """First pulse against the frame that the sheet names; subjects without that frame aren't aligned."""
+    e = events(spark, sf_dir)
+    line = e.select("user_id", F.when(F.col("event_type") == "error", 2).otherwise(1).alias("channel"), F.col("us").alias("sample"))
+    numbered = e.withColumn("frame_idx", F.row_number().over(Window.partitionBy("user_id").orderBy("us", "event_id")) - 1)
+    frames = numbered.select(F.concat(F.lit("v/"), F.col("user_id").cast("string")).alias("path"), "frame_idx", (F.col("us") / 1e6).alias("t_s"))
+    videos = e.select("user_id", F.concat(F.lit("v/"), F.col("user_id").cast("string")).alias("path")).distinct()
+    shown = numbered.filter("event_type = 'view'").groupBy("user_id").agg(F.min("frame_idx").alias("first_cs_frame"))
+    out = align.clock_offset(align.first_onset(line, ["user_id"], 2, 1e6), shown, frames, ["user_id"], videos)
+    return out.select("user_id", *[F.round(c, 3).alias(c) for c in ("offset_s", "video_offset", "recording_offset")], "aligned")
 
 
 @query(f"""SELECT user_id, round(min(us) / 1e6, 3) AS first_s, round(max(us) / 1e6, 3) AS last_start_s, round(max(us / 1e6 + value), 3) AS last_stop_s FROM {EV} GROUP BY user_id""")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from burrowline.functions.scalar import file_name, first_time, number, suffix, whole
@@ -17,6 +17,15 @@ def text_csv(spark: SparkSession, path: str, **options) -> DataFrame:
     return spark.read.options(header=True, inferSchema=False, ignoreLeadingWhiteSpace=False).options(**options).csv(path)
 
 
+def numbered_csv(spark: SparkSession, path: str, column: str = "row_no") -> DataFrame:
+    """Rows of CSV sheets with their place in their file, from 0. Splits of a file are put in the order of their bytes, which
+    the ids of partitions don't follow."""
+    rows = text_csv(spark, path)
+    at = F.row_number().over(Window.partitionBy("_path").orderBy("_block", "_id")) - 1
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
+    return placed.withColumn(column, at).drop("_path", "_block", "_id")
+
+
 def positional_csv(spark: SparkSession, path: str, width: int, sep: str = ",") -> DataFrame:
     """Cells as c0, c1, ..., with path and row_no (a line's place in its file). Headers of these sheets repeat and have blanks,
     so the first line is a row like any other (SC9). Each file is read as one line-numbered text, in one task per file."""
@@ -39,7 +48,7 @@ def pooled_cages(spark: SparkSession, folder: str, pattern: str = "*POOLED*") ->
     """SC3: all files that match, each with its own header."""
     listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
     paths = [r["path"] for r in listed.orderBy("path").collect()]  # names of a cohort's few sheets
-    return meta.pooled_cages([(p, text_csv(spark, p)) for p in paths])
+    return meta.pooled_cages([(p, numbered_csv(spark, p, "_row")) for p in paths])
 
 
 def files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
@@ -91,8 +100,7 @@ def swim_sheet(spark: SparkSession, path: str, width: int = 40) -> tuple[list[st
 
 def channel_sheet(spark: SparkSession, path: str) -> DataFrame:
     """SC10, with the row's place."""
-    rows = text_csv(spark, path)
-    return rows.withColumnRenamed("Folder", "subject_id").withColumn("row_no", F.monotonically_increasing_id()) if "row_no" not in rows.columns else rows
+    return numbered_csv(spark, path).withColumnRenamed("Folder", "subject_id")
 
 
 def cs_frames(spark: SparkSession, path: str) -> DataFrame:

@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from burrowline.operators.guards import split_rejects
 
 KEY = ["subject_id", "session_id"]
+LOG = "subject_id string, session_id string"
 
 
-def existing(spark, path: str) -> DataFrame | None:
+def existing(spark, path: str, schema: str | StructType) -> DataFrame | None:
+    """The rows under a path, by a given schema: keys like 007 stay text. None if nothing is there."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
@@ -25,18 +30,24 @@ def session_file(subject: str = "subject_id", session: str = "session_id"):
     return F.concat(F.lit("sub-"), F.col(subject), F.lit("_ses-"), F.col(session), F.lit(".nwb"))
 
 
+def finished(spark, path: str) -> DataFrame:
+    """Keys of the sessions whose writing was completed."""
+    log = existing(spark, f"{path.rstrip('/')}-finished", LOG)
+    return (spark.createDataFrame([], LOG) if log is None else log).select(*KEY).distinct()
+
+
 def write_sessions(df: DataFrame, path: str, overwrite: bool = False, sort: str | None = None) -> None:
     """Partition by session (SK1). overwrite replaces the partitions that df has; without it only sessions that aren't there
-    yet are added. Rows of a session come sorted by sort, so that slices prune by statistics."""
-    out = df
-    if not overwrite and (old := existing(df.sparkSession, path)) is not None:
-        out = df.join(old.select(*KEY).distinct(), KEY, "left_anti")
-    out = out.repartition(*KEY) if sort is None else out.repartitionByRange(*KEY, sort).sortWithinPartitions(*KEY, sort)
-    writer = out.write.partitionBy(*KEY)
-    if overwrite:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    else:
-        writer.mode("append").parquet(path)
+    yet are added. A session is there once the log beside the table says so: what a failed run has left half-written is
+    replaced by the next one. Rows of a session come sorted by sort, so that slices prune by statistics."""
+    spark = df.sparkSession
+    out = df if overwrite else df.join(finished(spark, path), KEY, "left_anti")
+    keys = out.select(*KEY).distinct()
+    rows = out.repartition(*KEY) if sort is None else out.repartitionByRange(*KEY, sort).sortWithinPartitions(*KEY, sort)
+    log = f"{path.rstrip('/')}-pending-{uuid.uuid4().hex}"
+    keys.write.parquet(log)  # named before the log of finished ones changes
+    rows.write.partitionBy(*KEY).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    spark.read.schema(LOG).parquet(log).write.mode("append").parquet(f"{path.rstrip('/')}-finished")
 
 
 def write_with_rejects(df: DataFrame, path: str, rejects_path: str, overwrite: bool = False) -> None:

@@ -121,8 +121,22 @@ def test_freeze_sheet(spark, tmp_path):
     assert "empty" not in df.columns
     out = trials.freeze_trials(df).filter("row_no > 2")
     assert rows(out, "animal", "bin", "freezing", "start_s", "stop_s", "threshold", "bout_duration", "protocol") == [("303_a", 0, 10.0, 0.0, 30.0, "1.1", 2.5, "p1"), ("303_a", 1, None, 60.0, 90.0, "1.1", 2.5, "p1"), ("40_b", 0, 20.0, 0.0, 30.0, "1.2", 2.5, "p2"), ("40_b", 1, 30.0, 60.0, 90.0, "1.2", 2.5, "p2")]
-    with pytest.raises(ValueError, match="Threshold"):
-        trials.freeze_trials(spark.createDataFrame([(0, "a", "b")], "row_no int, x string, y string"))
+    assert trials.freeze_trials(spark.createDataFrame([(0, "a", "b"), (2, "c", "1")], "row_no int, x string, y string")).count() == 0
+
+
+def test_each_freeze_sheet_has_its_own_threshold(spark):
+    cells = [("p", 0, "On", "0", "60", "Threshold", None), ("p", 1, "For", "30", "30", None, None), ("p", 2, None, None, None, None, "2.5"), ("p", 3, "m1", "10", "20", "1.1", None)]
+    cells += [("q", 0, "On", "0", "Threshold", None, None), ("q", 1, "For", "5", None, None, None), ("q", 2, None, None, None, "4", None), ("q", 3, "m2", "70", "9", None, "p2")]
+    df = spark.createDataFrame(cells, "path string, row_no int, a string, b string, c string, d string, e string")
+    out = trials.freeze_trials(df, key=["path"]).filter("row_no > 2")
+    assert rows(out, "path", "animal", "bin", "freezing", "start_s", "stop_s", "threshold", "bout_duration") == [("p", "m1", 0, 10.0, 0.0, 30.0, "1.1", 2.5), ("p", "m1", 1, 20.0, 60.0, 90.0, "1.1", 2.5), ("q", "m2", 0, 70.0, 0.0, 5.0, "9", 4.0)]
+
+
+def test_a_label_is_a_state_in_one_project_and_a_point_in_another(spark):
+    marks = spark.createDataFrame([("A", "o", 0, 1.0, "x"), ("A", "o", 1, 2.0, "x"), ("B", "o", 0, 10.0, "x"), ("B", "o", 1, 20.0, "x")], "path string, observation_id string, ord int, t_s double, label string")
+    kinds = spark.createDataFrame([("A", "x", "state", ""), ("B", "x", "point", "")], "path string, label string, kind string, description string")
+    out = events.annotated_events(marks, kinds, ["path", "observation_id"])
+    assert rows(out, "path", "start_s", "duration_s") == [("A", 1.0, 1.0), ("B", 10.0, None), ("B", 20.0, None)]
 
 
 def test_freeze_log_reads_two_formats(spark, tmp_path):

@@ -56,6 +56,8 @@ def test_text_functions(spark):
 
 def test_natural_order(spark):
     df = spark.createDataFrame([(n,) for n in ("trial10.avi", "trial2.avi", "trial2b.avi", "a1")], "n string")
+    long = ["v" + "9" * 20 + "1", "v" + "9" * 20 + "2", "v" + "9" * 21 + "1", "v3"]
+    assert spark.createDataFrame([(x,) for x in long], "n string").select(scalar.natural_key(F.col("n"))).distinct().count() == 4
     assert [r["n"] for r in df.orderBy(scalar.natural_key(F.col("n"))).collect()] == ["a1", "trial2.avi", "trial2b.avi", "trial10.avi"]
 
 
@@ -191,6 +193,16 @@ def test_lfp_series(spark):
     assert rows(catalog.lfp_series(e, s, m, ["file"]), "electrode_ids", "v", "rate") == [([0, 2], [1.0, 3.0], 2000.0)]
 
 
+def test_numbers_as_session_keys_stay_text_and_half_written_sessions_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "s")
+    one = lambda subject, i: spark.createDataFrame([(subject, "r1", "lfp", i, [1.0])], schemas.SIGNALS)
+    writers.write_sessions(one("007", 0), path)
+    writers.write_sessions(one("7", 1), path)
+    one("8", 5).write.partitionBy(*writers.KEY).mode("append").parquet(path)  # as a run that failed before it was finished
+    writers.write_sessions(one("8", 2).unionByName(one("7", 9)), path)
+    assert rows(writers.existing(spark, path, schemas.SIGNALS), "subject_id", "sample_idx") == [("007", 0), ("7", 1), ("8", 2)]
+
+
 def test_sessions_are_written_once_and_read_by_key(spark, tmp_path):
     path = str(tmp_path / "signals")
     df = spark.createDataFrame([("s", "r1", "lfp", i, [float(i)]) for i in range(20)] + [("s", "r2", "lfp", 0, [1.0])], schemas.SIGNALS)

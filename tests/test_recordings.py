@@ -33,7 +33,7 @@ def test_dense_line_is_zero_before_the_first_change(ttl):
 
 def test_falling_edges_report_both_sides(ttl):
     assert rows(signals.falling_edges_in_samples(ttl, KEY), "channel", "last_high_sample", "first_low_sample") == [(2, 7, 8)]
-    assert rows(signals.named_channels(ttl).select("channel", "channel_name").distinct(), "channel", "channel_name") == [(1, "audio"), (2, "LED")]
+    assert rows(signals.named_channels(ttl).select("channel", "channel_name").distinct(), "channel", "channel_name") == [(1, "TTL_audio_trigger"), (2, "TTL_LED_trigger")]
 
 
 @pytest.fixture(scope="module")
@@ -87,6 +87,21 @@ def test_stimulus_locked_is_closed_on_both_ends(series, spark):
     assert sorted((r["edge"], r["lag"]) for r in out.collect()) == [(e, lag) for e in (10, 12) for lag in range(-2, 4)]
 
 
+def test_clock_offset_of_sessions_with_several_videos(spark):
+    key = ["subject_id", "session_id"]
+    onset = spark.createDataFrame([("s", "r1", 5.0), ("s", "r2", 7.0)], "subject_id string, session_id string, first_cs_s double")
+    videos = spark.createDataFrame([("s", "r1", "a"), ("s", "r2", "b"), ("s", "r2", "c")], "subject_id string, session_id string, path string")
+    frames = spark.createDataFrame([("a", 3, 1.0), ("b", 3, 9.0), ("c", 3, 2.0)], "path string, frame_idx int, t_s double")
+    out = align.clock_offset(onset, spark.createDataFrame([("s", 3)], "subject_id string, first_cs_frame int"), frames, key, videos)
+    assert rows(out, "session_id", "offset_s") == [("r1", 4.0), ("r2", -2.0)]
+
+
+def test_epoch_tags_beyond_ninety_nine(spark):
+    f = spark.createDataFrame([("k", i, float(i)) for i in range(101)], "k string, path int, t_s double")
+    tags = [r["tags"][0] for r in align.epochs(f, ["k", "path"]).orderBy("path").collect()]
+    assert tags[0] == "01" and tags[-1] == "101" and len(set(tags)) == 101
+
+
 def test_clocks(ttl, spark):
     onset = align.first_onset(ttl, ["subject_id"], 2, 2.0)
     assert rows(onset, "first_cs_s") == [(1.5,)]
