@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from burrowline.plans import behaviour, catalogue, cohort, recordings
+from burrowline.plans import behaviour, catalogue, cohort, matching, recordings, sheets
 from burrowline.plans.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "behaviour", "catalogue", "cohort", "recordings"]
+__all__ = ["ORACLES", "QUERIES", "behaviour", "catalogue", "cohort", "matching", "recordings", "sheets"]
