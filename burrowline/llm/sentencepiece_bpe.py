@@ -7,9 +7,8 @@ space mark after anything else, and of letters beside ASCII marks or line ends,
 each part alone, and the outcomes of the first KEPT_PARTS parts are kept for the life of the Python worker. For other
 vocabularies it runs on whole texts.
 
-The outcome is checked against the sentencepiece library in Arrow batches: what a batch adds (each new part, or each whole
-text where parts don't serve) is encoded and decoded by both. The column ``agrees`` says whether all that a text is made
-of came out the same. The ids returned are those of the agenda.
+The outcome is checked against the sentencepiece library in Arrow batches: every whole text is encoded and decoded by both.
+``agrees`` says whether ids and decoded text came out the same; where they don't, the library's are returned.
 
 Models with a normalisation table, unigram models and models with user-defined pieces are refused with a ValueError.
 
@@ -80,7 +79,7 @@ class Agenda:
         self.table: dict[str, bytes] = {}
         self.seen = self.missed = 0
         self.odd: dict[str, bytes] = {}  # parts that don't decode to themselves
-        self.differ: set[str] = set()
+        self.digits = [str(k) for k in range(len(model.pieces))]
 
     def merge(self, text: str) -> list[int]:
         """Ids of one part by the agenda. An entry is the rank of a piece and the place of its left symbol, in one number."""
@@ -120,8 +119,8 @@ class Agenda:
         text = self.prefix + text.replace(" ", SPACE)
         return PARTS.findall(text) if self.by_part else [text]
 
-    def learn(self, texts: list[list[str]], check: bool) -> dict[str, bytes]:
-        """Encode what of these parts the table doesn't hold, and check it; returns what the table doesn't take."""
+    def learn(self, texts: list[list[str]]) -> dict[str, bytes]:
+        """Encode what of these parts the table doesn't hold; returns what the table doesn't take."""
         table, rest = self.table, {}
         new = {p for parts in texts for p in parts if p not in table}
         self.seen, self.missed = self.seen + sum(map(len, texts)), self.missed + len(new)
@@ -130,27 +129,41 @@ class Agenda:
             if self.missed > 0.2 * self.seen:
                 table.clear()
                 self.odd.clear()
-                self.differ.clear()
                 new = {p for parts in texts for p in parts}
             self.seen = self.missed = 0
-        tried = []
         for p in new:
             ids = self.merge(p)
             whole = b"".join([self.surface[i] for i in ids])
             (table if len(p) <= KEPT_CHARS and len(table) < KEPT_PARTS else rest)[p] = ",".join(map(str, ids)).encode()
             if whole != p.replace(SPACE, " ").encode():
                 self.odd[p] = whole
-            if check and p != self.prefix:  # the prefix alone is no text's encoding
-                tried.append((p, ids, whole))
-        if tried:
-            # a part without the prefix is given to the library after a character from which it is always cut off
-            before = ["" if p.startswith(self.prefix) else "a" if kind(p[0]) else "," for p, _, _ in tried]
-            lead = {c: self.merge(self.prefix + c) if c else [] for c in set(before)}
-            theirs = self.library.encode([c + (p if c else p[len(self.prefix) :]).replace(SPACE, " ") for c, (p, _, _) in zip(before, tried, strict=True)], num_threads=1)
-            decoded = self.library.decode(theirs, num_threads=1)
-            self.differ.update(p for c, (p, ids, whole), t, d in zip(before, tried, theirs, decoded, strict=True) if lead[c] + ids != t or (c + whole.decode("utf-8", "replace") if c else self.plain(whole)) != d)
         return rest
 
+    def of_texts(self, texts: list[str]) -> list[tuple[bytes, str]]:
+        """Comma-joined ids and decoded text of each, by the agenda alone."""
+        split = [self.parts(t) for t in texts]
+        rest = self.learn(split)
+        table, odd, out = self.table, self.odd, []
+        for parts in split:
+            try:
+                ids = b",".join([table[p] for p in parts])
+            except KeyError:
+                ids = b",".join([table[p] if p in table else rest[p] for p in parts])
+            if odd and not odd.keys().isdisjoint(parts):
+                decoded = self.plain(b"".join([odd[p] if p in odd else p.replace(SPACE, " ").encode() for p in parts]))
+            else:  # every part decodes to itself
+                decoded = "".join(parts).replace(SPACE, " ")[len(self.prefix) :]
+            out.append((ids, decoded))
+        for p in rest:
+            odd.pop(p, None)
+        return out
+
+    def by_library(self, texts: list[str]) -> list[tuple[bytes, str]]:
+        """The same by the library."""
+        ids = self.library.encode(texts, num_threads=1)
+        digits = self.digits
+        return [(",".join([digits[i] for i in x]).encode(), d) for x, d in zip(ids, self.library.decode(ids, num_threads=1), strict=True)]
+
     def plain(self, whole: bytes) -> str:
         """Decoded bytes as text, without the space that the prefix stands for."""
         return (whole[1:] if self.prefix and whole[:1] == b" " else whole).decode("utf-8", "replace")
@@ -185,30 +198,19 @@ def _run(docs: DataFrame, model: str, check: bool, digests: bool) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                texts = [agenda.parts(t.as_py()) for t in part.column(1)]
-                rest = agenda.learn(texts, check)
-                table, odd, differ = agenda.table, agenda.odd, agenda.differ
-                out: tuple[list, ...] = ([], [], [])
-                agrees = [None if not check else not differ or differ.isdisjoint(parts) for parts in texts]
-                for parts in texts:
-                    try:
-                        ids = b",".join([table[p] for p in parts])
-                    except KeyError:
-                        ids = b",".join([table[p] if p in table else rest[p] for p in parts])
-                    if odd and not odd.keys().isdisjoint(parts):
-                        decoded = agenda.plain(b"".join([odd[p] if p in odd else p.replace(SPACE, " ").encode() for p in parts]))
-                    else:  # every part decodes to itself
-                        decoded = "".join(parts).replace(SPACE, " ")[len(agenda.prefix) :]
-                    row = (ids.count(b",") + bool(ids), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()) if digests else ([int(x) for x in ids.split(b",") if x], decoded, None)
-                    for o, v in zip(out, row, strict=True):
-                        o.append(v)
+                texts = part.column(1).to_pylist()
+                found = agenda.of_texts(texts)
+                agrees: list[bool | None] = [None] * len(texts)
+                if check:
+                    theirs = agenda.by_library(texts)
+                    agrees, found = [x == y for x, y in zip(found, theirs, strict=True)], theirs
+                n = pa.array([ids.count(b",") + bool(ids) for ids, _ in found], pa.int64())
                 if digests:
-                    cols, names = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"]
+                    sha = lambda raws: pa.array([hashlib.sha256(x).hexdigest() for x in raws], pa.string())
+                    cols, names = [n, sha(ids for ids, _ in found), sha(d.encode() for _, d in found)], ["n_tokens", "ids_sha256", "decoded_sha256"]
                 else:
-                    cols, names = [pa.array(out[0], pa.list_(pa.int32())), pa.array(out[1], pa.string())], ["ids", "decoded"]
-                for p in rest:
-                    odd.pop(p, None)
-                    differ.discard(p)
+                    ids = pa.array([[int(x) for x in ids.split(b",") if x] for ids, _ in found], pa.list_(pa.int32()))
+                    cols, names = [ids, pa.array([d for _, d in found], pa.string())], ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays([part.column(0), *cols, pa.array(agrees, pa.bool_())], names=["doc_id", *names, "agrees"])
 
     ready(docs.sparkSession)
