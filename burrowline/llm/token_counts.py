@@ -4,6 +4,9 @@ Counts are stored as Parquet rows (content, tokenizer, n_tokens). Documents are
 normalised content; of the contents without a stored count each distinct one is encoded once, and its count is appended
 to the cache. Normalising must not change a count, so it only turns null into the empty text.
 
+A table can be counted in several shares, one after another: what the first share stored is a hit for the next, as a crawl
+that repeats what an earlier one held. The cache is read by content, so a count that two writers appended is one.
+
 Copies are dropped twice before anything is encoded: within each task as it reads (so a text that a third of the rows
 hold moves once per task at most), and where equal digests meet. Texts move compressed. A task that is run again writes
 the same rows, and the cache is only read after its write has been committed.
@@ -51,14 +54,15 @@ def counter(path: str):
         else:
             from burrowline.llm.word_ids import opened
 
-            _OPEN[path] = lambda texts: [len(t) // 4 for t in opened(path).many(texts)]
+            _OPEN[path] = lambda texts: opened(path).batch(pa.array(texts, pa.string()))[1].tolist()
     return _OPEN[path]
 
 
 def stored(spark: SparkSession, cache: str, tokenizer: str) -> DataFrame | None:
     """The cached counts of this tokenizer version; None if nothing has been stored yet."""
     try:
-        return spark.read.schema(CACHE).parquet(cache).filter(F.col("tokenizer") == tokenizer).select("content", "n_tokens")
+        rows = spark.read.schema(CACHE).parquet(cache).filter(F.col("tokenizer") == tokenizer)
+        return rows.groupBy("content").agg(F.min("n_tokens").alias("n_tokens"))
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -84,14 +88,14 @@ def add_missing(docs: DataFrame, tokenizer: str, cache: str) -> None:
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(texts, pa.binary())], names=["content", "text"])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run, seen = counter(tokenizer), set()
+        run, last = counter(tokenizer), None  # rows come sorted by content
         for b in batches:
             for at in range(0, b.num_rows, 128):
                 part = b.slice(at, 128)
                 texts = {}
                 for k, z in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    if k not in seen:
-                        seen.add(k)
+                    if k != last:
+                        last = k
                         texts[k] = pa.decompress(z[8:], int.from_bytes(z[:8], "little"), "zstd", asbytes=True).decode()
                 yield pa.RecordBatch.from_arrays([pa.array(list(texts), pa.binary()), pa.array(run(list(texts.values())), pa.int64())], names=["content", "n_tokens"])
 
@@ -102,14 +106,18 @@ def add_missing(docs: DataFrame, tokenizer: str, cache: str) -> None:
     known = stored(spark, cache, v)
     if known is not None:
         texts = texts.join(known, "content", "left_anti")
-    counted = texts.repartition("content").mapInArrow(count, "content binary, n_tokens long")
+    counted = texts.repartition("content").sortWithinPartitions("content").mapInArrow(count, "content binary, n_tokens long")
     counted.select("content", F.lit(v).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
 
 
-def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limit: int = 4096) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit. Without a cache folder a new one is begun."""
+def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limit: int = 4096, shares: int = 1) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit. Without a cache folder a new one is begun. shares: into how many parts the
+    table is dealt by its ids; each of them joins what those before it have stored."""
     spark = docs.sparkSession
     cache = cache or fresh_path(spark, "token-counts")
-    keyed = staged(docs.select(F.col("doc_id").cast("long"), F.octet_length(text_of()).cast("long").alias("n_bytes"), F.unhex(F.sha2(text_of(), 256)).alias("content")), "digests")
-    add_missing(docs, tokenizer, cache)
-    return keyed.join(stored(spark, cache, version(tokenizer)), "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    own = [F.col("doc_id").cast("long"), F.octet_length(text_of()).cast("long").alias("n_bytes"), F.unhex(F.sha2(text_of(), 256)).alias("content")]
+    keyed = staged(docs.select(*own), "digests")
+    for k in range(shares):
+        add_missing(docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(shares)) == k) if shares > 1 else docs, tokenizer, cache)
+    known = stored(spark, cache, version(tokenizer))
+    return keyed.join(known, "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
