@@ -4,12 +4,15 @@ Three kinds come from their patterns alone (assign, access, hex). A fourth, rand
 token of 20 or more encoding characters is a candidate. Its encoding (hex, base32, lower-case base36, base62, base64) is
 inferred from the characters that it uses, and a battery of tests looks at its symbols:
   chi-squared uniformity over the encoding's alphabet, a runs test (upper or lower half of the alphabet), and a lag-1
-  serial correlation, each as a z score under "independent uniform symbols".
-A token that any of them rejects isn't random and goes. For the rest, the sum of squared symbol counts (what chi-squared
-measures) is held against its distribution under ordinary text, with letter frequencies of English. Its p-value says how
-likely text of that length is so even. Longer tokens give stronger evidence, so false discoveries are controlled by
-Benjamini-Hochberg within strata of length. P-values are counted in bins of an eighth of a decade and a bin counts with
-its largest p, so the thresholds come from at most 4 x 401 counts, however many tokens there are.
+  serial correlation.
+Each test speaks twice. Under "independent uniform symbols" its three p-values are combined by Fisher's method: doubt, how
+unlike a random token it is. Under "ordinary text" (independent letters with English frequencies, or decimal digits) the
+same three statistics have their own mean and spread; their z scores are averaged with weights for how far randomness
+shifts each of them (a weighted mean of z scores is no wider than one, however the tests depend on each other): evidence,
+how unlike text it is. A token is found if its evidence is discovered and its doubt is not. Longer tokens give stronger
+evidence, so both false-discovery rates are controlled by Benjamini-Hochberg within strata of length. P-values are counted
+in bins of an eighth of a decade and a bin counts with its largest p, so the thresholds come from at most 2 x 4 x 401
+counts, however many tokens there are.
 
 Positions of matches are sums of the lengths of what a split by the pattern leaves and of the matches themselves, taken
 in chunks so that a text with very many matches stays linear but for the chunks' own sums.
@@ -36,17 +39,57 @@ PATTERNS = (
     ("hex", "[0-9a-f]{16,}", None),
     ("random", "[A-Za-z0-9+/=_-]{20,}", None),
 )
-#: Encoding, what tokens of it look like, alphabet, and the sums of squared and cubed symbol frequencies of ordinary text in
-#: it (digits: uniform over ten; letters: English).
+#: Encoding, what tokens of it look like, alphabet, and what ordinary text in it is made of.
 ENCODINGS = (
-    ("hex", "^([0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef", 0.1, 0.01),
-    ("base32", "^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 0.0655, 0.0054),
-    ("base36", "^[a-z0-9]+$", "0123456789abcdefghijklmnopqrstuvwxyz", 0.0655, 0.0054),
-    ("base62", "^[A-Za-z0-9]+$", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 0.0655, 0.0054),
-    ("base64", "", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 0.0655, 0.0054),
+    ("hex", "^([0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef", "digits"),
+    ("base32", "^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "capitals"),
+    ("base36", "^[a-z0-9]+$", "0123456789abcdefghijklmnopqrstuvwxyz", "letters"),
+    ("base62", "^[A-Za-z0-9]+$", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "mixed"),
+    ("base64", "", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "mixed"),
 )
+#: Frequencies of the letters A to Z in English, per cent.
+ENGLISH = (8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4, 6.7, 7.5, 1.9, 0.095, 6.0, 6.3, 9.1, 2.8, 0.98, 2.4, 0.15, 2.0, 0.074)
+#: Share of capitals in mixed text; length at which the weights of the tests are taken.
+CAPITALS, TYPICAL = 0.05, 40
+
+
+def text_model(alphabet: str, kind: str) -> dict[str, float]:
+    """Ordinary text in an alphabet: sums of squared and cubed frequencies, the chance of the upper half, mean place (from the
+    middle) and spread, and the weights of the three tests."""
+    letters = [chr(ord("a") + i) for i in range(26)]
+    share = {c: f / sum(ENGLISH) for c, f in zip(letters, ENGLISH, strict=True)}
+    if kind == "digits":
+        q = dict.fromkeys("0123456789", 0.1)
+    elif kind == "mixed":
+        q = {c: f * (1 - CAPITALS) for c, f in share.items()} | {c.upper(): f * CAPITALS for c, f in share.items()}
+    else:
+        q = {c.upper() if kind == "capitals" else c: f for c, f in share.items()}
+    k, middle = len(alphabet), (len(alphabet) - 1) / 2
+    at = [(alphabet.index(c) - middle, f) for c, f in q.items()]
+    a = sum(d * f for d, f in at)
+    m = {"q2": sum(f**2 for _, f in at), "q3": sum(f**3 for _, f in at), "u": sum(f for d, f in at if d > 0), "a": a, "s2": sum((d - a) ** 2 * f for d, f in at)}
+    means, spreads = under_text(TYPICAL, m)
+    n = TYPICAL
+    uniform = (n + n * (n - 1) / k, (n - 1) / 2, 0.0)
+    shift = [((x - y) / w**0.5) ** 2 for x, y, w in zip(means, uniform, spreads, strict=True)]
+    return m | {f"w{i}": x / sum(shift) for i, x in enumerate(shift)}
+
+
+def under_text(n, m) -> tuple[tuple, tuple]:
+    """Mean and variance of the sum of squared counts, the changes of half and the lagged products in n symbols of text; of
+    numbers or of columns."""
+    q2, q3, u, a, s2 = (m[x] for x in ("q2", "q3", "u", "a", "s2"))
+    change = 2 * u * (1 - u)
+    return (n + n * (n - 1) * q2, (n - 1) * change, (n - 1) * a * a), (
+        2 * n * (n - 1) * (q2 - q2 * q2) + 4 * n * (n - 1) * (n - 2) * (q3 - q2 * q2),
+        (n - 1) * change * (1 - change) + 2 * (n - 2) * (u * (1 - u) - change * change),
+        (n - 1) * (2 * a * a * s2 + s2 * s2) + 2 * (n - 2) * a * a * s2,
+    )
+
+
+MODELS = [text_model(alphabet, kind) for _, _, alphabet, kind in ENCODINGS]
 STRATA = (32, 48, 80)
-CHUNK, BINS, GATE = 256, 400, 3.3
+CHUNK, BINS, LN10 = 256, 400, 2.302585092994046
 
 
 def tail(z: Column) -> Column:
@@ -58,20 +101,20 @@ def tail(z: Column) -> Column:
 
 
 def battery(token: Column) -> Column:
-    """encoding, n, z_chi, z_runs, z_serial, evidence: -log10 p of so even a token under ordinary text."""
+    """encoding, n, z_chi, z_runs, z_serial (under randomness), doubt and evidence: -log10 p under randomness and under text."""
     body = F.rtrim(F.translate(token, "-_", "+/"), F.lit("="))
     chosen = F.lit(len(ENCODINGS) - 1)
-    for i, (_, pattern, _, _, _) in reversed(list(enumerate(ENCODINGS[:-1]))):
+    for i, (_, pattern, _, _) in reversed(list(enumerate(ENCODINGS[:-1]))):
         chosen = F.when(body.rlike(pattern), i).otherwise(chosen)
     of = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), chosen + 1)
     made = F.struct(
         F.when(chosen == 0, F.lower(body)).otherwise(body).alias("body"), of([e[0] for e in ENCODINGS]).alias("encoding"), of([e[2] for e in ENCODINGS]).alias("alphabet"),
-        of([float(len(e[2])) for e in ENCODINGS]).alias("k"), of([e[3] for e in ENCODINGS]).alias("q2"), of([e[4] for e in ENCODINGS]).alias("q3"),
+        of([float(len(e[2])) for e in ENCODINGS]).alias("k"), F.struct(*[of([m[x] for m in MODELS]).alias(x) for x in MODELS[0]]).alias("m"),
     )
 
     def counted(s: Column) -> Column:
         places = F.filter(F.transform(F.split(s["body"], ""), lambda c: F.when(c == "", -1).otherwise(F.instr(s["alphabet"], c) - 1)), lambda p: p >= 0)
-        return F.struct(s["encoding"].alias("encoding"), s["k"].alias("k"), s["q2"].alias("q2"), s["q3"].alias("q3"), places.alias("x"))
+        return F.struct(s["encoding"].alias("encoding"), s["k"].alias("k"), s["m"].alias("m"), places.alias("x"))
 
     def summed(s: Column) -> Column:
         x, k = s["x"], s["k"]
@@ -81,19 +124,24 @@ def battery(token: Column) -> Column:
         steps = F.zip_with(F.slice(x, F.lit(1), F.greatest(F.size(x) - 1, F.lit(0))), F.slice(x, F.lit(2), F.greatest(F.size(x) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
         changes = F.size(F.filter(steps, lambda p: (2 * p["a"] >= k) != (2 * p["b"] >= k))).cast("double")
         product = F.aggregate(steps, F.lit(0.0), lambda a, p: a + (p["a"] - (k - 1) / 2) * (p["b"] - (k - 1) / 2))
-        return F.struct(s["encoding"].alias("encoding"), k.alias("k"), s["q2"].alias("q2"), s["q3"].alias("q3"), n.alias("n"), squares.alias("squares"), upper.alias("upper"), changes.alias("changes"), product.alias("product"))
+        return F.struct(s["encoding"].alias("encoding"), k.alias("k"), s["m"].alias("m"), n.alias("n"), squares.alias("squares"), upper.alias("upper"), changes.alias("changes"), product.alias("product"))
 
     def scored(s: Column) -> Column:
-        n, k, q2, q3 = s["n"], s["k"], s["q2"], s["q3"]
+        n, k, m = s["n"], s["k"], s["m"]
         chi = (k * s["squares"] / n - n - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
         mean = 1 + 2 * s["upper"] * (n - s["upper"]) / n
         runs = F.when(mean > 2, (s["changes"] + 1 - mean) / F.sqrt((mean - 1) * (mean - 2) / (n - 1))).otherwise(F.lit(99.0))
         serial = s["product"] / (n - 1) / ((k * k - 1) / 12) * F.sqrt(n - 1)
-        spread = 2 * n * (n - 1) * (q2 - q2 * q2) + 4 * n * (n - 1) * (n - 2) * (q3 - q2 * q2)
-        z = (s["squares"] - n - n * (n - 1) * q2) / F.sqrt(spread)
+        both_sides = lambda z: F.greatest(tail(-F.abs(z)) - 0.30103, F.lit(0.0))
+        y = LN10 * (tail(-chi) + both_sides(runs) + both_sides(serial))
+        doubt = y / LN10 - F.log10(1 + y + y * y / 2)  # Fisher: the upper tail of chi-squared with six degrees of freedom
+        means, spreads = under_text(n, m)
+        signs = (1, -1, 1)  # randomness evens counts out, changes halves more often, and leaves no lagged product
+        z = sum(m[f"w{i}"] * sign * (s[x] - mean) / F.sqrt(var) for i, (x, sign, mean, var) in enumerate(zip(("squares", "changes", "product"), signs, means, spreads, strict=True)))
         ok = n >= 16
         none = F.lit(None).cast("double")
-        return F.struct(s["encoding"].alias("encoding"), n.cast("int").alias("n"), *[F.when(ok, v).otherwise(none).alias(name) for name, v in (("z_chi", chi), ("z_runs", runs), ("z_serial", serial), ("evidence", tail(z)))])
+        values = (("z_chi", chi), ("z_runs", runs), ("z_serial", serial), ("doubt", doubt), ("evidence", tail(z)))
+        return F.struct(s["encoding"].alias("encoding"), n.cast("int").alias("n"), *[F.when(ok, v).otherwise(none).alias(name) for name, v in values])
 
     # one-element arrays: each step's outcome is named once and not written out again where it is used
     steps = F.array(made)
@@ -102,6 +150,10 @@ def battery(token: Column) -> Column:
     return F.element_at(steps, 1)
 
 
+def binned(evidence: Column) -> Column:
+    return F.least(F.floor(evidence * 8), F.lit(BINS)).cast("int")
+
+
 def stratum(n: Column) -> Column:
     out = F.lit(0)
     for limit in STRATA:
@@ -144,16 +196,15 @@ def matches(docs: DataFrame, text: str = "text") -> DataFrame:
     judged = F.transform(free, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), battery(s["hit"]).alias("t")))
     d = d.select("doc_id", "assign", "access", "hex", judged.alias("_judged"))
     shown = F.transform(F.filter("_judged", lambda s: s["t"]["evidence"].isNotNull()), lambda s: F.struct(
-        s["start"], s["end"], stratum(s["t"]["n"]).alias("stratum"), F.least(F.floor(s["t"]["evidence"] * 8), F.lit(BINS)).cast("int").alias("bin"),
-        ((F.abs(s["t"]["z_runs"]) <= GATE) & (F.abs(s["t"]["z_serial"]) <= GATE) & (s["t"]["z_chi"] <= GATE)).alias("ok"),
-        s["t"]["encoding"].alias("encoding"), s["t"]["z_chi"].alias("z_chi"), s["t"]["z_runs"].alias("z_runs"), s["t"]["z_serial"].alias("z_serial"), s["t"]["evidence"].alias("evidence"),
+        s["start"], s["end"], stratum(s["t"]["n"]).alias("stratum"), binned(s["t"]["evidence"]).alias("bin"), binned(s["t"]["doubt"]).alias("doubt_bin"),
+        *[s["t"][x].alias(x) for x in ("encoding", "z_chi", "z_runs", "z_serial", "doubt", "evidence")],
     ))
     return d.select("doc_id", "assign", "access", "hex", shown.alias("cands"))
 
 
-def thresholds(found: DataFrame, rate: float) -> dict[int, int]:
+def thresholds(found: DataFrame, rate: float, column: str = "bin") -> dict[int, int]:
     """Per stratum of length the least bin that Benjamini-Hochberg accepts at this false-discovery rate."""
-    counts = found.select(F.explode("cands").alias("c")).groupBy("c.stratum", "c.bin").agg(F.count("*").alias("n"))
+    counts = found.select(F.explode("cands").alias("c")).groupBy("c.stratum", F.col(f"c.{column}").alias("bin")).agg(F.count("*").alias("n"))
     by: dict[int, dict[int, int]] = defaultdict(dict)
     for r in counts.collect():  # a row per stratum and bin: 4 x 401 at most
         by[r["stratum"]][r["bin"]] = r["n"]
@@ -170,9 +221,10 @@ def thresholds(found: DataFrame, rate: float) -> dict[int, int]:
 def secrets(docs: DataFrame, rate: float = 0.01, text: str = "text") -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans."""
     found = staged(matches(docs, text), "secrets")
-    limit = thresholds(found, rate)
+    limits = {c: thresholds(found, rate, c) for c in ("bin", "doubt_bin")}
     named = lambda a, kind: F.transform(a, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("k"), s["end"].alias("end"), F.lit(kind).alias("kind")))
-    passes = lambda s: s["ok"] & _any([(s["stratum"] == F.lit(k)) & (s["bin"] >= F.lit(b)) for k, b in limit.items()])
+    found_by = lambda s, c: _any([(s["stratum"] == F.lit(k)) & (s[c] >= F.lit(b)) for k, b in limits[c].items()])
+    passes = lambda s: found_by(s, "bin") & ~found_by(s, "doubt_bin")
     base = F.concat(*[named(F.col(k), k) for k in KINDS[:3]])
     rows = found.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]], base.alias("_base"), F.filter("cands", passes).alias("_random"))
     line = lambda a: F.array_join(F.transform(F.sort_array(a), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
