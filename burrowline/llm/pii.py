@@ -1,8 +1,9 @@
 """Personal data by bootstrapped contextual extraction.
 
 Four kinds are found by form (email, ip, card, phone). These seed the search for identifiers whose form nobody wrote down:
-the words before a find, with digits levelled, are a lexical pattern, and the pattern-instance graph says which patterns
-stand before which strings. Spark scores it in rounds. A pattern's confidence is the share of what its distinct instances
+the two words before a find (runs of letters and digits, digits levelled, ^ for the start of the text) are a lexical
+pattern, and the pattern-instance graph says which patterns stand before which strings. Spark scores it in rounds until
+neither the patterns nor their confidences change; both only ever rise, so that they settle. A pattern's confidence is the share of what its distinct instances
 are trusted with; an instance that is no seed is trusted as 1 - product(1 - confidence) of its good patterns. Patterns
 that end above CONFIDENCE, with SUPPORT trusted instances at least, extract every candidate (a string with four digits or
 more) that they stand before: kind context.
@@ -34,10 +35,10 @@ DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+){3,}")
 NUMBER = re.compile(r"[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-TOKEN = re.compile(r"[A-Za-z0-9][A-Za-z0-9_./+-]*[0-9][A-Za-z0-9_./+-]*")
-WORD_BEFORE = re.compile(r"[^ \t\n\r\x0b\x0c]+")
-LOOK_BACK, PATTERN_WORDS, DIGITS = 64, 2, 4
-ROUNDS, SUPPORT, CONFIDENCE, SMOOTHING = 3, 5, 0.8, 1.0
+TOKEN = re.compile(r"[A-Za-z0-9][A-Za-z0-9_./+-]*+")
+PATTERN_WORDS, DIGITS = 2, 4
+MOST_ROUNDS, SUPPORT, CONFIDENCE, PASSING, SMOOTHING = 100, 5, 0.8, 0.5, 1.0
+ASCII_DIGITS = re.compile("[0-9]")
 
 
 def luhn(digits: str) -> bool:
@@ -86,9 +87,17 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
 
 
 def pattern_before(text: str, start: int) -> str:
-    """The last words before a place, lower-cased, digits levelled; empty if there are too few."""
-    words = WORD_BEFORE.findall(text[max(0, start - LOOK_BACK) : start].rstrip("\"'(<[ "))[-PATTERN_WORDS:]
-    return re.sub("[0-9]", "0", " ".join(words).lower()) if len(words) == PATTERN_WORDS else ""
+    """The last words before a place, lower-cased, digits levelled; ^ where the text begins. A word or gap is walked over for
+    the few finds behind it only, so a text's patterns take linear time."""
+    words, at = [], start
+    while len(words) < PATTERN_WORDS:
+        while at and not text[at - 1].isalnum():
+            at -= 1
+        end = at
+        while at and text[at - 1].isalnum():
+            at -= 1
+        words.append(text[at:end] or "^")
+    return ASCII_DIGITS.sub("0", " ".join(reversed(words)).lower())
 
 
 FOUND = "rid long, doc_id long, spans array<struct<kind:int,start:long,end:long>>, seen array<struct<pattern:string,instance:string,seed:boolean,start:long,end:long>>"
@@ -105,15 +114,15 @@ def scan(docs: DataFrame, extra: list[str]) -> DataFrame:
             found, seen = [], []
             for t in b.column("_text").to_pylist():
                 spans = spans_of(t)
-                here = [{"pattern": p, "instance": t[x:y].lower(), "seed": True, "start": x, "end": y} for _, x, y in spans if (p := pattern_before(t, x))]
+                here = [{"pattern": p, "instance": t[x:y].lower(), "seed": True, "start": x, "end": y} for _, x, y in spans for p in (pattern_before(t, x),)]
                 taken = sorted((x, y) for _, x, y in spans)
                 k = 0
                 for m in TOKEN.finditer(t):
                     x, y = m.span()
                     while k < len(taken) and taken[k][1] <= x:
                         k += 1
-                    if (k == len(taken) or taken[k][0] >= y) and sum(map(str.isdigit, m[0])) >= DIGITS and (p := pattern_before(t, x)):
-                        here.append({"pattern": p, "instance": m[0].lower(), "seed": False, "start": x, "end": y})
+                    if (k == len(taken) or taken[k][0] >= y) and len(ASCII_DIGITS.findall(m[0])) >= DIGITS:
+                        here.append({"pattern": pattern_before(t, x), "instance": m[0].lower(), "seed": False, "start": x, "end": y})
                 found.append([{"kind": c, "start": x, "end": y} for c, x, y in spans])
                 seen.append(here)
             n = b.num_rows
@@ -127,19 +136,22 @@ def scan(docs: DataFrame, extra: list[str]) -> DataFrame:
 
 
 def good_patterns(found: DataFrame) -> DataFrame:
-    """Patterns that the scored graph trusts."""
+    """Patterns that the scored graph trusts, with their confidence."""
     edges = found.select(F.explode("seen").alias("s")).groupBy("s.pattern", "s.instance").agg(F.max("s.seed").alias("seed"))
     edges = staged(edges.withColumn("trust", F.col("seed").cast("double")), "graph")
-    for k in range(ROUNDS):
+    before = None
+    for _ in range(MOST_ROUNDS):
         scored = edges.groupBy("pattern").agg(F.sum("trust").alias("mass"), F.count("*").alias("n"), F.count_if(F.col("trust") >= CONFIDENCE).alias("support"))
-        good = scored.withColumn("confidence", F.col("mass") / (F.col("n") + SMOOTHING)).filter((F.col("support") >= SUPPORT) & (F.col("confidence") >= (0.5 if k < ROUNDS - 1 else CONFIDENCE))).select("pattern", "confidence")
-        good = staged(good, "patterns")
-        if k == ROUNDS - 1:
-            return good
+        confident = scored.withColumn("confidence", F.col("mass") / (F.col("n") + SMOOTHING))
+        good = staged(confident.filter((F.col("support") >= SUPPORT) & (F.col("confidence") >= PASSING)).select("pattern", "confidence"), "patterns")
+        now = good.agg(F.count("*"), F.count_if(F.col("confidence") >= CONFIDENCE), F.sum(F.round(F.col("confidence") * 1000).cast("long"))).first()
+        if now == before:
+            return good.filter(F.col("confidence") >= CONFIDENCE)
+        before = now
         heard = edges.join(good, "pattern", "left").groupBy("instance").agg(F.max("seed").alias("own"), F.sum(F.log1p(-F.coalesce("confidence", F.lit(0.0)))).alias("doubt"))
         trust = heard.select("instance", F.when(F.col("own"), F.lit(1.0)).otherwise(1 - F.exp("doubt")).alias("trust"))
         edges = staged(edges.drop("trust").join(trust, "instance").select("pattern", "instance", "seed", "trust"), "graph")
-    raise ValueError("ROUNDS must be positive")
+    raise RuntimeError(f"patterns did not settle in {MOST_ROUNDS} rounds")
 
 
 def extracted(docs: DataFrame, extra: list[str]) -> DataFrame:
