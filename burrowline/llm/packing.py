@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from burrowline.llm.common import ready, staged, text_of
 from burrowline.llm.word_ids import opened
 
+#: Documents handled together.
+ROWS = 1024
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, local_rank long"
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -38,11 +40,12 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int =
         encoder, end = opened(tokenizer), np.array([end_id], "<u4").tobytes()
         seen = np.zeros(capacity + 1, np.int64)
         part = TaskContext.get().partitionId()
-        for b in batches:
+        for b in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             out: tuple[list, ...] = ([], [], [], [], [], [])
-            texts = [t for at in range(0, b.num_rows, 64) for t in encoder.many(b.column(1).slice(at, 64).to_pylist())]
-            for doc, ids in zip(b.column(0).to_pylist(), texts, strict=True):
-                ids += end
+            flat, size = encoder.batch(b.column(1))
+            raw, to = flat.tobytes(), 4 * np.cumsum(size)
+            for doc, a, z in zip(b.column(0).to_pylist(), (to - 4 * size).tolist(), to.tolist(), strict=True):
+                ids = raw[a:z] + end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     one = ids[at : at + 4 * capacity]
                     n = len(one) // 4

@@ -10,8 +10,8 @@ Blocks are read and decoded alone; decoding goes through one table of 2^limit en
 Lengths come from global counts by package-merge, limited to 20 bits (more if the ids need it).
 
 Defined results: null or empty text: the end id alone; a null doc_id comes first; rows that share a doc_id are kept each,
-ordered by their number of ids, then by content; an empty table gives empty tables; other input columns are left out. A document is never cut, so a
-block holds one document at least and about 2^18 ids unless one document is longer.
+ordered by their number of ids, then by a hash of them; an empty table gives empty tables; other input columns are left
+out. A document is never cut, so a block holds one document at least and about 2^18 ids unless one document is longer.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from burrowline.llm.common import fresh_path, ready, staged, text_of
 from burrowline.llm.word_ids import opened
 
-MARK, BLOCK_IDS, LIMIT = 256, 1 << 18, 20
+MARK, BLOCK_IDS, LIMIT, ROWS = 256, 1 << 18, 20, 1024
 
 
 def width(tokenizer: str, end_id: int) -> str:
@@ -36,17 +36,35 @@ def width(tokenizer: str, end_id: int) -> str:
     return "<u2" if max(opened(tokenizer).tokenizer.get_vocab_size(True), end_id + 1) <= 1 << 16 else "<u4"
 
 
+def ended(ids: np.ndarray, size: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of texts, each followed by the end id, and their numbers."""
+    end = np.cumsum(size)
+    return np.insert(ids, end, np.uint32(end_id)), size + 1
+
+
+TOKENS = "doc_id long, n long, ids binary, counts boolean"
+
+
 def encoded(docs: DataFrame, tokenizer: str, kind: str, end_id: int = 1) -> DataFrame:
-    """doc_id, n, ids: with the end id, compressed."""
+    """TOKENS: a document's ids with the end id, compressed; and of each task one row (counts) that tells how often each id
+    came up in it, so that the ids need not be read again to count them."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = opened(tokenizer), np.array([end_id], "<u4").tobytes()
-        for b in batches:
-            ids = [np.frombuffer(t + end, "<u4") for at in range(0, b.num_rows, 64) for t in encoder.many(b.column(1).slice(at, 64).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([pa.compress(x.astype(kind).tobytes(), "zstd", asbytes=True) for x in ids], pa.binary())], names=["doc_id", "n", "ids"])
+        encoder = opened(tokenizer)
+        total = np.zeros(max(encoder.tokenizer.get_vocab_size(True), end_id + 1), np.int64)
+        types = (pa.int64(), pa.int64(), pa.binary(), pa.bool_())
+        rows = lambda *cols: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["doc_id", "n", "ids", "counts"])
+        for b in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
+            ids, size = ended(*encoder.batch(b.column(1)), end_id)
+            total += np.bincount(ids, minlength=len(total))
+            raw = ids.astype(kind)
+            end = np.cumsum(size)
+            packed = [pa.compress(raw[a:z].tobytes(), "zstd", asbytes=True) for a, z in zip((end - size).tolist(), end.tolist(), strict=True)]
+            yield rows(b.column(0), size, packed, np.zeros(len(size), bool))
+        yield rows([None], [len(total)], [pa.compress(total.tobytes(), "zstd", asbytes=True)], [True])
 
     ready(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(run, "doc_id long, n long, ids binary")
+    return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(run, TOKENS)
 
 
 def unpacked(b: pa.RecordBatch, kind: str) -> list[np.ndarray]:
@@ -54,21 +72,16 @@ def unpacked(b: pa.RecordBatch, kind: str) -> list[np.ndarray]:
     return [np.frombuffer(pa.decompress(x.as_buffer(), n * size, "zstd"), kind) for n, x in zip(b.column("n").to_pylist(), b.column("ids"), strict=True)]
 
 
-def id_counts(tokens: DataFrame, kind: str) -> DataFrame:
-    """id, n over all documents, summed within a task first."""
+def id_counts(tokens: DataFrame) -> DataFrame:
+    """id, n over all documents, from the tasks' counts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                c = np.bincount(np.concatenate(unpacked(b.slice(at, 512), kind)))
-                if len(c) > len(total):
-                    total = np.concatenate([total, np.zeros(len(c) - len(total), np.int64)])
-                total[: len(c)] += c
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["id", "n"])
+            for one in unpacked(b, "<i8"):
+                at = np.flatnonzero(one)
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(one[at], pa.int64())], names=["id", "n"])
 
-    return tokens.select("n", "ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return tokens.filter("counts").select("n", "ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def code_lengths(counts: np.ndarray, limit: int) -> np.ndarray:
@@ -155,8 +168,8 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 1, path: str | None = N
     spark = docs.sparkSession
     path = path or fresh_path(spark, "token-files")
     kind = width(tokenizer, end_id)
-    tokens = staged(encoded(docs, tokenizer, kind, end_id), "tokens")
-    counted = sorted((r["id"], r["n"]) for r in id_counts(tokens, kind).collect())  # as many rows as the vocabulary has ids, at most
+    tokens = staged(encoded(docs, tokenizer, kind, end_id), "tokens", partition_by="counts")
+    counted = sorted((r["id"], r["n"]) for r in id_counts(tokens).collect())  # as many rows as the vocabulary has ids, at most
     ids, counts = (np.array([x[k] for x in counted], np.int64) for k in (0, 1))
     lengths = code_lengths(counts, max(LIMIT, len(ids).bit_length() + 1))
     codebook = spark.createDataFrame([(int(i), int(n)) for i, n in zip(ids, lengths, strict=True)], "id long, length int")
@@ -192,7 +205,10 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 1, path: str | None = N
             yield flush()
 
     schema = "part int, block int, before long, doc_ids array<long>, doc_lens array<long>, marks array<long>, payload binary"
-    ordered = tokens.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n", "ids")
+    # rows that share a doc_id part by what else tells them apart, and equal rows by their place, so no id fills one task
+    tie = tokens.filter("NOT counts").select("doc_id", "n", "ids", F.xxhash64("ids").alias("_h"), F.monotonically_increasing_id().alias("_at"))
+    order = [F.col("doc_id").asc_nulls_first(), "n", "_h", "_at"]
+    ordered = tie.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "n", "ids")
     ordered.mapInArrow(blocks, schema).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     sizes = spark.read.parquet(f"{path}/blocks").select("part", F.aggregate("doc_lens", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
     rows, base = [], 0
