@@ -6,31 +6,38 @@ the same document. Equal strings must meet in one place without moving every suf
 1. Anchors. In each 100-byte string the leftmost smallest hash of its 32-byte substrings is its anchor; equal strings have
    equal anchors at equal places. Consecutive strings with one anchor form a run (some 35 of them), known by its anchor's
    hash, its length and a digest of its bytes. Runs meet by anchor hash. Of runs with equal content the first is the
-   earlier one and all strings of the others go; a task sends on only the earliest of those that it has seen itself, so a
-   passage that a third of the documents hold reaches its group once per task.
+   earlier one and all strings of the others go; a task sends on only the earliest of those that it has seen itself (it
+   compares their bytes), so a passage that a third of the documents hold reaches its group once per task.
 2. Suffix sort. Where runs of different content share an anchor hash, their bytes are fetched and, group by group, the
    suffixes from the anchors are sorted by merging sorted runs. Two suffixes are compared by their longest common
    extension, which a binary search over prefix polynomial hashes finds in a logarithmic number of steps. Neighbours'
-   extensions bound how far strings agree to the right of the anchor, prefix hashes tell what agrees to its left, and
-   each string found equal is compared byte for byte with its earlier one before anything is removed.
+   extensions bound how far strings agree to the right of the anchor, prefix hashes tell what agrees to its left.
    An anchor hash with more than HOT contents (the edge of a passage that very many documents hold) is not sorted in one
    place: its runs become single strings, which Spark groups by their bytes for the earliest place, first within each task.
-3. Per document the spans are put together and cut out.
+   Anchors that a sample of the documents shows to be so crowded don't even meet: their runs are dealt out by content.
+3. Verification. What digests call equal is put together to spans of a document that equal spans of an earlier one; both
+   sides' bytes are fetched and compared. What the sort calls equal is compared byte for byte, and so are the neighbours of
+   the sorted order up to the byte after their extension. Where hashes clash, nothing is removed by them: the anchors
+   concerned are judged once more by the bytes of their strings alone.
+4. Per document the spans are put together and cut out.
 
 Everything within a task is numpy over some MB at a time; documents of any length are read in overlapping slices.
 
 Defined results: null text: no bytes; texts under 100 bytes keep all; a null doc_id counts as smaller than any other; rows
-that share a doc_id count as one document, so equal strings at equal places don't remove each other; repeated rows get a
-row each; an empty table gives no rows; other columns stay with ``dedup`` and a clashing name is replaced.
+that share a doc_id count as one document, so equal strings at equal places don't remove each other (different texts under
+one doc_id are told apart by 64 bits of their SHA-256); repeated rows get a row each; an empty table gives no rows; other
+columns stay with ``dedup``, but for those named as its own.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +50,10 @@ SLICE, PLACE_BITS = 2 << 20, 24
 CHUNK_BYTES = 3 << 20
 #: Contents of one anchor hash that are sorted together.
 HOT = 4096
+#: Documents looked at to find crowded anchors, and contents among them that make one crowded.
+SAMPLE, CROWDED = 4000, 64
+#: Documents that a task remembers as sent.
+SEEN = 1 << 18
 NO_ID = -(1 << 63)
 
 _rng = np.random.default_rng(20240229)
@@ -145,11 +156,13 @@ def firsts(key: tuple[np.ndarray, ...], order: tuple[np.ndarray, ...]) -> tuple[
     return at, new
 
 
-RUNS = "k long, digest long, dk long, sid long, start long, n int, repeated boolean"
+RUNS = "part long, k long, digest long, dk long, sid long, start long, n int, repeated boolean"
 
 
-def runs(keyed: DataFrame, length: int, gram: int) -> DataFrame:
-    """keyed (dk, sid, text) -> RUNS; repeated: an equal run stands earlier, seen within the task."""
+def runs(keyed: DataFrame, length: int, gram: int, crowded: np.ndarray, bits: int = 64) -> DataFrame:
+    """keyed (dk, sid, text) -> RUNS; repeated: an equal run stands earlier, seen within the task. part: where runs meet, by
+    anchor hash or, for crowded ones (sorted), by content too. Digests are cut to some bits."""
+    mask = np.uint64((1 << bits) - 1)
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, int, bytes]] = []
@@ -162,7 +175,8 @@ def runs(keyed: DataFrame, length: int, gram: int) -> DataFrame:
             start, n, anchor, k = runs_of(np.frombuffer(data, np.uint8), bounds, length, gram)
             k = k.view(np.int64)
             digest64 = xxhash.xxh3_64_intdigest
-            digest = np.array([digest64(data[a:b], 7) for a, b in zip(start.tolist(), (start + n + length - 1).tolist(), strict=True)], np.uint64).view(np.int64)
+            digest = np.array([digest64(data[a:b], 7) for a, b in zip(start.tolist(), (start + n + length - 1).tolist(), strict=True)], np.uint64)
+            digest = (digest & mask).view(np.int64)
             doc = np.searchsorted(bounds, start, side="right") - 1
             dk, sid, base = (np.array([x[c] for x in held], np.int64)[doc] for c in range(3))
             at_doc = start - bounds[doc] + base
@@ -172,6 +186,12 @@ def runs(keyed: DataFrame, length: int, gram: int) -> DataFrame:
             same_place = (dk[at] == dk[lead]) & (at_doc[at] == at_doc[lead])
             gone = np.zeros(len(at), bool)
             gone[at] = ~same_place
+            first = np.empty_like(at)
+            first[at] = lead
+            there, again = np.flatnonzero(gone), first[gone]
+            spans = zip(start[there].tolist(), n[there].tolist(), start[again].tolist(), n[again].tolist(), strict=True)
+            more = length - 1
+            gone[there] = [data[x : x + i + more] == data[y : y + j + more] for x, i, y, j in spans]
             # neighbouring runs that go are sent as one, dealt out by their document
             order = np.lexsort((at_doc, doc))
             order = order[gone[order]]
@@ -182,7 +202,8 @@ def runs(keyed: DataFrame, length: int, gram: int) -> DataFrame:
             head, stay = order[cut], np.flatnonzero(~gone)
             spread = mixed((dk[head] * 31 + at_doc[head]).view(np.uint64)).view(np.int64)
             both = lambda a, b: pa.array(np.concatenate([a, b]))
-            return pa.RecordBatch.from_arrays([both(k[stay], spread), both(digest[stay], spread * 0), both(dk[stay], dk[head]), both(sid[stay], sid[head]), both(at_doc[stay], at_doc[head]), both(n[stay].astype(np.int32), total.astype(np.int32)), both(np.zeros(len(stay), bool), np.ones(len(head), bool))], names=["k", "digest", "dk", "sid", "start", "n", "repeated"])
+            part = np.where(member(k, crowded), mixed((k ^ digest * 31).view(np.uint64)).view(np.int64), k)
+            return pa.RecordBatch.from_arrays([both(part[stay], spread), both(k[stay], spread), both(digest[stay], spread * 0), both(dk[stay], dk[head]), both(sid[stay], sid[head]), both(at_doc[stay], at_doc[head]), both(n[stay].astype(np.int32), total.astype(np.int32)), both(np.zeros(len(stay), bool), np.ones(len(head), bool))], names=["part", "k", "digest", "dk", "sid", "start", "n", "repeated"])
 
         for b in batches:
             for dk, sid, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
@@ -202,8 +223,23 @@ def runs(keyed: DataFrame, length: int, gram: int) -> DataFrame:
     return keyed.select("dk", "sid", "text").mapInArrow(scan, RUNS)
 
 
-def grouped(batches: Iterable[pa.RecordBatch], enough: int, weight) -> Iterator[pa.Table]:
-    """Batches sorted by column k, put together into tables that never part rows with one k."""
+def member(x: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Which of x are in a sorted array."""
+    return of[np.minimum(np.searchsorted(of, x), len(of) - 1)] == x if len(of) else np.zeros(len(x), bool)
+
+
+def crowded_anchors(keyed: DataFrame, length: int, gram: int) -> np.ndarray:
+    """Anchor hashes with many contents in a sample of the documents, sorted. They decide how runs are dealt, not what goes."""
+    n = keyed.count()
+    if not n:
+        return np.zeros(0, np.int64)
+    some = runs(keyed.sample(min(1.0, SAMPLE / n), 11), length, gram, np.zeros(0, np.int64)).filter("NOT repeated")
+    counts = some.groupBy("k").agg(F.count_distinct("digest").alias("n")).filter(F.col("n") > CROWDED)
+    return np.sort(counts.select("k").toArrow().column("k").to_numpy())  # the sample's runs / CROWDED at most
+
+
+def grouped(batches: Iterable[pa.RecordBatch], enough: int, weight, column: str = "k") -> Iterator[pa.Table]:
+    """Batches sorted by a column, put together into tables that never part rows with one value of it."""
     held: list[pa.RecordBatch] = []
     size = 0
     for b in batches:
@@ -213,7 +249,7 @@ def grouped(batches: Iterable[pa.RecordBatch], enough: int, weight) -> Iterator[
         size += weight(b)
         if size >= enough:
             t = pa.Table.from_batches(held)
-            k = t.column("k").to_numpy()
+            k = t.column(column).to_numpy()
             cut = int(np.searchsorted(k, k[-1]))
             if cut:
                 yield t.slice(0, cut)
@@ -224,67 +260,139 @@ def grouped(batches: Iterable[pa.RecordBatch], enough: int, weight) -> Iterator[
         yield pa.Table.from_batches(held)
 
 
-MARKS = "k long, dk long, sid long, start long, n int, compare boolean, hot boolean"
+MARKS = "kind int, k long, dk long, sid long, start long, n int, ldk long, lsid long, lstart long"
+#: Kinds of marks: strings that go (bytes compared); strings that go if their bytes are those of the lead (ldk, lsid, lstart);
+#: first runs of the contents of one anchor, to be sorted, or too many of them.
+GONE, EQUAL, COMPARE, CROWD = range(4)
 
 
-def judged(found: DataFrame) -> DataFrame:
-    """RUNS met by anchor hash -> MARKS: strings that go, and (compare) the first runs of each content that share an anchor; hot: with more than HOT."""
+def judged(found: DataFrame, crowded: np.ndarray) -> DataFrame:
+    """RUNS met by anchor hash -> MARKS. Rows come sorted and pass through; at most HOT contents of an anchor are held."""
     most = HOT
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in grouped(batches, 200_000, lambda b: b.num_rows):
-            k, digest, dk, sid, start, n = (t.column(c).to_numpy() for c in ("k", "digest", "dk", "sid", "start", "n"))
-            repeated = t.column("repeated").to_numpy()
-            own = np.flatnonzero(~repeated)
-            at, new = firsts((k[own], digest[own]), (dk[own], start[own]))
-            at = own[at]
-            lead = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))] if len(at) else at
-            later = (dk[at] != dk[lead]) | (start[at] != start[lead])
-            heads = at[new]
-            _, group, contents = np.unique(k[heads], return_inverse=True, return_counts=True)
-            crowd = contents[group] if len(heads) else np.zeros(0, np.int64)
-            heads, crowd = heads[crowd > 1], crowd[crowd > 1]
-            gone = np.concatenate([np.flatnonzero(repeated), at[later]])
-            rows = np.concatenate([gone, heads])
-            flag = np.concatenate([np.zeros(len(gone), bool), np.ones(len(heads), bool)])
-            hot = np.concatenate([np.zeros(len(gone), bool), crowd > most])
-            yield pa.RecordBatch.from_arrays([*(pa.array(x[rows]) for x in (k, dk, sid, start, n)), pa.array(flag), pa.array(hot)], names=["k", "dk", "sid", "start", "n", "compare", "hot"])
+        names = ("k", "digest", "dk", "sid", "start", "n")
+        last = np.zeros((6, 0), np.int64)  # the content that the next rows may repeat
+        held: list[np.ndarray] = []  # contents of the anchor that the next rows may go on with
+        over = None  # an anchor that has had more than HOT
+
+        def marks(kind: int, rows: np.ndarray, leads: np.ndarray | None = None) -> pa.RecordBatch:
+            cols = [pa.array(np.full(rows.shape[1], kind, np.int32)), *(pa.array(rows[i]) for i in (0, 2, 3, 4)), pa.array(rows[5].astype(np.int32))]
+            cols += [pa.array(leads[i]) for i in (2, 3, 4)] if leads is not None else [pa.nulls(rows.shape[1], pa.int64())] * 3
+            return pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in MARKS.split(", ")])
+
+        def closed(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+            """Contents of anchors of which no more will come."""
+            _, at, count = np.unique(rows[0], return_inverse=True, return_counts=True)
+            size, hot = count[at] if rows.shape[1] else count, member(rows[0], crowded)
+            yield marks(CROWD, rows[:, hot | (size > most)])
+            yield marks(COMPARE, rows[:, ~hot & (size > 1) & (size <= most)])
+
+        for b in batches:
+            rows = np.stack([b.column(c).to_numpy().astype(np.int64) for c in names])
+            repeated = b.column("repeated").to_numpy(zero_copy_only=False)
+            yield marks(GONE, rows[:, repeated])
+            rows = np.concatenate([last, rows[:, ~repeated]], axis=1)
+            if not rows.shape[1]:
+                continue
+            new = np.ones(rows.shape[1], bool)
+            new[1:] = (rows[0, 1:] != rows[0, :-1]) | (rows[1, 1:] != rows[1, :-1])
+            lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+            later = ~new & ((rows[2] != rows[2, lead]) | (rows[4] != rows[4, lead]))
+            yield marks(EQUAL, rows[:, later], rows[:, lead[later]])
+            new[: last.shape[1]] = False  # was taken up before
+            last = rows[:, lead[-1:]]
+            heads = np.concatenate([*held, rows[:, new]], axis=1)
+            if over is not None:
+                yield marks(CROWD, heads[:, heads[0] == over])
+                heads = heads[:, heads[0] != over]
+            end = heads[0] == last[0, 0]
+            yield from closed(heads[:, ~end])
+            held = [heads[:, end]]
+            if over != last[0, 0]:
+                over = None
+            if held[0].shape[1] > most:
+                over = int(last[0, 0])
+                yield marks(CROWD, held[0])
+                held = []
+        yield from closed(np.concatenate([*held, np.zeros((6, 0), np.int64)], axis=1))
+
+    order = ("part", "k", "digest", "dk", "start")
+    return found.repartition("part").sortWithinPartitions(*order).mapInArrow(run, MARKS)
+
+
+SPANS = "dk long, sid long, start long, n int, ldk long, lsid long, lstart long"
+
+
+def joined_spans(marks: DataFrame) -> DataFrame:
+    """EQUAL marks -> SPANS: neighbouring runs of a document that equal neighbouring runs of one other document, as one."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in grouped(batches, 200_000, lambda b: b.num_rows, "sid"):
+            cols = [t.column(c).to_numpy() for c in ("dk", "sid", "start", "n", "ldk", "lsid", "lstart")]
+            dk, sid, start, n, ldk, lsid, lstart = cols
+            new = np.ones(len(dk), bool)
+            same = (dk[1:] == dk[:-1]) & (sid[1:] == sid[:-1]) & (ldk[1:] == ldk[:-1]) & (lsid[1:] == lsid[:-1])
+            new[1:] = ~(same & (start[1:] == (start + n)[:-1]) & (lstart[1:] == (lstart + n)[:-1]))
+            head = np.flatnonzero(new)
+            total = np.add.reduceat(n, head).astype(np.int32) if len(head) else n
+            yield pa.RecordBatch.from_arrays([pa.array(total if c is n else c[head]) for c in cols], names=[x.split()[0] for x in SPANS.split(", ")])
 
-    return found.repartition("k").sortWithinPartitions("k").mapInArrow(run, MARKS)
+    rows = marks.filter(F.col("kind") == EQUAL).select("dk", "sid", "start", "n", "ldk", "lsid", "lstart")
+    return staged(rows.repartition("sid").sortWithinPartitions("sid", "dk", "ldk", "lsid", "start").mapInArrow(run, SPANS), "spans")
 
 
-CONTEXTS = "k long, dk long, sid long, start long, n int, anchor int, context binary"
+CONTEXTS = "kind int, k long, lead boolean, dk long, sid long, start long, n int, anchor int, context binary"
 
 
-def contexts(keyed: DataFrame, marks: DataFrame, length: int, gram: int) -> DataFrame:
-    """The bytes of the runs that must be compared, read from their documents; anchor: its place in the context."""
+def wanted_spans(spans: DataFrame) -> DataFrame:
+    """Both sides of each of SPANS, under one key: kind, k, lead, dk, sid, start, n."""
+    key = F.xxhash64("ldk", "lsid", "lstart", "n").alias("k")
+    later = spans.select(F.lit(EQUAL).alias("kind"), key, F.lit(False).alias("lead"), "dk", "sid", "start", "n")
+    first = spans.select(F.lit(EQUAL).alias("kind"), key, F.lit(True).alias("lead"), F.col("ldk").alias("dk"), F.col("lsid").alias("sid"), F.col("lstart").alias("start"), "n")
+    return later.unionByName(first.distinct())
+
+
+def contexts(keyed: DataFrame, wanted: DataFrame, length: int, gram: int) -> DataFrame:
+    """The bytes of the runs that must be compared, read from their documents; anchor: its place in the context (0 for spans,
+    whose bytes come compressed)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(b.num_rows):
                 raw = pa.decompress(b.column("packed")[r].as_py(), b.column("size")[r].as_py(), "zstd", asbytes=True)
-                want = b.column("runs")[r].values.flatten()
-                k, start, n = (x.to_numpy() for x in want)
+                kind, k, lead, start, n = (x.to_numpy(zero_copy_only=False) for x in b.column("runs")[r].values.flatten())
                 texts = [raw[a : a + m + length - 1] for a, m in zip(start.tolist(), n.tolist(), strict=True)]
                 # the anchor is where the run's first string has its least hash: found as in runs_of
-                data = np.frombuffer(b"".join(t[:length] for t in texts), np.uint8)
-                hashes = mixed(Prefix(data).grams(gram))
-                rows = np.arange(len(texts))[:, None] * length + np.arange(length - gram + 1)[None, :]
-                anchor = (hashes[rows] == k.view(np.uint64)[:, None]).argmax(axis=1).astype(np.int32)
+                anchor = np.zeros(len(texts), np.int32)
+                own = np.flatnonzero(kind != EQUAL)
+                if len(own):
+                    hashes = mixed(Prefix(np.frombuffer(b"".join([texts[i][:length] for i in own]), np.uint8)).grams(gram))
+                    rows = np.arange(len(own))[:, None] * length + np.arange(length - gram + 1)[None, :]
+                    anchor[own] = (hashes[rows] == k[own].view(np.uint64)[:, None]).argmax(axis=1)
+                for i in np.flatnonzero(kind == EQUAL):
+                    texts[i] = len(texts[i]).to_bytes(8, "little") + pa.compress(texts[i], "zstd", asbytes=True)
                 m = len(texts)
-                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.full(m, b.column("dk")[r].as_py(), np.int64)), pa.array(np.full(m, b.column("sid")[r].as_py(), np.int64)), pa.array(start), pa.array(n), pa.array(anchor), pa.array(texts, pa.binary())], names=["k", "dk", "sid", "start", "n", "anchor", "context"])
+                same = [pa.array(np.full(m, b.column(c)[r].as_py(), np.int64)) for c in ("dk", "sid")]
+                yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(k), pa.array(lead, pa.bool_()), *same, pa.array(start), pa.array(n), pa.array(anchor), pa.array(texts, pa.binary())], names=[x.split()[0] for x in CONTEXTS.split(", ")])
 
-    want = marks.filter("compare").groupBy("dk", "sid").agg(F.collect_list(F.struct("k", "start", "n")).alias("runs"))
+    want = wanted.groupBy("dk", "sid").agg(F.collect_list(F.struct("kind", "k", "lead", "start", "n")).alias("runs"))
     return squeezed(keyed).join(want, ["dk", "sid"]).select("dk", "sid", "packed", "size", "runs").mapInArrow(run, CONTEXTS)
 
 
 def squeezed(keyed: DataFrame) -> DataFrame:
-    """keyed with its text compressed (packed, size), so that less moves; repeated rows within a batch stay."""
+    """keyed with its text compressed (packed, size), so that less moves; a task sends repeated rows once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for b in batches:
-            raw = [t.as_buffer() for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([pa.compress(x, "zstd", asbytes=True) for x in raw], pa.binary()), pa.array([x.size for x in raw], pa.int64())], names=["dk", "sid", "packed", "size"])
+            keys = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+            new = [i for i, x in enumerate(keys) if not (x in seen or seen.add(x))]
+            if len(seen) > SEEN:
+                seen.clear()
+            raw = [b.column(2)[i].as_buffer() for i in new]
+            take = pa.array(new, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array([pa.compress(x, "zstd", asbytes=True) for x in raw], pa.binary()), pa.array([x.size for x in raw], pa.int64())], names=["dk", "sid", "packed", "size"])
 
     return keyed.select("dk", "sid", "text").mapInArrow(run, "dk long, sid long, packed binary, size long")
 
@@ -338,49 +446,80 @@ def merge_sorted(prefix: Prefix, group: np.ndarray, at: np.ndarray, size: np.nda
     return order, ext
 
 
+def equal_bytes(eights: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether size bytes (8 or more) at a and at b are the same, eight at a time."""
+    equal, most = np.ones(len(a), bool), int(size.max(initial=0))
+    for step in range(0, most, 8):
+        at = np.minimum(step, size - 8)
+        equal &= (eights[a + at] == eights[b + at]).all(axis=1)
+    return equal
+
+
+def matched(k, dk, start, n, anchor, texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and starts of the strings that an earlier one of the same anchor group equals, by the suffix sort; by the bytes of
+    the strings alone if any hash turns out to have clashed."""
+    data = np.frombuffer(b"".join(texts) + bytes(16), np.uint8)
+    sizes = np.array([len(x) for x in texts], np.int64)
+    base = np.cumsum(sizes) - sizes
+    prefix = Prefix(data)
+    at = base + anchor
+    order, ext = merge_sorted(prefix, k, at, sizes - anchor, data)
+    eights = np.lib.stride_tricks.sliding_window_view(data, 8)
+    # neighbours agree as far as their extension says and no farther, and stand in the right order
+    one, two, both = at[order[:-1]], at[order[1:]], ext[1:]
+    room = [(sizes - anchor)[order[:-1]], (sizes - anchor)[order[1:]]]
+    long = both >= 8
+    fine = bool(equal_bytes(eights, one[long], two[long], both[long]).all())
+    for step in range(8):
+        some = ~long & (both > step)
+        fine &= bool((data[one[some] + step] == data[two[some] + step]).all())
+    inner = (both < np.minimum(*room)) & (k[order[:-1]] == k[order[1:]])
+    fine &= bool((data[(one + both)[inner]] < data[(two + both)[inner]]).all())
+    rank = np.argsort(np.lexsort((start + anchor, dk)))[order]  # which comes earlier, at one offset
+    low, high = (anchor - n + 1)[order], anchor[order].astype(np.int64)
+    at_sorted, by_rank = at[order], np.argsort(rank)
+    rows, firsts_, offsets = [], [], []
+    where = dk[order], (start + anchor)[order]
+    for o in range(max(0, int(low.min(initial=0))), int(high.max(initial=-1)) + 1):
+        # offset o: strings that begin o bytes before the anchor; extensions tell what agrees from the anchor on
+        here = by_rank[(low[by_rank] <= o) & (o <= high[by_rank])]
+        if len(here) < 2:
+            continue
+        block = np.cumsum(ext < length - o)
+        tag = mixed(prefix.of(at_sorted[here] - o, o) + block[here].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        srt = np.argsort(tag, kind="stable")
+        tag, here = tag[srt], here[srt]
+        new = np.concatenate([[True], tag[1:] != tag[:-1]])
+        lead = here[np.maximum.accumulate(np.where(new, np.arange(len(here)), 0))]
+        later = ~new & ((where[0][here] != where[0][lead]) | (where[1][here] != where[1][lead]))
+        fine &= bool((k[order][here] == k[order][lead]).all())
+        rows.append(here[~new])
+        firsts_.append(lead[~new])
+        offsets.append(np.where(later[~new], o, -1 - o))
+    row, lead, o = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, firsts_, offsets))
+    later, o = o >= 0, np.where(o >= 0, o, -1 - o)
+    fine &= bool(equal_bytes(eights, at_sorted[row] - o, at_sorted[lead] - o, np.full(len(row), length)).all())
+    if fine:
+        row, o = order[row[later]], o[later]
+        return row, start[row] + anchor[row] - o
+    first: dict[tuple[int, bytes], tuple[int, int]] = {}
+    strings = [(i, j, (int(k[i]), texts[i][j : j + length]), (int(dk[i]), int(start[i]) + j)) for i in range(len(texts)) for j in range(int(n[i]))]
+    for _, _, x, place in strings:
+        first[x] = min(first.get(x, place), place)
+    gone = [(i, int(start[i]) + j) for i, j, x, place in strings if place != first[x]]
+    return np.array([i for i, _ in gone], np.int64), np.array([x for _, x in gone], np.int64)
+
+
+FOUND = "dk long, sid long, start long, n int, clash boolean"
+
+
 def compared(found: DataFrame, length: int) -> DataFrame:
-    """CONTEXTS -> (dk, sid, start, n): strings that an earlier one of the same anchor group equals."""
+    """CONTEXTS -> FOUND: strings that an earlier one of the same anchor group equals, and spans whose bytes are the lead's; with
+    clash the spans that only share the lead's digests."""
 
-    def solve(t: pa.Table) -> pa.RecordBatch:
+    def sorted_group(t: pa.Table) -> pa.RecordBatch:
         k, dk, sid, start, n, anchor = (t.column(c).to_numpy() for c in ("k", "dk", "sid", "start", "n", "anchor"))
-        texts = t.column("context").to_pylist()
-        data = np.frombuffer(b"".join(texts) + bytes(16), np.uint8)
-        sizes = np.array([len(x) for x in texts], np.int64)
-        base = np.cumsum(sizes) - sizes
-        prefix = Prefix(data)
-        at = base + anchor
-        order, ext = merge_sorted(prefix, k, at, sizes - anchor, data)
-        eights = np.lib.stride_tricks.sliding_window_view(data, 8)
-        rank = np.argsort(np.lexsort((start + anchor, dk)))[order]  # which comes earlier, at one offset
-        low, high = (anchor - n + 1)[order], anchor[order].astype(np.int64)
-        at_sorted, by_rank = at[order], np.argsort(rank)
-        rows, firsts_, offsets = [], [], []
-        where = dk[order], (start + anchor)[order]
-        for o in range(max(0, int(low.min(initial=0))), int(high.max(initial=-1)) + 1):
-            # offset o: strings that begin o bytes before the anchor; extensions tell what agrees from the anchor on
-            here = by_rank[(low[by_rank] <= o) & (o <= high[by_rank])]
-            if len(here) < 2:
-                continue
-            block = np.cumsum(ext < length - o)
-            tag = mixed(prefix.of(at_sorted[here] - o, o) + block[here].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            srt = np.argsort(tag, kind="stable")
-            tag, here = tag[srt], here[srt]
-            new = np.concatenate([[True], tag[1:] != tag[:-1]])
-            lead = here[np.maximum.accumulate(np.where(new, np.arange(len(here)), 0))]
-            later = ~new & ((where[0][here] != where[0][lead]) | (where[1][here] != where[1][lead]))
-            rows.append(here[later])
-            firsts_.append(lead[later])
-            offsets.append(np.full(int(later.sum()), o))
-        row, lead, o = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, firsts_, offsets))
-        a, b = at_sorted[row] - o, at_sorted[lead] - o
-        equal = np.ones(len(a), bool)
-        for step in [*range(0, length - 8, 8), length - 8] if length >= 8 else []:
-            for s in range(0, len(a), 1 << 20):
-                equal[s : s + (1 << 20)] &= (eights[a[s : s + (1 << 20)] + step] == eights[b[s : s + (1 << 20)] + step]).all(axis=1)
-        if not equal.all():
-            raise ArithmeticError("two strings of different bytes have one hash")
-        row = order[row]
-        s, d = start[row] + anchor[row] - o, row
+        d, s = matched(k, dk, start, n, anchor, t.column("context").to_pylist(), length)
         by = np.lexsort((s, sid[d], dk[d]))
         s, d = s[by], d[by]
         cut = np.ones(len(s), bool)
@@ -388,13 +527,46 @@ def compared(found: DataFrame, length: int) -> DataFrame:
             cut[1:] = (dk[d][1:] != dk[d][:-1]) | (sid[d][1:] != sid[d][:-1]) | (s[1:] > s[:-1] + 1)
         head = np.flatnonzero(cut)
         last = np.concatenate([head[1:], [len(s)]]) - 1 if len(s) else head
-        return pa.RecordBatch.from_arrays([pa.array(dk[d[head]]), pa.array(sid[d[head]]), pa.array(s[head]), pa.array((s[last] - s[head] + 1).astype(np.int32))], names=["dk", "sid", "start", "n"])
+        return rows(dk[d[head]], sid[d[head]], s[head], s[last] - s[head] + 1, np.zeros(len(head), bool))
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in grouped(batches, CHUNK_BYTES, lambda b: b.column("context").nbytes):
-            yield solve(t)
+    def rows(dk, sid, start, n, clash) -> pa.RecordBatch:
+        cols = [pa.array(np.asarray(x, np.int64)) for x in (dk, sid, start)]
+        return pa.RecordBatch.from_arrays([*cols, pa.array(np.asarray(n, np.int32)), pa.array(np.asarray(clash, bool))], names=["dk", "sid", "start", "n", "clash"])
 
-    return found.repartition("k").sortWithinPartitions("k", "dk", "start").mapInArrow(run, "dk long, sid long, start long, n int")
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leads: dict[tuple, bytes] = {}  # of one key, which come before what repeats them
+        key = None
+
+        def spans() -> Iterator[pa.RecordBatch]:
+            nonlocal key
+            for b in batches:
+                equal = pc.equal(b.column("kind"), EQUAL)
+                if pc.any(equal).as_py():
+                    out: tuple[list, ...] = ([], [], [], [], [])
+                    mine = b.filter(equal)
+                    cols = [mine.column(c).to_pylist() for c in ("k", "lead", "dk", "sid", "start", "n", "context")]
+                    for k, lead, dk, sid, start, n, packed in zip(*cols, strict=True):
+                        if k != key:
+                            key = k
+                            leads.clear()
+                        raw = pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True)
+                        if lead:
+                            leads[dk, sid, start, n] = raw
+                        else:  # several leads under one key would be a clash of that key
+                            for o, v in zip(out, (dk, sid, start, n, len(leads) != 1 or raw not in leads.values()), strict=True):
+                                o.append(v)
+                    waiting.append(rows(*out))
+                if not pc.all(equal).as_py():
+                    yield b.filter(pc.invert(equal))
+
+        waiting: list[pa.RecordBatch] = []
+        for t in grouped(spans(), CHUNK_BYTES, lambda b: b.column("context").nbytes):
+            yield from waiting
+            waiting.clear()
+            yield sorted_group(t)
+        yield from waiting
+
+    return staged(found.repartition("k").sortWithinPartitions("kind", "k", F.desc("lead"), "dk", "start").mapInArrow(run, FOUND), "found")
 
 
 def strings_compared(found: DataFrame, length: int) -> DataFrame:
@@ -406,23 +578,38 @@ def strings_compared(found: DataFrame, length: int) -> DataFrame:
     return later.select("dk", "sid", "start", F.lit(1).alias("n"))
 
 
-def keyed_docs(docs: DataFrame, text: str = "text") -> DataFrame:
-    t = text_of(f"`{text}`")
-    return docs.withColumns({"dk": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "sid": F.crc32(t.cast("binary")), text: t})
+def keyed_docs(docs: DataFrame) -> DataFrame:
+    """docs' columns as c0, c1, ..., with dk, sid and text."""
+    named = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    t = text_of("`text`")
+    return docs.select(*named, F.coalesce(F.col("`doc_id`").cast("long"), F.lit(NO_ID)).alias("dk"), F.xxhash64(F.sha2(t, 256)).alias("sid"), t.alias("text"))
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """dk, sid, spans: per document the starts and numbers of the strings that go (in any order, may overlap)."""
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bits: int = 64) -> DataFrame:
+    """dk, sid, spans: per document the starts and numbers of the strings that go (in any order, may overlap). bits: of the
+    digests that runs go by; fewer make clashes, and more work, but no other result."""
     if not 8 <= gram < length:
         raise ValueError("the anchor's substring must be shorter than the string")
     keyed = keyed_docs(docs).select("dk", "sid", "text")
     ready(docs.sparkSession)
-    marks = staged(judged(runs(keyed, length, gram)), "marks")
-    more = compared(contexts(keyed, marks.filter("NOT hot"), length, gram), length)
-    if not marks.filter("hot").isEmpty():
-        more = more.unionByName(strings_compared(staged(contexts(keyed, marks.filter("hot"), length, gram), "hot"), length))
-    every = marks.filter("NOT compare").select("dk", "sid", "start", "n").unionByName(more)
-    return every.groupBy("dk", "sid").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    crowded = crowded_anchors(keyed, length, gram)
+    every_run = runs(keyed, length, gram, crowded, bits)
+    marks = staged(judged(every_run, crowded), "marks")
+    own = ["kind", "k", F.lit(False).alias("lead"), "dk", "sid", "start", "n"]
+    wanted = marks.filter(F.col("kind") == COMPARE).select(*own).unionByName(wanted_spans(joined_spans(marks)))
+    found = compared(contexts(keyed, wanted, length, gram), length)
+    out = [marks.filter(F.col("kind") == GONE), found.filter("NOT clash")]
+    crowd = marks.filter(F.col("kind") == CROWD)
+    if not found.filter("clash").isEmpty():
+        clash = found.filter("clash").select("dk", "sid", F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("z"))
+        anchors = marks.filter(F.col("kind") == EQUAL).join(clash, ["dk", "sid"]).filter("start >= a AND start < z").select("k").distinct()
+        again = every_run.filter("NOT repeated").join(anchors, "k").withColumn("kind", F.lit(CROWD))
+        crowd = crowd.select(*own).unionByName(again.select(*own)).distinct()
+    if not crowd.isEmpty():
+        fetched = staged(contexts(keyed, crowd.select(*own), length, gram), "crowd")
+        out.append(strings_compared(fetched, length))
+    every = [x.select("dk", "sid", "start", "n") for x in out]
+    return reduce(DataFrame.unionByName, every).groupBy("dk", "sid").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 
 
 def kept_bytes(raw: bytes, start: np.ndarray, n: np.ndarray, length: int) -> tuple[bytes, int, int, list[tuple[int, int]]]:
@@ -437,10 +624,11 @@ def kept_bytes(raw: bytes, start: np.ndarray, n: np.ndarray, length: int) -> tup
     return b"".join([raw[x:y] for x, y in stay]), int((z - a).sum()), len(a), stay
 
 
-def _applied(docs: DataFrame, length: int, gram: int, as_text: bool) -> DataFrame:
-    spans = repeated_spans(docs, length, gram)
-    keyed = keyed_docs(docs)
-    extra = [c for c in docs.columns if c not in ("text", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "packed", "dk", "sid", "size", "spans")] if as_text else []
+def _applied(docs: DataFrame, length: int, gram: int, as_text: bool, bits: int = 64) -> DataFrame:
+    last = "text" if as_text else "kept_sha256"
+    made = ("n_bytes", "n_removed", "n_spans", last)
+    stay = [(i, f) for i, f in enumerate(docs.schema) if f.name == "doc_id" or (as_text and f.name not in ("n_bytes", "n_removed", "n_spans", "text"))]
+    own = [f"c{i}" for i, _ in stay]
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -459,14 +647,13 @@ def _applied(docs: DataFrame, length: int, gram: int, as_text: bool) -> DataFram
                     raw, gone, runs_, _ = kept_bytes(raw, start, n.astype(np.int64), length)
                 for o, v in zip(out, (size, gone, runs_, raw.decode("utf-8", "ignore") if as_text else hashlib.sha256(raw).hexdigest()), strict=True):
                     o.append(v)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ["doc_id", *extra]), *(pa.array(o, pa.int64()) for o in out[:3]), pa.array(out[3], pa.string())], names=["doc_id", *extra, "n_bytes", "n_removed", "n_spans", last])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in own), *(pa.array(o, pa.int64()) for o in out[:3]), pa.array(out[3], pa.string())], names=[*own, *made])
 
-    last = "text" if as_text else "kept_sha256"
-    names = ["doc_id", *extra]
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    described = ", ".join(f"`{c}` {kinds[c]}" for c in names)
-    packed = keyed.select(*[f"`{c}`" for c in names], "dk", "sid", "text").mapInArrow(pack, f"{described}, dk long, sid long, size long, packed binary")
-    return packed.join(spans, ["dk", "sid"], "left").select(*[f"`{c}`" for c in names], "size", "packed", "spans").mapInArrow(cut, f"{described}, n_bytes long, n_removed long, n_spans long, {last} string")
+    described = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in stay)
+    packed = keyed_docs(docs).select(*own, "dk", "sid", "text").mapInArrow(pack, f"{described}, dk long, sid long, size long, packed binary")
+    both = packed.join(repeated_spans(docs, length, gram, bits), ["dk", "sid"], "left").select(*own, "size", "packed", "spans")
+    done = both.mapInArrow(cut, f"{described}, n_bytes long, n_removed long, n_spans long, {last} string")
+    return done.toDF(*[f.name for _, f in stay], *made)
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
