@@ -2,30 +2,18 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ARROW_BYTES = 16 << 20
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all machines share: spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="burrowline-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/burrowline-{name}-{uuid.uuid4().hex}"
+from burrowline.sources.shared import fresh_path, shared_dir
 
+__all__ = ["discard", "documents", "fresh_path", "ready", "shared_dir", "staged", "text_of"]
 
 def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: lineage ends there, and a lost executor costs no rework."""
@@ -34,16 +22,26 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.staged_path = path
+    return found
 
 
-def once(df: DataFrame, name: str) -> DataFrame:
-    """Put all columns through a one-element inline(), so that later filters and projections reuse them and don't evaluate them again."""
-    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+def discard(*tables: DataFrame | None) -> None:
+    """Remove the folders of staged tables that nothing reads any more, and let Spark drop the shuffles behind them."""
+    paths = [t.staged_path for t in tables if t is not None and hasattr(t, "staged_path")]
+    if not paths:
+        return
+    spark = next(t for t in tables if t is not None).sparkSession
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()  # shuffle files go with the plans that wrote them
 
 
 def ready(spark: SparkSession) -> None:
-    """Send this package to the executors once per application and keep Arrow batches small in bytes."""
+    """Send this package to the executors once per application."""
     sc = spark.sparkContext
     if getattr(sc, "_burrowline_sent", False):
         return

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burrowline.llm.common import staged
+from burrowline.llm.common import discard, staged
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -39,11 +39,14 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     for _ in range(max_rounds):
         if not before[0]:
             break
-        edges = staged(small_star(large_star(edges)), "stars")
+        last, edges = edges, staged(small_star(large_star(edges)), "stars")
+        discard(last)
         now = _state(edges)
         if now == before:
             break
         before = now
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    roots.staged_path = edges.staged_path
+    return roots

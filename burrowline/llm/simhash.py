@@ -6,13 +6,15 @@ of five bit blocks, two that link within 3 bits share at least two, so each of t
 tree is built for each key's value. All trees of a task are built and searched level by level in numpy.
 
 Documents with one fingerprint count as one from the start (grouped before any comparison), so copies cost nothing. A key
-that more than SHARD distinct fingerprints share is split: each fingerprint stands in one shard's tree and searches the
-trees of all shards, so that no task holds more than a shard's tree. A task doesn't return pairs: what it finds connected
+that more than SHARD distinct fingerprints share is refined: its free bits are cut into four blocks, of which two linked
+fingerprints share one, and each block's value makes a finer key - again and again, until no key is crowded. So no tree
+and no set of searches is larger than SHARD, and no link is lost. A task doesn't return pairs: what it finds connected
 becomes a star of links, at most one per fingerprint, and components() joins the stars. The trees move by shuffle and not
 by broadcast, since their size has no bound that the data can't break.
 
 Which of two texts are similar by a given Jaccard similarity no radius decides: sets at one similarity differ in a number of
-bits that varies by chance. ``keep_one`` therefore takes its links from ``shingle_join``, which compares the shingles.
+bits that varies by chance. ``keep_one`` therefore takes fingerprint links as proposals, which ``near_links`` verifies by
+the shingles and completes by what fingerprints can't reach.
 
 Defined results: null text counts as empty; texts without words have
 fingerprint zero and link like any other; repeated rows share a fingerprint and each keep their row; an empty table gives
@@ -22,19 +24,20 @@ no rows; a null doc_id is never a component's smallest id unless all its documen
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import accumulate, combinations
+from itertools import accumulate, combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from burrowline.llm.common import ready, staged, text_of
 from burrowline.llm.components import components
-from burrowline.llm.shingle_join import similar_classes
+from burrowline.llm.near_links import band_keys, least_hashes, shingles, similar_classes
 
-RADIUS, WIDTHS, SHARD, FRONTIER, CHUNK = 3, (13, 13, 13, 13, 12), 4096, 1 << 18, 1 << 16
+RADIUS, WIDTHS, SHARD, FRONTIER, CHUNK, SEEN = 3, (13, 13, 13, 13, 12), 4096, 1 << 18, 1 << 16, 1 << 20
 
 
 def fingerprint(text: bytes, size: int = 3, seed: int = 42) -> np.ndarray:
@@ -138,16 +141,16 @@ def joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def stars(keyed: DataFrame, radius: int) -> DataFrame:
-    """keyed (key, shard, node, fp0, in_tree) -> links (u, v) of nodes that connect what is linked under a key and shard."""
+    """keyed (key, node, fp0) -> links (u, v) of nodes that connect what is linked under a key."""
 
     def solve(cols: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-        key, shard, node, in_tree, fp = cols
-        group = np.cumsum(np.concatenate([[True], (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])])) - 1
+        key, node, fp = cols
+        group = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) - 1
         several = np.bincount(group)[group] > 1
-        group, node, in_tree, fp = group[several], node[several], in_tree[several], fp[several].view(np.uint64)[:, None]
+        group, node, fp = group[several], node[several], fp[several].view(np.uint64)[:, None]
         label = np.arange(len(node))
         if len(node):
-            for a, b in Forest(fp, group, in_tree).links(label.copy(), group, radius):
+            for a, b in Forest(fp, group, np.ones(len(node), bool)).links(label.copy(), group, radius):
                 label = joined(label, a, b)
         moved = np.flatnonzero(label != np.arange(len(label)))
         return pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[label[moved]])], names=["u", "v"])
@@ -160,7 +163,7 @@ def stars(keyed: DataFrame, radius: int) -> DataFrame:
             count += b.num_rows
             if count >= CHUNK:
                 cols = tuple(np.concatenate(x) for x in zip(*held, strict=True))
-                other = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]))
+                other = np.flatnonzero(cols[0] != cols[0][-1])
                 cut = int(other[-1]) + 1 if len(other) else 0
                 if cut:
                     yield solve(tuple(c[:cut] for c in cols))
@@ -168,16 +171,44 @@ def stars(keyed: DataFrame, radius: int) -> DataFrame:
         if count:
             yield solve(tuple(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    chosen = keyed.repartition("key", "shard").sortWithinPartitions("key", "shard", "node").select("key", "shard", "node", "in_tree", "fp0")
+    chosen = keyed.select("key", "node", "fp0").repartition("key").sortWithinPartitions("key", "node")
     return chosen.mapInArrow(run, "u long, v long")
 
 
-def sharded(keyed: DataFrame) -> DataFrame:
-    """keyed with shard and in_tree: keys of more than SHARD nodes get several trees, and each node searches all of them."""
-    crowded = staged(keyed.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > SHARD).select("key", F.ceil(F.col("n") / SHARD).cast("int").alias("shards")), "crowded")
-    dealt = keyed.join(crowded, "key", "left").withColumn("shards", F.coalesce("shards", F.lit(1)))
-    dealt = dealt.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-    return dealt.withColumn("in_tree", F.pmod(F.xxhash64("node"), F.col("shards")) == F.col("shard")).drop("shards")
+def cut_bits(free: int, parts: int = RADIUS + 1) -> list[int]:
+    """Masks that cut the free bits into blocks."""
+    bits = [b for b in range(64) if free >> b & 1]
+    at = [len(bits) * k // parts for k in range(parts + 1)]
+    return [sum(1 << b for b in bits[a:z]) for a, z in pairwise(at)]
+
+
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def refined(distinct: DataFrame) -> DataFrame:
+    """distinct (node, fp0) -> (key, node, fp0): each fingerprint under its keys, none of them with more than SHARD."""
+    every, blocks, at = (1 << 64) - 1, [], 0
+    for w in WIDTHS:
+        blocks.append(((1 << w) - 1) << at)
+        at += w
+    frees = [every & ~(a | b) for a, b in combinations(blocks, 2)]
+    keyed = distinct.select("node", "fp0", F.posexplode(block_keys(F.col("fp0"))).alias("path", "key"))
+    done = None
+    while True:
+        counts = keyed.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > SHARD).select("key")
+        crowded = staged(counts, "crowded")
+        if not max(map(int.bit_count, frees)) or crowded.isEmpty():
+            fine = keyed.select("key", "node", "fp0")
+            return fine if done is None else done.unionByName(fine)
+        fine = keyed.join(crowded, "key", "left_anti").select("key", "node", "fp0")
+        done = fine if done is None else done.unionByName(fine)
+        finer = [cut_bits(f) for f in frees]
+        masks = F.array(*[F.array(*[F.lit(signed(m)).cast("long") for m in ms]) for ms in finer])
+        again = keyed.join(crowded, "key", "left_semi").select("node", "fp0", "path", "key", F.posexplode(F.get(masks, F.col("path"))).alias("k", "mask"))
+        value = F.xxhash64("key", "k", F.col("fp0").bitwiseAND(F.col("mask")))
+        keyed = staged(again.select("node", "fp0", (F.col("path") * (RADIUS + 1) + F.col("k")).alias("path"), value.alias("key")), "finer")
+        frees = [f & ~m for f, ms in zip(frees, finer, strict=True) for m in ms]
 
 
 def classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -185,8 +216,7 @@ def classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     if not 0 <= radius <= RADIUS:
         raise ValueError("the block keys hold for radii up to 3")
     distinct = staged(prints.groupBy("fp0").agg(F.min("doc_id").alias("least")).withColumn("node", F.col("fp0")), "fingerprints")
-    keyed = distinct.select("node", "fp0", F.explode(block_keys(F.col("fp0"))).alias("key"))
-    roots = components(stars(sharded(keyed), radius))
+    roots = components(stars(refined(distinct), radius))
     rooted = distinct.join(roots.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("fp0", "least", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return rooted.join(least, "root").select("fp0", "component_id")
@@ -199,13 +229,56 @@ def near_duplicates(docs: DataFrame, size: int = 3, radius: int = RADIUS) -> Dat
     return prints.join(named, "fp0").select("doc_id", F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def prepared(docs: DataFrame, size: int) -> DataFrame:
+    """docs' columns as c0, c1, ... with rid (a row's own number), text, node (digest of its shingle set; null: no words), n
+    (the set's size) and, for the task's first row of a node, its fingerprint, least hashes and band keys."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rid, seen = TaskContext.get().partitionId() << 40, set()
+        for b in batches:
+            out: tuple[list, ...] = ([], [], [], [], [])
+            for t in b.column("text"):
+                raw = t.as_buffer().to_pybytes()
+                found = shingles(raw, size) if raw.split(None, 1) else None
+                node = None if found is None else xxhash.xxh3_64_intdigest(found.tobytes(), len(found)) - (1 << 63)
+                row: tuple = (node, None if found is None else len(found), None, None, None)
+                if node is not None and node not in seen:
+                    seen.add(node)
+                    least = least_hashes(found)
+                    row = (node, len(found), int(fingerprint(raw, size).view(np.int64)[0]), (least >> np.uint64(32)).astype(np.uint8).tobytes(), band_keys(least))
+                for o, v in zip(out, row, strict=True):
+                    o.append(v)
+            if len(seen) > SEEN:
+                seen.clear()
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            rids = pa.array(range(rid, rid + b.num_rows), pa.int64())
+            rid += b.num_rows
+            yield pa.RecordBatch.from_arrays([*b.columns, rids, *(pa.array(o, t) for o, t in zip(out, types, strict=True))], names=[*b.schema.names, "rid", "node", "n", "fp0", "sketch", "keys"])
+
+    ready(docs.sparkSession)
+    named = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)], text_of("`text`").alias("text"))
+    own = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema))
+    return staged(named.mapInArrow(run, f"{own}, text string, rid long, node long, n long, fp0 long, sketch binary, keys array<long>"), "prepared")
+
+
+def fingerprint_links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """nodes (node, fp0) -> pairs (u, v) that the BK-trees connect, each node with the first one of its class."""
+    distinct = staged(nodes.groupBy("fp0").agg(F.min("node").alias("node")), "fingerprints")
+    equal = nodes.select("node", "fp0").join(distinct.withColumnRenamed("node", "u"), "fp0").filter("u <> node").select("u", F.col("node").alias("v"))
+    return equal.unionByName(staged(stars(refined(distinct), radius), "stars"))
+
+
 def keep_one(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """docs without those that are linked to a document with a smaller doc_id. Of rows that share the smallest doc_id one
-    stays: the one with the longest, then the smallest text. Documents without words or doc_id all stay."""
-    found = similar_classes(docs.filter(F.col("doc_id").isNotNull() & text_of().rlike(r"[^\x20\x09-\x0D]")), size, similarity)
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    twice = left.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    first = Window.partitionBy("doc_id").orderBy(F.length(text_of()).desc(), text_of())
-    again = left.join(twice, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").drop("_nth")
-    return left.join(twice, "doc_id", "left_anti").unionByName(again)
+    """docs with one row of each class of rows that links of this similarity or more connect: the one with the smallest
+    doc_id (null last), then the longest text, then the smallest digest of it, then the first read. Rows without words all
+    stay. Rows go by what they hold, not by their id: rows that share a doc_id stay unless their texts link."""
+    rows = prepared(docs, size)
+    nodes = rows.filter("keys IS NOT NULL")
+    roots = similar_classes(nodes, fingerprint_links(nodes), size, similarity)
+    at = f"c{docs.columns.index('doc_id')}"
+    rank = F.struct(F.col(at).isNull(), F.col(at), -F.length("text"), F.xxhash64("text"), "rid")
+    named = rows.filter("node IS NOT NULL").select("node", "rid", rank.alias("rank")).join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "rid", "rank")
+    named = staged(named, "named")
+    first = named.groupBy("root").agg(F.min("rank").alias("first")).select("root", F.col("first.rid").alias("first"))
+    gone = named.join(first, "root").filter("rid <> first").select("rid")
+    return rows.join(gone, "rid", "left_anti").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

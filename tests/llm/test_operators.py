@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -11,7 +12,7 @@ import public_tokenizers
 import pytest
 import xxhash
 
-from burrowline.llm import components, packing, pii, quality_rules, secrets, sentencepiece_bpe, shingle_join, simhash, suffix_dedup, token_counts, token_files, topk, word_ids
+from burrowline.llm import components, packing, pii, quality_rules, secrets, sentencepiece_bpe, near_links, simhash, suffix_dedup, token_counts, token_files, topk, word_ids
 from burrowline.llm.common import fresh_path
 
 PIECE, WORD = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
@@ -139,6 +140,72 @@ def test_context_patterns_find_unseen_identifiers(spark):
     assert out[100] == "some text patient phone <context> tail" and "+1" not in out[3] and "<phone>" in out[3] and out[101] == rows[13][1]
 
 
+def plain_context_spans(rows):
+    """Bootstrapped extraction in plain Python: patterns of two words, scored until nothing changes."""
+    from math import prod
+
+    def pattern(t, x):
+        words = re.findall(r"[^\W_]+", t[:x])[-2:]
+        return re.sub("[0-9]", "0", " ".join(["^"] * (2 - len(words)) + words).lower())
+
+    edges, places = {}, defaultdict(list)
+    for d, t in rows:
+        taken = [(a, z) for _, a, z in pii_base(t)]
+        for a, z in taken:
+            edges[pattern(t, a), t[a:z].lower()] = True
+        for m in re.finditer("[A-Za-z0-9][A-Za-z0-9_./+-]*", t):
+            a, z = m.span()
+            if len(re.findall("[0-9]", m[0])) >= 4 and not any(x < z and a < y for x, y in taken):
+                edges.setdefault((pattern(t, a), m[0].lower()), False)
+                places[pattern(t, a)].append((d, a, z))
+    trust, before = {e: float(seed) for e, seed in edges.items()}, None
+    while True:
+        mass = defaultdict(list)
+        for (p, _), v in trust.items():
+            mass[p].append(v)
+        good = {p: sum(v) / (len(v) + 1) for p, v in mass.items() if sum(x >= 0.8 for x in v) >= 5 and sum(v) / (len(v) + 1) >= 0.5}
+        now = {p: round(1000 * c) for p, c in good.items()}
+        if now == before:
+            break
+        before, of, own = now, defaultdict(list), {i for (_, i), seed in edges.items() if seed}
+        for p, i in edges:
+            of[i].append(1 - good.get(p, 0.0))
+        trust = {(p, i): 1.0 if i in own else 1 - prod(of[i]) for p, i in edges}
+    out = defaultdict(list)
+    for p, c in good.items():
+        for d, a, z in places[p] if c >= 0.8 else ():
+            out[d].append((a, z))
+    return {d: sorted(v) for d, v in out.items()}
+
+
+def test_context_spans_equal_plain_bootstrapping_and_find_planted_identifiers(spark, small):
+    r, rows, planted = random.Random(12), [], []
+    leads = ["patient number", "call us at", "card on file", "member ref"]
+    for i in range(400):
+        lead, t = r.choice(leads), prose(r.randint(0, 6), 7000 + i)
+        if r.random() < 0.8 or lead == "member ref":
+            known = r.random() < 0.7
+            value = f"+1 555 {r.randint(100, 999)} {r.randint(1000, 9999)}" if known and lead != "member ref" else f"{r.choice('ABC')}{r.randint(1, 9)}-{r.randint(10000, 99999)}-Q"
+            planted += [i] if "Q" in value and lead != "member ref" else []
+        else:
+            value = prose(1, i)
+        rows.append((i, f"{t} {lead}: {value} and so on"))
+    for df, plain in ((spark.createDataFrame(rows, "doc_id long, text string"), rows), small):
+        expected = plain_context_spans(plain)
+        found = {x["doc_id"]: [tuple(map(int, s.split(":")[1:])) for s in x["spans"].split(",") if s.startswith("context")] for x in pii.find(df).collect()}
+        assert {d: v for d, v in found.items() if v} == expected
+        if plain is rows:
+            assert len(planted) > 40 and sum(bool(found[d]) for d in planted) >= 0.9 * len(planted)
+
+
+def test_personal_data_in_long_runs_takes_linear_time():
+    for t in ("a" * 400_000, "-" * 300_000 + "1234", "1." * 200_000, "x1234;" * 60_000, "a@" * 100_000, "+1" * 150_000):
+        begun = time.process_time()
+        pii.spans_of(t)
+        [pii.pattern_before(t, m.start()) for m in pii.TOKEN.finditer(t)]
+        assert time.process_time() - begun < 5
+
+
 def test_redaction_keeps_columns_and_nulls(hard, empty):
     out = pii.redact(hard[0])
     assert out.columns == hard[0].columns and out.count() == len(hard[1])
@@ -175,6 +242,69 @@ def test_randomness_battery_finds_random_tokens_and_leaves_words(spark):
     assert found[0]["spans"] == "random:10:70"
 
 
+def plain_random_spans(rows, rate=0.01):
+    """The battery and both controls in plain Python; p-values binned as stated, thresholds per stratum of length."""
+    from math import erfc, exp, floor, log10, pi, sqrt
+
+    def log_tail(z):  # Zelen and Severo's polynomial for the chance of a standard normal below z, as -log10
+        x = max(-z, 0.0)
+        t = 1 / (1 + 0.2316419 * x)
+        poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
+        found = x * x / 2 * log10(exp(1)) + log10(sqrt(2 * pi)) - log10(poly)
+        assert x > 4 or abs(found + log10(erfc(x / sqrt(2)) / 2)) < 1e-3
+        return found
+
+    cands = []
+    for d, t in rows:
+        base = [(a, z) for a, _, z, _ in secret_base(t)]
+        for m in re.finditer("[A-Za-z0-9+/=_-]{20,}", t):
+            if any(a < m.end() and m.start() < z for a, z in base):
+                continue
+            body = m[0].replace("-", "+").replace("_", "/").rstrip("=")
+            i = next(i for i, e in enumerate(secrets.ENCODINGS) if not e[1] or re.search(e[1], body))
+            alphabet, model = secrets.ENCODINGS[i][2], secrets.MODELS[i]
+            x = [alphabet.index(c) for c in (body.lower() if i == 0 else body) if c in alphabet]
+            n, k = len(x), len(alphabet)
+            if n < 16:
+                continue
+            squares, upper = sum(x.count(v) ** 2 for v in set(x)), sum(2 * v >= k for v in x)
+            changes = sum((2 * a >= k) != (2 * b >= k) for a, b in zip(x, x[1:], strict=False))
+            product = sum((a - (k - 1) / 2) * (b - (k - 1) / 2) for a, b in zip(x, x[1:], strict=False))
+            chi = (k * squares / n - n - (k - 1)) / sqrt(2 * (k - 1) * (n - 1) / n)
+            mean = 1 + 2 * upper * (n - upper) / n
+            runs = (changes + 1 - mean) / sqrt((mean - 1) * (mean - 2) / (n - 1)) if mean > 2 else 99.0
+            serial = product / (n - 1) / ((k * k - 1) / 12) * sqrt(n - 1)
+            y = (log_tail(-chi) + max(log_tail(-abs(runs)) - log10(2), 0) + max(log_tail(-abs(serial)) - log10(2), 0)) / log10(exp(1))
+            doubt = y * log10(exp(1)) - log10(1 + y + y * y / 2)
+            means, spreads = secrets.under_text(n, model)
+            z = sum(model[f"w{j}"] * sign * (v - mu) / sqrt(var) for j, (v, sign, mu, var) in enumerate(zip((squares, changes, product), (1, -1, 1), means, spreads, strict=True)))
+            cands.append((d, m.start(), m.end(), sum(n >= s for s in secrets.STRATA), min(floor(8 * log_tail(z)), 400), min(floor(8 * doubt), 400)))
+    out = defaultdict(list)
+    for stratum in range(4):
+        mine = [c for c in cands if c[3] == stratum]
+        limits = []
+        for col in (4, 5):
+            good = [b for b in {c[col] for c in mine} if len(mine) * 10 ** (-b / 8) <= rate * sum(c[col] >= b for c in mine)]
+            limits.append(min(good, default=10**9))
+        for c in mine:
+            if c[4] >= limits[0] and c[5] < limits[1]:
+                out[c[0]].append((c[1], c[2]))
+    return defaultdict(list, {d: sorted(v) for d, v in out.items()})
+
+
+def test_random_tokens_equal_the_plain_battery(spark, small):
+    r = random.Random(8)
+    alphabets = [e[2] for e in secrets.ENCODINGS]
+    rows = [(i, " ".join("".join(r.choice(r.choice([alphabets[i % 5], "etaoinshrdlu", "0123456789"]) if r.random() < 0.3 else alphabets[i % 5]) for _ in range(r.randint(14, 100))) for _ in range(3))) for i in range(120)]
+    rows += [(1000 + i, "/".join(r.choice(WORDS) for _ in range(9)) + " " + "".join(r.choice(WORDS) for _ in range(r.randint(4, 20)))) for i in range(200)]
+    for df, plain in ((spark.createDataFrame(rows, "doc_id long, text string"), rows), small):
+        expected, differ = plain_random_spans(plain), 0
+        for x in secrets.secrets(df).collect():
+            got = [tuple(map(int, s.split(":")[1:])) for s in x["spans"].split(",") if s.startswith("random")]
+            differ += got != expected[x["doc_id"]]
+        assert differ <= 1  # a p-value at the very edge of its bin
+
+
 # 4, 8 SentencePiece
 
 
@@ -203,15 +333,25 @@ def test_agenda_on_whole_texts_is_the_same():
     for _ in range(400):
         t = "".join(r.choice(["a", "the", " ", "  ", "é", ".", "\r", "²", "▁", "\n", "9", "'", "”", "😀"]) for _ in range(r.randint(1, 30)))
         assert a.merge("▁" + t.replace(" ", "▁")) == sp.encode(t)
-        parts = a.parts(t)
-        a.learn([parts], True)
-        assert [i for p in parts for i in a.merge(p)] == sp.encode(t) and not a.differ
+        assert [i for p in a.parts(t) for i in a.merge(p)] == sp.encode(t)
+        assert a.of_texts([t]) == a.by_library([t])
+
+
+def test_where_agenda_and_library_differ_the_library_counts(spark, monkeypatch):
+    monkeypatch.setattr(sentencepiece_bpe.Agenda, "merge", lambda self, text: [5] * len(text))
+    a = sentencepiece_bpe.Agenda(PIECE)
+    assert a.of_texts(["some text"]) != a.by_library(["some text"]) == [(",".join(map(str, library().encode("some text"))).encode(), "some text")]
 
 
 def test_token_counts_and_cache(spark, hard, small, empty):
     sp = library()
     for df, rows in ((hard[0], pairs(hard[1])), small):
         same(token_counts.token_counts(df, PIECE, limit=100).collect(), [(d, len(t.encode()), len(sp.encode(t)), len(sp.encode(t)) > 100) for d, t in rows])
+    same(token_counts.token_counts(hard[0], PIECE, limit=100, shares=3).collect(), [(d, len(t.encode()), len(sp.encode(t)), len(sp.encode(t)) > 100) for d, t in pairs(hard[1])])
+    twice = fresh_path(spark, "test-cache-twice")
+    token_counts.add_missing(hard[0], PIECE, twice)
+    spark.read.parquet(twice).write.mode("append").parquet(twice)  # as by two writers
+    assert token_counts.token_counts(hard[0], PIECE, twice).count() == len(hard[1])
     cache = fresh_path(spark, "test-cache")
     token_counts.token_counts(hard[0], PIECE, cache)
     n = spark.read.parquet(cache).count()
@@ -387,13 +527,19 @@ def test_forest_finds_all_links():
     assert found == {(int(a), int(b)) for a, b in zip(*np.where((d <= 3) & (group[:, None] == group[None, :])), strict=True) if a != b}
 
 
-def test_crowded_keys_are_split_without_losing_links(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "SHARD", 8)
+def test_crowded_keys_are_refined_without_losing_links(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SHARD", 60)
     g = np.random.default_rng(2)
-    fps = {int(x) for x in np.uint64(0x0123456789ABCDEF) ^ (np.uint64(1) << g.integers(0, 64, 60).astype(np.uint64))} | {0x0123456789ABCDEF}
-    rows = [(i, f - (1 << 64) if f >> 63 else f) for i, f in enumerate(sorted(fps))]
-    out = simhash.classes(spark.createDataFrame(rows, "doc_id long, fp0 long")).collect()
-    assert len(out) == len(rows) and {r["component_id"] for r in out} == {0}
+    fps = np.full(900, 0x8123456789ABCDEF, np.uint64)
+    for _ in range(5):
+        fps ^= np.uint64(1) << g.integers(0, 64, 900).astype(np.uint64)
+    fps = np.unique(fps)
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 3
+    expected = smallest(list(range(len(fps))), lambda i: np.flatnonzero(near[i]))
+    df = spark.createDataFrame([(i, int(f)) for i, f in enumerate(fps.view(np.int64))], "node long, fp0 long")
+    assert simhash.refined(df).groupBy("key").count().agg({"count": "max"}).first()[0] <= 60
+    out = simhash.classes(df.withColumnRenamed("node", "doc_id")).collect()
+    assert {int(np.uint64(r["fp0"] & (1 << 64) - 1)): r["component_id"] for r in out} == dict(zip(map(int, fps), expected, strict=True))
 
 
 def test_keep_one(spark, hard, empty):
@@ -401,7 +547,7 @@ def test_keep_one(spark, hard, empty):
     near = " ".join(base[:150] + ["changed"] + base[151:])
     rows = [(5, " ".join(base)), (6, near), (7, prose(300, 12)), (8, ""), (9, ""), (None, " ".join(base)), (7, prose(300, 12) + " longer"), (10, " ".join(base))]
     out = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert sorted((r["doc_id"] is not None, r["doc_id"] or 0) for r in out.collect()) == [(False, 0), (True, 5), (True, 7), (True, 8), (True, 9)]
+    assert sorted((r["doc_id"] is not None, r["doc_id"] or 0) for r in out.collect()) == [(True, 5), (True, 7), (True, 8), (True, 9)]
     assert simhash.keep_one(hard[0]).columns == hard[0].columns and simhash.keep_one(empty).count() == 0
 
 
@@ -425,19 +571,38 @@ def around_the_bound():
     return rows + [(7000 + i, t) for i, t in enumerate(["one", "One", "one two", "one two", "a b c d e", "a b c d f", rows[3][1].upper(), rows[3][1].replace(" ", "\n")])]
 
 
-@pytest.mark.parametrize("hub", [256, 2])
-def test_similarity_is_exact_at_the_bound(spark, monkeypatch, hub):
-    monkeypatch.setattr(shingle_join, "HUB", hub)
-    monkeypatch.setattr(shingle_join, "PAIRS", 50)
-    monkeypatch.setattr(shingle_join, "CHUNK", 500)
-    rows = around_the_bound()
+def around_a_template(n):
+    """Copies of one text with a few words changed in each: most pairs are alike by 0.7 to 0.9."""
+    r, base = random.Random(23), prose(200, 77).split()
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for at in r.sample(range(len(w)), r.randint(1, 6)):
+            w[at] = f"x{r.random()}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize(("hub", "small", "crowd"), [(256, 8, 1 << 15), (2, 3, 40)])
+def test_classes_of_similar_texts_at_the_bound(spark, monkeypatch, hub, small, crowd):
+    for name, value in (("HUB", hub), ("PAIRS", 50), ("CHUNK", 500), ("SMALL", small), ("CROWD", crowd)):
+        monkeypatch.setattr(near_links, name, value)
+    rows = around_the_bound() + [(20000 + i, t) for i, t in around_a_template(60)]
     sets = [shingles(t) for _, t in rows]
     alike = [[len(a & b) / len(a | b) for b in sets] for a in sets]
     assert sum(0.76 <= x < 0.8 for y in alike for x in y) > 20 < sum(0.8 <= x < 0.84 for y in alike for x in y)
     expected = smallest([d for d, _ in rows], lambda i: [j for j in range(len(rows)) if alike[i][j] >= 0.8])
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    same(shingle_join.similar_classes(df).collect(), list(zip([d for d, _ in rows], expected, strict=True)))
-    assert {r["doc_id"] for r in simhash.keep_one(df).collect()} == set(expected)
+    kept = {r["doc_id"] for r in simhash.keep_one(df).collect()}
+    assert kept == set(expected)
+
+
+def test_keep_one_by_rows_and_not_by_ids(spark):
+    texts = [prose(80, 300 + i) for i in range(4)]
+    rows = [(5, texts[0], "a"), (5, texts[1], "b"), (9, texts[2], "c"), (9, texts[3], "d"), (None, texts[0], "e"), (None, None, "f"), (3, texts[0] + " x", "g")]
+    out = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, _nth string"))
+    assert out.columns == ["doc_id", "text", "_nth"]
+    assert sorted(r["_nth"] for r in out.collect()) == ["b", "c", "d", "f", "g"]
 
 
 def test_components_of_chains_and_hubs(spark):
@@ -533,7 +698,7 @@ def test_suffix_dedup_of_overlapping_passages(spark, monkeypatch):
 def test_crowded_anchors_do_not_meet_in_one_place(spark, monkeypatch):
     r, seen, sort = random.Random(8), [], suffix_dedup.compared
     monkeypatch.setattr(suffix_dedup, "HOT", 6)
-    monkeypatch.setattr(suffix_dedup, "compared", lambda found, length: seen.append(max([x["count"] for x in found.groupBy("k").count().collect()], default=0)) or sort(found, length))
+    monkeypatch.setattr(suffix_dedup, "compared", lambda found, length: seen.append(max([x["count"] for x in found.filter(f"kind = {suffix_dedup.COMPARE}").groupBy("k").count().collect()], default=0)) or sort(found, length))
     licence, other = prose(40, 300), prose(30, 301)
     rows = [(i // 2 if i % 7 == 0 else i, prose(r.randint(3, 30), 400 + i) + licence[r.randint(0, 9) :] + prose(r.randint(3, 30), 600 + i) + (other if i % 15 == 0 else "")) for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
@@ -541,9 +706,63 @@ def test_crowded_anchors_do_not_meet_in_one_place(spark, monkeypatch):
     assert 1 < seen[0] <= 6
 
 
+def footed(n):
+    """Texts of their own but for one footer that all of them hold: every run at its edge has a content of its own."""
+    r, footer = random.Random(31), "".join(random.Random(30).choice("abcdefgh ") for _ in range(130))
+    return [(i, "".join(r.choice("ijklmnop ") for _ in range(r.randint(80, 160))) + footer + "".join(r.choice("qrstuvwx ") for _ in range(60))) for i in range(n)]
+
+
+def test_an_anchor_of_all_texts_is_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CROWDED", 8)
+    rows = footed(400)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    keyed = suffix_dedup.keyed_docs(df)
+    crowded = suffix_dedup.crowded_anchors(keyed, 100, 32)
+    assert len(crowded)
+    found = suffix_dedup.runs(keyed, 100, 32, crowded).filter("NOT repeated")
+    most = found.groupBy("k").count().orderBy("count", ascending=False).first()
+    assert most["count"] > 300 and most["k"] in crowded
+    spread = found.filter(f"k = {most['k']}").repartition(8, "part").rdd.mapPartitions(lambda x: [sum(1 for _ in x)]).collect()
+    assert max(spread) < 0.35 * most["count"]
+    same(suffix_dedup.op9(df).collect(), plain_dedup(rows))
+
+
+@pytest.mark.parametrize("bits", [1, 4])
+def test_clashing_digests_remove_nothing_that_is_not_repeated(spark, small, bits):
+    rows = [(i, t[a:]) for i, (_, t) in enumerate(small[1][:60]) for a in (0,)] + [(100 + i, t) for i, t in footed(30)] + [(7, small[1][3][1]), (7, prose(40, 71)), (None, prose(40, 71)), (None, prose(30, 72))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = suffix_dedup._applied(df, 100, 32, False, bits)
+    same(out.collect(), plain_dedup([(d, t or "") for d, t in rows]))
+
+
+@pytest.mark.parametrize("weak", ["bytes", "base"])
+def test_clashing_polynomial_hashes_are_settled_by_the_bytes(monkeypatch, weak):
+    if weak == "bytes":
+        monkeypatch.setattr(suffix_dedup, "VALUE", np.arange(256, dtype=np.uint64) // np.uint64(4))
+    else:
+        monkeypatch.setattr(suffix_dedup, "powers", lambda n: (np.ones(n, np.uint64), np.ones(n, np.uint64)))
+    r = random.Random(3)
+    for _ in range(40):
+        pool = ["".join(r.choice("abcd") for _ in range(60)) for _ in range(3)]
+        texts = ["".join(r.choices(pool, k=2))[: r.randint(30, 90)].encode() for _ in range(r.randint(2, 9))]
+        n = np.array([len(t) - 24 for t in texts])
+        anchor = n - 1 + np.zeros(len(texts), int)
+        k, dk, start = np.zeros(len(texts), np.int64), np.arange(len(texts)), np.array([r.randint(0, 50) for _ in texts])
+        row, at = suffix_dedup.matched(k, dk, start, n, anchor, texts, 25)
+        first, expected = {}, set()
+        for i, t in enumerate(texts):
+            for j in range(int(n[i])):
+                if first.setdefault(t[j : j + 25], (i, int(start[i]) + j)) != (i, int(start[i]) + j):
+                    expected.add((i, int(start[i]) + j))
+        assert expected <= set(zip(row.tolist(), at.tolist(), strict=True)) or len({int(a) for a in anchor}) > 1
+        good = {(i, int(start[i]) + j) for i, t in enumerate(texts) for j in range(int(n[i])) if first[t[j : j + 25]] != (i, int(start[i]) + j)}
+        assert set(zip(row.tolist(), at.tolist(), strict=True)) <= good
+
+
 def test_dedup_keeps_columns(hard, empty):
     out = suffix_dedup.dedup(hard[0])
-    assert set(hard[0].columns) - {"dk", "spans", "size", "packed"} <= set(out.columns) and out.count() == len(hard[1])
+    assert set(hard[0].columns) <= set(out.columns) and out.count() == len(hard[1])
+    same(out.select("spans", "size", "packed", "dk").collect(), [(r[8], r[9], r[10], r[7]) for r in hard[1]])
     assert suffix_dedup.dedup(empty).count() == 0
 
 
