@@ -559,15 +559,15 @@ def shingles(t, size=5):
 def around_the_bound():
     """Families of copies whose similarity to their first one, and to each other, lies closely on both sides of 0.8."""
     r, rows = random.Random(17), []
-    for f in range(12):
+    for f in range(6):
         base = prose(r.choice([60, 150, 400]), 500 + f).split()
-        for k in range(10):
+        for k in range(9):
             w, changed = list(base), (r.randint(0, len(base) // 40 + 1) if f % 3 else len(base) // 45 + r.randint(0, 1)) if k else 0
             for at in r.sample(range(len(w)), changed):
                 w[at] = f"other{r.random()}"
             rows.append((100 * k + f, " ".join(w)))
     shared = prose(160, 900)  # a template: 0.6 to 0.75 alike, all to be kept
-    rows += [(5000 + i, shared + " " + prose(r.randint(25, 36), 2000 + i)) for i in range(30)]
+    rows += [(5000 + i, shared + " " + prose(r.randint(25, 36), 2000 + i)) for i in range(8)]
     return rows + [(7000 + i, t) for i, t in enumerate(["one", "One", "one two", "one two", "a b c d e", "a b c d f", rows[3][1].upper(), rows[3][1].replace(" ", "\n")])]
 
 
@@ -583,14 +583,13 @@ def around_a_template(n):
     return rows
 
 
-@pytest.mark.parametrize(("hub", "small", "crowd"), [(256, 8, 1 << 15), (2, 3, 40)])
-def test_classes_of_similar_texts_at_the_bound(spark, monkeypatch, hub, small, crowd):
-    for name, value in (("HUB", hub), ("PAIRS", 50), ("CHUNK", 500), ("SMALL", small), ("CROWD", crowd)):
+def test_classes_of_similar_texts_at_the_bound(spark, monkeypatch):
+    for name, value in (("HUB", 2), ("PAIRS", 50), ("CHUNK", 500), ("SMALL", 3), ("CROWD", 20)):
         monkeypatch.setattr(near_links, name, value)
-    rows = around_the_bound() + [(20000 + i, t) for i, t in around_a_template(60)]
+    rows = around_the_bound() + [(20000 + i, t) for i, t in around_a_template(26)]
     sets = [shingles(t) for _, t in rows]
     alike = [[len(a & b) / len(a | b) for b in sets] for a in sets]
-    assert sum(0.76 <= x < 0.8 for y in alike for x in y) > 20 < sum(0.8 <= x < 0.84 for y in alike for x in y)
+    assert sum(0.76 <= x < 0.8 for y in alike for x in y) > 10 < sum(0.8 <= x < 0.84 for y in alike for x in y)
     expected = smallest([d for d, _ in rows], lambda i: [j for j in range(len(rows)) if alike[i][j] >= 0.8])
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     kept = {r["doc_id"] for r in simhash.keep_one(df).collect()}
