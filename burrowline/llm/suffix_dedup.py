@@ -52,8 +52,8 @@ CHUNK_BYTES = 3 << 20
 HOT = 4096
 #: Documents looked at to find crowded anchors, and contents among them that make one crowded.
 SAMPLE, CROWDED = 4000, 64
-#: Documents that a task remembers as sent.
-SEEN = 1 << 18
+#: Documents and strings that a task remembers as sent.
+SEEN, STRINGS = 1 << 18, 1 << 18
 NO_ID = -(1 << 63)
 
 _rng = np.random.default_rng(20240229)
@@ -569,13 +569,43 @@ def compared(found: DataFrame, length: int) -> DataFrame:
     return staged(found.repartition("k").sortWithinPartitions("kind", "k", F.desc("lead"), "dk", "start").mapInArrow(run, FOUND), "found")
 
 
+def first_strings(found: DataFrame, length: int) -> DataFrame:
+    """CONTEXTS -> (string, dk, sid, start, n): the strings that a task sees for the first time; and, with null for string, the
+    others of each run, which stand later, neighbours as one. Rows come in the order of their places."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[bytes, tuple[int, int]] = {}
+        for b in batches:
+            out: tuple[list, ...] = ([], [], [], [], [])
+            cols = [b.column(c).to_pylist() for c in ("dk", "sid", "start", "n", "context")]
+            for dk, sid, start, n, text in zip(*cols, strict=True):
+                later = None
+                for i in range(n):
+                    string, place = text[i : i + length], (dk, start + i)
+                    again = seen.setdefault(string, place) != place
+                    if again and later is not None:
+                        out[4][later] += 1
+                        continue
+                    later = len(out[0]) if again else None
+                    for o, v in zip(out, (None if again else string, dk, sid, start + i, 1), strict=True):
+                        o.append(v)
+            if len(seen) > STRINGS:
+                seen.clear()
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds, strict=True)], names=["string", "dk", "sid", "start", "n"])
+
+    rows = found.select("dk", "sid", "start", "n", "context").sortWithinPartitions("dk", "start")
+    return staged(rows.mapInArrow(run, "string binary, dk long, sid long, start long, n int"), "strings")
+
+
 def strings_compared(found: DataFrame, length: int) -> DataFrame:
-    """CONTEXTS -> (dk, sid, start, n): the same as compared(), string by string, so that no anchor's contexts must meet."""
-    each = found.select("dk", "sid", "start", "context", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
-    each = each.select("dk", "sid", (F.col("start") + F.col("i")).alias("start"), F.substring("context", F.col("i") + 1, F.lit(length)).alias("string"))
-    least = each.groupBy("string").agg(F.min(F.struct("dk", "start")).alias("first"))
-    later = each.join(least, "string").filter(F.struct("dk", "start") != F.col("first"))
-    return later.select("dk", "sid", "start", F.lit(1).alias("n"))
+    """CONTEXTS -> (dk, sid, start, n): the same as compared(), string by string, so that no anchor's contexts must meet. A
+    task sends each string on once, so a string that very many documents hold meets itself once per task."""
+    each = first_strings(found, length)
+    own = each.filter("string IS NOT NULL")
+    least = own.groupBy("string").agg(F.min(F.struct("dk", "start")).alias("first"), F.count("*").alias("times")).filter("times > 1")
+    later = own.join(least, "string").filter(F.struct("dk", "start") != F.col("first"))
+    return each.filter("string IS NULL").select("dk", "sid", "start", "n").unionByName(later.select("dk", "sid", "start", "n"))
 
 
 def keyed_docs(docs: DataFrame) -> DataFrame:
