@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import zipfile
 from pathlib import Path
 
@@ -27,6 +28,9 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return found
 
 
+_freed = 0.0
+
+
 def discard(*tables: DataFrame | None) -> None:
     """Remove the folders of staged tables that nothing reads any more, and let Spark drop the shuffles behind them."""
     paths = [t.staged_path for t in tables if t is not None and hasattr(t, "staged_path")]
@@ -36,8 +40,11 @@ def discard(*tables: DataFrame | None) -> None:
     for p in paths:
         path = spark._jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    spark._jvm.System.gc()  # shuffle files go with the plans that wrote them
+    global _freed
+    if time.monotonic() - _freed > 30:  # shuffle files go with the plans that wrote them
+        _freed = time.monotonic()
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def ready(spark: SparkSession) -> None:
