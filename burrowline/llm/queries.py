@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from burrowline.llm import packing, pii, quality_rules, secrets, sentencepiece_bpe, simhash, suffix_dedup, token_counts, token_files, topk
+from burrowline.llm import fill_in_middle, filter_audit, packing, pii, quality_rules, secrets, sentencepiece_bpe, simhash, suffix_dedup, token_counts, token_files, topk, warc
 from burrowline.llm.common import documents
 
 
@@ -57,6 +57,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.op10(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.op11(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.op12(documents(spark, sf_dir))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -71,7 +83,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_suffix_dedup,
         op10_token_files,
+        op11_warc,
+        op12_fill_in_middle,
+        op13_filter_audit,
     )
 }
 #: The others tokenize, hash or iterate in ways that SQL can't state; tests hold them against brute force.
-ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.SQL, "quality_ablation": quality_rules.ABLATION_SQL, "op7_top_k": topk.SQL}
+ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.SQL, "quality_ablation": quality_rules.ABLATION_SQL, "op7_top_k": topk.SQL, "op11_warc": warc.SQL, "op12_fill_in_middle": fill_in_middle.SQL, "op13_filter_audit": filter_audit.SQL}
