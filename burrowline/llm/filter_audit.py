@@ -47,7 +47,7 @@ def judged(docs: DataFrame, labels: DataFrame, part: str = "lang") -> DataFrame:
     rows = texts.select("doc_id", "part", F.unhex(F.sha2(F.col("_t").cast("binary"), 256)).alias("digest"), bits.cast("int").alias("mask"))
     known = staged(labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic")), "audit-labels")
     no = F.lit(False)
-    out = staged(rows.join(known, "doc_id", "left").select("doc_id", "part", "digest", "mask", F.coalesce("good", no).alias("good"), F.coalesce("toxic", no).alias("toxic")), "audit")
+    out = staged(rows.join(known.hint("merge"), "doc_id", "left").select("doc_id", "part", "digest", "mask", F.coalesce("good", no).alias("good"), F.coalesce("toxic", no).alias("toxic")), "audit")
     discard(known)
     return out
 
