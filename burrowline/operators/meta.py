@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from burrowline.functions.scalar import genotype, plain_session, sex_code, subject_name, task_list, whole
-from burrowline.operators.discover import keep_last
 
 
 def clean_registry(sheet: DataFrame) -> DataFrame:
@@ -36,23 +35,26 @@ def unknown_task(sheet: DataFrame, asked: DataFrame) -> DataFrame:
     return asked.join(known, "task", "left_anti").withColumn("reason", F.lit("unknown task"))
 
 
-def pooled_cages(files: list[tuple[str, DataFrame]]) -> DataFrame:
-    """Cage ids of several sheets: trimmed headers, the alias column renamed, rows that don't parse skipped, the last file and
-    row winning (SC3, U1, W8). A sheet without the three key columns adds nothing."""
-    out = None
-    for name, df in files:
-        df = df.toDF(*[c.strip() for c in df.columns])
-        if "Unique animal ID" in df.columns and "animal ID" not in df.columns:
-            df = df.withColumnRenamed("Unique animal ID", "animal ID")
-        if not {"animal ID", "cohort ID", "cage ID"} <= set(df.columns):
-            continue
-        row = F.col("_row") if "_row" in df.columns else F.monotonically_increasing_id().cast("string")
-        one = df.select(whole(F.col("`animal ID`")).alias("animal_id"), F.trim(F.col("`cohort ID`").cast("string")).alias("cohort_id"), whole(F.col("`cage ID`")).alias("cage_id"), F.lit(name).alias("_file"), row.alias("_row"))
-        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
-    if out is None:
-        raise ValueError("no sheet has the columns animal ID, cohort ID, cage ID")
-    good = out.filter(F.col("animal_id").isNotNull() & F.col("cohort_id").isNotNull() & F.col("cage_id").isNotNull())
-    return keep_last(good, ["animal_id", "cohort_id"], ["_file", "_row"]).drop("_file", "_row")
+#: The key columns of a cage sheet, and the other name that the first one can have.
+CAGE_COLUMNS = {"animal": "animal ID", "cohort": "cohort ID", "cage": "cage ID"}
+CAGE_ALIAS = "Unique animal ID"
+
+
+def cage_place(header: Column, name: str) -> Column:
+    """Where a sheet has one of its key columns, from 0."""
+    at = lambda h: F.nullif(F.array_position(header, h), F.lit(0)) - 1
+    found = at(CAGE_COLUMNS[name])
+    return (F.coalesce(found, at(CAGE_ALIAS)) if name == "animal" else found).cast("int")
+
+
+def pooled_cages(sheet: DataFrame) -> DataFrame:
+    """Cage ids of several sheets (path, row_no, c, and the places animal, cohort, cage in each row's own sheet): rows that
+    don't parse are skipped, the last file and row win (SC3, U1, W8). A sheet without the three key columns adds nothing."""
+    cell = lambda name: F.get("c", F.col(name))
+    read = sheet.filter("row_no > 0").select(whole(cell("animal")).alias("animal_id"), F.trim(cell("cohort")).alias("cohort_id"), whole(cell("cage")).alias("cage_id"), "path", "row_no")
+    good = read.filter("animal_id IS NOT NULL AND cohort_id IS NOT NULL AND cage_id IS NOT NULL")
+    last = good.groupBy("animal_id", "cohort_id").agg(F.max(F.struct("path", "row_no", "cage_id")).alias("m"))
+    return last.select("animal_id", "cohort_id", "m.cage_id")
 
 
 def with_cage(subjects: DataFrame, cages: DataFrame, key: list[str], cage: str = "cage_id") -> DataFrame:

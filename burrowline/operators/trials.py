@@ -23,30 +23,35 @@ STANDARD = (
 )
 
 
-def swim_trials(sheet: DataFrame, headers: list[str | None], key: list[str]) -> DataFrame:
-    """Positional sheet (c0, c1, ... and row_no) to typed trials (F21, F22, R2, R3). headers are the first line's cells; only
-    the first cell of a block has one, so blocks go by position. Blocks that a file lacks become null columns, so that all
-    files share a schema."""
-    first: dict[str, int] = {}
-    for i, h in enumerate(headers):
-        if h:
-            first.setdefault(h.strip(), i)
-    again = [i for i, h in enumerate(headers) if h and h.strip() == "Time to platform"]
-    at = lambda i: F.col(f"c{i}") if i is not None and f"c{i}" in sheet.columns else F.lit(None).cast("string")
-    typed = {"string": lambda c: c.cast("string"), "double": number, "int": whole}
-    cols = [typed[kind](at(first.get(h))).alias(name) for h, name, kind in STANDARD]
-
-    def block(i: int | None, names: tuple[str, ...], name: str) -> list[Column]:
-        return [number(at(None if i is None else i + k)).alias(name.format(n)) for k, n in enumerate(names)]
-
-    has = "Quadrant time (sec)" in first
-    cols += block(first.get("Quadrant time (sec)"), QUADRANTS, "time_in_{}_quadrant")
-    cols += block(first.get("Quadrant time (%)"), QUADRANTS, "percent_time_in_{}_quadrant")
-    cols += block((again[1] if len(again) > 1 else again[0]) if has and again else None, QUADRANTS, "time_to_platform_{}")
-    cols += block(first.get("Platform crossings") if has else None, QUADRANTS, "platform_crossings_{}")
-    cols += block(next((i for h, i in first.items() if "Zone (% time)" in h), None), ZONES, "zone_percent_time_{}")
-    when = day_and_clock(at(first.get("Date")), at(first.get("Time")))
-    return sheet.select(*key, "row_no", at(first.get("Animal")).alias("animal"), whole(at(first.get("Day"))).alias("day"), when.alias("ts"), *cols)
+#: The headers of the other columns, and of the blocks' first cells.
+OTHERS = {"animal": "Animal", "day": "Day", "date": "Date", "time": "Time"}
+SECONDS, PERCENT, REACHED, CROSSINGS, ZONE = "Quadrant time (sec)", "Quadrant time (%)", "Time to platform", "Platform crossings", "Zone (% time)"
+
+
+def swim_places(header: Column) -> Column:
+    """Where a sheet has each column and each block's first cell, as a struct of numbers from 0, null for what it lacks. Only
+    the first cell of a block has a header. The platform's block is the second column of that name, or the only one; it and
+    the crossings belong to sheets with quadrants (F21)."""
+    at = lambda name: (F.nullif(F.array_position(header, name), F.lit(0)) - 1).cast("int")
+    every = F.filter(F.sequence(F.lit(0), F.size(header) - 1), lambda i: F.coalesce(F.get(header, i) == REACHED, F.lit(False)))
+    zone = F.array_position(F.transform(header, lambda h: F.coalesce(h.contains(ZONE), F.lit(False))), True)
+    has = at(SECONDS).isNotNull()
+    return F.struct(
+        *[at(h).alias(name) for name, h in OTHERS.items()], *[at(h).alias(name) for h, name, _ in STANDARD], at(SECONDS).alias("seconds"), at(PERCENT).alias("percent"),
+        F.when(has, F.coalesce(F.get(every, F.lit(1)), F.get(every, F.lit(0)))).alias("reached"), F.when(has, at(CROSSINGS)).alias("crossings"), (F.nullif(zone, F.lit(0)) - 1).cast("int").alias("zone"),
+    )
+
+
+def swim_trials(sheet: DataFrame, key: list[str]) -> DataFrame:
+    """Sheets (c, the cells, and at, the places of their own file's columns) to typed trials (F21, F22, R2, R3). Blocks go by
+    position; columns and blocks that a file lacks become nulls, so that all files share a schema."""
+    cell = lambda name, k=0: F.get("c", F.col(f"at.{name}") + k)
+    typed = {"string": lambda c: c, "double": number, "int": whole}
+    block = lambda name, parts, label: [number(cell(name, k)).alias(label.format(n)) for k, n in enumerate(parts)]
+    cols = [typed[kind](cell(name)).alias(name) for _, name, kind in STANDARD]
+    cols += block("seconds", QUADRANTS, "time_in_{}_quadrant") + block("percent", QUADRANTS, "percent_time_in_{}_quadrant")
+    cols += block("reached", QUADRANTS, "time_to_platform_{}") + block("crossings", QUADRANTS, "platform_crossings_{}") + block("zone", ZONES, "zone_percent_time_{}")
+    return sheet.select(*key, "row_no", cell("animal").alias("animal"), whole(cell("day")).alias("day"), day_and_clock(cell("date"), cell("time")).alias("ts"), *cols)
 
 
 def of_animal(rows: DataFrame, animal: str, column: str = "animal") -> DataFrame:
@@ -75,28 +80,26 @@ def metrics_long(df: DataFrame, key: list[str], metrics: list[str], name: str =
     return df.unpivot(key, metrics, name, value)
 
 
-def without_empty_columns(df: DataFrame) -> DataFrame:
-    """SC7: one pass counts values per column, columns without any go."""
-    r = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"x{i}") for i, c in enumerate(df.columns)]).first()
-    return df.drop(*[c for i, c in enumerate(df.columns) if not r[i]])
-
-
 def freeze_trials(sheet: DataFrame, row_no: str = "row_no", key: list[str] | None = None) -> DataFrame:
     """Freeze-score sheets to one row per animal row and bin (R1): row 0 has onsets, row 1 durations, row 2 the bout duration
-    beside the threshold column; bins lie left of it. Each key has its own threshold column, found in the one aggregate that
-    also takes up its first rows; a key without one has no bins."""
+    beside the threshold column; bins lie left of it. The cells are the array c, with animal_at the animals' place, or else
+    the columns beside the key. Each key has its own threshold column; a key without one has no bins."""
     key = key or []
-    cells = [c for c in sheet.columns if c not in (row_no, *key)]
-    rows = sheet.select(*key, F.col(row_no).alias("row_no"), F.array(*[F.col(f"`{c}`").cast("string") for c in cells]).alias("c"))
+    if dict(sheet.dtypes).get("c") == "array<string>":
+        cells, animal = F.col("c"), F.col("animal_at") if "animal_at" in sheet.columns else F.lit(0)
+    else:
+        cells, animal = F.array(*[F.col(f"`{c}`").cast("string") for c in sheet.columns if c not in (row_no, *key)]), F.lit(0)
+    rows = sheet.select(*key, F.col(row_no).alias("row_no"), cells.alias("c"), animal.alias("animal_at"))
+    of = lambda df: df.groupBy(*key) if key else df.groupBy()
     edge = F.array_position(F.transform("c", lambda x: F.coalesce(x.contains("Threshold"), F.lit(False))), True)
+    edges = of(rows).agg(F.min(F.when(edge > 0, edge)).cast("int").alias("edge"))  # over all rows, but of numbers
     line = lambda n: F.max(F.when(F.col("row_no") == n, F.col("c")))
-    head = rows.groupBy(*key) if key else rows.groupBy()
-    head = head.agg(F.min(F.when(edge > 0, edge)).cast("int").alias("edge"), line(0).alias("onset"), line(1).alias("lasts"), line(2).alias("third"))
+    lines = of(rows.filter("row_no <= 2")).agg(line(0).alias("onset"), line(1).alias("lasts"), line(2).alias("third"))
     body = rows.filter("row_no >= 2")
-    both = body.join(head, key) if key else body.join(F.broadcast(head))  # one row
+    both = body.join(edges.join(lines, key), key) if key else body.join(F.broadcast(edges.join(F.broadcast(lines))))  # one row each
     at = lambda c, i: F.get(c, F.col("edge") - 1 + i)
     bins = F.posexplode(F.slice("c", F.lit(2), F.greatest(F.coalesce("edge", F.lit(2)) - 2, F.lit(0))))
-    long = both.select(*key, F.col("row_no").alias(row_no), F.get("c", F.lit(0)).alias("animal"), at("c", 0).alias("threshold"), at("c", 2).alias("protocol"), at("third", 1).alias("bout"), "onset", "lasts", bins.alias("bin", "v"))
+    long = both.select(*key, F.col("row_no").alias(row_no), F.get("c", F.col("animal_at")).alias("animal"), at("c", 0).alias("threshold"), at("c", 2).alias("protocol"), at("third", 1).alias("bout"), "onset", "lasts", bins.alias("bin", "v"))
     start, lasts = number(F.get("onset", F.col("bin") + 1)), number(F.get("lasts", F.col("bin") + 1))
     return long.select(*key, row_no, "animal", "threshold", "protocol", "bin", number(F.col("v")).alias("freezing"), start.alias("start_s"), lasts.alias("duration_s"), number(F.col("bout")).alias("bout_duration"), (start + lasts).alias("stop_s"))
 

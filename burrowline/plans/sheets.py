@@ -23,23 +23,28 @@ def session_list_sheet(spark, sf_dir):
     return readers.session_list(spark, shared.as_csv(sheet, "session-list"))
 
 
-@query("""WITH a AS (SELECT l_orderkey AS animal_id, l_linenumber AS cohort, max(l_partkey) AS cage FROM lineitem WHERE l_returnflag = 'A' GROUP BY ALL),
-b AS (SELECT l_orderkey AS animal_id, l_linenumber AS cohort, max(l_suppkey) AS cage FROM lineitem WHERE l_returnflag = 'N' GROUP BY ALL)
-SELECT CAST(coalesce(b.animal_id, a.animal_id) AS INT) AS animal_id, CAST(coalesce(b.cohort, a.cohort) AS VARCHAR) AS cohort_id, CAST(coalesce(b.cage, a.cage) AS INT) AS cage_id FROM a FULL JOIN b ON a.animal_id = b.animal_id AND a.cohort = b.cohort""")
+CAGES = "(SELECT CAST(l_orderkey % 1000 AS INT) AS animal_id, CAST(l_linenumber AS VARCHAR) AS cohort_id, CASE l_returnflag WHEN 'A' THEN l_partkey ELSE l_suppkey END AS cage, strftime(l_shipdate, '%Y-%m') || '_' || l_returnflag AS sheet, * FROM lineitem WHERE l_returnflag <> 'R')"
+CAGE_ORDER = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity"]
+
+
+@query(f"""SELECT animal_id, cohort_id, CAST(cage AS INT) AS cage_id FROM (SELECT *, row_number() OVER (PARTITION BY animal_id, cohort_id ORDER BY sheet DESC, l_orderkey DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC) AS k FROM {CAGES}) WHERE k = 1""")
 def pooled_cage_sheets(spark, sf_dir):
-    """SC3, U1, W8: two sheets with headers of their own, the later one winning; a third isn't pooled."""
-    li, folder = table(spark, sf_dir, "lineitem"), shared.fresh_path(spark, "cages")
-    one = lambda flag, cage: li.filter(F.col("l_returnflag") == flag).groupBy("l_orderkey", "l_linenumber").agg(F.max(cage).alias("c"))
-    for name, flag, cage, heads in (("1_POOLED", "A", "l_partkey", (" animal ID", "cohort ID ", "cage ID")), ("2_POOLED", "N", "l_suppkey", ("Unique animal ID", "cohort ID", "cage ID")), ("3_other", "R", "l_partkey", ("animal ID", "cohort ID", "cage ID"))):
-        written = shared.as_csv(one(flag, cage).toDF(*heads), "cage-sheet", files=2)
-        shared.renamed(spark, written, folder, name)
+    """SC3, U1, W8: a sheet per month and flag, two kinds of headers in two orders, later ones winning; others aren't pooled."""
+    li = table(spark, sf_dir, "lineitem")
+    one = F.col("l_returnflag") == "A"
+    sheet = F.concat_ws("_", F.date_format("l_shipdate", "yyyy-MM"), "l_returnflag", F.when(F.col("l_returnflag") == "R", "other").otherwise("POOLED"))
+    animal, cohort = (F.col("l_orderkey") % 1000).cast("string"), F.col("l_linenumber").cast("string")
+    row = F.when(one, F.concat_ws(",", animal, cohort, F.col("l_partkey").cast("string"))).otherwise(F.concat_ws(",", F.col("l_suppkey").cast("string"), F.lit("x"), F.concat(animal, F.lit(".0")), F.concat(F.lit(" "), cohort)))
+    body = li.select(sheet.alias("sheet"), *CAGE_ORDER, row.alias("line"))
+    head = li.select(sheet.alias("sheet"), F.when(one, " animal ID,cohort ID ,cage ID").otherwise("cage ID,more,Unique animal ID,cohort ID").alias("line")).distinct()
+    folder = shared.as_lines(head.unionByName(body, allowMissingColumns=True), "cages", "sheet", CAGE_ORDER)
     return readers.pooled_cages(spark, folder)
 
 
-@query("SELECT l_returnflag AS cohort, l_linestatus AS dir, '.csv' AS ext, true AS has_bytes FROM lineitem GROUP BY ALL")
+@query("SELECT l_returnflag AS cohort, strftime(l_shipdate, '%Y-%m') AS dir, '.csv' AS ext, true AS has_bytes FROM lineitem GROUP BY ALL")
 def raw_file_catalogue(spark, sf_dir):
-    """SC4: files below cohort and session folders."""
-    li = table(spark, sf_dir, "lineitem").select("l_returnflag", F.col("l_linestatus").alias("session"), "l_orderkey").repartition("l_returnflag", "session")
+    """SC4: files below cohort and session folders, a session for each month."""
+    li = table(spark, sf_dir, "lineitem").select("l_returnflag", F.date_format("l_shipdate", "yyyy-MM").alias("session"), "l_orderkey").repartition("l_returnflag", "session")
     path = shared.fresh_path(spark, "raw")
     li.write.partitionBy("l_returnflag", "session").csv(path)
     found = readers.files(spark, path, "*.csv")
@@ -101,16 +106,23 @@ def project_intervals(spark, sf_dir):
     return back.select("observation_id", "label", F.col("ord").cast("int").alias("ord"), F.round("start_s", 3).alias("start_s"), F.round("duration_s", 3).alias("duration_s"))
 
 
-@query("SELECT c_custkey AS animal, bin, round(CASE bin WHEN 0 THEN c_acctbal ELSE c_nationkey END, 2) AS freezing, CAST(bin * 60 AS DOUBLE) AS start_s, CAST(bin * 60 + 30 AS DOUBLE) AS stop_s FROM customer, (SELECT CAST(unnest([0, 1]) AS INT) AS bin)")
+@query("""SELECT CAST(c_nationkey AS VARCHAR) AS sheet, c_custkey AS animal, bin, round(CASE bin WHEN 0 THEN c_acctbal ELSE c_nationkey END, 2) AS freezing, CAST(bin * 60 + c_nationkey AS DOUBLE) AS start_s, CAST(bin * 60 + c_nationkey + 30 AS DOUBLE) AS stop_s,
+CAST(c_nationkey AS VARCHAR) AS protocol FROM customer, (SELECT CAST(unnest([0, 1]) AS INT) AS bin)""")
 def freeze_score_sheet(spark, sf_dir):
-    """SC7, R1: a freeze-score file with an empty column, in the order of its rows."""
-    names = ["% freeze", "b0", "b1", "t", "d", "p", "empty"]
-    c = table(spark, sf_dir, "customer")
-    cells = c.select((F.col("c_custkey") + 3).alias("n"), F.concat_ws(",", F.col("c_custkey").cast("string"), F.col("c_acctbal").cast("string"), F.col("c_nationkey").cast("string"), F.lit("1.5,,p1,")).alias("line"))
-    head = spark.createDataFrame([(-1, ",".join(names)), (0, "Onset,0,60,Threshold,Bout,Protocol,"), (1, "Duration,30,30,,,,"), (2, ",,,,2.5,,")], "n bigint, line string")
-    path = shared.as_lines(head.unionByName(cells).withColumn("sheet", F.lit("f")), "freeze", "sheet", ["n"])
-    out = trials.freeze_trials(readers.freeze_scores(spark, path)).filter("row_no > 2")
-    return out.select(F.col("animal").cast("long").alias("animal"), "bin", F.round("freezing", 2).alias("freezing"), "start_s", "stop_s")
+    """SC7, R1, F21: a freeze-score sheet per nation with onsets of its own; those of even nations have an empty column first
+    and another width."""
+    c = table(spark, sf_dir, "customer").withColumn("sheet", F.col("c_nationkey").cast("string"))
+    even, k = F.col("c_nationkey") % 2 == 0, F.col("c_nationkey")
+    empty = F.when(even, ",").otherwise("")
+    line = lambda *cells: F.concat(empty, F.concat_ws(",", *[x if isinstance(x, str) else F.lit(str(x)) if not hasattr(x, "cast") else x.cast("string") for x in cells]))
+    body = c.select("sheet", (F.col("c_custkey") + 3).alias("n"), line(F.col("c_custkey"), F.col("c_acctbal"), k, F.lit("1.5"), F.lit(""), k).alias("line"))
+    head = c.select("sheet", "c_nationkey").distinct()
+    rows = [line(F.lit("% freeze"), F.lit("b0"), F.lit("b1"), F.lit("t"), F.lit("d"), F.lit("p"), F.lit("empty")), line(F.lit("Onset"), k, k + 60, F.lit("Threshold"), F.lit("Bout"), F.lit("Protocol")), line(F.lit("Duration"), F.lit("30"), F.lit("30"), F.lit(",,")), line(F.lit(",,"), F.lit(""), F.lit("2.5"))]
+    heads = head.select("sheet", F.posexplode(F.array(*rows)).alias("n", "line")).select("sheet", F.col("n").cast("long").alias("n"), "line")
+    path = shared.as_lines(heads.unionByName(body), "freeze", "sheet", ["n"])
+    read = readers.freeze_scores(spark, path)
+    out = trials.freeze_trials(read, key=["path"]).filter("row_no > 2")
+    return out.select(F.regexp_extract("path", "sheet=([^/]*)/", 1).alias("sheet"), F.col("animal").cast("long").alias("animal"), "bin", F.round("freezing", 2).alias("freezing"), "start_s", "stop_s", "protocol")
 
 
 @query("SELECT CAST(o_custkey AS VARCHAR) AS animal, CAST(epoch(o_orderdate) AS BIGINT) + 36660 AS t FROM orders")
@@ -124,43 +136,52 @@ def freeze_log_lines(spark, sf_dir):
     return readers.freeze_log(spark, path).select("animal", F.unix_seconds("ts").alias("t"))
 
 
-HEADS = ["Animal", "Day", "Date", "Time", "Trial duration", "Platform", "Average speed", "Quadrant time (sec)", "", "", "", "Platform crossings", "", "", "", "Zone (% time): a", "", "", "", "", "", "", ""]
+#: Two kinds of headers; the second is that of sheets of odd suppliers.
+HEADS = (
+    ["Animal", "Day", "Date", "Time", "Trial duration", "Platform", "Average speed", "Quadrant time (sec)", "", "", "", "Platform crossings", "", "", "", "Zone (% time): a", "", "", "", "", "", "", ""],
+    ["Average speed", "Trial duration", "Zone (% time): b", "", "", "", "", "", "", "", *[f"x{i}" for i in range(40)], "Quadrant time (sec)", "", "", "", "Platform crossings", "", "", "", "Time", "Date", "Day", "Platform", "Animal"],
+)
+SWIM_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"]
 
 
 def swim(spark, sf_dir):
-    """Swim sheets by return flag, made of line items: a block of quadrants, one of crossings, one of zones."""
+    """Swim sheets by supplier, made of line items: a block of quadrants, one of crossings, one of zones; sheets of odd
+    suppliers have their columns in another order and 40 more."""
     li = table(spark, sf_dir, "lineitem")
-    q, ln = F.col("l_quantity"), F.col("l_linenumber")
-    cells = [F.concat(F.col("l_orderkey").cast("string"), F.lit("_"), ln.cast("string")), F.dayofmonth("l_shipdate"), F.date_format("l_shipdate", "dd/MM/yyyy"), F.concat(F.lit("1"), ln, F.lit(":30")), q, F.col("l_linestatus"), F.col("l_discount")]
-    cells += [q + i for i in range(4)] + [ln + i for i in range(4)] + [F.round(F.col("l_tax") * i, 4) for i in range(8)]
-    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
-    n = F.row_number().over(Window.partitionBy("l_returnflag").orderBy(*order))
-    body = li.select(F.col("l_returnflag").alias("sheet"), n.alias("n"), F.concat_ws(",", *[c.cast("string") for c in cells]).alias("line"))
-    head = li.select(F.col("l_returnflag").alias("sheet")).distinct().select("sheet", F.lit(0).alias("n"), F.lit(",".join(HEADS)).alias("line"))
-    headers, rows = readers.swim_sheet(spark, shared.as_lines(head.unionByName(body), "swim", "sheet", ["n"]), len(HEADS))
-    return trials.swim_trials(rows.withColumn("sheet", F.regexp_extract("path", "sheet=([^/]*)/", 1)), headers, ["sheet"])
+    q, ln, odd = F.col("l_quantity"), F.col("l_linenumber"), F.col("l_suppkey") % 2 == 1
+    animal, day, date, clock = F.concat(F.col("l_orderkey").cast("string"), F.lit("_"), ln.cast("string")), F.dayofmonth("l_shipdate"), F.date_format("l_shipdate", "dd/MM/yyyy"), F.concat(F.lit("1"), ln, F.lit(":30"))
+    seconds, crossings, zones = [q + i for i in range(4)], [ln + i for i in range(4)], [F.round(F.col("l_tax") * i, 4) for i in range(8)]
+    line = lambda cells: F.concat_ws(",", *[c.cast("string") for c in cells])
+    even_line = line([animal, day, date, clock, q, F.col("l_linestatus"), F.col("l_discount"), *seconds, *crossings, *zones])
+    odd_line = line([F.col("l_discount"), q, *zones, *[F.lit("")] * 40, *seconds, *crossings, clock, date, day, F.col("l_linestatus"), animal])
+    sheet = F.col("l_suppkey").cast("string").alias("sheet")
+    body = li.select(sheet, *SWIM_ORDER, F.when(odd, odd_line).otherwise(even_line).alias("line"))
+    head = li.select(sheet, F.when(odd, ",".join(HEADS[1])).otherwise(",".join(HEADS[0])).alias("line")).distinct()
+    path = shared.as_lines(head.unionByName(body, allowMissingColumns=True), "swim", "sheet", SWIM_ORDER)
+    rows, _ = readers.swim_sheet(spark, path)
+    return trials.swim_trials(rows.withColumn("sheet", F.regexp_extract("path", "sheet=([^/]*)/", 1)), ["sheet"])
 
 
-SWIM = "(SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS row_no FROM lineitem)"
+SWIM = "(SELECT *, CAST(l_suppkey AS VARCHAR) AS sheet, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_shipdate) AS row_no FROM lineitem)"
 
 
-@query(f"""SELECT l_returnflag AS sheet, CAST(row_no AS INT) AS row_no, l_orderkey || '_' || l_linenumber AS animal, CAST(extract('day' FROM l_shipdate) AS INT) AS day, CAST(epoch(l_shipdate) AS BIGINT) + 3600 * (10 + l_linenumber) + 1800 AS t,
+@query(f"""SELECT sheet, row_no, l_orderkey || '_' || l_linenumber AS animal, CAST(extract('day' FROM l_shipdate) AS INT) AS day, CAST(epoch(l_shipdate) AS BIGINT) + 3600 * (10 + l_linenumber) + 1800 AS t,
 l_quantity AS trial_duration, l_linestatus AS platform, l_discount AS average_speed, CAST(NULL AS DOUBLE) AS distance_travelled_cm, CAST(NULL AS INT) AS platform_quadrant, round(l_tax * 7, 4) AS zone_last FROM {SWIM}""")
 def swim_trial_sheet(spark, sf_dir):
-    """SC9, F21, F22, R3, X3, X4: typed trials of sheets whose headers repeat, absent blocks as nulls."""
+    """SC9, F21, F22, R3, X3, X4: typed trials of sheets whose headers repeat and differ, absent blocks as nulls."""
     t = swim(spark, sf_dir)
     return t.select("sheet", "row_no", "animal", "day", F.unix_seconds("ts").alias("t"), "trial_duration", "platform", "average_speed", "distance_travelled_cm", "platform_quadrant", F.col("zone_percent_time_NW_A").alias("zone_last"))
 
 
-@query(f"""SELECT l_returnflag AS sheet, CAST(row_no AS INT) AS row_no, q AS quadrant, l_quantity + k AS seconds, CAST(NULL AS DOUBLE) AS percent, CAST(l_linenumber + k AS DOUBLE) AS crossings
+@query(f"""SELECT sheet, row_no, q AS quadrant, l_quantity + k AS seconds, CAST(NULL AS DOUBLE) AS percent, CAST(l_linenumber + k AS DOUBLE) AS crossings
 FROM {SWIM}, (VALUES ('NE', 0), ('NW', 1), ('SW', 2), ('SE', 3)) v(q, k)""")
 def swim_quadrants(spark, sf_dir):
     """R2: the blocks of four columns as a row per quadrant."""
     return trials.quadrants_long(swim(spark, sf_dir), ["sheet", "row_no"]).select("sheet", "row_no", "quadrant", "seconds", "percent", "crossings")
 
 
-@query("""SELECT l_returnflag AS sheet, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date, CAST(extract('day' FROM l_shipdate) AS INT) AS day, count(*) AS n_trials,
-CAST(epoch(l_shipdate) AS BIGINT) + 3600 * (10 + min(l_linenumber)) + 1800 AS first_t FROM lineitem GROUP BY l_returnflag, l_shipdate""")
+@query("""SELECT CAST(l_suppkey AS VARCHAR) AS sheet, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date, CAST(extract('day' FROM l_shipdate) AS INT) AS day, count(*) AS n_trials,
+CAST(epoch(l_shipdate) AS BIGINT) + 3600 * (10 + min(l_linenumber)) + 1800 AS first_t FROM lineitem GROUP BY l_suppkey, l_shipdate""")
 def swim_days(spark, sf_dir):
     """A5: trials of each date, with the first one's day number."""
     out = trials.by_day(swim(spark, sf_dir), ["sheet"])
@@ -174,11 +195,17 @@ def animal_rows(spark, sf_dir):
 
 
 def channel_sheet(spark, sf_dir) -> str:
-    p = table(spark, sf_dir, "part")
+    """A channel sheet per brand; those of odd ones have their channels in reverse, and the animal last."""
+    p = table(spark, sf_dir, "part").withColumn("sheet", F.regexp_replace("p_brand", "#", ""))
+    odd = F.col("p_brand").rlike("[13579]$")
     code = lambda i: F.when(F.col("p_size") % 16 == i, "bad").otherwise(F.concat(F.col("p_type"), F.lit(f"_{i % 3}")))
     geno = F.when(F.col("p_size") < 20, "wt").when(F.col("p_size") < 40, "het").otherwise("odd")
-    sheet = p.orderBy("p_partkey").select(F.concat(F.lit("R"), "p_partkey").alias("Folder"), geno.alias("Genotype"), *[code(i).alias(str(i)) for i in range(16)])
-    return shared.as_csv(sheet, "channels", files=1)
+    animal, codes = F.concat(F.lit("R"), "p_partkey"), [code(i) for i in range(16)]
+    names = [str(i) for i in range(16)]
+    line = F.when(odd, F.concat_ws(",", *reversed(codes), geno, F.lit("note"), animal)).otherwise(F.concat_ws(",", animal, geno, *codes))
+    body = p.select("sheet", "p_partkey", line.alias("line"))
+    head = p.select("sheet", F.when(odd, ",".join([*reversed(names), "Genotype", "Notes", "Folder"])).otherwise(",".join(["Folder", "Genotype", *names])).alias("line")).distinct()
+    return shared.as_lines(head.unionByName(body, allowMissingColumns=True), "channels", "sheet", ["p_partkey"])
 
 
 CHANNELS = "(SELECT 'R' || p_partkey AS subject_id, CAST(i AS INT) AS channel, CASE WHEN p_size % 16 = i THEN 'unknown' ELSE p_type || '_' || i % 3 END AS location_code, p_size % 16 = i AS bad_channel FROM part, (SELECT unnest(range(16)) AS i))"
@@ -190,9 +217,9 @@ def channel_sheet_long(spark, sf_dir):
     return signals.channel_map(readers.channel_sheet(spark, channel_sheet(spark, sf_dir)), ["subject_id"]).select("subject_id", "channel", "location_code", "bad_channel")
 
 
-@query("SELECT 'R' || p_partkey AS subject_id, CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS INT) AS probe_id FROM part")
+@query("SELECT 'R' || p_partkey AS subject_id, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS INT) AS probe_id FROM part")
 def probe_places(spark, sf_dir):
-    """A probe's id is its subject's place in the sheet."""
+    """A probe's id is its subject's place in its sheet."""
     return meta.probe_ids(readers.channel_sheet(spark, channel_sheet(spark, sf_dir))).select("subject_id", "probe_id")
 
 

@@ -4,36 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burrowline.functions.scalar import file_name, first_time, number, suffix, whole
-from burrowline.operators import meta
+from burrowline.operators import meta, trials
 from burrowline.operators.guards import exactly_one
-from burrowline.sources import schemas
+from burrowline.sources import schemas, sheets
 
 
 def text_csv(spark: SparkSession, path: str, **options) -> DataFrame:
     return spark.read.options(header=True, inferSchema=False, ignoreLeadingWhiteSpace=False).options(**options).csv(path)
 
 
-def numbered_csv(spark: SparkSession, path: str, column: str = "row_no") -> DataFrame:
-    """Rows of CSV sheets with their place in their file, from 0. Splits of a file are put in the order of their bytes, which
-    the ids of partitions don't follow."""
-    rows = text_csv(spark, path)
-    at = F.row_number().over(Window.partitionBy("_path").orderBy("_block", "_id")) - 1
-    placed = rows.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
-    return placed.withColumn(column, at).drop("_path", "_block", "_id")
-
-
-def positional_csv(spark: SparkSession, path: str, width: int, sep: str = ",") -> DataFrame:
-    """Cells as c0, c1, ..., with path and row_no (a line's place in its file). Headers of these sheets repeat and have blanks,
-    so the first line is a row like any other (SC9). Each file is read as one line-numbered text, in one task per file."""
-    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", "\r?\n")).alias("row_no", "line")).filter(F.trim("line") != "")
-    cells = F.from_csv("line", ", ".join(f"c{i} string" for i in range(width)), {"sep": sep, "mode": "PERMISSIVE"})
-    return lines.select("path", "row_no", cells.alias("c")).select("path", "row_no", "c.*")
-
-
 def registry(spark: SparkSession, path: str) -> DataFrame:
     """SC1."""
     return meta.clean_registry(text_csv(spark, path))
@@ -45,10 +28,9 @@ def session_list(spark: SparkSession, path: str, task: str | None = None) -> Dat
 
 
 def pooled_cages(spark: SparkSession, folder: str, pattern: str = "*POOLED*") -> DataFrame:
-    """SC3: all files that match, each with its own header."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
-    paths = [r["path"] for r in listed.orderBy("path").collect()]  # names of a cohort's few sheets
-    return meta.pooled_cages([(p, numbered_csv(spark, p, "_row")) for p in paths])
+    """SC3: all files that match (or files of folders that do), each with its own header, in one scan."""
+    place = {name: (lambda h, name=name: meta.cage_place(h, name)) for name in meta.CAGE_COLUMNS}
+    return meta.pooled_cages(sheets.rows(spark, f"{folder.rstrip('/')}/{pattern}", **place))
 
 
 def files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
@@ -73,12 +55,18 @@ def scoring_projects(spark: SparkSession, path: str) -> DataFrame:
 
 
 def freeze_scores(spark: SparkSession, path: str) -> DataFrame:
-    """SC7: row_no counts from the line after the header."""
-    from burrowline.operators.trials import without_empty_columns
+    """SC7: path, row_no (from the line after the header), c and animal_at of freeze-score sheets. Places that are empty
+    throughout a file are left out of its rows; animal_at is where the animals' column then stands."""
+    read = sheets.rows(spark, path, animal=lambda h: sheets.place(h, "% freeze"))
+    kept = read.join(sheets.filled(read), "path")
+    body = kept.filter("row_no > 0").select("path", (F.col("row_no") - 1).alias("row_no"), F.transform("kept", lambda i: F.get("c", i)).alias("c"), (F.nullif(F.array_position("kept", F.col("animal")), F.lit(0)).cast("int") - 1).alias("animal_at"))
+    return body.filter("animal_at IS NOT NULL")
+
 
-    names = text_csv(spark, path).columns
-    rows = positional_csv(spark, path, len(names)).filter("row_no > 0").withColumn("row_no", F.col("row_no") - 1)
-    return without_empty_columns(rows.select("row_no", *[F.col(f"c{i}").alias(n) for i, n in enumerate(names)]))
+def freeze_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """SC7, SK2: sheets that freeze_scores can't use, with their reason."""
+    read = sheets.rows(spark, path, animal=lambda h: sheets.place(h, "% freeze"))
+    return sheets.rejects(spark, path, read, F.col("animal").isNull(), "no column % freeze")
 
 
 def freeze_log(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
@@ -88,19 +76,20 @@ def freeze_log(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
     return line.select("cells", F.element_at("cells", 1).alias("animal"), first_time(at, ("d/M/yyyy H:mm", "yyyy-MM-dd HH:mm:ss", "d/M/yyyy H:mm:ss")).alias("ts"))
 
 
-def swim_sheet(spark: SparkSession, path: str, width: int = 40) -> tuple[list[str | None], DataFrame]:
-    """Headers of the first line and the rows after it (SC9); a sheet without an Animal column is an error."""
-    rows = positional_csv(spark, path, width)
-    head = rows.filter("row_no = 0").select(*[f"c{i}" for i in range(width)]).first()
-    headers = [h.strip() if h else None for h in head]
-    if "Animal" not in headers:
-        raise ValueError("no column Animal")
-    return headers, rows.filter("row_no > 0")
+def swim_sheet(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """SC9: path, row_no, c and at (where each column and block of the row's own file stands, see trials.swim_places), and
+    the sheets that can't be used: empty ones and those without an Animal column."""
+    read = sheets.rows(spark, path, at=trials.swim_places)
+    return read.filter("row_no > 0 AND at.animal IS NOT NULL"), sheets.rejects(spark, path, read, F.col("at.animal").isNull(), "no column Animal")
 
 
-def channel_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """SC10, with the row's place."""
-    return numbered_csv(spark, path).withColumnRenamed("Folder", "subject_id")
+def channel_sheet(spark: SparkSession, path: str, channels: int = 16) -> DataFrame:
+    """SC10: path, row_no (the row's place, W13), subject_id, Genotype and the channels' columns 0, 1, ..., by each file's own
+    header; a column that a file lacks is null."""
+    names = ["Folder", "Genotype", *[str(i) for i in range(channels)]]
+    read = sheets.rows(spark, path, at=lambda h: F.array(*[sheets.place(h, n) for n in names])).filter("row_no > 0")
+    column = [F.get("c", F.get("at", F.lit(i))).alias("subject_id" if n == "Folder" else n) for i, n in enumerate(names)]
+    return read.select("path", (F.col("row_no") - 1).cast("int").alias("row_no"), *column)
 
 
 def cs_frames(spark: SparkSession, path: str) -> DataFrame:

@@ -25,6 +25,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/burrowline-{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df from a table of the shared folder, so that it isn't worked out again and its running numbers stay as they were."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def as_csv(df: DataFrame, name: str, path: str | None = None, files: int | None = None, **options) -> str:
     """Write df as CSV with a header, cells as they are, and return the folder."""
     path = path or fresh_path(df.sparkSession, name)

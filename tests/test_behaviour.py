@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from burrowline.operators import analytics, discover, events, trials
-from burrowline.sources import readers
+from burrowline.sources import readers, sheets
 
 
 def rows(df, *cols):
@@ -118,12 +118,23 @@ def write(path, text):
 def test_freeze_sheet(spark, tmp_path):
     sheet = write(tmp_path / "f.csv", "% freeze,b1,b2,x,y,z,empty\nOnset,0,60,Threshold,Bout,Protocol,\nDuration,30,30,,,,\n,,,,2.5,,\n303_a,10,nan,1.1,,p1,\n40_b,20,30,1.2,,p2,\n")
     df = readers.freeze_scores(spark, sheet)
-    assert "empty" not in df.columns
+    assert {len(r["c"]) for r in df.collect()} == {6}
     out = trials.freeze_trials(df).filter("row_no > 2")
     assert rows(out, "animal", "bin", "freezing", "start_s", "stop_s", "threshold", "bout_duration", "protocol") == [("303_a", 0, 10.0, 0.0, 30.0, "1.1", 2.5, "p1"), ("303_a", 1, None, 60.0, 90.0, "1.1", 2.5, "p1"), ("40_b", 0, 20.0, 0.0, 30.0, "1.2", 2.5, "p2"), ("40_b", 1, 30.0, 60.0, 90.0, "1.2", 2.5, "p2")]
     assert trials.freeze_trials(spark.createDataFrame([(0, "a", "b"), (2, "c", "1")], "row_no int, x string, y string")).count() == 0
 
 
+def test_freeze_sheets_of_different_widths(spark, tmp_path):
+    write(tmp_path / "a.csv", "% freeze,b1,t,d,p\nOnset,0,Threshold,B,P\nDuration,30,,,\n,,,2.5,\n1_a,10,1.1,,p1\n")
+    write(tmp_path / "b.csv", ",% freeze,,b1,b2,b3,t,d,p\n,Onset,,5,60,90,Threshold,B,P\n,Duration,,30,30,30,,,\n,,,,,,,4,\n,2_b,,1,2,3,9,,p2\n")
+    write(tmp_path / "c.csv", "name,b\nx,1\n")
+    write(tmp_path / "d.csv", "\n \n")
+    out = trials.freeze_trials(readers.freeze_scores(spark, str(tmp_path)), key=["path"]).filter("row_no > 2")
+    assert rows(out, "animal", "bin", "freezing", "start_s", "bout_duration", "protocol") == [("1_a", 0, 10.0, 0.0, 2.5, "p1"), ("2_b", 0, 1.0, 5.0, 4.0, "p2"), ("2_b", 1, 2.0, 60.0, 4.0, "p2"), ("2_b", 2, 3.0, 90.0, 4.0, "p2")]
+    bad = readers.freeze_rejects(spark, str(tmp_path)).collect()
+    assert sorted((r["path"][-5:], r["reason"]) for r in bad) == [("c.csv", "no column % freeze"), ("d.csv", "empty sheet")]
+
+
 def test_each_freeze_sheet_has_its_own_threshold(spark):
     cells = [("p", 0, "On", "0", "60", "Threshold", None), ("p", 1, "For", "30", "30", None, None), ("p", 2, None, None, None, None, "2.5"), ("p", 3, "m1", "10", "20", "1.1", None)]
     cells += [("q", 0, "On", "0", "Threshold", None, None), ("q", 1, "For", "5", None, None, None), ("q", 2, None, None, None, "4", None), ("q", 3, "m2", "70", "9", None, "p2")]
@@ -150,19 +161,59 @@ SWIM = "Animal,Date,Time,Day,Platform,Time to platform,Trial duration,Distance t
 def test_swim_sheet_blocks_go_by_position(spark, tmp_path):
     line = lambda a, day, t: f"{a},{day},{t},1,P1,5.5,60,100,20,1.5,2.0," + ",".join(str(i) for i in range(1, 17)) + "\n"
     p = write(tmp_path / "w.csv", SWIM + line("WM 303", "01/02/2023", "10:00:00") + line("WM 303", "01/02/2023", "10:05:30") + line("WM 40", "02/02/2023", "09:00"))
-    headers, sheet = readers.swim_sheet(spark, p)
-    out = trials.timed(trials.of_animal(trials.swim_trials(sheet, headers, ["path"]), "303"), ["path"])
+    sheet, _ = readers.swim_sheet(spark, p)
+    out = trials.timed(trials.of_animal(trials.swim_trials(sheet, ["path"]), "303"), ["path"])
     assert rows(out, "start_s", "stop_s", "platform_quadrant", "time_to_platform", "time_in_NE_quadrant", "percent_time_in_SE_quadrant", "time_to_platform_NE", "platform_crossings_SE", "zone_percent_time_NE") == [(0.0, 60.0, 2, 5.5, 1.0, 8.0, 9.0, 16.0, None), (330.0, 390.0, 2, 5.5, 1.0, 8.0, 9.0, 16.0, None)]
     assert trials.quadrants_long(out, ["row_no"]).count() == 8
     assert rows(trials.by_day(out, ["path"]), "day", "n_trials") == [(1, 2)]
-    with pytest.raises(ValueError, match="Animal"):
-        readers.swim_sheet(spark, write(tmp_path / "x.csv", "A,B\n1,2\n"))
+
+
+def test_sheets_have_headers_of_their_own(spark, tmp_path):
+    write(tmp_path / "a.csv", "Animal,Trial duration,Average speed\n1,60,7\n")
+    write(tmp_path / "b.csv", "\ufeff" + ",".join(["x"] * 47) + ",Average speed,Trial duration,Animal,Platform\n\n" + "," * 47 + '8,61,"2, ""b""",\n')
+    write(tmp_path / "c.csv", "A,B\n1,2\n")
+    write(tmp_path / "d.csv", "\n")
+    sheet, bad = readers.swim_sheet(spark, str(tmp_path))
+    assert rows(trials.swim_trials(sheet, ["path"]), "animal", "trial_duration", "average_speed", "platform") == [("1", 60.0, 7.0, None), ('2, "b"', 61.0, 8.0, None)]
+    assert sorted((r["path"][-5:], r["reason"]) for r in bad.collect()) == [("c.csv", "no column Animal"), ("d.csv", "empty sheet")]
+
+
+def test_lines_of_many_splits_keep_their_places(spark, tmp_path):
+    for name, n in (("a", 3000), ("b", 1), ("c", 700)):
+        write(tmp_path / f"{name}.csv", f"Animal,n{name}\n" + "".join(f"{name}{i},{i}\n" + "\n" * (i % 3) for i in range(n)))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        read = sheets.rows(spark, str(tmp_path), n=lambda h: h[1])
+        got = [(r["path"][-5], r["row_no"], r["c"][0], r["c"][1], r["n"]) for r in read.filter("row_no > 0").collect()]
+        blocks = sheets.lines(spark, str(tmp_path)).select("path", "block").distinct().count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert blocks > 10
+    assert sorted(got) == sorted((x, i + 1, f"{x}{i}", str(i), f"n{x}") for x, n in (("a", 3000), ("b", 1), ("c", 700)) for i in range(n))
+
+
+def test_cells(spark):
+    lines = ['a,b', '', ',', ',,x', '"a,b",c', '"a""b",', '"open,b', '"a"b,c', 'a"b,c', '"",""', '"x"', 'ü,"é,"']
+    expected = [["a", "b"], [None], [None, None], [None, None, "x"], ["a,b", "c"], ['a"b', None], ['"open', "b"], ['"a"b', "c"], ['a"b', "c"], [None, None], ["x"], ["ü", "é,"]]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, x string")
+    assert [r["c"] for r in df.select("i", sheets.cells(F.col("x")).alias("c")).orderBy("i").collect()] == expected
+    tabs = df.select(sheets.cells(F.lit("a\t,\t"), "\t").alias("c")).first()["c"]
+    assert tabs == ["a", ",", None]
+
+
+def test_filled_places_of_wide_sheets(spark):
+    wide = [None] * 200
+    wide[0] = wide[61] = wide[62] = wide[199] = "x"
+    df = spark.createDataFrame([("p", 0, ["h"] * 200), ("p", 1, wide), ("p", 2, ["y"]), ("q", 1, [None, "z"]), ("r", 1, [None])], "path string, row_no int, c array<string>")
+    assert {r["path"]: r["kept"] for r in sheets.filled(df).collect()} == {"p": [0, 61, 62, 199], "q": [1]}
 
 
 def test_zone_block_is_found_by_substring(spark, tmp_path):
     p = write(tmp_path / "z.csv", "Animal,Date,Time,Trial duration,Big Zone (% time) x,,,,,,,\n303,01/02/2023,10:00:00,60," + ",".join("12345678") + "\n")
-    headers, sheet = readers.swim_sheet(spark, p)
-    out = trials.swim_trials(sheet, headers, ["path"])
+    out = trials.swim_trials(readers.swim_sheet(spark, p)[0], ["path"])
     assert rows(out, "zone_percent_time_NE", "zone_percent_time_NW_A", "time_in_NE_quadrant", "platform") == [(1.0, 8.0, None, None)]
 
 
