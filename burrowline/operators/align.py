@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from burrowline.functions.scalar import seconds_between, split_offset
+from burrowline.sources import shared
 
 
 def first_onset(ttl: DataFrame, key: list[str], channel: int = 2, rate: float = 2000.0) -> DataFrame:
@@ -38,8 +39,9 @@ def shifted_frames(frames: DataFrame, offsets: DataFrame, key: list[str]) -> Dat
 
 
 def with_first(rows: DataFrame, key: list[str], order: list[str], value: str, name: str) -> DataFrame:
-    """rows with the value of their key's first row: one aggregate, so that no key's rows are buffered."""
-    first = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]).agg(F.min_by(F.struct(value), F.struct(*order)).alias("_first"))
+    """rows with the value of their key's first row: one aggregate, written before the join, so that no key's rows are buffered
+    and Spark can split those of a hot one."""
+    first = shared.written(rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]).agg(F.min_by(F.struct(value), F.struct(*order)).alias("_first")), "first")
     on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(key)]
     return rows.join(first, on).withColumn(name, F.col(f"_first.{value}")).drop("_first", *[f"_k{i}" for i in range(len(key))])
 

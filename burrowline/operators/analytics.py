@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from burrowline.functions.scalar import intensity
+from burrowline.operators import scans
 
 
 def heat_map(rows: DataFrame, row: str, column: str, value: str, columns: list | None = None) -> DataFrame:
@@ -20,23 +21,40 @@ def discrimination_index(rows: DataFrame, key: list[str], kind: str, value: str,
     return g.withColumn("di", F.try_divide(F.col("novel") - F.col("familiar"), F.col("novel") + F.col("familiar")))
 
 
-def clipped_to_bins(bouts: DataFrame, width: float, start: str = "start_s", stop: str = "stop_s") -> DataFrame:
-    """Bouts cut at multiples of width: bin number and seconds in it (A18). A bout that ends on a bound doesn't touch the next bin."""
-    last = F.greatest(F.ceil(F.col(stop) / width) - 1, F.floor(F.col(start) / width))
-    rows = bouts.withColumn("bin", F.explode(F.sequence(F.floor(F.col(start) / width), last)))
-    return rows.withColumn("seconds", F.least(F.col(stop), (F.col("bin") + 1) * width) - F.greatest(F.col(start), F.col("bin") * width))
-
-
 def running_total(rows: DataFrame, key: list[str], order: list[str], value: str, column: str = "cumulative") -> DataFrame:
     """W11."""
-    w = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn(column, F.sum(value).over(w))
+    return scans.running_sum(rows, key, order, value, column).drop(scans.BLOCK)
+
+
+def bin_runs(bouts: DataFrame, key: list[str], width: float, start: str = "start_s", stop: str = "stop_s") -> DataFrame:
+    """Exploration in bins of a width as runs of equal bins: first_bin, n_bins, seconds (in each) and before (until the run)
+    (A18), by a sweep over the bouts' ends. A bout has seconds of its own in its first and last bin and fills those between,
+    which +1 and -1 at their ends say; nothing is made per bin. A bout that ends on a bound doesn't touch the next bin."""
+    a, z = F.col(start), F.col(stop)
+    first = F.floor(a / width)
+    last = F.greatest(F.ceil(z / width) - 1, first)
+    mark = lambda at, part, fill, own: F.struct(at.alias("bin"), part.cast("double").alias("part"), fill.alias("fill"), F.lit(own).alias("own"))
+    fills = (last > first + 1).cast("int")
+    ends = F.array(
+        mark(first, F.least(z, (first + 1) * width) - a, F.lit(0), True), mark(last, F.when(last > first, z - last * width).otherwise(0.0), F.lit(0), True),
+        mark(first + 1, F.lit(0.0), fills, False), mark(last, F.lit(0.0), -fills, False),
+    )
+    swept = bouts.filter(a.isNotNull() & z.isNotNull()).select(*key, F.inline(ends)).groupBy(*key, "bin").agg(F.sum("part").alias("part"), F.sum("fill").alias("fill"), F.bool_or("own").alias("own"))
+    line = scans.running_sum(scans.blocked(swept, key, "bin"), key, ["bin"], "fill", "full")
+    line = scans.neighbour(line, key, ["bin"], ["bin"], "next")
+    gap = F.coalesce(F.col("next.bin") - F.col("bin") - 1, F.lit(0))
+    filled = F.col("full") * width
+    line = line.withColumns({"gap": gap, "seconds": F.col("part") + filled, "rest": filled}).withColumn("both", F.col("seconds") + F.col("gap") * F.col("rest"))
+    line = scans.running_sum(line, key, ["bin"], "both", "upto").withColumn("before", F.col("upto") - F.col("both"))
+    run = lambda at, n, seconds, before: F.struct(at.alias("first_bin"), n.cast("long").alias("n_bins"), seconds.alias("seconds"), before.alias("before"))
+    runs = F.array(run(F.col("bin"), F.when(F.col("own") | (F.col("full") > 0), 1).otherwise(0), F.col("seconds"), F.col("before")), run(F.col("bin") + 1, F.when(F.col("full") > 0, F.col("gap")).otherwise(0), F.col("rest"), F.col("before") + F.col("seconds")))
+    return line.select(*key, F.inline(runs)).filter("n_bins > 0")
 
 
 def accumulated(bouts: DataFrame, key: list[str], width: float) -> DataFrame:
-    """Exploration per bin and up to its end."""
-    g = clipped_to_bins(bouts, width).groupBy(*key, "bin").agg(F.sum("seconds").alias("seconds"))
-    return running_total(g, key, ["bin"], "seconds")
+    """Exploration per bin and up to its end (A18): the runs, a row for each of their bins."""
+    each = bin_runs(bouts, key, width).select(*key, "first_bin", "seconds", "before", F.explode(F.sequence(F.col("first_bin"), F.col("first_bin") + F.col("n_bins") - 1)).alias("bin"))
+    return each.select(*key, "bin", "seconds", (F.col("before") + F.col("seconds") * (F.col("bin") - F.col("first_bin") + 1)).alias("cumulative"))
 
 
 def di_at(bouts: DataFrame, key: list[str], order: list[str], kind: str, value: str, threshold: float, novel: str = "novel", familiar: str = "familiar") -> DataFrame:
@@ -63,11 +81,24 @@ def phase_means(bins: DataFrame, phases: DataFrame, key: list[str], value: str,
     return rows.groupBy(*key, "phase").agg(F.try_divide(F.sum(F.col(value) * F.col(duration)), F.sum(duration)).alias("mean"))
 
 
-def raster(trials: DataFrame, key: list[str], start: str, stop: str, length: Column, value: str | None = None) -> DataFrame:
-    """One row per whole second of each interval, half-even rounded bounds, below the given length (R9); no width, no row."""
+def raster_runs(trials: DataFrame, key: list[str], start: str, stop: str, length: Column) -> DataFrame:
+    """Runs of seconds that the same number of intervals cover: first_second, past_second and n (R9), by a sweep: +1 where an
+    interval begins and -1 where it ends, half-even rounded bounds, below the given length."""
     a, z = F.rint(start).cast("long"), F.least(F.rint(stop).cast("long"), length.cast("long"))
-    rows = trials.filter(z > a).withColumn("second", F.explode(F.when(z > a, F.sequence(a, z - 1))))
-    return rows.withColumn("intensity", intensity(F.col(value))) if value else rows
+    ends = F.array(F.struct(a.alias("second"), F.lit(1).alias("step")), F.struct(z.alias("second"), F.lit(-1).alias("step")))
+    swept = trials.filter(z > a).select(*key, F.inline(ends)).groupBy(*key, "second").agg(F.sum("step").alias("step")).filter("step <> 0")
+    line = scans.running_sum(scans.blocked(swept, key, "second"), key, ["second"], "step", "n")
+    line = scans.neighbour(line, key, ["second"], ["second"], "next").filter("n > 0")
+    return line.select(*key, F.col("second").alias("first_second"), F.col("next.second").alias("past_second"), "n")
+
+
+def raster(trials: DataFrame, key: list[str], start: str, stop: str, length: Column, value: str | None = None) -> DataFrame:
+    """Seconds that intervals cover, how many do, and with which intensity (R9, X13): key, second, n and intensity. Intervals
+    of one intensity are swept together; a row per second is made at the end only."""
+    rows = trials.withColumn("intensity", intensity(F.col(value))) if value else trials
+    kept = [*key, "intensity"] if value else key
+    runs = raster_runs(rows, kept, start, stop, length)
+    return runs.select(*kept, F.explode(F.sequence("first_second", F.col("past_second") - 1)).alias("second"), "n")
 
 
 def periodic_marks(extent: DataFrame, end: str, step: int = 100) -> DataFrame:

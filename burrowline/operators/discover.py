@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from burrowline.functions.scalar import natural_key
+from burrowline.operators import substrings
 from burrowline.operators.guards import exactly_one
 
 
@@ -36,19 +37,21 @@ def with_folder(sessions: DataFrame, files: DataFrame, folder: str = "dir") -> D
 
 def match_names(rows: DataFrame, files: DataFrame, block: list[str], key: list[str], patterns: list[Column], name: str = "name") -> DataFrame:
     """Files whose name contains the row's first pattern; where none does, the second, and so on (J4). block: equal columns
-    that stand before the substring test, so that it is never a nested loop over all files. Adds prio and n_match."""
-    tests = [F.when(F.col(name).contains(p), F.lit(k)) for k, p in enumerate(patterns)]
-    hit = rows.join(files, block).withColumn("prio", F.coalesce(*tests)).filter(F.col("prio").isNotNull())
+    of rows and files. Adds prio and n_match."""
+    asked = rows.select("*", F.posexplode(F.array(*[p.cast("string") for p in patterns])).alias("prio", "_pattern"))
+    pairs = substrings.containing(files, asked, block, name, "_pattern")
+    hit = asked.join(pairs, [*block, "_pattern"]).join(files, [*block, name]).drop("_pattern")
     w = Window.partitionBy(*key)
     return hit.withColumn("_best", F.min("prio").over(w)).filter(F.col("prio") == F.col("_best")).drop("_best").withColumn("n_match", F.count("*").over(w))
 
 
 def ambiguous(matches: DataFrame, ids: DataFrame, block: list[str], own: str, other: str, name: str = "name") -> DataFrame:
     """Whether the name of a matched file also contains another registered id (Q12): ambiguous_match."""
-    others = ids.select(*block, F.col(other).alias("_other"))
-    found = matches.join(others, block, "left")
-    hit = F.coalesce(F.col("_other") != F.col(own), F.lit(False)) & F.coalesce(F.col(name).contains(F.col("_other")), F.lit(False))
-    return found.groupBy(*matches.columns).agg(F.coalesce(F.max(hit), F.lit(False)).alias("ambiguous_match"))
+    every = ids.select(*block, F.col(other).cast("string").alias("_other"))
+    held = substrings.containing(matches, every, block, name, "_other").groupBy(*block, name).agg(F.min("_other").alias("_lo"), F.max("_other").alias("_hi"))
+    mine = F.col(own).cast("string")
+    also = ~(F.col("_lo").eqNullSafe(mine) & F.col("_hi").eqNullSafe(mine)) & F.col("_lo").isNotNull()
+    return matches.join(held, [*block, name], "left").withColumn("ambiguous_match", also).drop("_lo", "_hi")
 
 
 def first_match(matches: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
@@ -67,26 +70,30 @@ def suffix_preference(suffix: Column, order: tuple[str, ...] = (".avi", ".mp4",
 
 def match_observation(rows: DataFrame, observations: DataFrame, block: list[str], key: list[str], animal: Column, *also: Column, first: bool = True) -> DataFrame:
     """Scoring observations whose id contains the animal's (cast to string: Q13) and everything else asked for."""
-    hit = rows.join(observations, block).filter(F.col("observation_id").contains(animal.cast("string")))
+    asked = rows.withColumn("_pattern", animal.cast("string"))
+    pairs = substrings.containing(observations, asked, block, "observation_id", "_pattern")
+    hit = asked.join(pairs, [*block, "_pattern"]).join(observations, [*block, "observation_id"]).drop("_pattern")
     for c in also:
         hit = hit.filter(c)
     return first_match(hit, key, [F.col("observation_id")]) if first else hit
 
 
+def _left_match(rows: DataFrame, found: DataFrame, block: list[str], name: str, pattern: Column) -> DataFrame:
+    """Every row with each of the block's names that contain its pattern, once with nulls where none does."""
+    asked = rows.withColumn("_pattern", pattern)
+    pairs = substrings.containing(found, asked, block, name, "_pattern").join(found, [*block, name])
+    return asked.join(pairs, [*block, "_pattern"], "left").drop("_pattern")
+
+
 def unique_observation(rows: DataFrame, observations: DataFrame, block: list[str], key: list[str], pattern: Column) -> DataFrame:
     """Exactly one observation or a reason (Q9)."""
-    hit = observations.withColumn("_id", F.col("observation_id"))
-    joined = rows.join(hit, [rows[c] == hit[c] for c in block] + [hit["_id"].contains(pattern)], "left").drop(*[hit[c] for c in block]).drop("_id")
-    return exactly_one(joined, key, F.col("observation_id").isNotNull())
+    return exactly_one(_left_match(rows, observations, block, "observation_id", pattern), key, F.col("observation_id").isNotNull())
 
 
 def match_second_token(sessions: DataFrame, files: DataFrame, block: list[str], key: list[str], session: str = "session", name: str = "name") -> DataFrame:
     """The one analysis file whose name contains the second part of the session id."""
     token = F.try_element_at(F.split(F.col(session), "_"), F.lit(2))
-    f = files.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(block)], name)
-    on = [F.col(c) == F.col(f"_b{i}") for i, c in enumerate(block)] + [F.col(name).contains(token)]
-    joined = sessions.join(f, on, "left").drop(*[f"_b{i}" for i in range(len(block))])
-    return exactly_one(joined, key, F.col(name).isNotNull())
+    return exactly_one(_left_match(sessions, files.select(*block, name), block, name, token), key, F.col(name).isNotNull())
 
 
 def side_file(sessions: DataFrame, files: DataFrame, on: list[str], name: str, as_list: bool = False) -> DataFrame:

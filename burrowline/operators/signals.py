@@ -2,7 +2,7 @@
 
 A signal row holds one sample of all channels; its time follows from sample_idx, rate and t0 and is never stored. Slices
 are put as bounds on sample_idx, so that they reach the Parquet statistics. Trigger lines stay intervals until a query asks
-for samples. Range joins meet on a time bucket, so that no pair of intervals outside a bucket is ever looked at.
+for samples. Lines are scanned in blocks (scans), range joins meet on the nodes of a hierarchy (intervals).
 """
 
 from __future__ import annotations
@@ -10,21 +10,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from burrowline.operators import scans
+from burrowline.operators.intervals import interval_join
 
-def step_intervals(ttl: DataFrame, key: list[str], at: str, state: str, order: list[str] | None = None) -> DataFrame:
+
+def step_intervals(ttl: DataFrame, key: list[str], at: str, state: str, order: list[str] | None = None, per_block: int = scans.PER_BLOCK) -> DataFrame:
     """from_at, to_at (null: open), state: the state holds in [from_at, to_at) (W1). Before the first change it is 0."""
-    w = Window.partitionBy(*key).orderBy(at, *(order or []))
-    return ttl.select(*key, F.col(at).alias("from_at"), F.lead(at).over(w).alias("to_at"), F.col(state).alias("state"))
+    out = scans.neighbour(ttl, key, [at, *(order or [])], [at], "_next", per_block=per_block)
+    return out.select(*key, F.col(at).alias("from_at"), F.col(f"_next.{at}").alias("to_at"), F.col(state).alias("state"))
 
 
-def dense_steps(grid: DataFrame, ttl: DataFrame, key: list[str], at: str, state: str, order: list[str] | None = None) -> DataFrame:
+def dense_steps(grid: DataFrame, ttl: DataFrame, key: list[str], at: str, state: str, order: list[str] | None = None, per_block: int = scans.PER_BLOCK) -> DataFrame:
     """The state at each grid point: the last change at or before it, 0 before the first (W1 on request). Grid points and
-    changes share one sort by key and time."""
+    changes are one line in order of time, a change before a point of the same time."""
     tie = order or []
     marks = ttl.select(*key, F.col(at), F.lit(0).alias("_grid"), *[F.col(c) for c in tie], F.col(state).alias("_s"))
     points = grid.select(*key, F.col(at), F.lit(1).alias("_grid"), *[F.lit(None).cast(dict(ttl.dtypes)[c]).alias(c) for c in tie], F.lit(None).cast(dict(ttl.dtypes)[state]).alias("_s"))
-    w = Window.partitionBy(*key).orderBy(at, "_grid", *tie).rowsBetween(Window.unboundedPreceding, 0)
-    both = marks.unionByName(points).withColumn("_last", F.last("_s", ignorenulls=True).over(w))
+    both = scans.last_known(marks.unionByName(points), key, [at, "_grid", *tie], "_s", "_last", per_block)
     return both.filter("_grid = 1").select(*key, at, F.coalesce("_last", F.lit(0)).alias("state"))
 
 
@@ -33,11 +35,11 @@ def sample_grid(extent: DataFrame, key: list[str], n: str) -> DataFrame:
     return extent.select(*key, F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1)).alias("sample"))
 
 
-def edges(ttl: DataFrame, key: list[str], at: str, state: str, order: list[str] | None = None, falling: bool = True) -> DataFrame:
+def edges(ttl: DataFrame, key: list[str], at: str, state: str, order: list[str] | None = None, falling: bool = True, per_block: int = scans.PER_BLOCK) -> DataFrame:
     """Places where the state falls (or rises): the last before and the first after."""
-    w = Window.partitionBy(*key).orderBy(at, *(order or []))
-    rows = ttl.withColumn("prev_state", F.lag(state).over(w)).withColumn("prev_at", F.lag(at).over(w))
-    return rows.filter(F.col("prev_state") > F.col(state) if falling else F.col("prev_state") < F.col(state))
+    rows = scans.neighbour(ttl, key, [at, *(order or [])], [state, at], "_prev", ahead=False, per_block=per_block)
+    out = rows.withColumns({"prev_state": F.col(f"_prev.{state}"), "prev_at": F.col(f"_prev.{at}")}).drop("_prev", scans.BLOCK)
+    return out.filter(F.col("prev_state") > F.col(state) if falling else F.col("prev_state") < F.col(state))
 
 
 def falling_edges_in_samples(ttl: DataFrame, key: list[str]) -> DataFrame:
@@ -150,24 +152,8 @@ def on_grid(series: DataFrame, time_s: Column, grid_hz: float) -> DataFrame:
     return series.withColumn("grid", F.floor(time_s * grid_hz))
 
 
-def buckets(first: Column, last: Column, width: int) -> Column:
-    """Numbers of all buckets that [first, last] touches."""
-    return F.sequence(F.floor(first / width), F.floor(last / width))
-
-
-def interval_join(points: DataFrame, intervals: DataFrame, on: list[str], at: str, start: str, stop: str, width: int, closed: bool = False) -> DataFrame:
-    """Points with every interval start <= at < stop (closed: <=) of the same key (J19, J20). Intervals go to each bucket that
-    they touch, points to their own, and the two meet on key and bucket; width in the units of at. Intervals in the same
-    bucket as a point are all that is compared, and a long session spreads over its buckets."""
-    b = intervals.withColumn("_b", F.explode(buckets(F.col(start), F.col(stop), width)))
-    p = points.withColumn("_b", F.floor(F.col(at) / width))
-    joined = p.join(b, [*on, "_b"]).drop("_b")
-    end = F.col(at) <= F.col(stop) if closed else F.col(at) < F.col(stop)
-    return joined.filter((F.col(at) >= F.col(start)) & end)
-
-
 def stimulus_locked(signals: DataFrame, edge_rows: DataFrame, on: list[str], index: str, edge: str, pre: int, post: int) -> DataFrame:
     """Samples from pre before to post after each edge, with their lag."""
     span = edge_rows.withColumns({"_from": F.col(edge) - pre, "_to": F.col(edge) + post})
-    hit = interval_join(signals, span, on, index, "_from", "_to", max(pre + post, 1), closed=True)
+    hit = interval_join(signals, span, on, index, "_from", "_to", closed=True)
     return hit.withColumn("lag", F.col(index) - F.col(edge)).drop("_from", "_to")

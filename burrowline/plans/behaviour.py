@@ -115,7 +115,7 @@ def second_raster(spark, sf_dir):
     b = bouts(spark, sf_dir).filter("event_type = 'error'").join(session, "user_id")
     b = b.select("user_id", "bout", "len", ((F.col("start") - F.col("u0")) / 3.6e9).alias("a"), ((F.col("stop") - F.col("u0")) / 3.6e9).alias("z"), F.lit(50.0).alias("pct"))
     out = analytics.raster(b, ["user_id"], "a", "z", F.col("len"), "pct")
-    return out.groupBy("user_id", "second", "intensity").agg(F.count("*").alias("n")).select("user_id", "second", "n", "intensity")
+    return out.select("user_id", "second", "n", "intensity")
 
 
 @query("WITH m AS (SELECT user_id, date_diff('second', TIMESTAMP '2024-01-01', max(ts)) AS e FROM events GROUP BY user_id) SELECT user_id, unnest(generate_series(0, e - 1, 21600)) AS mark FROM m WHERE e > 0")
@@ -146,13 +146,25 @@ def positional_pairing(spark, sf_dir):
 @query(f"""SELECT b.user_id, b.bout, count(*) AS n_inside, round(sum(e.value), 4) AS value FROM {BOUTS} b JOIN {EV} e ON e.user_id = b.user_id AND e.us >= b.start AND e.us < b.stop
 WHERE b.event_type = 'purchase' AND e.event_type <> 'purchase' GROUP BY ALL""")
 def interval_contains_join(spark, sf_dir):
-    """Events inside bouts of another behaviour; buckets of a day."""
+    """Events inside bouts of another behaviour."""
     b = bouts(spark, sf_dir).filter("event_type = 'purchase'").select("user_id", "bout", "start", "stop")
     e = events(spark, sf_dir).filter("event_type <> 'purchase'").select("user_id", "us", "value")
-    out = signals.interval_join(e, b, ["user_id"], "us", "start", "stop", 86_400_000_000)
+    out = signals.interval_join(e, b, ["user_id"], "us", "start", "stop")
     return out.groupBy("user_id", "bout").agg(F.count("*").alias("n_inside"), r4(F.sum("value")).alias("value"))
 
 
+@query(f"""WITH i AS (SELECT user_id, event_id AS interval_id, us AS start, us + CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 1000 WHEN 'error' THEN CAST(floor(value * 1000) AS BIGINT) * 3600000 ELSE 600000000 END AS stop FROM {EV})
+SELECT i.user_id, interval_id, count(*) AS n_inside, min(e.event_id) AS first_event, max(e.us) AS last_us FROM i JOIN {EV} e ON e.user_id = i.user_id AND e.us >= i.start AND e.us < i.stop GROUP BY ALL""")
+def mixed_interval_join(spark, sf_dir):
+    """Events inside intervals of a microsecond up to days, in one join."""
+    e = events(spark, sf_dir)
+    kind, length = F.col("event_type"), F.floor(F.col("value") * 1000) * 3600000
+    stop = F.col("us") + F.when(kind == "click", 1).when(kind == "view", 1000).when(kind == "error", length).otherwise(600000000)
+    i = e.select("user_id", F.col("event_id").alias("interval_id"), F.col("us").alias("start"), stop.alias("stop"))
+    out = signals.interval_join(e.select("user_id", "event_id", "us"), i, ["user_id"], "us", "start", "stop")
+    return out.groupBy("user_id", "interval_id").agg(F.count("*").alias("n_inside"), F.min("event_id").alias("first_event"), F.max("us").alias("last_us"))
+
+
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS frame, event_type AS label, round(epoch_us(ts) / 1e6, 3) AS t_s FROM events")
 def json_event_fields(spark, sf_dir):
     """SC6, R7: fields of the scoring records."""

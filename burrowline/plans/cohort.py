@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from burrowline.functions import scalar
-from burrowline.operators import discover, guards, meta, trials
+from burrowline.operators import discover, guards, meta, substrings, trials
 from burrowline.plans.base import query, r4, table
 
 
@@ -26,28 +26,62 @@ def task_membership(spark, sf_dir):
     return discover.did_task(p, "blue").select("p_partkey", "p_brand")
 
 
-@query("""SELECT c_custkey, s AS session FROM customer, (SELECT DISTINCT o_orderstatus AS s FROM orders) WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = s)""")
+@query("""WITH o AS (SELECT o_custkey, c_nationkey AS task, o_orderpriority AS session FROM orders JOIN customer ON o_custkey = c_custkey)
+SELECT c_custkey, t.session FROM customer JOIN (SELECT DISTINCT task, session FROM o) t ON task = c_nationkey WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.o_custkey = c_custkey AND o.session = t.session)""")
 def session_matrix_missing(spark, sf_dir):
-    """Sessions that each subject lacks."""
-    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderstatus").alias("session"))
-    sessions = discover.distinct_sessions(o, "session").withColumn("task", F.lit("task"))
-    subjects = table(spark, sf_dir, "customer").select("c_custkey").withColumn("task", F.lit("task"))
-    return discover.missing(discover.session_matrix(subjects, sessions, ["task"]), o, ["c_custkey", "session"]).select("c_custkey", "session")
+    """Sessions of its task that each subject lacks; a nation's customers share a task."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("task"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderpriority").alias("session"))
+    sessions = discover.distinct_sessions(o.join(c, "c_custkey"), "task", "session")
+    return discover.missing(discover.session_matrix(c, sessions, ["task"]), o, ["c_custkey", "session"]).select("c_custkey", "session")
 
 
-@query("""WITH p AS (SELECT page_id, url, regexp_extract(url, 'example\\.([a-z]+)/', 1) AS dir FROM pages),
-s AS (SELECT n_nationkey AS animal, dir FROM nation, (SELECT DISTINCT dir FROM p)),
-m AS (SELECT s.animal, s.dir, page_id, url, CASE WHEN contains(url, '/' || animal || '0') THEN 0 WHEN contains(url, 'page=' || animal) THEN 1 END AS prio FROM s JOIN p ON s.dir = p.dir)
+#: Web hosts' endings as folders of animals, by the animal's number.
+DIRS = ("com", "net", "org")
+ANIMALS = "(SELECT c_custkey AS animal, c_custkey % 97 AS cage, ['com', 'net', 'org'][c_custkey % 3 + 1] AS dir FROM customer)"
+
+
+@query(f"""WITH p AS (SELECT page_id, url, regexp_extract(url, 'example\\.([a-z]+)/', 1) AS dir FROM pages),
+m AS (SELECT animal, s.dir, page_id, url, CASE WHEN contains(url, animal || '') THEN 0 WHEN contains(url, 'page=' || cage) THEN 1 END AS prio FROM {ANIMALS} s JOIN p ON s.dir = p.dir)
 SELECT animal, dir, page_id, prio FROM m WHERE prio IS NOT NULL QUALIFY row_number() OVER (PARTITION BY animal, dir ORDER BY prio, url, page_id) = 1""")
 def file_match_fallback(spark, sf_dir):
     """Files by the animal's id, else by its cage; the first of the better kind."""
-    p = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("name"), F.regexp_extract("url", r"example\.([a-z]+)/", 1).alias("dir"))
-    s = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("animal")).withColumn("task", F.lit("task")).join(p.select("dir").distinct().withColumn("task", F.lit("task")), "task")
+    s, p = animals(spark, sf_dir), page_files(spark, sf_dir)
     a = F.col("animal").cast("string")
-    hit = discover.match_names(s, p, ["dir"], ["animal", "dir"], [F.concat(F.lit("/"), a, F.lit("0")), F.concat(F.lit("page="), a)])
+    hit = discover.match_names(s, p, ["dir"], ["animal", "dir"], [a, F.concat(F.lit("page="), F.col("cage").cast("string"))])
     return discover.first_match(hit, ["animal", "dir"], [F.col("prio"), F.col("name"), F.col("page_id")]).select("animal", "dir", "page_id", "prio")
 
 
+def animals(spark, sf_dir):
+    c = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(c.alias("animal"), (c % 97).alias("cage"), F.get(F.array(*map(F.lit, DIRS)), (c % 3).cast("int")).alias("dir"))
+
+
+def page_files(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("name"), F.regexp_extract("url", r"example\.([a-z]+)/", 1).alias("dir"))
+
+
+@query(f"""WITH p AS (SELECT page_id, url AS name, regexp_extract(url, 'example\\.([a-z]+)/', 1) AS dir FROM pages), m AS (SELECT a.animal, a.dir, page_id, name FROM {ANIMALS} a JOIN p ON a.dir = p.dir AND contains(name, a.animal || ''))
+SELECT animal, dir, page_id, EXISTS (SELECT 1 FROM {ANIMALS} b WHERE b.dir = m.dir AND b.animal <> m.animal AND contains(m.name, b.animal || '')) AS ambiguous_match FROM m""")
+def ambiguous_names(spark, sf_dir):
+    """Every file whose name contains an animal's id, and whether it contains another registered one."""
+    s, p = animals(spark, sf_dir), page_files(spark, sf_dir)
+    hit = discover.match_names(s, p, ["dir"], ["animal", "dir"], [F.col("animal")])
+    return discover.ambiguous(hit, s, ["dir"], "animal", "animal").select("animal", "dir", "page_id", "ambiguous_match")
+
+
+@query("""WITH n AS (SELECT CAST(o_orderkey % 5 AS INT) AS cohort, 'v' || o_orderkey || '_' || o_custkey || '_' || strftime(o_orderdate, '%Y-%m-%d') || '.avi' AS name FROM orders), i AS (SELECT CAST(c_custkey % 5 AS INT) AS cohort, c_custkey || CASE WHEN c_custkey % 3 = 0 THEN '_19' || (92 + c_custkey % 7) ELSE '' END AS id FROM customer)
+SELECT cohort, id, count(*) AS n, min(name) AS first_name, max(name) AS last_name FROM i JOIN n USING (cohort) WHERE contains(name, id) GROUP BY cohort, id""")
+def names_with_ids(spark, sf_dir):
+    """The names of a cohort that contain an id, or an id and the year after it, counted."""
+    o = F.col("o_orderkey")
+    n = table(spark, sf_dir, "orders").select((o % 5).cast("int").alias("cohort"), F.concat(F.lit("v"), o, F.lit("_"), "o_custkey", F.lit("_"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(".avi")).alias("name"))
+    c = F.col("c_custkey")
+    i = table(spark, sf_dir, "customer").select((c % 5).cast("int").alias("cohort"), F.concat(c.cast("string"), F.when(c % 3 == 0, F.concat(F.lit("_19"), (92 + c % 7).cast("string"))).otherwise("")).alias("id"))
+    out = substrings.containing(n, i, ["cohort"], "name", "id")
+    return out.groupBy("cohort", "id").agg(F.count("*").alias("n"), F.min("name").alias("first_name"), F.max("name").alias("last_name"))
+
+
 @query(r"""SELECT page_id, regexp_extract(url, '://([^/]+)/', 1) AS host, regexp_extract(url, '://[^/]+/([a-z]+)/', 1) AS lang, regexp_extract(url, '[^/]*$') AS file,
 CASE WHEN regexp_matches(url, '[^/](\.[^./]+)$') THEN lower(regexp_extract(url, '[^/](\.[^./]+)$', 1)) ELSE '' END AS ext FROM pages""")
 def path_template_fields(spark, sf_dir):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from burrowline.operators import align, signals
+from burrowline.operators import align, scans, signals
 from burrowline.plans.base import EV, events, query, r4, table
 
 LINE = ["user_id", "event_type"]
@@ -31,6 +31,18 @@ def ttl_dense_hourly(spark, sf_dir):
     return out.select("user_id", F.floor(F.col("us") / 3600000000).alias("hour"), "state")
 
 
+@query(f"""SELECT event_id, lead(us) OVER w AS next_us, lag(event_id) OVER w AS last_event, round(sum(value) OVER (w ROWS UNBOUNDED PRECEDING), 2) AS total, last_value(CASE WHEN event_type = 'error' THEN value END IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING) AS last_error
+FROM {EV} WINDOW w AS (ORDER BY us, event_id)""")
+def one_long_line(spark, sf_dir):
+    """The whole table as one line, in blocks of 500 rows: neighbours, running total, last known value."""
+    e = events(spark, sf_dir).select(F.lit("line").alias("line"), "event_id", "us", "value", F.when(F.col("event_type") == "error", F.col("value")).alias("of_error"))
+    line, order = ["line"], ["us", "event_id"]
+    out = scans.neighbour(scans.blocked(e, line, "us", 500), line, order, ["us"], "next")
+    out = scans.neighbour(out, line, order, ["event_id"], "last", ahead=False)
+    out = scans.last_known(scans.running_sum(out, line, order, "value", "total"), line, order, "of_error", "last_error")
+    return out.select("event_id", F.col("next.us").alias("next_us"), F.col("last.event_id").alias("last_event"), F.round("total", 2).alias("total"), "last_error")
+
+
 @query(f"""SELECT user_id, event_type, prev_us AS last_high, us AS first_low FROM (SELECT *, lag(us) OVER w AS prev_us, lag(state) OVER w AS prev FROM {EV} WINDOW w AS (PARTITION BY user_id, event_type ORDER BY us, event_id)) WHERE prev > state""")
 def ttl_falling_edges(spark, sf_dir):
     """W3, Q11."""

@@ -97,7 +97,7 @@ def test_bins_clip_bouts_and_add_up(spark):
 def test_raster_rounds_half_to_even_and_clips(spark):
     t = spark.createDataFrame([("a", 0.5, 2.5, 50.0), ("b", 1.5, 1.6, -3.0), ("c", 3.6, 9.0, 10.0)], "k string, a double, z double, p double")
     out = analytics.raster(t, ["k"], "a", "z", F.lit(6), "p")
-    assert rows(out, "k", "second", "intensity") == [("a", 0, 0.5), ("a", 1, 0.5), ("c", 4, 0.1), ("c", 5, 0.1)]
+    assert rows(out, "k", "second", "intensity", "n") == [("a", 0, 0.5, 1), ("a", 1, 0.5, 1), ("c", 4, 0.1, 1), ("c", 5, 0.1, 1)]
     marks = analytics.periodic_marks(spark.createDataFrame([(250,), (0,)], "e int"), "e")
     assert sorted(r["mark"] for r in marks.collect()) == [0, 100, 200]
 

@@ -77,7 +77,7 @@ def test_interval_join_equals_a_nested_loop(spark):
     r = random.Random(1)
     p = [("k", i, r.randint(0, 500)) for i in range(200)]
     iv = [("k", i, (a := r.randint(0, 480)), a + r.randint(0, 90)) for i in range(60)]
-    out = signals.interval_join(spark.createDataFrame(p, "k string, p long, t long"), spark.createDataFrame(iv, "k string, i long, a long, z long"), ["k"], "t", "a", "z", 37)
+    out = signals.interval_join(spark.createDataFrame(p, "k string, p long, t long"), spark.createDataFrame(iv, "k string, i long, a long, z long"), ["k"], "t", "a", "z")
     assert rows(out, "p", "i") == sorted(((x[1], y[1]) for x in p for y in iv if y[2] <= x[2] < y[3]), key=lambda t: tuple((True, str(v)) for v in t))
 
 
