@@ -10,12 +10,14 @@ from burrowline.functions.scalar import number, whole
 
 def marks(projects: DataFrame, aligned: DataFrame | None = None) -> DataFrame:
     """Scoring projects (observations map, see sources) to one row per mark: element 0 is the time, 2 the label, 3 the frame
-    (R7). ord is the place in the array. An aligned start replaces the observation's own offset (Q7)."""
+    (R7). ord is the place in the array. An aligned start replaces the observation's own offset (Q7); it goes by observation
+    and by whatever else both sides share, such as the project's path."""
     keep = [c for c in projects.columns if c not in ("observations", "behaviors_conf")]
     obs = projects.select(*keep, F.explode("observations").alias("observation_id", "o"))
     rows = obs.select(*keep, "observation_id", F.col("o.`time offset`").alias("time_offset"), F.posexplode("o.events").alias("ord", "e"))
     if aligned is not None:
-        rows = rows.join(aligned.select("observation_id", "aligned_start"), "observation_id", "left")
+        own = [c for c in aligned.columns if c in (*keep, "observation_id")]
+        rows = rows.join(aligned.select(*own, "aligned_start"), own, "left")
     offset = F.coalesce(*([F.col("aligned_start")] if aligned is not None else []), F.col("time_offset"), F.lit(0.0))
     at = lambda k: F.try_element_at("e", F.lit(k + 1))
     return rows.select(*keep, "observation_id", "ord", (number(at(0)) + offset).alias("t_s"), at(2).alias("label"), whole(at(3), "bigint").alias("frame"))

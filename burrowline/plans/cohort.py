@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from burrowline.functions import scalar
+from burrowline.functions import merging, scalar
 from burrowline.operators import discover, guards, meta, substrings, trials
 from burrowline.plans.base import query, r4, table
 
@@ -156,6 +156,27 @@ def metadata_layers(spark, sf_dir):
     return filled.select("c_custkey", "institution", scalar.sex_code(F.col("c_mktsegment")).alias("sex"), scalar.subject_name(F.col("c_custkey"), F.col("c_nationkey")).alias("subject_id"), "reason")
 
 
+@query("""SELECT c_custkey, coalesce(CASE WHEN c_acctbal > 0 THEN n_name END, 'default') AS institution, 'lab' AS lab, c_mktsegment AS session, 'rat' AS species, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS subject_id,
+'a,b' || CASE WHEN c_custkey % 3 = 0 THEN ',' || c_mktsegment ELSE '' END AS keywords, 'arena=' || CASE WHEN c_custkey % 5 = 0 THEN 'path' ELSE n_name END || '/1,box=file/2' || CASE WHEN c_custkey % 5 = 1 THEN ',new=path/' ELSE '' END AS devices,
+CASE WHEN c_custkey % 2 = 1 THEN 'a:low,b:' || c_nationkey ELSE 'a:' || c_custkey || ',b:' || c_nationkey || ',c:path' END AS tags FROM customer JOIN nation ON n_nationkey = c_nationkey""")
+def deep_metadata(spark, sf_dir):
+    """Default, file and path layers of nested metadata, merged to their leaves."""
+    j = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    k, s, lit = F.col("c_custkey"), F.struct, lambda x, name: F.lit(x).alias(name)
+    device = lambda name, note, order: s(F.lit(name).alias("name"), note.alias("note"), F.lit(order).alias("order"))
+    base = s(s(lit("default", "institution"), lit("lab", "lab"), F.array(F.lit("a"), F.lit("b")).alias("keywords")).alias("file"), s(lit("rat", "species")).alias("subject"), F.array(device("arena", F.lit("base"), 1)).alias("devices"), F.create_map(F.lit("a"), F.lit("low")).alias("tags"))
+    file = s(s(F.when(F.col("c_acctbal") > 0, F.col("n_name")).alias("institution"), F.col("c_mktsegment").alias("session")).alias("file"), F.array(s(F.lit("arena").alias("name"), F.col("n_name").alias("note")), s(F.lit("box").alias("name"), F.lit("file").alias("note"))).alias("devices"), F.create_map(F.lit("b"), F.col("c_nationkey").cast("string")).alias("tags"))
+    path = s(
+        s(F.when(k % 3 == 0, F.array(F.col("c_mktsegment"), F.lit("a"))).alias("keywords")).alias("file"), F.when(k % 2 == 0, s(F.col("c_name").alias("subject_id"))).alias("subject"),
+        F.when(k % 5 == 0, F.array(s(F.lit("arena").alias("name"), F.lit("path").alias("note"), F.lit(None).cast("int").alias("order")), s(F.lit("box").alias("name"), F.lit(None).cast("string").alias("note"), F.lit(2).alias("order")))).when(k % 5 == 1, F.array(s(F.lit("box").alias("name"), F.lit(None).cast("string").alias("note"), F.lit(2).alias("order")), s(F.lit("new").alias("name"), F.lit("path").alias("note"), F.lit(None).cast("int").alias("order")))).otherwise(F.array(s(F.lit("box").alias("name"), F.lit(None).cast("string").alias("note"), F.lit(2).alias("order")))).alias("devices"),
+        F.when(k % 2 == 0, F.create_map(F.lit("a"), k.cast("string"), F.lit("c"), F.lit("path"))).alias("tags"),
+    )
+    m = merging.deep_merge(j.select("c_custkey", base.alias("base"), file.alias("of_file"), path.alias("of_path")), ["base", "of_file", "of_path"], "m")
+    shown = F.transform("m.devices", lambda d: F.concat(d["name"], F.lit("="), d["note"], F.lit("/"), F.coalesce(d["order"].cast("string"), F.lit(""))))
+    tags = F.transform(F.array_sort(F.map_entries("m.tags")), lambda e: F.concat(e["key"], F.lit(":"), e["value"]))
+    return m.select("c_custkey", "m.file.institution", "m.file.lab", "m.file.session", "m.subject.species", "m.subject.subject_id", F.array_join("m.file.keywords", ",").alias("keywords"), F.array_join(shown, ",").alias("devices"), F.array_join(tags, ",").alias("tags"))
+
+
 @query("""SELECT c_custkey, task, CASE WHEN s IS NULL THEN e WHEN e = s THEN e ELSE e || ';' || s END AS people FROM (
 SELECT c_custkey, 'OLM' AS task, c_mktsegment AS e, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment WHEN c_custkey % 3 = 1 THEN n_name END AS s FROM customer JOIN nation ON c_nationkey = n_nationkey
 UNION ALL SELECT c_custkey, 'WM', n_name, NULL FROM customer JOIN nation ON c_nationkey = n_nationkey)""")

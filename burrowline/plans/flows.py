@@ -2,29 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burrowline.functions import scalar
-from burrowline.operators import align, catalog, guards, trials
+from burrowline.operators import align, catalog, discover, guards, trials
 from burrowline.plans import conversion
-from burrowline.sources import writers
+from burrowline.sources import batches, writers
 
 KEY = writers.KEY
 
 
 def object_sessions(sessions: DataFrame, projects: DataFrame, sheet: DataFrame, path: str, rejects: str) -> None:
     """Sample and test of object tasks (J5, W2, J13, U3). sessions: as behavioural_sessions gives them, with cohort_id; projects
-    and sheet carry cohort_id too, the sheet also test. A session without an observation of its animal and kind is rejected."""
-    enriched = conversion.enriched_events(projects, sheet, ["cohort_id", "test"])
+    and sheet carry cohort_id too, the sheet also test. A session without an observation of its animal and kind is rejected.
+    An observation is an animal's if its id contains the animal's (Q12); ambiguous_match says whether it also contains that
+    of another animal of the cohort. Ids are matched before any event is looked at."""
+    block = ["cohort_id", "test"]
+    enriched = conversion.enriched_events(projects, sheet, block)
     wanted = sessions.select(*KEY, "cohort_id", "animal_id", F.col("session_kind").alias("test"))
-    named = enriched.withColumn("words", F.split("observation_id", "[^0-9A-Za-z]+"))
-    own = F.array_contains("words", F.col("animal_id").cast("string"))
-    rows = wanted.join(named, ["cohort_id", "test"], "left").withColumn("own", F.coalesce(own, F.lit(False)))
-    found = rows.filter("own").select(*KEY, "observation_id", "trial_type", "label", "ord", "start_s", "duration_s", "position", "novelty", "object")
+    observed = enriched.select(*block, "observation_id").distinct()
+    own = discover.match_observation(wanted, observed, block, KEY, F.col("animal_id"), first=False)
+    judged = discover.ambiguous(own, wanted, block, "animal_id", "animal_id", "observation_id")
+    found = judged.join(enriched, [*block, "observation_id"]).select(*KEY, "observation_id", "ambiguous_match", "trial_type", "label", "ord", "start_s", "duration_s", "position", "novelty", "object")
     none = wanted.join(found.select(*KEY).distinct(), KEY, "left_anti").select(*KEY, F.lit("no observation").alias("reason"))
     writers.write_sessions(found, path)
-    none.write.mode("append").parquet(rejects)
+    writers.write_rejects(none, rejects)
 
 
 def swim_sessions(swims: DataFrame, videos: DataFrame, task: str, path: str, rejects: str) -> None:
@@ -61,7 +64,7 @@ def recording_sessions(sessions: DataFrame, sheet: DataFrame, groups: DataFrame,
     writers.write_sessions(good.select(*KEY).join(electrodes, "subject_id"), f"{folder}/electrodes")
     writers.write_sessions(series.join(of_session, KEY).join(kinds, "subject_id", "left"), f"{folder}/series", sort="sample_idx")
     writers.write_sessions(shown.join(good.select(*KEY), KEY, "left_semi"), f"{folder}/frames", sort="frame_idx")
-    bad.write.mode("append").parquet(f"{folder}/rejects")
+    writers.write_rejects(bad, f"{folder}/rejects")
 
 
 def catalogue_ingest(tables: dict[str, DataFrame], new: dict[str, DataFrame], key: list[str]) -> dict[str, DataFrame]:
@@ -77,6 +80,13 @@ def catalogue_ingest(tables: dict[str, DataFrame], new: dict[str, DataFrame], ke
     return {"session": session, "part": whole("part", new["part"]), "lfp": whole("lfp", lfp), "event": clean["event"].unionByName(new["event"].join(having.select(*key), key, "left_semi"))}
 
 
+def catalogue_batch(spark: SparkSession, folder: str, batch: str, new: dict[str, DataFrame], rejects: DataFrame | None = None) -> bool:
+    """Ingest a batch of sessions with all that hangs on them as one (SK4-SK6): session, part, lfp and event become visible
+    together. new: session, part, electrode, signal, rate and event, each with subject_id and session_id."""
+    lfp = catalog.lfp_series(new["electrode"], new["signal"], new["rate"], KEY)
+    return batches.ingest(spark, folder, batch, new["session"], {"session": new["session"], "part": new["part"], "lfp": lfp, "event": new["event"]}, rejects)
+
+
 def reject_counts(rejects: DataFrame, session: Column | None = None) -> DataFrame:
     """Rejects of a flow by reason."""
     return rejects.groupBy("reason").agg(F.count_distinct(session if session is not None else F.struct(*KEY)).alias("n"))

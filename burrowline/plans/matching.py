@@ -116,20 +116,22 @@ def videos_by_date(spark, sf_dir):
     return out.select("user_id", F.col("date").cast("string").alias("date"), F.size("videos").cast("long").alias("n"), F.array_join(shown, ",").alias("videos"))
 
 
-@query(f"""SELECT user_id, event_id, CAST(CASE event_type WHEN 'click' THEN 0 WHEN 'view' THEN 1 ELSE 2 END AS INT) AS segment FROM {EV} WHERE event_type IN ('click', 'view', 'error')""")
+KINDS = ("click", "view", "error", "signup", "purchase")
+
+
+@query(f"""SELECT user_id, event_id, CAST(list_position(['click', 'view', 'error', 'signup', 'purchase'], event_type) - 1 AS INT) AS segment FROM {EV}""")
 def series_segments(spark, sf_dir):
     """A series in several files, segment by segment."""
     e = events(spark, sf_dir)
-    return align.concatenated([e.filter(F.col("event_type") == k).select("user_id", "event_id") for k in ("click", "view", "error")])
+    return align.concatenated([e.filter(F.col("event_type") == k).select("user_id", "event_id") for k in KINDS])
 
 
-@query("""WITH b AS (SELECT event_id, event_type AS label, CASE WHEN extract('day' FROM ts) < 10 THEN 'sample' ELSE 'test' END AS trial_type, value FROM events WHERE event_type <> 'signup' AND extract('day' FROM ts) < 20)
-SELECT event_id, trial_type, CASE label WHEN 'click' THEN 'cup' ELSE 'cone' END AS object FROM b WHERE label IN ('click', 'view')""")
+@query("""SELECT event_id, CASE WHEN extract('day' FROM ts) < 10 THEN 'sample' ELSE 'test' END AS trial_type, CASE event_type WHEN 'click' THEN 'cup' WHEN 'view' THEN 'cone' ELSE 'box' END AS object FROM events WHERE event_type IN ('click', 'view', 'signup')""")
 def labelled_trials(spark, sf_dir):
     """Events of sample and test under one session, with their objects; those without an object go."""
-    e = events(spark, sf_dir).filter("event_type <> 'signup'").select("event_id", F.col("event_type").alias("label"), F.dayofmonth("ts").alias("d"))
-    both = ev.with_trial_type(e.filter("d < 10"), e.filter("d >= 10 AND d < 20"))
-    kinds = e.select(F.lit("t").alias("k")).distinct()
-    sheet = kinds.select("k", F.explode(F.array(F.lit("Sample trial"), F.lit("Test trial"))).alias("trial"), F.lit("click").alias("Obj_A"), F.lit("cup").alias("ObjName_A"), F.lit("view").alias("Obj_B"), F.lit("cone").alias("ObjName_B"), F.lit("error").alias("Obj_C"), F.lit("nan").alias("ObjName_C"))
+    e = events(spark, sf_dir).select("event_id", F.col("event_type").alias("label"), F.dayofmonth("ts").alias("d"))
+    both = ev.with_trial_type(e.filter("d < 10"), e.filter("d >= 10"))
+    objects = (("A", "click", "cup"), ("B", "view", "cone"), ("C", "error", "nan"), ("D", "signup", "box"))
+    sheet = e.select(F.lit("t").alias("k")).distinct().select("k", F.explode(F.array(F.lit("Sample trial"), F.lit("Test trial"))).alias("trial"), *[F.lit(x).alias(f"{c}_{k}") for k, label, name in objects for c, x in (("Obj", label), ("ObjName", name))])
     info = ev.object_info(sheet, ["k"])
     return ev.labelled(ev.enrich(both, info, ["trial_type", "label"], ["object"], ["ord"])).select("event_id", "trial_type", "object")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from burrowline.operators import align, scans, signals
+from burrowline.operators import align, pyramid, scans, signals
 from burrowline.plans.base import EV, events, query, r4, table
+from burrowline.sources import shared
 
 LINE = ["user_id", "event_type"]
 RATE = 500.0
@@ -126,6 +127,21 @@ def stack_offset(spark, sf_dir):
     return out.select("vec_id", "channel", r4(F.col("stack_offset")).alias("stack_offset"), r4(F.col("y")).alias("y"))
 
 
+@query("""WITH b AS (SELECT 37 AS a, max(vec_id) - 10 AS z FROM embeddings), l AS (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS channel FROM embeddings, b WHERE vec_id >= a AND vec_id < z)
+SELECT label, CAST(channel AS INT) AS channel, count(*) AS n, round(CAST(min(x) AS DOUBLE), 6) AS lo, round(CAST(max(x) AS DOUBLE), 6) AS hi, round(sum(CAST(x AS DOUBLE)), 4) AS total, round(2 * max(max(abs(CAST(x AS DOUBLE)))) OVER (PARTITION BY label), 6) AS stack_offset FROM l GROUP BY label, channel""")
+def window_extents(spark, sf_dir):
+    """Extents and display offset of a window that ends within blocks, from the pyramid and the samples at its
+    ends."""
+    e = table(spark, sf_dir, "embeddings")
+    last = e.agg(F.max("vec_id")).first()[0] - 10
+    blocks = shared.written(pyramid.build(e, ["label"], "vec_id", "embedding", 16, 3), "pyramid")
+    x = pyramid.extents(blocks, e, ["label"], 37, last, "vec_id", "embedding", 16, 3)
+    y = shared.written(x, "extents")
+    out = y.join(pyramid.display_offset(y, ["label"]), "label")
+    r6 = lambda c: F.round(c, 6).alias(c)
+    return out.select("label", "channel", "n", r6("lo"), r6("hi"), r4(F.col("total")).alias("total"), r6("stack_offset"))
+
+
 @query("""SELECT p_partkey, CASE WHEN p_size % 10 = 0 THEN 'unknown' ELSE replace(p_type, 'PROMO', 'EEG_PROMO') END AS location, p_size % 10 = 0 AS bad_channel,
 CASE WHEN p_size % 10 = 0 THEN 'bad' WHEN p_type LIKE '%PROMO%' THEN 'eeg' ELSE 'lfp' END AS kind FROM part""")
 def channel_class_split(spark, sf_dir):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from burrowline.operators import align, catalog, meta, signals, trials
 from burrowline.operators import events as ev
 from burrowline.plans.base import EV, events, query, r4, table
-from burrowline.sources import readers, schemas, shared, writers
+from burrowline.sources import readers, schemas, shared, templates, writers
 
 
 @query("""SELECT c_name AS task, CAST(0 AS INT) AS ord, 'Hab D' || c_nationkey AS session FROM customer
@@ -62,6 +62,25 @@ def ephys_path_template(spark, sf_dir):
     return readers.ephys_paths(listing).withColumn("start", F.unix_seconds("start_ts")).drop("start_ts")
 
 
+ANIMAL_PATHS = "(SELECT o_orderkey, o_custkey, o_orderdate, CASE o_orderkey % 8 WHEN 0 THEN 'no match' WHEN 1 THEN 'fields disagree' WHEN 2 THEN 'session_date is no date' WHEN 3 THEN 'n is no int' END AS reason FROM orders)"
+
+
+@query(f"""SELECT o_orderkey, CASE WHEN reason IS NULL THEN 'rat_' || o_custkey END AS subject_id, CASE WHEN reason IS NULL THEN CAST(o_orderdate AS DATE) || '' END AS session_date, CASE WHEN reason IS NULL THEN '09:30:07' END AS session_time,
+CASE WHEN reason IS NULL THEN o_orderkey % 100 END AS n, CASE WHEN reason IS NULL THEN 'Recall_' || o_orderkey % 3 END AS task, reason FROM {ANIMAL_PATHS}""")
+def path_templates(spark, sf_dir):
+    """SC5, X2, SK2: a template with a field that comes again and typed ones, and why paths don't fit it."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey") % 8
+    who = F.concat(F.lit("rat_"), "o_custkey")
+    day = F.when(k == 2, F.date_format("o_orderdate", "yyyy-13-dd")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    n = F.when(k == 3, F.lit("9" * 30)).otherwise((F.col("o_orderkey") % 100).cast("string"))
+    name = F.concat_ws("_", F.when(k == 1, F.lit("rat_x")).otherwise(who), day, F.lit("09-30-07"), n, F.lit("Recall"), (F.col("o_orderkey") % 3).cast("string"))
+    path = F.concat(F.lit("raw/"), F.when(k == 0, F.lit("notes/")).otherwise(F.concat(who, F.lit("/Ses+1/"))), F.when(k == 0, F.lit("x.txt")).otherwise(name), F.lit("#"), "o_orderkey")
+    found, bad = templates.expand(o.select(path.alias("path")), "{subject_id}/Ses+1/{subject_id}_{session_date:date}_{session_time:time}_{n:int}_{task}#{o_orderkey:int}")
+    none = lambda kind: F.lit(None).cast(kind)
+    missed = bad.select(F.regexp_extract("path", "#([0-9]+)$", 1).cast("bigint").alias("o_orderkey"), none("string").alias("subject_id"), none("string").alias("session_date"), none("string").alias("session_time"), none("bigint").alias("n"), none("string").alias("task"), "reason")
+    return found.select("o_orderkey", "subject_id", F.col("session_date").cast("string").alias("session_date"), "session_time", "n", "task", none("string").alias("reason")).unionByName(missed)
+
+
 def project_files(spark, sf_dir) -> str:
     """A scoring project for each subject: an observation a week, its marks in the order of their ids."""
     e = events(spark, sf_dir).withColumn("week", F.floor((F.dayofmonth("ts") - 1) / 7))
@@ -89,6 +108,23 @@ def scoring_project_marks(spark, sf_dir):
     return rows.select("observation_id", "ord", F.round("t_s", 3).alias("t_s"), "label", "frame")
 
 
+@query("""SELECT CAST(user_id AS VARCHAR) AS subject_id, CASE WHEN user_id % 10 > 2 THEN count(*) END AS n_marks, CASE user_id % 10 WHEN 0 THEN 'unreadable project' WHEN 1 THEN 'unreadable project' WHEN 2 THEN 'no observations' END AS reason FROM events GROUP BY user_id""")
+def damaged_projects(spark, sf_dir):
+    """SK2, SK3, SC6: projects that are cut off, that aren't JSON or that lack their observations are rejects with a reason."""
+    e = events(spark, sf_dir)
+    mark = F.array(F.lit("1"), F.lit(""), "event_type", F.col("event_id").cast("string"))
+    o = e.groupBy("user_id").agg(F.collect_list(mark).alias("events"))
+    value = F.struct(F.lit(0.0).alias("time offset"), "events")
+    whole = F.to_json(F.struct(F.create_map(F.lit("o"), value).alias("observations")))
+    k = F.col("user_id") % 10
+    text = F.when(k == 0, F.substr(whole, F.lit(1), F.floor(F.length(whole) / 2).cast("int"))).when(k == 1, F.lit("observations: none")).when(k == 2, F.lit('{"behaviors_conf": {}}')).otherwise(whole)
+    path = shared.as_lines(o.select("user_id", text.alias("line")), "damaged", "user_id", [])
+    subject = F.regexp_extract("path", "sheet=([^/]*)/", 1).alias("subject_id")
+    marks = ev.marks(readers.scoring_projects(spark, path)).groupBy("path").agg(F.count("*").alias("n_marks"))
+    bad = readers.project_rejects(spark, path).withColumn("n_marks", F.lit(None).cast("long"))
+    return marks.withColumn("reason", F.lit(None).cast("string")).unionByName(bad).select(subject, "n_marks", "reason")
+
+
 @query(f"SELECT DISTINCT 'obs_' || user_id || '_w_' || week AS observation_id, CAST(25 + week AS DOUBLE) AS fps, round(1.0 / (25 + week), 6) AS resolution, week > 0 AS fps_differ FROM {OBS}")
 def media_rates(spark, sf_dir):
     """The first frame rate of each observation."""
@@ -289,12 +325,12 @@ def session_by_key(spark, sf_dir):
     return both.select("subject_id", "session_id", "c_custkey", writers.session_file().alias("file"), "reason")
 
 
-@query("""WITH e AS (SELECT label, vec_id, embedding FROM embeddings), p AS (SELECT DISTINCT p_size % 10 AS label, p_size AS electrode FROM part WHERE p_type LIKE '%E%' AND p_size < 50),
+@query("""WITH e AS (SELECT label, vec_id, embedding FROM embeddings), p AS (SELECT DISTINCT p_size % 10 AS label, p_size AS electrode FROM part WHERE p_type LIKE '%E%'),
 g AS (SELECT label, string_agg(CAST(electrode AS VARCHAR), ',' ORDER BY electrode) AS electrode_ids, min(electrode) AS lo FROM p GROUP BY label)
 SELECT label, vec_id, electrode_ids, CAST(label + 1 AS DOUBLE) AS rate, round(CAST(embedding[lo + 1] AS DOUBLE), 6) AS first_value FROM e JOIN g USING (label)""")
 def lfp_insert(spark, sf_dir):
     """SK6: series of the electrodes whose group is named LFP, with their list and rate."""
-    p = table(spark, sf_dir, "part").filter("p_size < 50")
+    p = table(spark, sf_dir, "part")
     e = p.select((F.col("p_size") % 10).alias("label"), F.col("p_size").alias("electrode_id"), F.when(F.col("p_type").contains("E"), "LFP_group").otherwise("EEG_group").alias("group_name")).distinct()
     v = table(spark, sf_dir, "embeddings").select("label", "vec_id", F.col("embedding").alias("v"))
     m = v.select("label", (F.col("label") + 1).cast("double").alias("rate")).distinct()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from burrowline.functions.scalar import file_name, first_time, number, suffix, whole
 from burrowline.operators import meta, trials
 from burrowline.operators.guards import exactly_one
-from burrowline.sources import schemas, sheets
+from burrowline.sources import schemas, sheets, templates
 
 
 def text_csv(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -40,18 +40,34 @@ def files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     return f.select("path", F.regexp_extract("path", "([^/]*)/[^/]*$", 1).alias("dir"), name.alias("name"), suffix(F.col("path")).alias("ext"), "length", "modificationTime")
 
 
+#: Fixed value: where a recording lies (SC5).
+RECORDING = "{subject_id}/{session_id}/{subject_id}_{session_date:date}_{session_time:time}_{task}"
+
+
 def ephys_paths(listing: DataFrame) -> DataFrame:
-    """subject/session/subject_date_time_task to columns; the file's subject must be the folder's (SC5, X2)."""
-    p = r"([^/]+)/([^/]+)/(\1)_([0-9]{4}-[0-9]{2}-[0-9]{2})_([0-9]{2}-[0-9]{2}-[0-9]{2})_([^/]+)"
-    part = lambda k: F.regexp_extract("path", p, k)
-    rows = listing.filter(F.col("path").rlike(p)).select(part(1).alias("subject_id"), part(2).alias("session_id"), part(4).alias("session_date"), part(5).alias("session_time"), part(6).alias("task"))
+    """subject/session/subject_date_time_task to columns; the file's subject must be the folder's (SC5, X2). What doesn't fit
+    is what templates.expand gives beside them."""
+    rows, _ = templates.expand(listing, RECORDING)
+    day, clock = F.date_format("session_date", "yyyy-MM-dd"), F.replace("session_time", F.lit(":"), F.lit("-"))
+    found = rows.select("subject_id", "session_id", day.alias("session_date"), clock.alias("session_time"), "task").distinct()
     start = first_time(F.concat_ws(" ", "session_date", "session_time"), ("yyyy-MM-dd HH-mm-ss",))
-    return rows.distinct().withColumn("start_ts", F.to_utc_timestamp(start, "Europe/London"))
+    return found.withColumn("start_ts", F.to_utc_timestamp(start, "Europe/London"))
+
+
+def _projects(spark: SparkSession, path: str) -> DataFrame:
+    read = spark.read.schema(f"{schemas.PROJECT}, _corrupt_record string").option("multiLine", True).json(path)
+    reason = F.when(F.col("_corrupt_record").isNotNull(), "unreadable project").when(F.col("observations").isNull(), "no observations")
+    return read.select("observations", "behaviors_conf", F.col("_metadata.file_path").alias("path"), reason.alias("reason"))
 
 
 def scoring_projects(spark: SparkSession, path: str) -> DataFrame:
-    """SC6."""
-    return spark.read.schema(schemas.PROJECT).option("multiLine", True).json(path).withColumn("path", F.col("_metadata.file_path"))
+    """SC6: the projects that can be read; project_rejects has the others."""
+    return _projects(spark, path).filter("reason IS NULL").drop("reason")
+
+
+def project_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """path and reason of projects that are cut off, aren't JSON or have no observations (SK2)."""
+    return _projects(spark, path).filter("reason IS NOT NULL").select("path", "reason")
 
 
 def freeze_scores(spark: SparkSession, path: str) -> DataFrame:

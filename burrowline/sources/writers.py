@@ -36,10 +36,17 @@ def finished(spark, path: str) -> DataFrame:
     return (spark.createDataFrame([], LOG) if log is None else log).select(*KEY).distinct()
 
 
+def removed(spark, path: str) -> None:
+    """Delete a folder of the table's file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def write_sessions(df: DataFrame, path: str, overwrite: bool = False, sort: str | None = None) -> None:
     """Partition by session (SK1). overwrite replaces the partitions that df has; without it only sessions that aren't there
     yet are added. A session is there once the log beside the table says so: what a failed run has left half-written is
-    replaced by the next one. Rows of a session come sorted by sort, so that slices prune by statistics."""
+    replaced by the next one. Rows of a session come sorted by sort, so that slices prune by statistics. df is read twice, for
+    its keys (which go to a pending log until the rows are there) and for its rows."""
     spark = df.sparkSession
     out = df if overwrite else df.join(finished(spark, path), KEY, "left_anti")
     keys = out.select(*KEY).distinct()
@@ -48,10 +55,22 @@ def write_sessions(df: DataFrame, path: str, overwrite: bool = False, sort: str
     keys.write.parquet(log)  # named before the log of finished ones changes
     rows.write.partitionBy(*KEY).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     spark.read.schema(LOG).parquet(log).write.mode("append").parquet(f"{path.rstrip('/')}-finished")
+    removed(spark, log)
+
+
+def write_rejects(bad: DataFrame, path: str) -> None:
+    """Append rejects that the log doesn't have yet, so that a run that comes again adds none (SK3, A14)."""
+    spark = bad.sparkSession
+    there = existing(spark, path, bad.schema)
+    new = bad.distinct()
+    if there is not None:
+        held = there.distinct().select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(bad.columns)])
+        new = new.join(held, [F.col(c).eqNullSafe(F.col(f"_r{i}")) for i, c in enumerate(bad.columns)], "left_anti")
+    new.write.mode("append").parquet(path)
 
 
 def write_with_rejects(df: DataFrame, path: str, rejects_path: str, overwrite: bool = False) -> None:
     """Sessions without a reason to the table, the others to the reject log (SK2, SK3)."""
     good, bad = split_rejects(df)
     write_sessions(good, path, overwrite)
-    bad.write.mode("append").parquet(rejects_path)
+    write_rejects(bad, rejects_path)
