@@ -7,8 +7,11 @@ space mark after anything else, and of letters beside ASCII marks or line ends,
 each part alone, and the outcomes of the first KEPT_PARTS parts are kept for the life of the Python worker. For other
 vocabularies it runs on whole texts.
 
+Decoding puts the bytes of the ids' pieces together; those of a part's ids are kept with the ids.
+
 The outcome is checked against the sentencepiece library in Arrow batches: every whole text is encoded and decoded by both.
-``agrees`` says whether ids and decoded text came out the same; where they don't, the library's are returned.
+What is returned is the agenda's; ``agrees`` says whether the library has the same ids and decoded text, and where it
+hasn't, its own are returned.
 
 Models with a normalisation table, unigram models and models with user-defined pieces are refused with a ValueError.
 
@@ -76,9 +79,9 @@ class Agenda:
         beside = {(kind(a), kind(b)) for p in self.score for a, b in zip(p, p[1:], strict=False) if SPACE not in (a, b)}
         crossing = {(a, b) for a in range(3) for b in range(3) if a != b} & beside
         self.by_part = self.prefix == SPACE and not crossing and not any(SPACE in p.lstrip(SPACE) for p in self.score)
-        self.table: dict[str, bytes] = {}
+        #: Comma-joined ids of a part and what they decode to.
+        self.table: dict[str, tuple[bytes, bytes]] = {}
         self.seen = self.missed = 0
-        self.odd: dict[str, bytes] = {}  # parts that don't decode to themselves
         self.digits = [str(k) for k in range(len(model.pieces))]
 
     def merge(self, text: str) -> list[int]:
@@ -119,8 +122,8 @@ class Agenda:
         text = self.prefix + text.replace(" ", SPACE)
         return PARTS.findall(text) if self.by_part else [text]
 
-    def learn(self, texts: list[list[str]]) -> dict[str, bytes]:
-        """Encode what of these parts the table doesn't hold; returns what the table doesn't take."""
+    def learn(self, texts: list[list[str]]) -> dict[str, tuple[bytes, bytes]]:
+        """Encode what of these parts the table doesn't hold, and decode their ids; returns what the table doesn't take."""
         table, rest = self.table, {}
         new = {p for parts in texts for p in parts if p not in table}
         self.seen, self.missed = self.seen + sum(map(len, texts)), self.missed + len(new)
@@ -128,34 +131,24 @@ class Agenda:
             # what comes early is mostly what is common, so a full table stays - unless the texts have changed
             if self.missed > 0.2 * self.seen:
                 table.clear()
-                self.odd.clear()
                 new = {p for parts in texts for p in parts}
             self.seen = self.missed = 0
         for p in new:
             ids = self.merge(p)
-            whole = b"".join([self.surface[i] for i in ids])
-            (table if len(p) <= KEPT_CHARS and len(table) < KEPT_PARTS else rest)[p] = ",".join(map(str, ids)).encode()
-            if whole != p.replace(SPACE, " ").encode():
-                self.odd[p] = whole
+            (table if len(p) <= KEPT_CHARS and len(table) < KEPT_PARTS else rest)[p] = ",".join(map(str, ids)).encode(), self.decoded(ids)
         return rest
 
     def of_texts(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """Comma-joined ids and decoded text of each, by the agenda alone."""
         split = [self.parts(t) for t in texts]
         rest = self.learn(split)
-        table, odd, out = self.table, self.odd, []
+        table, out = self.table, []
         for parts in split:
             try:
-                ids = b",".join([table[p] for p in parts])
+                found = [table[p] for p in parts]
             except KeyError:
-                ids = b",".join([table[p] if p in table else rest[p] for p in parts])
-            if odd and not odd.keys().isdisjoint(parts):
-                decoded = self.plain(b"".join([odd[p] if p in odd else p.replace(SPACE, " ").encode() for p in parts]))
-            else:  # every part decodes to itself
-                decoded = "".join(parts).replace(SPACE, " ")[len(self.prefix) :]
-            out.append((ids, decoded))
-        for p in rest:
-            odd.pop(p, None)
+                found = [table[p] if p in table else rest[p] for p in parts]
+            out.append((b",".join([x for x, _ in found]), self.plain(b"".join([d for _, d in found]))))
         return out
 
     def by_library(self, texts: list[str]) -> list[tuple[bytes, str]]:
@@ -168,8 +161,12 @@ class Agenda:
         """Decoded bytes as text, without the space that the prefix stands for."""
         return (whole[1:] if self.prefix and whole[:1] == b" " else whole).decode("utf-8", "replace")
 
+    def decoded(self, ids: list[int]) -> bytes:
+        """The bytes of the ids' pieces."""
+        return b"".join([self.surface[i] for i in ids])
+
     def decode(self, ids: list[int]) -> str:
-        return self.plain(b"".join([self.surface[i] for i in ids]))
+        return self.plain(self.decoded(ids))
 
 
 _OPEN: dict[str, Agenda] = {}
@@ -203,7 +200,8 @@ def _run(docs: DataFrame, model: str, check: bool, digests: bool) -> DataFrame:
                 agrees: list[bool | None] = [None] * len(texts)
                 if check:
                     theirs = agenda.by_library(texts)
-                    agrees, found = [x == y for x, y in zip(found, theirs, strict=True)], theirs
+                    agrees = [x == y for x, y in zip(found, theirs, strict=True)]
+                    found = [x if same else y for x, y, same in zip(found, theirs, agrees, strict=True)]
                 n = pa.array([ids.count(b",") + bool(ids) for ids, _ in found], pa.int64())
                 if digests:
                     sha = lambda raws: pa.array([hashlib.sha256(x).hexdigest() for x in raws], pa.string())
