@@ -31,7 +31,7 @@ from burrowline.llm.common import ready, staged, text_of
 KINDS = ("email", "ip", "card", "phone", "context")
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+){3,}")
+DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3,}+")  # tried at the first digit of a number only
 NUMBER = re.compile(r"[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
