@@ -89,6 +89,8 @@ def under_text(n, m) -> tuple[tuple, tuple]:
 
 MODELS = [text_model(alphabet, kind) for _, _, alphabet, kind in ENCODINGS]
 STRATA = (32, 48, 80)
+#: Spans of a kind in a text that are looked at one by one.
+FEW = 32
 CHUNK, BINS, LN10 = 256, 400, 2.302585092994046
 
 
@@ -178,6 +180,22 @@ def located(gaps: Column, hits: Column) -> Column:
     return F.when(F.size(hits) > 0, F.element_at(whole, 1)).otherwise(none)
 
 
+def touches(spans: Column, s: Column) -> Column:
+    """Whether one of a kind's spans overlaps s. They come in order and apart from each other, so of those that begin before
+    s ends the last one ends last; where there are many it is found by bisection."""
+
+    def halved(a: Column, _: Column) -> Column:
+        mid = F.floor((a["lo"] + a["hi"]) / 2).cast("int")
+        more = (a["lo"] < a["hi"]) & (F.get(spans, mid)["start"] < s["end"])
+        return F.struct(F.when(more, mid + 1).otherwise(a["lo"]).alias("lo"), F.when(more, a["hi"]).otherwise(F.least(mid, a["hi"])).alias("hi"))
+
+    steps = F.sequence(F.lit(1), F.length(F.bin(F.size(spans).cast("long"))))
+    before = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(spans).alias("hi")), halved, lambda a: a["lo"])
+    last = F.when(before > 0, F.get(spans, before - 1)["end"] > s["start"]).otherwise(False)
+    few = F.exists(spans, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    return F.when(F.size(spans) <= FEW, few).otherwise(F.coalesce(last, F.lit(False)))
+
+
 def matches(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, an array (start, end) for each base kind, and cands (start, end, stratum, bin, ok, ...) for the fourth."""
     d = docs.select("doc_id", text_of(f"`{text}`").alias("_t"))
@@ -191,8 +209,7 @@ def matches(docs: DataFrame, text: str = "text") -> DataFrame:
     passing = lambda a, ok: F.filter(a, lambda s: ok(s["hit"])) if ok else a
     bare = lambda a: F.transform(a, lambda s: F.struct(s["start"], s["end"]))
     d = d.select("doc_id", *[bare(passing(F.col(f"_l_{k}"), ok)).alias(k) for k, _, ok in PATTERNS[:3]], F.col("_l_random").alias("_random"))
-    base = F.concat("assign", "access", "hex")
-    free = F.filter("_random", lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    free = F.filter("_random", lambda s: ~_any([touches(F.col(k), s) for k, _, _ in PATTERNS[:3]]))
     judged = F.transform(free, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), battery(s["hit"]).alias("t")))
     d = d.select("doc_id", "assign", "access", "hex", judged.alias("_judged"))
     shown = F.transform(F.filter("_judged", lambda s: s["t"]["evidence"].isNotNull()), lambda s: F.struct(
