@@ -6,8 +6,9 @@ the same document. Equal strings must meet in one place without moving every suf
 1. Anchors. In each 100-byte string the leftmost smallest hash of its 32-byte substrings is its anchor; equal strings have
    equal anchors at equal places. Consecutive strings with one anchor form a run (some 35 of them), known by its anchor's
    hash, its length and a digest of its bytes. Runs meet by anchor hash. Of runs with equal content the first is the
-   earlier one and all strings of the others go; a task sends on only the earliest of those that it has seen itself (it
-   compares their bytes), so a passage that a third of the documents hold reaches its group once per task.
+   earlier one and all strings of the others go; a task sends on only the earliest of those that it has seen together (it
+   compares their bytes), and remembers those that were repeated, so a passage that a third of the documents hold reaches
+   its group about once per task.
 2. Suffix sort. Where runs of different content share an anchor hash, their bytes are fetched and, group by group, the
    suffixes from the anchors are sorted by merging sorted runs. Two suffixes are compared by their longest common
    extension, which a binary search over prefix polynomial hashes finds in a logarithmic number of steps. Neighbours'
@@ -52,8 +53,8 @@ CHUNK_BYTES = 3 << 20
 HOT = 4096
 #: Documents looked at to find crowded anchors, and contents among them that make one crowded.
 SAMPLE, CROWDED = 4000, 64
-#: Documents and strings that a task remembers as sent.
-SEEN, STRINGS = 1 << 18, 1 << 18
+#: Documents, strings and repeated runs that a task remembers as sent; spans that meet one copy of their lead.
+SEEN, STRINGS, KNOWN, SHARED = 1 << 18, 1 << 18, 1 << 16, 32
 NO_ID = -(1 << 63)
 
 _rng = np.random.default_rng(20240229)
@@ -156,6 +157,31 @@ def firsts(key: tuple[np.ndarray, ...], order: tuple[np.ndarray, ...]) -> tuple[
     return at, new
 
 
+class Known:
+    """Repeated runs that a task has sent, with their bytes: what stands later and has the same bytes needn't be sent."""
+
+    def __init__(self):
+        self.of: dict[tuple[int, int], tuple[int, int, bytes]] = {}
+        self.keys = np.zeros(0, np.int64)
+
+    def repeated(self, k, digest, dk, at, text) -> np.ndarray:
+        """Which runs a known one stands before."""
+        out = np.zeros(len(k), bool)
+        for i in np.flatnonzero(member(k ^ digest, self.keys)).tolist():
+            found = self.of.get((int(k[i]), int(digest[i])))
+            out[i] = found is not None and found[:2] < (int(dk[i]), int(at[i])) and found[2] == text(i)
+        return out
+
+    def keep(self, rows, k, digest, dk, at, text) -> None:
+        """Take up runs, at most KNOWN of them; an earlier place replaces a later one."""
+        for i in rows.tolist():
+            key, place = (int(k[i]), int(digest[i])), (int(dk[i]), int(at[i]))
+            if (key in self.of and place < self.of[key][:2]) or (key not in self.of and len(self.of) < KNOWN):
+                self.of[key] = *place, text(i)
+        if len(rows):
+            self.keys = np.unique(np.array([a ^ b for a, b in self.of], np.int64))
+
+
 RUNS = "part long, k long, digest long, dk long, sid long, start long, n int, repeated boolean"
 
 
@@ -167,6 +193,7 @@ def runs(keyed: DataFrame, length: int, gram: int, crowded: np.ndarray, bits: in
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, int, bytes]] = []
         size = 0
+        known = Known()
 
         def solve() -> pa.RecordBatch:
             data = b"".join(x[3] for x in held)
@@ -181,7 +208,7 @@ def runs(keyed: DataFrame, length: int, gram: int, crowded: np.ndarray, bits: in
             dk, sid, base = (np.array([x[c] for x in held], np.int64)[doc] for c in range(3))
             at_doc = start - bounds[doc] + base
             at, new = firsts((k, digest), (dk, at_doc))
-            same_place = np.zeros(len(at), bool)  # rows that share a doc_id: an equal place isn't earlier
+            # rows that share a doc_id: an equal place isn't earlier
             lead = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))] if len(at) else at
             same_place = (dk[at] == dk[lead]) & (at_doc[at] == at_doc[lead])
             gone = np.zeros(len(at), bool)
@@ -192,6 +219,10 @@ def runs(keyed: DataFrame, length: int, gram: int, crowded: np.ndarray, bits: in
             spans = zip(start[there].tolist(), n[there].tolist(), start[again].tolist(), n[again].tolist(), strict=True)
             more = length - 1
             gone[there] = [data[x : x + i + more] == data[y : y + j + more] for x, i, y, j in spans]
+            often = np.unique(again[gone[there]])  # first ones of this slice that have been repeated
+            before = known.repeated(k, digest, dk, at_doc, lambda i: data[start[i] : start[i] + n[i] + more])
+            known.keep(often[~before[often]], k, digest, dk, at_doc, lambda i: data[start[i] : start[i] + n[i] + more])
+            gone |= before
             # neighbouring runs that go are sent as one, dealt out by their document
             order = np.lexsort((at_doc, doc))
             order = order[gone[order]]
@@ -238,8 +269,8 @@ def crowded_anchors(keyed: DataFrame, length: int, gram: int) -> np.ndarray:
     return np.sort(counts.select("k").toArrow().column("k").to_numpy())  # the sample's runs / CROWDED at most
 
 
-def grouped(batches: Iterable[pa.RecordBatch], enough: int, weight, column: str = "k") -> Iterator[pa.Table]:
-    """Batches sorted by a column, put together into tables that never part rows with one value of it."""
+def grouped(batches: Iterable[pa.RecordBatch], enough: int, weight, columns: tuple[str, ...] = ("k",)) -> Iterator[pa.Table]:
+    """Batches sorted by columns, put together into tables that never part rows with the same values of them."""
     held: list[pa.RecordBatch] = []
     size = 0
     for b in batches:
@@ -249,9 +280,10 @@ def grouped(batches: Iterable[pa.RecordBatch], enough: int, weight, column: str
         size += weight(b)
         if size >= enough:
             t = pa.Table.from_batches(held)
-            k = t.column(column).to_numpy()
-            cut = int(np.searchsorted(k, k[-1]))
-            if cut:
+            keys = [t.column(c).to_numpy() for c in columns]
+            before = np.flatnonzero(np.any([k != k[-1] for k in keys], axis=0))
+            if len(before):
+                cut = int(before[-1]) + 1
                 yield t.slice(0, cut)
                 rest = t.slice(cut)
                 held = rest.combine_chunks().to_batches()
@@ -328,7 +360,7 @@ def joined_spans(marks: DataFrame) -> DataFrame:
     """EQUAL marks -> SPANS: neighbouring runs of a document that equal neighbouring runs of one other document, as one."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in grouped(batches, 200_000, lambda b: b.num_rows, "sid"):
+        for t in grouped(batches, 200_000, lambda b: b.num_rows, ("dk", "sid")):
             cols = [t.column(c).to_numpy() for c in ("dk", "sid", "start", "n", "ldk", "lsid", "lstart")]
             dk, sid, start, n, ldk, lsid, lstart = cols
             new = np.ones(len(dk), bool)
@@ -339,18 +371,26 @@ def joined_spans(marks: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(total if c is n else c[head]) for c in cols], names=[x.split()[0] for x in SPANS.split(", ")])
 
     rows = marks.filter(F.col("kind") == EQUAL).select("dk", "sid", "start", "n", "ldk", "lsid", "lstart")
-    return staged(rows.repartition("sid").sortWithinPartitions("sid", "dk", "ldk", "lsid", "start").mapInArrow(run, SPANS), "spans")
+    by = ("dk", "sid")  # a text that very many documents have is dealt out by them
+    return staged(rows.repartition(*by).sortWithinPartitions(*by, "ldk", "lsid", "start").mapInArrow(run, SPANS), "spans")
 
 
 CONTEXTS = "kind int, k long, lead boolean, dk long, sid long, start long, n int, anchor int, context binary"
 
 
 def wanted_spans(spans: DataFrame) -> DataFrame:
-    """Both sides of each of SPANS, under one key: kind, k, lead, dk, sid, start, n."""
-    key = F.xxhash64("ldk", "lsid", "lstart", "n").alias("k")
-    later = spans.select(F.lit(EQUAL).alias("kind"), key, F.lit(False).alias("lead"), "dk", "sid", "start", "n")
-    first = spans.select(F.lit(EQUAL).alias("kind"), key, F.lit(True).alias("lead"), F.col("ldk").alias("dk"), F.col("lsid").alias("sid"), F.col("lstart").alias("start"), "n")
-    return later.unionByName(first.distinct())
+    """Both sides of each of SPANS, under one key: kind, k, lead, dk, sid, start, n. Spans that very many documents share with
+    one lead come under several keys, SHARED to each, with a copy of the lead."""
+    of = ["ldk", "lsid", "lstart", "n"]
+    often = spans.groupBy(*of).agg(F.ceil(F.count("*") / SHARED).cast("int").alias("parts")).filter("parts > 1")
+    often = staged(often, "often")
+    part = F.coalesce(F.pmod(F.xxhash64("dk", "sid", "start"), F.col("parts")).cast("int"), F.lit(0))
+    dealt = spans.join(often, of, "left").withColumn("part", part)
+    key = F.xxhash64(*of, "part").alias("k")
+    later = dealt.select(F.lit(EQUAL).alias("kind"), key, F.lit(False).alias("lead"), "dk", "sid", "start", "n")
+    every = spans.select(*of).distinct().join(often, of, "left").select(*of, F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
+    first = every.select(F.lit(EQUAL).alias("kind"), key, F.lit(True).alias("lead"), F.col("ldk").alias("dk"), F.col("lsid").alias("sid"), F.col("lstart").alias("start"), "n")
+    return later.unionByName(first)
 
 
 def contexts(keyed: DataFrame, wanted: DataFrame, length: int, gram: int) -> DataFrame:
@@ -361,20 +401,27 @@ def contexts(keyed: DataFrame, wanted: DataFrame, length: int, gram: int) -> Dat
         for b in batches:
             for r in range(b.num_rows):
                 raw = pa.decompress(b.column("packed")[r].as_py(), b.column("size")[r].as_py(), "zstd", asbytes=True)
-                kind, k, lead, start, n = (x.to_numpy(zero_copy_only=False) for x in b.column("runs")[r].values.flatten())
-                texts = [raw[a : a + m + length - 1] for a, m in zip(start.tolist(), n.tolist(), strict=True)]
-                # the anchor is where the run's first string has its least hash: found as in runs_of
-                anchor = np.zeros(len(texts), np.int32)
-                own = np.flatnonzero(kind != EQUAL)
-                if len(own):
-                    hashes = mixed(Prefix(np.frombuffer(b"".join([texts[i][:length] for i in own]), np.uint8)).grams(gram))
-                    rows = np.arange(len(own))[:, None] * length + np.arange(length - gram + 1)[None, :]
-                    anchor[own] = (hashes[rows] == k[own].view(np.uint64)[:, None]).argmax(axis=1)
-                for i in np.flatnonzero(kind == EQUAL):
-                    texts[i] = len(texts[i]).to_bytes(8, "little") + pa.compress(texts[i], "zstd", asbytes=True)
-                m = len(texts)
-                same = [pa.array(np.full(m, b.column(c)[r].as_py(), np.int64)) for c in ("dk", "sid")]
-                yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(k), pa.array(lead, pa.bool_()), *same, pa.array(start), pa.array(n), pa.array(anchor), pa.array(texts, pa.binary())], names=[x.split()[0] for x in CONTEXTS.split(", ")])
+                asked = [x.to_numpy(zero_copy_only=False) for x in b.column("runs")[r].values.flatten()]
+                room = np.cumsum(asked[4].astype(np.int64) + length - 1) // CHUNK_BYTES
+                for some in np.split(np.arange(len(room)), np.flatnonzero(np.diff(room)) + 1):
+                    kind, k, lead, start, n = (x[some] for x in asked)
+                    texts = [raw[a : a + m + length - 1] for a, m in zip(start.tolist(), n.tolist(), strict=True)]
+                    # the anchor is where the run's first string has its least hash: found as in runs_of
+                    anchor = np.zeros(len(texts), np.int32)
+                    own = np.flatnonzero(kind != EQUAL)
+                    if len(own):
+                        hashes = mixed(Prefix(np.frombuffer(b"".join([texts[i][:length] for i in own]), np.uint8)).grams(gram))
+                        rows = np.arange(len(own))[:, None] * length + np.arange(length - gram + 1)[None, :]
+                        anchor[own] = (hashes[rows] == k[own].view(np.uint64)[:, None]).argmax(axis=1)
+                    squeezed_: dict[tuple[int, int], bytes] = {}  # copies of a lead are one span
+                    for i in np.flatnonzero(kind == EQUAL):
+                        span = int(start[i]), int(n[i])
+                        if span not in squeezed_:
+                            squeezed_[span] = len(texts[i]).to_bytes(8, "little") + pa.compress(texts[i], "zstd", asbytes=True)
+                        texts[i] = squeezed_[span]
+                    m = len(texts)
+                    same = [pa.array(np.full(m, b.column(c)[r].as_py(), np.int64)) for c in ("dk", "sid")]
+                    yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(k), pa.array(lead, pa.bool_()), *same, pa.array(start), pa.array(n), pa.array(anchor), pa.array(texts, pa.binary())], names=[x.split()[0] for x in CONTEXTS.split(", ")])
 
     want = wanted.groupBy("dk", "sid").agg(F.collect_list(F.struct("kind", "k", "lead", "start", "n")).alias("runs"))
     return squeezed(keyed).join(want, ["dk", "sid"]).select("dk", "sid", "packed", "size", "runs").mapInArrow(run, CONTEXTS)
@@ -681,7 +728,8 @@ def _applied(docs: DataFrame, length: int, gram: int, as_text: bool, bits: int =
 
     described = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in stay)
     packed = keyed_docs(docs).select(*own, "dk", "sid", "text").mapInArrow(pack, f"{described}, dk long, sid long, size long, packed binary")
-    both = packed.join(repeated_spans(docs, length, gram, bits), ["dk", "sid"], "left").select(*own, "size", "packed", "spans")
+    spans = staged(repeated_spans(docs, length, gram, bits), "cuts")  # written, so that Spark can split the join of a hot text
+    both = packed.join(spans, ["dk", "sid"], "left").select(*own, "size", "packed", "spans")
     done = both.mapInArrow(cut, f"{described}, n_bytes long, n_removed long, n_spans long, {last} string")
     return done.toDF(*[f.name for _, f in stay], *made)
 

@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from burrowline.llm import components, packing, pii, quality_rules, secrets, sentencepiece_bpe, near_links, simhash, suffix_dedup, token_counts, token_files, topk, word_ids
 from burrowline.llm.common import fresh_path
@@ -780,3 +781,73 @@ def test_merge_sort_orders_suffixes():
         a, b = suffix[order[x - 1]], suffix[order[x]]
         if group[order[x - 1]] == group[order[x]]:
             assert ext[x] == next((i for i, (p, q) in enumerate(zip(a, b, strict=False)) if p != q), min(len(a), len(b)))
+
+
+def test_copies_of_one_text_are_dealt_out(spark):
+    """60 copies of one text among others: spans, and the bytes that are compared, spread over tasks."""
+    a = prose(3000, 77)
+    rows = [(i, a if i % 5 == 2 else prose(60, 1000 + i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(150)
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        keyed = suffix_dedup.keyed_docs(df).select("dk", "sid", "text")
+        marks = suffix_dedup.judged(suffix_dedup.runs(keyed, 100, 32, np.zeros(0, np.int64)), np.zeros(0, np.int64))
+        spans = suffix_dedup.joined_spans(suffix_dedup.staged(marks, "marks"))
+        wanted = suffix_dedup.wanted_spans(spans)
+        by_key = [r["count"] for r in wanted.groupBy("k").count().collect()]
+        tasks = [r["count"] for r in wanted.groupBy(F.pmod(F.xxhash64("k"), F.lit(16))).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert spans.count() >= 40 and max(by_key) <= suffix_dedup.SHARED * 2 + 1 and len(tasks) > 1
+    found = {r["doc_id"]: r for r in suffix_dedup.op9(df).collect()}
+    assert found[2]["n_removed"] == 0 and all(found[i]["n_removed"] == len(a) for i in range(7, 300, 5))
+
+
+def test_a_task_remembers_what_it_has_sent(spark, monkeypatch):
+    passage = prose(40, 5)
+    rows = [(i, prose(80, 3000 + i) + passage + prose(80, 6000 + i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    keyed = suffix_dedup.keyed_docs(df).select("dk", "sid", "text")
+    none = np.zeros(0, np.int64)
+    whole = suffix_dedup.runs(keyed, 100, 32, none).filter("NOT repeated").count()
+    source = suffix_dedup.SLICE
+    known = suffix_dedup.Known()
+    k, d, at = np.array([5, 6, 5]), np.array([1, 1, 1]), np.array([10, 10, 10])
+    known.keep(np.array([0, 1]), k, d, np.array([3, 3, 3]), at, lambda i: b"xy"[i % 2 : i % 2 + 1])
+    assert known.repeated(k, d, np.array([4, 2, 3]), np.array([0, 99, 10]), lambda i: b"x" if i != 1 else b"y").tolist() == [True, False, False]
+    assert known.repeated(k, d, np.array([4, 4, 4]), at, lambda i: b"z").tolist() == [False, False, False]
+    assert source == 2 << 20 and whole > 0
+
+
+def test_agenda_ids_are_what_is_returned(spark, small, monkeypatch):
+    assert all(r["agrees"] for r in sentencepiece_bpe.op4(small[0], PIECE).select("agrees").collect())
+    a = sentencepiece_bpe.Agenda(PIECE)
+    t = "naïve ▁ text\x00 with 😀 and\ttabs"
+    ids, decoded = a.of_texts([t])[0]
+    assert decoded == a.decode([int(x) for x in ids.split(b",")])  # decoded from the ids, not from the text
+    monkeypatch.setattr(a, "decoded", lambda ids: b" other")
+    a.table.clear()
+    assert a.of_texts(["word"])[0][1] != "word"
+
+
+def test_long_plain_digits_take_linear_time():
+    begun = time.process_time()
+    pii.spans_of("7" * 400_000 + "." + "8" * 400_000)
+    assert time.process_time() - begun < 5
+
+
+def test_many_base_spans_hide_what_they_touch(spark):
+    r = random.Random(12)
+    hexa, mixed = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    pick = lambda s, n: "".join(r.choice(s) for _ in range(n))
+    words = [w for _ in range(120) for w in (pick(hexa, 20), pick(mixed, 30), pick(mixed, 12) + "Z" + pick(hexa, 18), "AKIA" + pick("ABCDEFGH", 16))]
+    text = " ".join(words)
+    row = secrets.matches(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    base = [(a, z) for a, _, z, _ in secret_base(text)]
+    free = [m.span() for m in re.finditer("[A-Za-z0-9+/=_-]{20,}", text) if not any(a < m.end() and m.start() < z for a, z in base)]
+    assert len(row["hex"]) > secrets.FEW and set((c["start"], c["end"]) for c in row["cands"]) <= set(free)
+    assert len(row["cands"]) >= 0.9 * len(free) > 50
