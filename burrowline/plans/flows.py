@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burrowline.functions import scalar
-from burrowline.operators import align, catalog, discover, guards, trials
+from burrowline.operators import align, catalog, discover, events, guards, meta, trials
 from burrowline.plans import conversion
-from burrowline.sources import batches, writers
+from burrowline.sources import batches, shared, writers
 
 KEY = writers.KEY
 
@@ -87,6 +89,76 @@ def catalogue_batch(spark: SparkSession, folder: str, batch: str, new: dict[str,
     return batches.ingest(spark, folder, batch, new["session"], {"session": new["session"], "part": new["part"], "lfp": lfp, "event": new["event"]}, rejects)
 
 
+class TaskRules(NamedTuple):
+    """What a task's sessions must have. valid: a pattern that names must have; trials: patterns of the sessions whose videos
+    are trials of their own, with what they are called; lone: whether one video alone is a trial there too; scored: the
+    sessions that have events; only_in: devices that other sessions lack, with the pattern of those that have them."""
+
+    valid: str | None = None
+    trials: tuple[tuple[str, str], ...] = ()
+    lone: bool = False
+    scored: str = "Test"
+    only_in: tuple[tuple[str, str], ...] = ()
+
+
+#: The tasks' rules.
+PREY_CAPTURE = TaskRules(valid="Hab|Test|Weeto", trials=(("Test", "Test"), ("Weeto", "Weeto")), lone=True)
+MARBLE_INTERACTION = TaskRules(only_in=(("Marbles", "Test"),))
+ONE_TRIAL_SOCIAL = TaskRules(trials=(("HabD1", "HabD1"),))
+
+
+def trial_videos(sessions: DataFrame, files: DataFrame, rules: TaskRules) -> tuple[DataFrame, DataFrame]:
+    """Videos of sessions as trials, and rejects (C2, F4, F6, W5, W12, X1). sessions: subject_id, session_id, session; files:
+    subject_id, session_id, name. A session starts when its first video does; each video has its own offset from then (Q3)."""
+    name = F.col("session")
+    kept = discover.without_stimulus(files).select(*KEY, "name", scalar.name_time(F.col("name")).alias("start_ts"))
+    counted = kept.groupBy(*KEY).agg(F.count("*").alias("n"), F.count_if(F.col("start_ts").isNull()).alias("undated"))
+    counted = shared.written(counted, "counted")
+    several = F.coalesce(*[F.when(name.contains(p), F.lit(called)) for p, called in rules.trials], F.lit(None).cast("string"))
+    judged = sessions.select(*KEY, "session").join(counted, KEY, "left")
+    reason = guards.first_reason([
+        (~name.rlike(rules.valid) if rules.valid else F.lit(False), "unknown session"), (F.col("n").isNull(), "no_video"),
+        (F.col("undated") > 0, "no date in a file name"), ((F.col("n") > 1) & several.isNull(), "multiple videos"),
+    ])
+    good, bad = guards.split_rejects(judged.withColumn("reason", reason))
+    rows = good.select(*KEY, several.alias("called"), "n").join(kept, KEY)
+    order = [scalar.natural_key(F.col("name")), F.col("name")]
+    numbered = discover.numbered(rows, KEY, order, "trial")
+    first = align.with_first(numbered, KEY, ["trial"], "start_ts", "session_start")
+    as_trial = F.col("called").isNotNull() & (F.lit(rules.lone) | (F.col("n") > 1))
+    called = F.when(as_trial, F.concat(F.lit("BehavioralVideo"), "called", F.lit("Trial"), "trial")).otherwise("BehavioralVideo")
+    epoch = F.when(as_trial, F.array("trial"))
+    return first.select(*KEY, "name", called.alias("video_name"), "trial", epoch.alias("task_epochs"), "session_start", scalar.seconds_between(F.col("start_ts"), F.col("session_start")).alias("start_s")), bad.select(*KEY, "reason")
+
+
+def scored_sessions(sessions: DataFrame, files: DataFrame, projects: DataFrame, audio: DataFrame, devices: DataFrame, rules: TaskRules, folder: str) -> None:
+    """Prey capture, marble and social sessions, from listings and scoring projects to tables: videos, events, audio, devices,
+    rejects (J4, J5, J8, F8, Q14, Q18). sessions: subject_id, session_id, session, cohort_id, animal_id; projects: with
+    cohort_id; audio: subject_id, session_id, name, of which the n-th starts with the n-th video; devices: name.
+
+    A session that must have events is rejected if its cohort has a project, but none of its observations contains the
+    animal's id; a cohort without a project goes on without events."""
+    videos, bad = trial_videos(sessions, files, rules)
+    videos = shared.written(videos, "videos")
+    there = videos.select(*KEY).distinct()
+    wanted = sessions.join(there, KEY, "left_semi").filter(F.col("session").contains(rules.scored)).select(*KEY, "cohort_id", "animal_id")
+    long = events.annotated_events(events.marks(projects).filter(F.col("t_s").isNotNull()), events.behaviours(projects), [c for c in ("cohort_id", "path", "observation_id") if c in projects.columns or c == "observation_id"])
+    observed = projects.select("cohort_id", F.explode(F.map_keys("observations")).alias("observation_id")).distinct()
+    own = shared.written(discover.match_observation(wanted, observed, ["cohort_id"], KEY, F.col("animal_id")).select(*KEY, "cohort_id", "observation_id"), "own")
+    unseen = wanted.join(projects.select("cohort_id").distinct(), "cohort_id", "left_semi").join(own.select(*KEY), KEY, "left_anti").select(*KEY, F.lit("no observation").alias("reason"))
+    good = there.join(unseen.select(*KEY), KEY, "left_anti")
+    sound = trials.paired_by_position(audio, videos.select(*KEY, "trial", "start_s"), KEY, ["name"], ["trial"], "left").select(*KEY, "name", "nth", "start_s")
+    of_session = lambda rows: rows.join(good, KEY, "left_semi")
+    writers.write_sessions(of_session(videos), f"{folder}/videos")
+    writers.write_sessions(of_session(own.join(long, ["cohort_id", "observation_id"])), f"{folder}/events")
+    writers.write_sessions(of_session(sound), f"{folder}/audio")
+    if rules.only_in:
+        ruled = devices.sparkSession.createDataFrame([(rules.scored, *r) for r in rules.only_in], "task string, device string, session_pattern string")
+        of_task = of_session(sessions.select(*KEY, "session")).withColumn("task", F.lit(rules.scored))
+        writers.write_sessions(meta.devices_of(of_task, devices.select("name", F.lit(rules.scored).alias("task")), ruled).select(*KEY, "name"), f"{folder}/devices")
+    writers.write_rejects(bad.unionByName(unseen), f"{folder}/rejects")
+
+
 def reject_counts(rejects: DataFrame, session: Column | None = None) -> DataFrame:
     """Rejects of a flow by reason."""
     return rejects.groupBy("reason").agg(F.count_distinct(session if session is not None else F.struct(*KEY)).alias("n"))

@@ -135,3 +135,27 @@ def labelled_trials(spark, sf_dir):
     sheet = e.select(F.lit("t").alias("k")).distinct().select("k", F.explode(F.array(F.lit("Sample trial"), F.lit("Test trial"))).alias("trial"), *[F.lit(x).alias(f"{c}_{k}") for k, label, name in objects for c, x in (("Obj", label), ("ObjName", name))])
     info = ev.object_info(sheet, ["k"])
     return ev.labelled(ev.enrich(both, info, ["trial_type", "label"], ["object"], ["ord"])).select("event_id", "trial_type", "object")
+
+
+FILES = "(SELECT l_orderkey, l_shipdate, l_linenumber, l_partkey, CASE WHEN l_quantity >= 50 THEN 'undated' ELSE strftime(l_shipdate, '%Y-%m-%d') || ' 10-0' || l_linenumber || '-00' END || '_m' || l_partkey || CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN '_Stim' ELSE '' END || '.avi' AS name, l_quantity >= 50 AS undated FROM lineitem)"
+
+
+@query(f"""WITH s AS (SELECT o_orderkey, {SESSION} AS session FROM orders), f AS (SELECT * FROM {FILES} WHERE name NOT LIKE '%Stim%'),
+n AS (SELECT o_orderkey, session, count(name) AS n, count(*) FILTER (undated) AS undated FROM s LEFT JOIN f ON l_orderkey = o_orderkey GROUP BY ALL),
+r AS (SELECT *, CASE WHEN NOT regexp_matches(session, 'Hab|Test|Weeto') THEN 'unknown session' WHEN n = 0 THEN 'no_video' WHEN undated > 0 THEN 'no date in a file name' WHEN n > 1 AND session LIKE 'Hab%' THEN 'multiple videos' END AS reason FROM n),
+v AS (SELECT o_orderkey, session, name, epoch(l_shipdate) + 60 * l_linenumber AS t, row_number() OVER (PARTITION BY o_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey) AS trial, reason FROM r JOIN f ON l_orderkey = o_orderkey WHERE reason IS NULL)
+SELECT o_orderkey, name, CASE WHEN session LIKE 'Test%' THEN 'BehavioralVideoTestTrial' || trial WHEN session LIKE 'Weeto%' THEN 'BehavioralVideoWeetoTrial' || trial ELSE 'BehavioralVideo' END AS video_name, CAST(t - first_value(t) OVER (PARTITION BY o_orderkey ORDER BY trial) AS DOUBLE) AS start_s, reason FROM v
+UNION ALL SELECT o_orderkey, NULL, NULL, NULL, reason FROM r WHERE reason IS NOT NULL""")
+def prey_capture_videos(spark, sf_dir):
+    """Videos of prey-capture sessions as trials, with their offsets, and why sessions are rejected."""
+    from burrowline.plans import flows
+
+    key = F.col("o_orderkey").cast("string")
+    s = sessions(spark, sf_dir).select(F.lit("s").alias("subject_id"), key.alias("session_id"), "session")
+    dated = F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit(" 10-0"), "l_linenumber", F.lit("-00"))
+    name = F.concat(F.when(F.col("l_quantity") >= 50, "undated").otherwise(dated), F.lit("_m"), "l_partkey", F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1), "_Stim").otherwise(""), F.lit(".avi"))
+    files = table(spark, sf_dir, "lineitem").select(F.lit("s").alias("subject_id"), F.col("l_orderkey").cast("string").alias("session_id"), name.alias("name"))
+    good, bad = flows.trial_videos(s, files, flows.PREY_CAPTURE)
+    none = lambda kind: F.lit(None).cast(kind)
+    order = F.col("session_id").cast("bigint").alias("o_orderkey")
+    return good.select(order, "name", "video_name", "start_s", none("string").alias("reason")).unionByName(bad.select(order, none("string").alias("name"), none("string").alias("video_name"), none("double").alias("start_s"), "reason"))

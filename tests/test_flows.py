@@ -66,3 +66,32 @@ def test_catalogue_ingest_replaces_what_comes_again(spark):
     out = flows.catalogue_ingest(tables, new, ["file"])
     assert rows(out["session"], "file", "version") == [("a", 2), ("b", 1), ("c", 1)] and rows(out["part"], "file", "part") == [("a", "new"), ("b", "kept")]
     assert rows(out["lfp"], "file", "v") == [("a", [2.0]), ("b", [9.0])] and rows(out["event"], "file", "label") == [("a", "new")]
+
+
+def test_scored_sessions(spark, tmp_path):
+    key = "subject_id string, session_id string"
+    f = lambda data, kind: spark.createDataFrame(data, f"{key}, {kind}")
+    sessions = f([("c1-12", "PC_Hab", "HabD1", "c1", 12), ("c1-12", "PC_Test", "TestD2", "c1", 12), ("c1-9", "PC_Test", "TestD2", "c1", 9), ("c1-7", "PC_Hab", "HabD1", "c1", 7), ("c2-12", "PC_Test", "TestD2", "c2", 12), ("c1-12", "PC_Odd", "Cue", "c1", 12), ("c1-5", "PC_Weeto", "Weeto1", "c1", 5)], "session string, cohort_id string, animal_id int")
+    v = lambda s, e, *names: [(s, e, n) for n in names]
+    files = f(v("c1-12", "PC_Hab", "2023-04-01_10-00-00_a.avi") + v("c1-12", "PC_Test", "2023-04-02_10-10-00_a.avi", "2023-04-02_10-00-00_a.avi", "2023-04-02_09-00-00_STIM.avi") + v("c1-9", "PC_Test", "2023-04-02_11-00-00_b.avi") + v("c1-7", "PC_Hab", "2023-04-01_10-00-00_a.avi", "2023-04-01_11-00-00_a.avi") + v("c2-12", "PC_Test", "2023-04-02_11-00-00_b.avi") + v("c1-12", "PC_Odd", "2023-04-02_11-00-00_b.avi"), "name string")
+    observed = {"12_TestD2": (0.0, ({},), [["1", "", "A", "0"], ["3", "", "A", "9"]])}
+    projects = spark.createDataFrame([(observed, {"0": ("State event", "A", "")}, "c1", "p1")], schemas.PROJECT + ", cohort_id string, path string")
+    audio = f([("c1-12", "PC_Test", "u1.wav"), ("c1-12", "PC_Test", "u2.wav"), ("c1-12", "PC_Test", "u3.wav")], "name string")
+    devices = spark.createDataFrame([("Camera",), ("Marbles",)], "name string")
+    for _ in range(2):  # a second run changes nothing
+        flows.scored_sessions(sessions, files, projects, audio, devices, flows.PREY_CAPTURE._replace(only_in=(("Marbles", "Test"),)), str(tmp_path))
+    read = lambda t: spark.read.parquet(str(tmp_path / t))
+    assert rows(read("videos"), "subject_id", "session_id", "video_name", "start_s", "task_epochs") == [("c1-12", "PC_Hab", "BehavioralVideo", 0.0, None), ("c1-12", "PC_Test", "BehavioralVideoTestTrial1", 0.0, [1]), ("c1-12", "PC_Test", "BehavioralVideoTestTrial2", 600.0, [2]), ("c2-12", "PC_Test", "BehavioralVideoTestTrial1", 0.0, [1])]
+    assert rows(read("events"), "subject_id", "session_id", "start_s", "duration_s") == [("c1-12", "PC_Test", 1.0, 2.0)]
+    assert rows(read("audio"), "name", "start_s") == [("u1.wav", 0.0), ("u2.wav", 600.0), ("u3.wav", None)]
+    assert rows(read("devices"), "subject_id", "session_id", "name") == [("c1-12", "PC_Hab", "Camera"), ("c1-12", "PC_Test", "Camera"), ("c1-12", "PC_Test", "Marbles"), ("c2-12", "PC_Test", "Camera"), ("c2-12", "PC_Test", "Marbles")]
+    assert rows(read("rejects"), "subject_id", "session_id", "reason") == [("c1-12", "PC_Odd", "unknown session"), ("c1-5", "PC_Weeto", "no_video"), ("c1-7", "PC_Hab", "multiple videos"), ("c1-9", "PC_Test", "no observation")]
+
+
+def test_social_sessions_have_trials_only_where_several(spark):
+    key = "subject_id string, session_id string"
+    sessions = spark.createDataFrame([("a", "1", "HabD1"), ("b", "1", "HabD1"), ("c", "1", "Test")], f"{key}, session string")
+    files = spark.createDataFrame([("a", "1", "2023-04-01_10-00-00_a.avi"), ("b", "1", "2023-04-01_10-00-00_a.avi"), ("b", "1", "2023-04-01_10-00-30_a.avi"), ("c", "1", "2023-04-01_10-00-00_a.avi"), ("c", "1", "2023-04-01_10-00-01_a.avi")], f"{key}, name string")
+    good, bad = flows.trial_videos(sessions, files, flows.ONE_TRIAL_SOCIAL)
+    assert rows(good, "subject_id", "video_name", "start_s") == [("a", "BehavioralVideo", 0.0), ("b", "BehavioralVideoHabD1Trial1", 0.0), ("b", "BehavioralVideoHabD1Trial2", 30.0)]
+    assert rows(bad, "subject_id", "reason") == [("c", "multiple videos")]
