@@ -851,3 +851,20 @@ def test_many_base_spans_hide_what_they_touch(spark):
     free = [m.span() for m in re.finditer("[A-Za-z0-9+/=_-]{20,}", text) if not any(a < m.end() and m.start() < z for a, z in base)]
     assert len(row["hex"]) > secrets.FEW and set((c["start"], c["end"]) for c in row["cands"]) <= set(free)
     assert len(row["cands"]) >= 0.9 * len(free) > 50
+
+
+def test_a_hub_s_partition_is_split(spark):
+    """Joins with an aggregate read it from a written table; with lowered thresholds Spark splits the hub."""
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k) for k in conf}
+    hub = spark.range(1, 300_000, 1, 8).select(F.when(F.col("id") % 10 < 7, 0).otherwise(F.col("id") % 1000).alias("u"), (F.col("id") + 1000).alias("v"))
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        plain, _ = components.large_star(components.staged(hub, "hub"))
+        n = len(plain.collect())
+        text = plain._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert n > 0 and "skew=true" in text
