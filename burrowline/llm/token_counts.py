@@ -119,5 +119,5 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     keyed = staged(docs.select(*own), "digests")
     for k in range(shares):
         add_missing(docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(shares)) == k) if shares > 1 else docs, tokenizer, cache)
-    known = stored(spark, cache, version(tokenizer))
+    known = staged(stored(spark, cache, version(tokenizer)), "counts")  # written, so that Spark can split the join of a hot text
     return keyed.join(known, "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
