@@ -279,6 +279,6 @@ def keep_one(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFra
     rank = F.struct(F.col(at).isNull(), F.col(at), -F.length("text"), F.xxhash64("text"), "rid")
     named = rows.filter("node IS NOT NULL").select("node", "rid", rank.alias("rank")).join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "rid", "rank")
     named = staged(named, "named")
-    first = named.groupBy("root").agg(F.min("rank").alias("first")).select("root", F.col("first.rid").alias("first"))
+    first = staged(named.groupBy("root").agg(F.min("rank").alias("first")).select("root", F.col("first.rid").alias("first")), "first")
     gone = named.join(first, "root").filter("rid <> first").select("rid")
     return rows.join(gone, "rid", "left_anti").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

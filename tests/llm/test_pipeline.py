@@ -10,7 +10,7 @@ import corpus_pipeline
 from burrowline.llm import pii
 from burrowline.llm.common import fresh_path
 
-from .test_operators import crc, pii_base, plain_dedup, quality_row, whole_ids
+from .test_operators import SCHEMA, prose, rows_of, hard_texts, crc, pii_base, plain_dedup, quality_row, whole_ids
 
 
 @pytest.fixture(scope="module")
@@ -82,3 +82,48 @@ def test_pieces_are_those_of_the_texts(stages, spark, sf):
         assert [o for o, _ in sorted(b)] == [0, *np.cumsum([n for _, n in sorted(b)])[:-1]]
     run = corpus_pipeline.run(spark, sf)
     assert run.count() == len(found) and run.columns == stages[1][5].columns
+
+
+CLASHING = "n_words long, kept string, n_bytes string, n_removed double, n_spans string, fail_bits string, c0 string, kind int, rid string, root string, packed string, spans string, dk int, n string, `odd name.x` string"
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    """Hard rows with columns that operators name their measures by."""
+    base = rows_of([*hard_texts(), *[prose(80 + i, 50 + i) for i in range(12)], prose(90, 999) + " bob@mail.example.com"])
+    values = lambda i: (i, f"k{i}", f"b{i}", i / 2, None, "f", "c", i, "r", None, f"p{i}", "s", -i, "n", f"x{i}")
+    rows = [(r[0], r[1], *values(i)) for i, r in enumerate(base)]
+    return spark.createDataFrame(rows, f"doc_id long, text string, {CLASHING}").repartition(3), rows
+
+
+def test_other_columns_go_through_untouched(spark, clashing, sf):
+    docs, rows = clashing
+    of = {r[2]: r[2:] for r in rows}  # by n_words, a number of their own here
+    for name, f in corpus_pipeline.STAGES[:-1]:
+        path = fresh_path(spark, f"clash-{name}")
+        f(spark, docs, sf).write.parquet(path)
+        docs = spark.read.parquet(path)
+        found = docs.collect()
+        assert docs.columns == clashing[0].columns and dict(docs.dtypes) == dict(clashing[0].dtypes)
+        assert found and all(tuple(r)[2:] == of[r["n_words"]] for r in found), name
+    kept = {r["n_words"]: r["text"] for r in docs.collect()}
+    assert any("<email>" in t for t in kept.values()) and len(kept) >= 10
+
+
+def test_empty_tables_and_lone_rows(spark, sf):
+    docs = spark.createDataFrame([], SCHEMA)
+    for name, f in corpus_pipeline.STAGES:
+        out = f(spark, docs, sf)
+        assert out.count() == 0, name
+    lone = spark.createDataFrame([(None, prose(70, 9), "en", None, 5)], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, f in corpus_pipeline.STAGES[:-1]:
+        lone = spark.createDataFrame(f(spark, lone, sf).collect(), lone.schema)
+        assert [tuple(r) for r in lone.collect()] == [(None, prose(70, 9), "en", None, len(prose(70, 9)))], name
+
+
+def test_repeated_and_null_ids(spark, sf):
+    """Rows that share an id are told apart by their texts; of equal texts one row stays."""
+    a, b, c = prose(120, 1), prose(120, 2), prose(120, 3)
+    docs = spark.createDataFrame([(1, a), (1, b), (1, a), (None, c), (None, c), (None, None), (None, "")], "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, corpus_pipeline.quality(spark, docs, sf), sf)
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == sorted([(1, a), (1, b), (0, c)])
