@@ -868,3 +868,24 @@ def test_a_hub_s_partition_is_split(spark):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert n > 0 and "skew=true" in text
+
+
+def test_crowded_band_keys_lose_no_link(spark, monkeypatch):
+    """Families of similar texts whose keys are all crowded give the classes that uncrowded ones give."""
+    r = random.Random(31)
+    rows = []
+    for f in range(6):
+        base = [r.choice(WORDS) + str(r.randint(0, 999)) for _ in range(150)]
+        for _ in range(12):
+            w = list(base)
+            for _ in range(r.randint(1, 3)):
+                w[r.randrange(150)] = f"x{r.randint(0, 10**6)}"
+            rows.append((len(rows), " ".join(w)))
+    nodes = simhash.prepared(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 5).filter("keys IS NOT NULL")
+    none = spark.createDataFrame([], "u long, v long")
+    found = []
+    for crowd in (near_links.CROWD, 4):
+        monkeypatch.setattr(near_links, "CROWD", crowd)
+        roots = near_links.similar_classes(nodes, none, 5, 0.8)
+        found.append(sorted((x["node"], x["root"]) for x in roots.collect()))
+    assert found[0] == found[1] and len(found[0]) > 30
