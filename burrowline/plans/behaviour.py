@@ -167,7 +167,7 @@ def mixed_interval_join(spark, sf_dir):
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS frame, event_type AS label, round(epoch_us(ts) / 1e6, 3) AS t_s FROM events")
 def json_event_fields(spark, sf_dir):
-    """SC6, R7: fields of the scoring records."""
+    """Fields of the scoring records, as scoring_project_marks has them for whole projects."""
     e = events(spark, sf_dir)
     return e.select("event_id", F.from_json("props", "k int")["k"].alias("frame"), F.col("event_type").alias("label"), F.round(F.col("us") / 1e6, 3).alias("t_s"))
 

@@ -85,7 +85,7 @@ def names_with_ids(spark, sf_dir):
 @query(r"""SELECT page_id, regexp_extract(url, '://([^/]+)/', 1) AS host, regexp_extract(url, '://[^/]+/([a-z]+)/', 1) AS lang, regexp_extract(url, '[^/]*$') AS file,
 CASE WHEN regexp_matches(url, '[^/](\.[^./]+)$') THEN lower(regexp_extract(url, '[^/](\.[^./]+)$', 1)) ELSE '' END AS ext FROM pages""")
 def path_template_fields(spark, sf_dir):
-    """SC5, X8, F5: template fields, name and suffix of a path."""
+    """Name and suffix of a path, and parts of it."""
     p = table(spark, sf_dir, "pages")
     u = F.col("url")
     return p.select("page_id", F.regexp_extract(u, "://([^/]+)/", 1).alias("host"), F.regexp_extract(u, "://[^/]+/([a-z]+)/", 1).alias("lang"), scalar.file_name(u).alias("file"), scalar.suffix(u).alias("ext"))
@@ -97,7 +97,7 @@ SELECT o_orderkey, CAST(epoch(coalesce(try_strptime(nullif(regexp_extract(name,
   try_strptime(nullif(regexp_extract(name, '([0-9]{4}-[0-9]{2}-[0-9]{2}_[0-9]{2}-[0-9]{2}-[0-9]{2})_', 1), ''), '%Y-%m-%d_%H-%M-%S'),
   try_strptime(nullif(regexp_extract(name, '([0-9]{4}-[0-9]{2}-[0-9]{2})[_ ]', 1), ''), '%Y-%m-%d'))) AS BIGINT) AS t, CASE WHEN name LIKE '%.ts' THEN 'convertible' ELSE 'supported' END AS media FROM n""")
 def filename_datetime(spark, sf_dir):
-    """X1, X2, F5."""
+    """X1, F5."""
     d, k = F.col("o_orderdate").cast("timestamp"), F.col("o_orderkey") % 4
     name = F.when(k == 0, F.concat(F.date_format(d + F.expr("INTERVAL 37 SECOND"), "yyyy-MM-dd HH-mm-ss"), F.lit("_rat9.ts"))).when(k == 1, F.concat(F.date_format(d + F.expr("INTERVAL 61 MINUTE"), "yyyy-MM-dd_HH-mm-ss"), F.lit("_m12.mp4"))).when(k == 2, F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit("_m7_small.mp4"))).otherwise("trial2.avi")
     o = table(spark, sf_dir, "orders").select("o_orderkey", name.alias("name"))
@@ -132,7 +132,7 @@ def discovery_log(spark, sf_dir):
 
 @query("SELECT o_custkey, o_orderkey, round(o_totalprice, 2) AS o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1")
 def keep_last_per_key(spark, sf_dir):
-    """W8, SC3."""
+    """W8."""
     return discover.keep_last(table(spark, sf_dir, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey", F.round("o_totalprice", 2).alias("o_totalprice"))
 
 
@@ -190,7 +190,7 @@ def experimenter_list(spark, sf_dir):
 
 @query("""SELECT l_orderkey, metric, count(*) AS n, round(sum(value), 2) AS total FROM (SELECT l_orderkey, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem) UNPIVOT (value FOR metric IN (l_quantity, l_extendedprice, l_discount, l_tax)) GROUP BY ALL""")
 def unpivot_quadrants(spark, sf_dir):
-    """R2-R4."""
+    """Metrics as rows."""
     m = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     out = trials.metrics_long(table(spark, sf_dir, "lineitem").select("l_orderkey", *m), ["l_orderkey"], m)
     return out.groupBy("l_orderkey", "metric").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))

@@ -92,7 +92,7 @@ def clock_offset_split(spark, sf_dir):
 
 @query(f"""SELECT user_id, round(min(us) / 1e6, 3) AS first_s, round(max(us) / 1e6, 3) AS last_start_s, round(max(us / 1e6 + value), 3) AS last_stop_s FROM {EV} GROUP BY user_id""")
 def epoch_bounds(spark, sf_dir):
-    """A10, A12."""
+    """A12."""
     e = events(spark, sf_dir).withColumn("t_s", F.col("us") / 1e6)
     out = align.extents(e, ["user_id"], "t_s", "value")
     return out.select("user_id", *[F.round(c, 3).alias(c) for c in ("first_s", "last_start_s", "last_stop_s")])

@@ -150,10 +150,11 @@ def freeze_score_sheet(spark, sf_dir):
     c = table(spark, sf_dir, "customer").withColumn("sheet", F.col("c_nationkey").cast("string"))
     even, k = F.col("c_nationkey") % 2 == 0, F.col("c_nationkey")
     empty = F.when(even, ",").otherwise("")
-    line = lambda *cells: F.concat(empty, F.concat_ws(",", *[x if isinstance(x, str) else F.lit(str(x)) if not hasattr(x, "cast") else x.cast("string") for x in cells]))
+    line = lambda *cells: F.concat(empty, F.concat_ws(",", *[x.cast("string") for x in cells]))
+    text = lambda *names: [F.lit(x) for x in names]
     body = c.select("sheet", (F.col("c_custkey") + 3).alias("n"), line(F.col("c_custkey"), F.col("c_acctbal"), k, F.lit("1.5"), F.lit(""), k).alias("line"))
     head = c.select("sheet", "c_nationkey").distinct()
-    rows = [line(F.lit("% freeze"), F.lit("b0"), F.lit("b1"), F.lit("t"), F.lit("d"), F.lit("p"), F.lit("empty")), line(F.lit("Onset"), k, k + 60, F.lit("Threshold"), F.lit("Bout"), F.lit("Protocol")), line(F.lit("Duration"), F.lit("30"), F.lit("30"), F.lit(",,")), line(F.lit(",,"), F.lit(""), F.lit("2.5"))]
+    rows = [line(*text("% freeze", "b0", "b1", "t", "d", "p", "empty")), line(F.lit("Onset"), k, k + 60, *text("Threshold", "Bout", "Protocol")), line(*text("Duration", "30", "30", ",,")), line(*text(",,", "", "2.5"))]
     heads = head.select("sheet", F.posexplode(F.array(*rows)).alias("n", "line")).select("sheet", F.col("n").cast("long").alias("n"), "line")
     path = shared.as_lines(heads.unionByName(body), "freeze", "sheet", ["n"])
     read = readers.freeze_scores(spark, path)
