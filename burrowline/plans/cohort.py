@@ -156,6 +156,17 @@ def metadata_layers(spark, sf_dir):
     return filled.select("c_custkey", "institution", scalar.sex_code(F.col("c_mktsegment")).alias("sex"), scalar.subject_name(F.col("c_custkey"), F.col("c_nationkey")).alias("subject_id"), "reason")
 
 
+@query("""SELECT c_custkey, c_nationkey || '-' || c_custkey AS subject_id, CASE c_custkey % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' ELSE 'U' END AS sex, upper(n_name) AS genotype, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'Housing: ' || c_mktsegment || '. ' END || 'Cage ID: ' || c_custkey % 97 AS description
+FROM customer JOIN nation ON n_nationkey = c_nationkey""")
+def subject_descriptions(spark, sf_dir):
+    """composed ids, sex codes, genotypes and housing texts of subjects."""
+    k = F.col("c_custkey")
+    j = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    sex = F.when(k % 3 == 0, "male").when(k % 3 == 1, "female").otherwise("not known")
+    s = j.select("c_custkey", k.alias("animal_id"), F.col("c_nationkey").alias("cohort_id"), sex.alias("sex"), F.lower("n_name").alias("genotype"), F.when(k % 5 != 0, F.col("c_mktsegment")).alias("housing"), (k % 97).alias("cage_id"))
+    return meta.described_subjects(s).select("c_custkey", "subject_id", "sex", "genotype", "description")
+
+
 @query("""SELECT c_custkey, coalesce(CASE WHEN c_acctbal > 0 THEN n_name END, 'default') AS institution, 'lab' AS lab, c_mktsegment AS session, 'rat' AS species, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS subject_id,
 'a,b' || CASE WHEN c_custkey % 3 = 0 THEN ',' || c_mktsegment ELSE '' END AS keywords, 'arena=' || CASE WHEN c_custkey % 5 = 0 THEN 'path' ELSE n_name END || '/1,box=file/2' || CASE WHEN c_custkey % 5 = 1 THEN ',new=path/' ELSE '' END AS devices,
 CASE WHEN c_custkey % 2 = 1 THEN 'a:low,b:' || c_nationkey ELSE 'a:' || c_custkey || ',b:' || c_nationkey || ',c:path' END AS tags FROM customer JOIN nation ON n_nationkey = c_nationkey""")

@@ -23,6 +23,17 @@ def session_list_sheet(spark, sf_dir):
     return readers.session_list(spark, shared.as_csv(sheet, "session-list"))
 
 
+@query("SELECT DISTINCT o_orderpriority || '_' || o_custkey % 40 AS task, 'unknown task' AS reason FROM orders WHERE NOT EXISTS (SELECT 1 FROM nation WHERE n_nationkey = o_custkey % 40)")
+def unknown_tasks(spark, sf_dir):
+    """SC2: tasks that are asked for without a row in the session list."""
+    priorities = table(spark, sf_dir, "orders").select("o_orderpriority").distinct()
+    name = lambda k: F.concat_ws("_", "o_orderpriority", F.col(k).cast("string")).alias("Task")
+    listed = table(spark, sf_dir, "nation").withColumn("o_orderpriority", F.explode(F.array(*[F.lit(p) for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")]))).join(priorities, "o_orderpriority")
+    sheet = listed.select(name("n_nationkey"), F.lit("x").alias("Line"), F.lit("1").alias("n"), F.lit("Hab").alias("s1"))
+    asked = table(spark, sf_dir, "orders").withColumn("k", F.col("o_custkey") % 40).select(name("k").alias("task")).distinct()
+    return meta.unknown_task(readers.text_csv(spark, shared.as_csv(sheet, "asked")), asked).select("task", "reason")
+
+
 CAGES = "(SELECT CAST(l_orderkey % 1000 AS INT) AS animal_id, CAST(l_linenumber AS VARCHAR) AS cohort_id, CASE l_returnflag WHEN 'A' THEN l_partkey ELSE l_suppkey END AS cage, strftime(l_shipdate, '%Y-%m') || '_' || l_returnflag AS sheet, * FROM lineitem WHERE l_returnflag <> 'R')"
 CAGE_ORDER = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity"]
 

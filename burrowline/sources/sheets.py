@@ -3,7 +3,8 @@
 Files are read in splits. What was read is written to the shared folder with a running number per task; from it a row per
 split says how many lines it has and where its numbers begin, and a sum over the splits before it gives each line its place.
 So a file of any size is numbered by many tasks, and nothing is sorted. What a caller needs of a file's header is worked
-out once per split and handed to the split's lines with their numbers.
+out once per split and handed to the split's lines with their numbers: broadcast where there are SPLITS of them at most
+(some 13 TB of sheets in large files), else joined by split.
 
 Blank lines aren't rows. A cell in double quotes may hold separators, and quotes written twice; it may not hold line breaks.
 An empty cell is null.
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 
 from burrowline.sources import shared
 
+SPLITS = 100_000
+
 
 def cells(line: Column, sep: str = ",") -> Column:
     """The cells of a line."""
@@ -51,12 +54,13 @@ def rows(spark: SparkSession, path: str, sep: str = ",", options: dict | None =
     splits = read.groupBy("path", "block").agg(F.min("id").alias("lo"), F.count("*").alias("n"))
     w = Window.partitionBy("path").orderBy("block")
     before = F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    counted = splits.select("path", "block", "lo", before.alias("before"))
-    heads = counted.filter("before = 0").select("path", "block", F.col("lo").alias("id")).join(read, ["path", "block", "id"])
+    counted = shared.written(splits.select("path", "block", "lo", before.alias("before")), "splits")
+    near = F.broadcast if counted.count() <= SPLITS else lambda df: df
+    heads = read.join(near(counted.filter("before = 0").select("path", "block", F.col("lo").alias("id"))), ["path", "block", "id"])
     header = F.transform(cells(F.regexp_replace("value", "^﻿", ""), sep), lambda h: F.trim(h))
     known = heads.select("path", header.alias("_h")).select("path", *[f(F.col("_h")).alias(name) for name, f in facts.items()])
-    of_split = counted.join(known, "path")
-    placed = read.join(of_split, ["path", "block"])
+    of_split = shared.written(counted.join(known, "path"), "heads")
+    placed = read.join(near(of_split), ["path", "block"])
     text = F.when(F.col("before") + F.col("id") == F.col("lo"), F.regexp_replace("value", "^﻿", "")).otherwise(F.col("value"))
     return placed.select("path", (F.col("before") + F.col("id") - F.col("lo")).alias("row_no"), cells(text, sep).alias("c"), *facts)
 

@@ -178,7 +178,9 @@ def test_sheets_have_headers_of_their_own(spark, tmp_path):
     assert sorted((r["path"][-5:], r["reason"]) for r in bad.collect()) == [("c.csv", "no column Animal"), ("d.csv", "empty sheet")]
 
 
-def test_lines_of_many_splits_keep_their_places(spark, tmp_path):
+@pytest.mark.parametrize("broadcast_up_to", [100_000, 0])
+def test_lines_of_many_splits_keep_their_places(spark, tmp_path, monkeypatch, broadcast_up_to):
+    monkeypatch.setattr(sheets, "SPLITS", broadcast_up_to)
     for name, n in (("a", 3000), ("b", 1), ("c", 700)):
         write(tmp_path / f"{name}.csv", f"Animal,n{name}\n" + "".join(f"{name}{i},{i}\n" + "\n" * (i % 3) for i in range(n)))
     before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
