@@ -889,3 +889,34 @@ def test_crowded_band_keys_lose_no_link(spark, monkeypatch):
         roots = near_links.similar_classes(nodes, none, 5, 0.8)
         found.append(sorted((x["node"], x["root"]) for x in roots.collect()))
     assert found[0] == found[1] and len(found[0]) > 30
+
+
+def test_pairs_to_compare_are_dealt_in_blocks(spark, monkeypatch):
+    """A hub's text goes to each block once, the texts around it to one block each; what links is what brute force links."""
+    monkeypatch.setattr(near_links, "BLOCK_PAIRS", 20)
+    monkeypatch.setattr(near_links, "HUB", 5)
+    texts = dict(around_a_template(40))
+    rows = spark.createDataFrame(list(texts.items()), "node long, text string")
+    pairs = [(0, j) for j in range(1, 40)] + [(i, j) for i in range(1, 10) for j in range(i + 1, 10)]
+    df = spark.createDataFrame(pairs, "u long, v long")
+    packed = near_links.squeezed(rows)
+    placed = near_links.in_blocks(df, packed)[0].collect()
+    sent = [(x["block"], x["node"]) for x in placed if x["node"] is not None]
+    meets = [(x["block"], x["u"], x["v"]) for x in placed if x["node"] is None]
+    assert sorted(x[1:] for x in meets) == pairs and len({x[0] for x in meets}) > 2
+    assert len(sent) == len(set(sent)) and set(sent) == {(b, n) for b, u, v in meets for n in (u, v)}
+    assert all(sum(n == i for _, n in sent) == 1 for i in range(10, 40))
+    sets = {i: shingles(t) for i, t in texts.items()}
+    expected = [(u, v) for u, v in pairs if len(sets[u] & sets[v]) / len(sets[u] | sets[v]) >= 0.8]
+    assert 5 < len(expected) < len(pairs)
+    assert sorted((x["u"], x["v"]) for x in near_links.linked(df, packed, 5, 0.8).collect()) == expected
+
+
+def test_best_pairs_of_each_share(spark):
+    """With one share, each class's best pair; with many, every pair comes in the end; no pairs give none."""
+    rows = [(1, 2, 170, 5, 1, 1, 2), (1, 3, 180, 5, 9, 1, 3), (1, 4, 140, 5, 20, 1, 4), (3, 4, 190, 9, 20, 3, 4)]
+    pairs = spark.createDataFrame(rows, "u long, v long, alike int, u_degree long, v_degree long, u_root long, v_root long")
+    one = sorted(tuple(x) for x in near_links.promising(pairs, 1).collect())
+    assert one == [(1, 2), (1, 3), (3, 4)]  # class 2 has no other pair; 1's best leads to 3; 3's and 4's to each other
+    assert near_links.promising(pairs, 1 << 40).count() == len(rows)
+    assert near_links.promising(pairs.limit(0), 1).count() == 0
