@@ -41,9 +41,11 @@ def as_csv(df: DataFrame, name: str, path: str | None = None, files: int | None
 
 
 def as_lines(df: DataFrame, name: str, sheet: str, order: list[str], line: str = "line") -> str:
-    """Write the lines of each sheet in order to a file of its own, and return the folder."""
+    """Write the lines of each sheet in order to a file of its own, and return the folder. A sheet's lines must not tie in
+    order: where they did, any of them could come first."""
     path = fresh_path(df.sparkSession, name)
-    rows = df.select(F.col(sheet).alias("sheet"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.col(line).alias("value"))
+    # never null, so that the writer takes the order as it is and doesn't sort by sheet again, where a spill mixes lines
+    rows = df.select(F.coalesce(F.col(sheet).cast("string"), F.lit("")).alias("sheet"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.col(line).alias("value"))
     sorted_ = rows.repartition("sheet").sortWithinPartitions("sheet", *[f"_o{i}" for i in range(len(order))])
     sorted_.select("sheet", "value").write.partitionBy("sheet").text(path)
     return path
