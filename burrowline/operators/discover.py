@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from burrowline.functions.scalar import natural_key
 from burrowline.operators import substrings
 from burrowline.operators.guards import exactly_one
+from burrowline.sources import shared
 
 
 def did_task(subjects: DataFrame, task: str, column: str = "tasks") -> DataFrame:
@@ -45,6 +46,19 @@ def match_names(rows: DataFrame, files: DataFrame, block: list[str], key: list[s
     return hit.withColumn("_best", F.min("prio").over(w)).filter(F.col("prio") == F.col("_best")).drop("_best").withColumn("n_match", F.count("*").over(w))
 
 
+def first_file(rows: DataFrame, files: DataFrame, block: list[str], key: list[str], patterns: list[Column], order: list[str], name: str = "name") -> DataFrame:
+    """key, prio and the columns order of the first file, by order, whose name contains the row's first pattern; where none
+    does, the second, and so on (J4, W7). order begins with the name, or what follows from it; key goes with the block.
+
+    What is first is found once for each pattern, so rows that share a pattern don't meet all its files."""
+    asked = rows.select(*dict.fromkeys([*key, *block]), F.posexplode(F.array(*[p.cast("string") for p in patterns])).alias("prio", "_pattern"))
+    of_name = files.groupBy(*block, name).agg(F.min(F.struct(*order)).alias("_file"))
+    pairs = substrings.containing(of_name, asked, block, name, "_pattern")
+    of_pattern = pairs.join(of_name, [*block, name]).groupBy(*block, "_pattern").agg(F.min("_file").alias("_file"))
+    best = asked.join(shared.written(of_pattern, "first"), [*block, "_pattern"]).groupBy(*key).agg(F.min(F.struct("prio", "_file")).alias("_best"))
+    return best.select(*key, "_best.prio", *[F.col(f"_best._file.{c}").alias(c) for c in order])
+
+
 def ambiguous(matches: DataFrame, ids: DataFrame, block: list[str], own: str, other: str, name: str = "name") -> DataFrame:
     """Whether the name of a matched file also contains another registered id (Q12): ambiguous_match."""
     every = ids.select(*block, F.col(other).cast("string").alias("_other"))

@@ -48,8 +48,8 @@ def file_match_fallback(spark, sf_dir):
     """Files by the animal's id, else by its cage; the first of the better kind."""
     s, p = animals(spark, sf_dir), page_files(spark, sf_dir)
     a = F.col("animal").cast("string")
-    hit = discover.match_names(s, p, ["dir"], ["animal", "dir"], [a, F.concat(F.lit("page="), F.col("cage").cast("string"))])
-    return discover.first_match(hit, ["animal", "dir"], [F.col("prio"), F.col("name"), F.col("page_id")]).select("animal", "dir", "page_id", "prio")
+    cage = F.concat(F.lit("page="), F.col("cage").cast("string"))
+    return discover.first_file(s, p, ["dir"], ["animal", "dir"], [a, cage], ["name", "page_id"]).select("animal", "dir", "page_id", "prio")
 
 
 def animals(spark, sf_dir):
