@@ -1,10 +1,13 @@
-"""Range joins and covers by a hierarchy of cells: no width to pick, and nothing compared that doesn't match.
+"""Range joins and covers by a hierarchy of cells: no width to pick.
 
-Cells of one unit are the leaves; a node of level k holds 2 ** (bits * k) of them. An interval is cut into nodes that tile
-it exactly, a few per level; a point belongs to one node per level. Points and intervals meet in an equi-join on level and
-node, so each matching pair meets once, whether intervals are microseconds or hours. Rows that are shuffled: the points times
-the levels that intervals use (16 at most), and the intervals times their nodes, which grow with the logarithm of their
-lengths. A node with very many points is a hot key that Spark can split; `widest` caps the nodes instead.
+Cells of one unit are the leaves; a node of level k holds 2 ** (bits * k) of them. `nodes` and `cover` cut an interval into
+nodes that tile it exactly, some tens per level.
+
+A join moves its rows and so takes fewer: an interval is covered by two to five nodes of the one level (of powers of 4) whose
+nodes are no longer than it is, and a point belongs to one node per level. Points and intervals meet in an equi-join on level
+and node, so each pair meets once, whether intervals are microseconds or hours; of those that meet, some third match and the
+ends tell which. Rows that are shuffled: the points times the levels that intervals use (31 at most), and the intervals times
+their nodes. A node with very many points is a hot key that Spark can split; `widest` caps the nodes instead.
 """
 
 from __future__ import annotations
@@ -55,17 +58,25 @@ def _cell(df: DataFrame, column: str, resolution: float) -> Column:
     return F.floor(F.col(column) / resolution).cast("long")
 
 
+def level_of(length: Column, widest: int | None = None) -> Column:
+    """The level, as a power of 2, of which two to five nodes cover an interval of so many cells (more where widest, the most
+    cells of a node, is less)."""
+    size = F.least(F.greatest(length, F.lit(1)), F.lit(1 << 60 if widest is None else max(1, widest)))
+    return (F.floor(F.log2(size.cast("double")) / 2) * 2).cast("int")
+
+
 def interval_join(points: DataFrame, intervals: DataFrame, on: list[str], at: str, start: str, stop: str, closed: bool = False, resolution: float = 1, widest: int | None = None) -> DataFrame:
     """Points with every interval start <= at < stop (closed: <=) of the same key.
 
     resolution: the size of a cell in the units of at; whole numbers need none. widest: the most cells of a node."""
-    top = TOP if widest is None else max(0, min(TOP, (widest.bit_length() - 1) // BITS))
     exact = resolution == 1 and all(dict(d.dtypes)[c] in ("tinyint", "smallint", "int", "bigint") for d, c in ((points, at), (intervals, start), (intervals, stop)))
     past = _cell(intervals, stop, resolution) + (0 if exact and not closed else 1)
-    tiled = intervals.select("*", F.inline(nodes(_cell(intervals, start, resolution), past, top)).alias("_level", "_node"))
-    tiled = shared.written(tiled, "tiles")
-    levels = sorted(r[0] for r in tiled.select("_level").distinct().collect())  # TOP + 1 at most
-    own = F.transform(F.array(*[F.lit(k) for k in levels]).cast("array<int>"), lambda k: F.struct(k.alias("level"), _down(_cell(points, at, resolution), k * BITS).alias("node")))
+    first, length = _cell(intervals, start, resolution), past - _cell(intervals, start, resolution)
+    spans = intervals.select("*", F.when(length > 0, level_of(length, widest)).alias("_level"), first.alias("_first"), past.alias("_past")).filter("_level IS NOT NULL")
+    spans = shared.written(spans, "spans")
+    levels = sorted(r[0] for r in spans.select("_level").distinct().collect())  # 31 at most
+    tiled = spans.withColumn("_node", F.explode(F.sequence(_down(F.col("_first"), F.col("_level")), _down(F.col("_past") - 1, F.col("_level"))))).drop("_first", "_past")
+    own = F.transform(F.array(*[F.lit(k) for k in levels]).cast("array<int>"), lambda k: F.struct(k.alias("level"), _down(_cell(points, at, resolution), k).alias("node")))
     spread = points.select("*", F.inline(own).alias("_level", "_node"))
     end = F.col(at) <= F.col(stop) if closed else F.col(at) < F.col(stop)
     return spread.join(tiled, [*on, "_level", "_node"]).drop("_level", "_node").filter((F.col(at) >= F.col(start)) & end)
