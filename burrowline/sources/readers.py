@@ -54,20 +54,25 @@ def ephys_paths(listing: DataFrame) -> DataFrame:
     return found.withColumn("start_ts", F.to_utc_timestamp(start, "Europe/London"))
 
 
-def _projects(spark: SparkSession, path: str) -> DataFrame:
-    read = spark.read.schema(f"{schemas.PROJECT}, _corrupt_record string").option("multiLine", True).json(path)
+def _projects(spark: SparkSession, path: str, bundled: bool = False) -> DataFrame:
+    schema = f"{schemas.PROJECT}, _corrupt_record string"
+    if bundled:
+        read = sheets.named_lines(spark, path, bundled).select("path", F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("p")).select("path", "p.*")
+    else:
+        read = spark.read.schema(schema).option("multiLine", True).json(path).withColumn("path", F.col("_metadata.file_path"))
     reason = F.when(F.col("_corrupt_record").isNotNull(), "unreadable project").when(F.col("observations").isNull(), "no observations")
-    return read.select("observations", "behaviors_conf", F.col("_metadata.file_path").alias("path"), reason.alias("reason"))
+    return read.select("observations", "behaviors_conf", "path", reason.alias("reason"))
 
 
-def scoring_projects(spark: SparkSession, path: str) -> DataFrame:
-    """SC6: the projects that can be read; project_rejects has the others."""
-    return _projects(spark, path).filter("reason IS NULL").drop("reason")
+def scoring_projects(spark: SparkSession, path: str, bundled: bool = False) -> DataFrame:
+    """SC6: the projects that can be read; project_rejects has the others. bundled: very many projects as lines of a bundle
+    (shared.as_lines), path being a project's name."""
+    return _projects(spark, path, bundled).filter("reason IS NULL").drop("reason")
 
 
-def project_rejects(spark: SparkSession, path: str) -> DataFrame:
+def project_rejects(spark: SparkSession, path: str, bundled: bool = False) -> DataFrame:
     """path and reason of projects that are cut off, aren't JSON or have no observations (SK2)."""
-    return _projects(spark, path).filter("reason IS NOT NULL").select("path", "reason")
+    return _projects(spark, path, bundled).filter("reason IS NOT NULL").select("path", "reason")
 
 
 def freeze_scores(spark: SparkSession, path: str) -> DataFrame:
@@ -92,11 +97,11 @@ def freeze_log(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
     return line.select("cells", F.element_at("cells", 1).alias("animal"), first_time(at, ("d/M/yyyy H:mm", "yyyy-MM-dd HH:mm:ss", "d/M/yyyy H:mm:ss")).alias("ts"))
 
 
-def swim_sheet(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def swim_sheet(spark: SparkSession, path: str, bundled: bool = False) -> tuple[DataFrame, DataFrame]:
     """SC9: path, row_no, c and at (where each column and block of the row's own file stands, see trials.swim_places), and
     the sheets that can't be used: empty ones and those without an Animal column."""
-    read = sheets.rows(spark, path, at=trials.swim_places)
-    return read.filter("row_no > 0 AND at.animal IS NOT NULL"), sheets.rejects(spark, path, read, F.col("at.animal").isNull(), "no column Animal")
+    read = sheets.rows(spark, path, bundled=bundled, at=trials.swim_places)
+    return read.filter("row_no > 0 AND at.animal IS NOT NULL"), sheets.rejects(spark, path, read, F.col("at.animal").isNull(), "no column Animal", bundled)
 
 
 def channel_sheet(spark: SparkSession, path: str, channels: int = 16) -> DataFrame:

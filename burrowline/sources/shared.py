@@ -40,14 +40,23 @@ def as_csv(df: DataFrame, name: str, path: str | None = None, files: int | None
     return path
 
 
-def as_lines(df: DataFrame, name: str, sheet: str, order: list[str], line: str = "line") -> str:
+def as_lines(df: DataFrame, name: str, sheet: str, order: list[str], line: str = "line", bundled: bool = False) -> str:
     """Write the lines of each sheet in order to a file of its own, and return the folder. A sheet's lines must not tie in
-    order: where they did, any of them could come first."""
+    order: where they did, any of them could come first.
+
+    bundled: as a bundle, for very many sheets. Its files, one a task, hold sheets one after the other; a line has the sheet's
+    name (without a tab or a line break) and a tab before it. Without an order each sheet is a single line."""
     path = fresh_path(df.sparkSession, name)
     # never null, so that the writer takes the order as it is and doesn't sort by sheet again, where a spill mixes lines
     rows = df.select(F.coalesce(F.col(sheet).cast("string"), F.lit("")).alias("sheet"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.col(line).alias("value"))
+    if bundled and not order:
+        rows.select(F.concat_ws("\t", "sheet", "value")).write.text(path)
+        return path
     sorted_ = rows.repartition("sheet").sortWithinPartitions("sheet", *[f"_o{i}" for i in range(len(order))])
-    sorted_.select("sheet", "value").write.partitionBy("sheet").text(path)
+    if bundled:
+        sorted_.select(F.concat_ws("\t", "sheet", "value")).write.text(path)
+    else:
+        sorted_.select("sheet", "value").write.partitionBy("sheet").text(path)
     return path
 
 

@@ -4,7 +4,10 @@ Files are read in splits. What was read is written to the shared folder with a r
 split says how many lines it has and where its numbers begin, and a sum over the splits before it gives each line its place.
 So a file of any size is numbered by many tasks, and nothing is sorted. What a caller needs of a file's header is worked
 out once per split and handed to the split's lines with their numbers: broadcast where there are SPLITS of them at most
-(some 13 TB of sheets in large files), else joined by split.
+(some 64 TB of sheets in large files; some 150 MB of a header's places), else joined by split.
+
+Very many small sheets come as a bundle (shared.as_lines): a file for each would cost more than its lines. path is then the
+sheet's name, and a split of a bundle's file is one of each sheet that has lines in it.
 
 Blank lines aren't rows. A cell in double quotes may hold separators, and quotes written twice; it may not hold line breaks.
 An empty cell is null.
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 
 from burrowline.sources import shared
 
-SPLITS = 100_000
+SPLITS = 500_000
 
 
 def cells(line: Column, sep: str = ",") -> Column:
@@ -40,17 +43,27 @@ def place_where(header: Column, test: Callable[[Column], Column]) -> Column:
     return F.nullif(F.array_position(F.transform(header, lambda h: F.coalesce(test(h), F.lit(False))), True), F.lit(0)).cast("int") - 1
 
 
-def lines(spark: SparkSession, path: str, **options) -> DataFrame:
+def named_lines(spark: SparkSession, path: str, bundled: bool = False, **options) -> DataFrame:
+    """path, block, value of every line. In a bundle no sheet has lines in several files, so a split's place in its file is
+    in order for each sheet."""
+    start = F.col("_metadata.file_block_start").alias("block")
+    read = spark.read.options(**options).text(path)
+    if not bundled:
+        return read.select(F.col("_metadata.file_path").alias("path"), start, "value")
+    tab = F.instr("value", "\t")
+    return read.select(F.substr("value", F.lit(1), tab - 1).alias("path"), start, F.substr("value", tab + 1).alias("value"))
+
+
+def lines(spark: SparkSession, path: str, bundled: bool = False, **options) -> DataFrame:
     """path, block, id, value: the lines that aren't blank, written once so that their numbers stay."""
-    source = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")
-    read = spark.read.options(**options).text(path).select("value", *source).filter(F.col("value").rlike(r"\S"))
+    read = named_lines(spark, path, bundled, **options).filter(F.col("value").rlike(r"\S"))
     return shared.written(read.withColumn("id", F.monotonically_increasing_id()), "lines")
 
 
-def rows(spark: SparkSession, path: str, sep: str = ",", options: dict | None = None, **facts: Callable[[Column], Column]) -> DataFrame:
+def rows(spark: SparkSession, path: str, sep: str = ",", options: dict | None = None, bundled: bool = False, **facts: Callable[[Column], Column]) -> DataFrame:
     """path, row_no (0 is the header's line) and c (the cells) of every line, with the named facts of its file's header; a
     fact is a function of the header's trimmed cells."""
-    read = lines(spark, path, **(options or {}))
+    read = lines(spark, path, bundled, **(options or {}))
     splits = read.groupBy("path", "block").agg(F.min("id").alias("lo"), F.count("*").alias("n"))
     w = Window.partitionBy("path").orderBy("block")
     before = F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -65,10 +78,13 @@ def rows(spark: SparkSession, path: str, sep: str = ",", options: dict | None =
     return placed.select("path", (F.col("before") + F.col("id") - F.col("lo")).alias("row_no"), cells(text, sep).alias("c"), *facts)
 
 
-def rejects(spark: SparkSession, path: str, sheet: DataFrame, missing: Column, reason: str) -> DataFrame:
+def rejects(spark: SparkSession, path: str, sheet: DataFrame, missing: Column, reason: str, bundled: bool = False) -> DataFrame:
     """path and reason of files with blank lines only, and of those whose header's facts say so. A file of no bytes at all is
     one that Spark's sources don't list."""
-    listed = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("path"))
+    if bundled:
+        listed = named_lines(spark, path, bundled).select("path").distinct()
+    else:
+        listed = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("path"))
     heads = sheet.filter("row_no = 0").select("path", F.when(missing, reason).alias("reason"), F.lit(True).alias("_read"))
     judged = listed.join(heads, "path", "left").withColumn("reason", F.when(F.col("_read").isNull(), "empty sheet").otherwise(F.col("reason")))
     return judged.filter(F.col("reason").isNotNull()).select("path", "reason")
