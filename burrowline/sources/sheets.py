@@ -30,7 +30,9 @@ def cells(line: Column, sep: str = ",") -> Column:
     one = rf'[{sep}]("(?:[^"]|"")*+"(?=[{sep}]|$)|[^{sep}]*+)'
     raw = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(one), F.lit(1))
     plain = lambda c: F.when(c.startswith('"') & c.endswith('"') & (F.length(c) > 1), F.replace(F.substr(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c)
-    return F.transform(raw, lambda c: F.nullif(plain(c), F.lit("")))
+    quoted = F.transform(raw, lambda c: F.nullif(plain(c), F.lit("")))
+    simple = F.transform(F.split(line, sep if sep not in r".$|()[{^?*+\\" else f"\\{sep}"), lambda c: F.nullif(c, F.lit("")))
+    return F.when(F.instr(line, '"') > 0, quoted).otherwise(simple)  # what has no quotes is cut at its separators
 
 
 def place(header: Column, name: str) -> Column:
