@@ -14,9 +14,12 @@ compared as there are nodes, and those that fail. The best of a share is a group
 Whatever is proposed, a pair links only if the shingles of its two texts say so. Pairs are dealt into blocks by their end of
 fewer pairs, and a block gets each text that it needs once, compressed: a hub's text goes to many blocks, the texts around it
 to one each, and none goes along with every pair.
-A key of more than CROWD nodes gives way to several finer ones, each with another least hash that the bands don't use: two
-sets at 0.8 that share the key miss all six of a step with 0.2^6, 6 pairs in 100,000. What is crowded after all steps (sets
-that agree in everything) is dealt out in parts, and COMMON of its nodes stand in every part of it.
+After the first round nodes carry a profile: of the shingles that another open node has too, how many fall into each of
+BUCKETS shares of the hashes. Two sets have no more in common than the sum of the lesser counts; a pair that can't reach the
+bound by that isn't proposed, so that many texts that are close, but not close enough, aren't all compared.
+A key of more than CROWD nodes is dealt out in parts, and COMMON of its nodes stand in every part, so that classes grow. Of
+the keys that aren't one class then, every two parts meet, DIAGONALS of distances at a time: no two nodes of a key stay
+apart without having met.
 """
 
 from __future__ import annotations
@@ -35,10 +38,10 @@ from burrowline.llm.components import components
 MINIMA, BANDS, ROWS, NEAR, SURE = 192, 16, 3, 134, 165
 #: Pairs of a node in one block; pairs and rows handled together; groups done at once; groups dealt out, and what they share.
 HUB, PAIRS, CHUNK, SMALL, CROWD, COMMON = 4096, 1 << 14, 1 << 14, 8, 1 << 15, 16
+#: Distances of parts of crowded keys that are dealt at once; shingles counted together.
+DIAGONALS, COUNTED, BUCKETS = 16, 1 << 20, 256
 #: What a block of pairs to compare holds, about: pairs, and compressed bytes of their texts. Bytes of shingle sets kept.
 BLOCK_PAIRS, BLOCK_BYTES, SETS_BYTES = 2048, 1 << 24, 1 << 23
-#: Places of a sketch that no band uses, for finer keys, step by step.
-SPARE = (range(48, 54), range(54, 60), range(58, 64))
 
 _rng = np.random.default_rng(20240607)
 FACTORS = _rng.integers(0, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -115,38 +118,86 @@ def keyed_rows(nodes: DataFrame) -> DataFrame:
     return found
 
 
-def dealt(keyed: DataFrame) -> DataFrame:
-    """keyed (key, node, n, sketch) -> GROUP: the groups of several nodes; crowded keys as finer ones, and in parts if those
-    are crowded still."""
-    calm: list[DataFrame] = []
-    for spare in SPARE:
-        crowded = crowded_keys(keyed)
-        if crowded.isEmpty():
-            break
-        calm.append(keyed.join(crowded, "key", "left_anti"))
-        finer = F.explode(F.array(*[F.xxhash64("key", F.lit(i), F.substring("sketch", i + 1, 1)) for i in spare]))
-        hot = keyed.join(crowded, "key", "left_semi").withColumn("finer", finer)
-        keyed = staged(hot.select(F.col("finer").alias("key"), "node", "n", "sketch"), "finer")
-    else:
-        crowded = crowded_keys(keyed)
-    if crowded.isEmpty():
-        every = keyed.select("key", F.lit(0).alias("part"), "node", "n", "sketch")
-    else:
-        own = keyed.join(crowded, "key", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("node"), "parts").cast("int"), F.lit(0)))
+def parted(keyed: DataFrame, crowded: DataFrame) -> DataFrame:
+    """keyed with the part of its key that a node is in, and parts, their number."""
+    parts = F.coalesce("parts", F.lit(1))
+    return keyed.join(crowded, "key", "left").select("key", F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"), "node", "n", "sketch", parts.alias("parts"))
+
+
+def dealt(keyed: DataFrame, crowded: DataFrame) -> DataFrame:
+    """keyed (key, node, n, sketch) -> GROUP: the groups of several nodes, crowded keys in parts."""
+    every = parted(keyed, crowded).select("key", "part", "node", "n", "sketch")
+    if not crowded.isEmpty():
         lead = [F.min(F.struct(F.xxhash64("node", F.lit(i)), "node", "n", "sketch")) for i in range(COMMON)]
         shared = keyed.join(crowded, "key").groupBy("key", "parts").agg(F.array(*lead).alias("lead"))
         shared = shared.select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.explode("lead").alias("l"))
-        every = own.select("key", "part", "node", "n", "sketch").unionByName(shared.select("key", "part", "l.node", "l.n", "l.sketch"))
-    for c in calm:
-        every = every.unionByName(c.select("key", F.lit(0).alias("part"), "node", "n", "sketch"))
+        every = every.unionByName(shared.select("key", "part", "l.node", "l.n", "l.sketch"))
     return every.withColumn("done", F.lit(False))
 
 
+def opposite(keyed: DataFrame, crowded: DataFrame, roots: DataFrame, low: int) -> DataFrame:
+    """GROUP of every two parts of a crowded key at a distance of low to low + DIAGONALS - 1, of the keys that aren't one class."""
+    rooted = keyed.join(crowded, "key", "left_semi").select("key", "node").join(roots, "node", "left")
+    root = F.coalesce("root", "node")
+    mixed = staged(rooted.groupBy("key").agg(F.min(root).alias("a"), F.max(root).alias("z")).filter("a <> z").select("key").join(crowded, "key"), "mixed")
+    of = parted(keyed.join(mixed, "key", "left_semi"), mixed)
+    step = F.explode(F.sequence(F.lit(low), F.lit(low + DIAGONALS - 1)))
+    each = of.select("*", step.alias("step"))
+    first = F.array_compact(F.array(F.when(F.col("part") + F.col("step") < F.col("parts"), F.col("part")), F.when(F.col("part") >= F.col("step"), F.col("part") - F.col("step"))))
+    met = each.select("key", F.explode(first).alias("first"), "step", "parts", "node", "n", "sketch")
+    return met.select(F.xxhash64("key", "step").alias("key"), F.col("first").cast("int").alias("part"), "node", "n", "sketch", F.lit(False).alias("done"))
+
+
+def profiles(nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """node, profile: a byte for each of BUCKETS, how many of the node's shingles in it another one of the nodes has too. Sets
+    with more in a bucket than a byte holds get none. texts as in linked()."""
+    of = lambda packed, length: shingles(pa.decompress(packed, length, "zstd", asbytes=True), size)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, np.ndarray]] = []
+        many = 0
+
+        def solve() -> pa.RecordBatch:
+            found, first, rows = np.unique(np.concatenate([x for _, x in held]), return_index=True, return_counts=True)
+            owner = np.repeat(np.array([k for k, _ in held], np.int64), [len(x) for _, x in held])[first]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(owner), pa.array(rows)], names=["shingle", "node", "rows"])
+
+        for b in batches:
+            for node, length, packed in zip(*(b.column(c).to_pylist() for c in ("node", "size", "packed")), strict=True):
+                held.append((node, of(packed, length)))
+                many += len(held[-1][1])
+                if many >= COUNTED:
+                    yield solve()
+                    many = 0
+        if held:
+            yield solve()
+
+    def fill(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for r in range(b.num_rows):
+                found, lone = of(b.column("packed")[r].as_py(), b.column("size")[r].as_py()), b.column("lone")[r]
+                if lone.is_valid:
+                    found = np.setdiff1d(found, lone.values.to_numpy().view(np.uint64), assume_unique=True)
+                held = np.bincount((found >> np.uint64(56)).astype(np.int64), minlength=BUCKETS)
+                out.append(held.astype(np.uint8).tobytes() if held.max() < 256 else None)
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(out, pa.binary())], names=["node", "profile"])
+
+    open_ = staged(texts.join(nodes, "node", "left_semi").select("node", "size", "packed"), "open")
+    counts = open_.mapInArrow(count, "shingle long, node long, rows long")
+    own = counts.groupBy("shingle").agg(F.sum("rows").alias("rows"), F.min("node").alias("node")).filter("rows = 1")
+    lone = own.groupBy("node").agg(F.collect_list("shingle").alias("lone"))  # a part of one text's shingles
+    found = staged(open_.join(lone, "node", "left").mapInArrow(fill, "node long, profile binary"), "profiles")
+    discard(open_)
+    return found
+
+
 ROUND = "kind int, key long, part int, node long, n long, sketch binary, done boolean, u long, v long, alike int"
 
 
 def proposed(open_: DataFrame, similarity: float, turn: int) -> DataFrame:
-    """GROUP with root -> ROUND: pairs of different classes that some rows of each group lead (kind 1), and the groups that
+    """GROUP with root and profile -> ROUND: pairs of different classes that some rows of each group lead (kind 1), and the groups that
     aren't done (kind 0)."""
     wide = 8**turn
 
@@ -170,19 +221,27 @@ def proposed(open_: DataFrame, similarity: float, turn: int) -> DataFrame:
         rank[by] = np.arange(len(by)) - (np.cumsum(size) - size)[group[by]]
         leads = ~done & mixed[group] & (rank < np.where(size <= SMALL, size, wide)[group])
         sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, MINIMA)[once]
+        held = t.column("profile").take(pa.array(once))
+        known = held.is_valid().to_numpy()
+        profile = np.frombuffer(b"".join(x or bytes(BUCKETS) for x in held.to_pylist()), np.uint8).reshape(-1, BUCKETS)
+        room = np.where(known, profile.sum(axis=1, dtype=np.int64), n)  # shingles that another set can have
+        reach = lambda a, b, both: both >= similarity * (n[a] + n[b] - both) - 1e-9
         start, left, out = np.cumsum(size) - size, np.flatnonzero(leads), []
         while len(left):
-            room = np.cumsum(size[group[left]])
-            take = max(1, int(np.searchsorted(room, PAIRS, side="right")))
+            pairs = np.cumsum(size[group[left]])
+            take = max(1, int(np.searchsorted(pairs, PAIRS, side="right")))
             some, left = left[:take], left[take:]
             many = size[group[some]]
             a = np.repeat(some, many)
             b = np.repeat(start[group[some]] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-            can = (root[a] != root[b]) & (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9)
+            can = (root[a] != root[b]) & reach(a, b, np.minimum(room[a], room[b]))
             a, b = a[can], b[can]
             alike = (sketch[a] == sketch[b]).sum(axis=1)
             near = alike >= NEAR
-            out.append(np.stack([np.minimum(node[a], node[b])[near], np.maximum(node[a], node[b])[near], alike[near]]))
+            a, b, alike = a[near], b[near], alike[near]
+            can = ~(known[a] & known[b]) | reach(a, b, np.minimum(profile[a], profile[b]).sum(axis=1, dtype=np.int64))
+            a, b, alike = a[can], b[can], alike[can]
+            out.append(np.stack([np.minimum(node[a], node[b]), np.maximum(node[a], node[b]), alike]))
         pairs = np.concatenate(out, axis=1) if out else np.zeros((3, 0), np.int64)
         by = np.lexsort((pairs[1], pairs[0]))
         pairs = pairs[:, by[changes(pairs[0][by], pairs[1][by])]]
@@ -204,7 +263,7 @@ def proposed(open_: DataFrame, similarity: float, turn: int) -> DataFrame:
             yield from solve(t)
 
     order = ("key", "part", "node")
-    chosen = open_.select(*order, "n", "sketch", "done", "root").repartition("key", "part").sortWithinPartitions(*order)
+    chosen = open_.select(*order, "n", "sketch", "done", "root", "profile").repartition("key", "part").sortWithinPartitions(*order)
     return staged(chosen.mapInArrow(run, ROUND), "round", partition_by="kind")
 
 
@@ -328,12 +387,26 @@ def similar_classes(nodes: DataFrame, close: DataFrame, size: int, similarity: f
     roots = components(links)
     discard(links)
     keyed = keyed_rows(nodes)
-    open_, turn = dealt(keyed), 0
-    while True:
+    crowded = crowded_keys(keyed)
+    roots = grown(dealt(keyed, crowded), roots, texts, size, similarity, 1)
+    most = crowded.agg(F.max("parts")).first()[0] or 0
+    for low in range(1, most, DIAGONALS):
+        met = staged(opposite(keyed, crowded, roots, low), "opposite")
+        roots = grown(met, roots, texts, size, similarity, 0)
+    discard(keyed, crowded, texts)
+    return roots
+
+
+def grown(open_: DataFrame, roots: DataFrame, texts: DataFrame, size: int, similarity: float, counted: int) -> DataFrame:
+    """roots after all links within the groups of open_ (GROUP). counted: the turn at which profiles are taken."""
+    turn, held = 0, None
+    while not open_.isEmpty():
+        if turn == counted:
+            held = profiles(open_.select("node").distinct(), texts, size)
         rooted = open_.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rooted = rooted.withColumn("profile", F.lit(None).cast("binary")) if held is None else rooted.join(held, "node", "left")
         last, found = open_, proposed(rooted, similarity, turn)
-        discard(last, keyed)
-        keyed = None
+        discard(last)
         each = staged(found.filter("kind = 1").groupBy("u", "v").agg(F.max("alike").alias("alike")), "pairs")
         left, shares = apart(with_degrees(each), roots), 1
         discard(each)
@@ -346,10 +419,9 @@ def similar_classes(nodes: DataFrame, close: DataFrame, size: int, similarity: f
             last, left = left, apart(left.join(chosen, ["u", "v"], "left_anti"), roots)
             discard(last, chosen, more)
             shares *= 64  # what is left after the first pairs lies mostly below the bound
+        discard(left)
         open_ = found.filter("kind = 0").select("key", "part", "node", "n", "sketch", "done")
         open_.staged_path = found.staged_path
-        if open_.isEmpty():
-            discard(open_, left, texts)
-            return roots
-        discard(left)
         turn += 1
+    discard(open_, held)
+    return roots
