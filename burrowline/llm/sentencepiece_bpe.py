@@ -39,7 +39,9 @@ PARTS = re.compile(
     f"{SPACE}*+{LETTERS}++(?=[{MARKS}{ENDS}{SPACE}]|\\Z)|{SPACE}*+[{MARKS}]++(?={LETTERS}|[{ENDS}{SPACE}]|\\Z)"
     f"|{SPACE}*+[{ENDS}]++(?={LETTERS}|[{MARKS}{SPACE}]|\\Z)|{SPACE}*[^{SPACE}]+|{SPACE}+"
 )
-KEPT_PARTS, KEPT_CHARS = 300_000, 40
+KEPT_PARTS, KEPT_CHARS = 600_000, 40
+#: Symbols up to which the agenda is a plain list, which is faster than a heap there.
+SHORT = 40
 
 
 def kind(c: str) -> int:
@@ -79,8 +81,9 @@ class Agenda:
         beside = {(kind(a), kind(b)) for p in self.score for a, b in zip(p, p[1:], strict=False) if SPACE not in (a, b)}
         crossing = {(a, b) for a in range(3) for b in range(3) if a != b} & beside
         self.by_part = self.prefix == SPACE and not crossing and not any(SPACE in p.lstrip(SPACE) for p in self.score)
-        #: Comma-joined ids of a part and what they decode to.
-        self.table: dict[str, tuple[bytes, bytes]] = {}
+        #: Comma-joined ids of a part, and what they decode to.
+        self.table: dict[str, bytes] = {}
+        self.plain_of: dict[str, bytes] = {}
         self.seen = self.missed = 0
         self.digits = [str(k) for k in range(len(model.pieces))]
 
@@ -88,6 +91,8 @@ class Agenda:
         """Ids of one part by the agenda. An entry is the rank of a piece and the place of its left symbol, in one number."""
         rank, symbols = self.rank.get, list(text)
         n = len(symbols)
+        if n <= SHORT:
+            return self.ids(self.merge_short(symbols))
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda = [r << 32 | i for i in range(n - 1) if (r := rank(symbols[i] + symbols[i + 1])) is not None]
         heapq.heapify(agenda)
@@ -105,6 +110,24 @@ class Agenda:
                     heapq.heappush(agenda, r << 32 | a)
             if (p := left[a]) >= 0 and (r := rank(symbols[p] + piece)) is not None:
                 heapq.heappush(agenda, r << 32 | p)
+        return self.ids(symbols)
+
+    def merge_short(self, symbols: list[str]) -> list[str]:
+        """The pieces of few symbols: their agenda is a list of ranks by place."""
+        rank, none = self.rank.get, len(self.rank)
+        agenda = [rank(a + b, none) for a, b in zip(symbols, symbols[1:])]  # noqa: B905
+        while agenda and (best := min(agenda)) < none:
+            a = agenda.index(best)
+            symbols[a] += symbols.pop(a + 1)
+            del agenda[a]
+            if a < len(agenda):
+                agenda[a] = rank(symbols[a] + symbols[a + 1], none)
+            if a:
+                agenda[a - 1] = rank(symbols[a - 1] + symbols[a], none)
+        return symbols
+
+    def ids(self, symbols: list[str]) -> list[int]:
+        """Ids of the pieces that are left, in bytes where there is no piece."""
         ids: list[int] = []
         for s in symbols:
             if s in self.score:
@@ -122,33 +145,34 @@ class Agenda:
         text = self.prefix + text.replace(" ", SPACE)
         return PARTS.findall(text) if self.by_part else [text]
 
-    def learn(self, texts: list[list[str]]) -> dict[str, tuple[bytes, bytes]]:
-        """Encode what of these parts the table doesn't hold, and decode their ids; returns what the table doesn't take."""
-        table, rest = self.table, {}
-        new = {p for parts in texts for p in parts if p not in table}
+    def learn(self, texts: list[list[str]]) -> list[str]:
+        """Encode what of these parts the tables don't hold, and decode their ids; returns the parts that aren't to stay."""
+        table, plain = self.table, self.plain_of
+        new = set().union(*texts).difference(table)
         self.seen, self.missed = self.seen + sum(map(len, texts)), self.missed + len(new)
         if len(table) >= KEPT_PARTS and self.seen > 1_000_000:
             # what comes early is mostly what is common, so a full table stays - unless the texts have changed
             if self.missed > 0.2 * self.seen:
                 table.clear()
-                new = {p for parts in texts for p in parts}
+                plain.clear()
+                new = set().union(*texts)
             self.seen = self.missed = 0
+        brief: list[str] = []
         for p in new:
             ids = self.merge(p)
-            (table if len(p) <= KEPT_CHARS and len(table) < KEPT_PARTS else rest)[p] = ",".join(map(str, ids)).encode(), self.decoded(ids)
-        return rest
+            if len(p) > KEPT_CHARS or len(table) - len(brief) >= KEPT_PARTS:
+                brief.append(p)
+            table[p], plain[p] = ",".join([self.digits[i] for i in ids]).encode(), self.decoded(ids)
+        return brief
 
     def of_texts(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """Comma-joined ids and decoded text of each, by the agenda alone."""
         split = [self.parts(t) for t in texts]
-        rest = self.learn(split)
-        table, out = self.table, []
-        for parts in split:
-            try:
-                found = [table[p] for p in parts]
-            except KeyError:
-                found = [table[p] if p in table else rest[p] for p in parts]
-            out.append((b",".join([x for x, _ in found]), self.plain(b"".join([d for _, d in found]))))
+        brief = self.learn(split)
+        ids, plain = self.table.__getitem__, self.plain_of.__getitem__
+        out = [(b",".join(map(ids, parts)), self.plain(b"".join(map(plain, parts)))) for parts in split]
+        for p in brief:
+            del self.table[p], self.plain_of[p]
         return out
 
     def by_library(self, texts: list[str]) -> list[tuple[bytes, str]]:
