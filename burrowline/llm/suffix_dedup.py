@@ -14,7 +14,9 @@ the same document. Equal strings must meet in one place without moving every suf
    extension, which a binary search over prefix polynomial hashes finds in a logarithmic number of steps. Neighbours'
    extensions bound how far strings agree to the right of the anchor, prefix hashes tell what agrees to its left.
    An anchor hash with more than HOT contents (the edge of a passage that very many documents hold) is not sorted in one
-   place: its runs become single strings, which Spark groups by their bytes for the earliest place, first within each task.
+   place: its runs are cut at fixed distances before the anchor to pieces that meet by the bytes which all of a piece's
+   strings hold. Spark groups equal pieces for the earliest place, first within each task; pieces with few others under
+   their key are sorted, and what is crowded even so is cut finer, down to single strings.
    Anchors that a sample of the documents shows to be so crowded don't even meet: their runs are dealt out by content.
 3. Verification. What digests call equal is put together to spans of a document that equal spans of an earlier one; both
    sides' bytes are fetched and compared. What the sort calls equal is compared byte for byte, and so are the neighbours of
@@ -51,6 +53,8 @@ SLICE, PLACE_BITS = 2 << 20, 24
 CHUNK_BYTES = 3 << 20
 #: Contents of one anchor hash that are sorted together.
 HOT = 4096
+#: Pieces of a crowded anchor's runs that are sorted together; into how many each piece of before is cut.
+FINE, CUT = 256, 4
 #: Documents looked at to find crowded anchors, and contents among them that make one crowded.
 SAMPLE, CROWDED = 4000, 64
 #: Documents, strings and repeated runs that a task remembers as sent; spans that meet one copy of their lead.
@@ -616,43 +620,64 @@ def compared(found: DataFrame, length: int) -> DataFrame:
     return staged(found.repartition("k").sortWithinPartitions("kind", "k", F.desc("lead"), "dk", "start").mapInArrow(run, FOUND), "found")
 
 
-def first_strings(found: DataFrame, length: int) -> DataFrame:
-    """CONTEXTS -> (string, dk, sid, start, n): the strings that a task sees for the first time; and, with null for string, the
-    others of each run, which stand later, neighbours as one. Rows come in the order of their places."""
+def finer_runs(found: DataFrame, width: int, length: int) -> DataFrame:
+    """CONTEXTS -> (k, content, dk, sid, start, n, anchor): each run cut at every width-th place before its anchor. k: the bytes
+    that all strings between two such places hold, so that equal strings have an equal k. With null for content the pieces that
+    the task has seen before, which stand later, neighbours as one. Rows come in the order of their places."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, tuple[int, int]] = {}
         for b in batches:
-            out: tuple[list, ...] = ([], [], [], [], [])
-            cols = [b.column(c).to_pylist() for c in ("dk", "sid", "start", "n", "context")]
-            for dk, sid, start, n, text in zip(*cols, strict=True):
-                later = None
-                for i in range(n):
-                    string, place = text[i : i + length], (dk, start + i)
-                    again = seen.setdefault(string, place) != place
+            out: tuple[list, ...] = tuple([] for _ in range(7))
+            cols = [b.column(c).to_pylist() for c in ("dk", "sid", "start", "n", "anchor", "context")]
+            for dk, sid, start, n, anchor, text in zip(*cols, strict=True):
+                later, i = None, 0
+                while i < n:
+                    low = (anchor - i) // width * width  # of the piece's strings, at most so far before the anchor as the first is
+                    m = min(n, anchor - low + 1) - i
+                    content, place = text[i : i + m + length - 1], (dk, start + i)
+                    again = (first := seen.setdefault(content, place)) < place
+                    if place < first:
+                        seen[content] = place
                     if again and later is not None:
-                        out[4][later] += 1
-                        continue
-                    later = len(out[0]) if again else None
-                    for o, v in zip(out, (None if again else string, dk, sid, start + i, 1), strict=True):
-                        o.append(v)
+                        out[5][later] += m
+                    else:
+                        later = len(out[0]) if again else None
+                        held = text[anchor - low : anchor - low - width + 1 + length]
+                        k = xxhash.xxh3_64_intdigest(held, width << 32 | low) - (1 << 63)
+                        for o, v in zip(out, (k, None if again else content, dk, sid, start + i, m, anchor - i), strict=True):
+                            o.append(v)
+                    i += m
             if len(seen) > STRINGS:
                 seen.clear()
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds, strict=True)], names=["string", "dk", "sid", "start", "n"])
-
-    rows = found.select("dk", "sid", "start", "n", "context").sortWithinPartitions("dk", "start")
-    return staged(rows.mapInArrow(run, "string binary, dk long, sid long, start long, n int"), "strings")
-
-
-def strings_compared(found: DataFrame, length: int) -> DataFrame:
-    """CONTEXTS -> (dk, sid, start, n): the same as compared(), string by string, so that no anchor's contexts must meet. A
-    task sends each string on once, so a string that very many documents hold meets itself once per task."""
-    each = first_strings(found, length)
-    own = each.filter("string IS NOT NULL")
-    least = own.groupBy("string").agg(F.min(F.struct("dk", "start")).alias("first"), F.count("*").alias("times")).filter("times > 1")
-    later = own.join(least, "string").filter(F.struct("dk", "start") != F.col("first"))
-    return each.filter("string IS NULL").select("dk", "sid", "start", "n").unionByName(later.select("dk", "sid", "start", "n"))
+            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds, strict=True)], names=["k", "content", "dk", "sid", "start", "n", "anchor"])
+
+    rows = found.select("dk", "sid", "start", "n", "anchor", "context").sortWithinPartitions("dk", "start")
+    return staged(rows.mapInArrow(run, "k long, content binary, dk long, sid long, start long, n int, anchor int"), "strings")
+
+
+def strings_compared(found: DataFrame, length: int, gram: int) -> DataFrame:
+    """CONTEXTS -> (dk, sid, start, n): the same as compared(), but no anchor's contexts must meet. Runs are cut to ever finer
+    pieces, which meet by the bytes that their strings have in common: equal pieces are grouped by their bytes, pieces that at
+    most FINE share a key with are sorted, and only what is crowded even so is cut again, down to single strings."""
+    width, out, few = length - gram + 1, [], []
+    while True:
+        width = -(-width // CUT)
+        each = finer_runs(found, width, length)
+        own = each.filter("content IS NOT NULL")
+        least = staged(own.groupBy("k", "content").agg(F.min(F.struct("dk", "start")).alias("first")), "least")
+        met = staged(own.join(least, ["k", "content"]).withColumn("again", F.struct("dk", "start") != F.col("first")).drop("first"), "met")
+        out += [each.filter("content IS NULL"), met.filter("again")]
+        heads = met.filter("NOT again")
+        sizes = staged(heads.groupBy("k").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
+        sized = heads.join(sizes, "k").select(F.lit(COMPARE).alias("kind"), "k", F.lit(False).alias("lead"), "dk", "sid", "start", "n", "anchor", F.col("content").alias("context"), "size")
+        few.append(sized.filter((F.col("size") <= FINE) | F.lit(width == 1)).drop("size"))
+        found = None if width == 1 else staged(sized.filter(F.col("size") > FINE), "finer")
+        if found is None or found.isEmpty():
+            break
+    out.append(compared(reduce(DataFrame.unionByName, few), length))
+    return reduce(DataFrame.unionByName, [x.select("dk", "sid", "start", "n") for x in out])
 
 
 def keyed_docs(docs: DataFrame) -> DataFrame:
@@ -684,7 +709,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bits
         crowd = crowd.select(*own).unionByName(again.select(*own)).distinct()
     if not crowd.isEmpty():
         fetched = staged(contexts(keyed, crowd.select(*own), length, gram), "crowd")
-        out.append(strings_compared(fetched, length))
+        out.append(strings_compared(fetched, length, gram))
     every = [x.select("dk", "sid", "start", "n") for x in out]
     return reduce(DataFrame.unionByName, every).groupBy("dk", "sid").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 
