@@ -7,7 +7,8 @@ space mark after anything else, and of letters beside ASCII marks or line ends,
 each part alone, and the outcomes of the first KEPT_PARTS parts are kept for the life of the Python worker. For other
 vocabularies it runs on whole texts.
 
-Decoding puts the bytes of the ids' pieces together; those of a part's ids are kept with the ids.
+Decoding puts the bytes of the ids' pieces together. That is done for each part when it is encoded: a part whose ids' bytes
+are its own decodes to itself, and a text of such parts too; other texts are put together from what their parts decode to.
 
 The outcome is checked against the sentencepiece library in Arrow batches: every whole text is encoded and decoded by both.
 What is returned is the agenda's; ``agrees`` says whether the library has the same ids and decoded text, and where it
@@ -24,7 +25,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,6 +49,21 @@ def kind(c: str) -> int:
     return 0 if re.match(LETTERS, c) else 1 if re.match(f"[{MARKS}]", c) else 2 if c == "\n" else 3
 
 
+class Parts(dict[str, bytes]):
+    """Outcomes of parts, worked out when they are first asked for. What is too long, or more than KEPT_PARTS, is held in brief
+    until that is cleared."""
+
+    def __init__(self, work: Callable[[str], bytes]):
+        self.work, self.brief = work, {}
+
+    def __missing__(self, part: str) -> bytes:
+        if (found := self.brief.get(part)) is None:
+            found = self.work(part)
+            held = self if len(part) <= KEPT_CHARS and len(self) < KEPT_PARTS else self.brief
+            held[part] = found
+        return found
+
+
 class Agenda:
     """Encoder and decoder over the pieces of one model file."""
 
@@ -81,9 +97,10 @@ class Agenda:
         beside = {(kind(a), kind(b)) for p in self.score for a, b in zip(p, p[1:], strict=False) if SPACE not in (a, b)}
         crossing = {(a, b) for a in range(3) for b in range(3) if a != b} & beside
         self.by_part = self.prefix == SPACE and not crossing and not any(SPACE in p.lstrip(SPACE) for p in self.score)
-        #: Comma-joined ids of a part, and what they decode to.
-        self.table: dict[str, bytes] = {}
+        #: Comma-joined ids of a part, and what they decode to; the parts that don't decode to themselves.
+        self.table = Parts(self.of_part)
         self.plain_of: dict[str, bytes] = {}
+        self.unlike: set[str] = set()
         self.seen = self.missed = 0
         self.digits = [str(k) for k in range(len(model.pieces))]
 
@@ -145,34 +162,38 @@ class Agenda:
         text = self.prefix + text.replace(" ", SPACE)
         return PARTS.findall(text) if self.by_part else [text]
 
-    def learn(self, texts: list[list[str]]) -> list[str]:
-        """Encode what of these parts the tables don't hold, and decode their ids; returns the parts that aren't to stay."""
-        table, plain = self.table, self.plain_of
-        new = set().union(*texts).difference(table)
-        self.seen, self.missed = self.seen + sum(map(len, texts)), self.missed + len(new)
+    def of_part(self, part: str) -> bytes:
+        """Comma-joined ids of a part that the table doesn't hold; notes what they decode to, and if that isn't the part."""
+        ids = self.merge(part)
+        self.missed += 1
+        self.plain_of[part] = plain = self.decoded(ids)
+        if plain != part.replace(SPACE, " ").encode():
+            self.unlike.add(part)
+        return ",".join([self.digits[i] for i in ids]).encode()
+
+    def of_texts(self, texts: list[str]) -> list[tuple[bytes, str]]:
+        """Comma-joined ids and decoded text of each, by the agenda alone."""
+        table, out = self.table, []
+        for text in texts:
+            parts = self.parts(text)
+            self.seen += len(parts)
+            ids = b",".join(map(table.__getitem__, parts))
+            if self.unlike and not self.unlike.isdisjoint(parts):
+                plain = self.plain(b"".join(map(self.plain_of.__getitem__, parts)))
+            else:  # every part decodes to itself, and so does the text
+                plain = text.replace(SPACE, " ")
+            out.append((ids, plain))
+        for p in table.brief:
+            del self.plain_of[p]
+        self.unlike.difference_update(table.brief)
+        table.brief.clear()
         if len(table) >= KEPT_PARTS and self.seen > 1_000_000:
             # what comes early is mostly what is common, so a full table stays - unless the texts have changed
             if self.missed > 0.2 * self.seen:
                 table.clear()
-                plain.clear()
-                new = set().union(*texts)
+                self.plain_of.clear()
+                self.unlike.clear()
             self.seen = self.missed = 0
-        brief: list[str] = []
-        for p in new:
-            ids = self.merge(p)
-            if len(p) > KEPT_CHARS or len(table) - len(brief) >= KEPT_PARTS:
-                brief.append(p)
-            table[p], plain[p] = ",".join([self.digits[i] for i in ids]).encode(), self.decoded(ids)
-        return brief
-
-    def of_texts(self, texts: list[str]) -> list[tuple[bytes, str]]:
-        """Comma-joined ids and decoded text of each, by the agenda alone."""
-        split = [self.parts(t) for t in texts]
-        brief = self.learn(split)
-        ids, plain = self.table.__getitem__, self.plain_of.__getitem__
-        out = [(b",".join(map(ids, parts)), self.plain(b"".join(map(plain, parts)))) for parts in split]
-        for p in brief:
-            del self.table[p], self.plain_of[p]
         return out
 
     def by_library(self, texts: list[str]) -> list[tuple[bytes, str]]:
