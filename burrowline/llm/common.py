@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import gc
 import os
+import sys
 import tempfile
 import time
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burrowline.sources.shared import fresh_path, shared_dir
 
-__all__ = ["discard", "documents", "fresh_path", "ready", "shared_dir", "staged", "text_of"]
+__all__ = ["discard", "documents", "forgotten", "fresh_path", "ready", "shared_dir", "staged", "text_of"]
 
 def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: lineage ends there, and a lost executor costs no rework."""
@@ -61,6 +63,15 @@ def ready(spark: SparkSession) -> None:
     sc._burrowline_sent = True
 
 
+def forgotten() -> None:
+    """Let go of the tokenizers, and of what they have kept, that earlier stages opened in this Python worker."""
+    for name in ("word_ids", "sentencepiece_bpe"):
+        if (module := sys.modules.get(f"burrowline.llm.{name}")) is not None:
+            module._OPEN.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

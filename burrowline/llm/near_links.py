@@ -6,7 +6,7 @@ A document's set of shingles is its node; equal sets are one node. Which nodes a
             about one pair in 100,000; only pairs that share a key and agree in NEAR of their least hashes are taken up (at 0.8 a
             pair agrees in 154 of them, give or take 5.5), which about 2.5 pairs in 10,000 at 0.8 don't.
 Under a key not all pairs are formed: in rounds, a few rows of each group that isn't one class yet lead, and are held
-against the group's other classes; small groups are done in the first round, and what leads once needn't again. Of the
+against the group's other classes; small groups are done in the first round, and what has led leaves, as it has met its whole group. Of the
 pairs proposed each class's most promising one comes first, then the best of 64, 4096, ... shares of its pairs, and those
 whose ends have come together meanwhile are dropped: classes grow as in a spanning forest, so that about as many pairs are
 compared as there are nodes, and those that fail. The best of a share is a grouped maximum: no class meets in one task.
@@ -38,6 +38,8 @@ from burrowline.llm.components import components
 MINIMA, BANDS, ROWS, NEAR, SURE = 192, 16, 3, 134, 165
 #: Pairs of a node in one block; pairs and rows handled together; groups done at once; groups dealt out, and what they share.
 HUB, PAIRS, CHUNK, SMALL, CROWD, COMMON = 4096, 1 << 14, 1 << 14, 8, 1 << 15, 16
+#: Growth of the number of rows that lead in a round: a group is read about log(size) / log(WIDER) times.
+WIDER = 64
 #: Distances of parts of crowded keys that are dealt at once; shingles counted together.
 DIAGONALS, COUNTED, BUCKETS = 16, 1 << 20, 256
 #: What a block of pairs to compare holds, about: pairs, and compressed bytes of their texts. Bytes of shingle sets kept.
@@ -99,7 +101,7 @@ def by_group(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-GROUP = "key long, part int, node long, n long, sketch binary, done boolean"
+GROUP = "key long, part int, node long, n long, sketch binary"
 
 
 def crowded_keys(keyed: DataFrame) -> DataFrame:
@@ -132,7 +134,7 @@ def dealt(keyed: DataFrame, crowded: DataFrame) -> DataFrame:
         shared = keyed.join(crowded, "key").groupBy("key", "parts").agg(F.array(*lead).alias("lead"))
         shared = shared.select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.explode("lead").alias("l"))
         every = every.unionByName(shared.select("key", "part", "l.node", "l.n", "l.sketch"))
-    return every.withColumn("done", F.lit(False))
+    return every
 
 
 def opposite(keyed: DataFrame, crowded: DataFrame, roots: DataFrame, low: int) -> DataFrame:
@@ -145,7 +147,7 @@ def opposite(keyed: DataFrame, crowded: DataFrame, roots: DataFrame, low: int) -
     each = of.select("*", step.alias("step"))
     first = F.array_compact(F.array(F.when(F.col("part") + F.col("step") < F.col("parts"), F.col("part")), F.when(F.col("part") >= F.col("step"), F.col("part") - F.col("step"))))
     met = each.select("key", F.explode(first).alias("first"), "step", "parts", "node", "n", "sketch")
-    return met.select(F.xxhash64("key", "step").alias("key"), F.col("first").cast("int").alias("part"), "node", "n", "sketch", F.lit(False).alias("done"))
+    return met.select(F.xxhash64("key", "step").alias("key"), F.col("first").cast("int").alias("part"), "node", "n", "sketch")
 
 
 def profiles(nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -193,18 +195,18 @@ def profiles(nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     return found
 
 
-ROUND = "kind int, key long, part int, node long, n long, sketch binary, done boolean, u long, v long, alike int"
+ROUND = "kind int, key long, part int, node long, n long, sketch binary, u long, v long, alike int"
 
 
 def proposed(open_: DataFrame, similarity: float, turn: int) -> DataFrame:
-    """GROUP with root and profile -> ROUND: pairs of different classes that some rows of each group lead (kind 1), and the groups that
-    aren't done (kind 0)."""
-    wide = 8**turn
+    """GROUP with root and profile -> ROUND: pairs of different classes that some rows of each group lead (kind 1), and the rows
+    that haven't led of groups where these aren't one class (kind 0): what has led has met its whole group."""
+    wide = WIDER**turn
 
     def solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        key, part, node, n, done, root = (t.column(c).to_numpy() for c in ("key", "part", "node", "n", "done", "root"))
+        key, part, node, n, root = (t.column(c).to_numpy() for c in ("key", "part", "node", "n", "root"))
         once = np.flatnonzero(changes(key, part, node))
-        key, part, node, n, done, root = (x[once] for x in (key, part, node, n, done, root))
+        key, part, node, n, root = (x[once] for x in (key, part, node, n, root))
         group = np.cumsum(changes(key, part)) - 1
         size = np.bincount(group)
         # the class that most of a group's rows are in
@@ -215,11 +217,11 @@ def proposed(open_: DataFrame, similarity: float, turn: int) -> DataFrame:
         main = root[by][first][top][changes(group[by][first][top])] if len(by) else root
         mixed = np.bincount(group[by][first], minlength=len(size)) > 1
         minor = root != main[group]
-        # leaders: rows that haven't led, of lesser classes first
-        by = np.lexsort((node * 0x9E3779B9 ^ turn, ~minor, done, group))
+        # leaders: rows of lesser classes first
+        by = np.lexsort((node * 0x9E3779B9 ^ turn, ~minor, group))
         rank = np.empty(len(by), np.int64)
         rank[by] = np.arange(len(by)) - (np.cumsum(size) - size)[group[by]]
-        leads = ~done & mixed[group] & (rank < np.where(size <= SMALL, size, wide)[group])
+        leads = mixed[group] & (rank < np.where(size <= SMALL, size, wide)[group])
         sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, MINIMA)[once]
         held = t.column("profile").take(pa.array(once))
         known = held.is_valid().to_numpy()
@@ -245,15 +247,16 @@ def proposed(open_: DataFrame, similarity: float, turn: int) -> DataFrame:
         pairs = np.concatenate(out, axis=1) if out else np.zeros((3, 0), np.int64)
         by = np.lexsort((pairs[1], pairs[0]))
         pairs = pairs[:, by[changes(pairs[0][by], pairs[1][by])]]
-        done = done | leads
-        stays = mixed & (np.bincount(group, weights=minor & ~done, minlength=len(size)) > 0)
-        rows = np.flatnonzero(stays[group])
+        later = np.flatnonzero(mixed[group] & ~leads)
+        by = later[np.lexsort((root[later], group[later]))]
+        stays = np.bincount(group[by][changes(group[by], root[by])], minlength=len(size)) > 1
+        rows = later[stays[group[later]]]
         none = lambda k, kind: pa.nulls(k, kind)
         k, m = len(rows), pairs.shape[1]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.repeat([0, 1], [k, m]).astype(np.int32))]
             + [pa.concat_arrays([pa.array(x), none(m, y)]) for x, y in ((key[rows], pa.int64()), (part[rows].astype(np.int32), pa.int32()), (node[rows], pa.int64()), (n[rows], pa.int64()))]
-            + [pa.concat_arrays([pa.array([x.tobytes() for x in sketch[rows]], pa.binary()), none(m, pa.binary())]), pa.concat_arrays([pa.array(done[rows], pa.bool_()), none(m, pa.bool_())])]
+            + [pa.concat_arrays([pa.array([x.tobytes() for x in sketch[rows]], pa.binary()), none(m, pa.binary())])]
             + [pa.concat_arrays([none(k, y), pa.array(x.astype(z))]) for x, y, z in zip(pairs, (pa.int64(), pa.int64(), pa.int32()), (np.int64, np.int64, np.int32), strict=True)],
             names=[x.split()[0] for x in ROUND.split(", ")],
         )
@@ -263,7 +266,7 @@ def proposed(open_: DataFrame, similarity: float, turn: int) -> DataFrame:
             yield from solve(t)
 
     order = ("key", "part", "node")
-    chosen = open_.select(*order, "n", "sketch", "done", "root", "profile").repartition("key", "part").sortWithinPartitions(*order)
+    chosen = open_.select(*order, "n", "sketch", "root", "profile").repartition("key", "part").sortWithinPartitions(*order)
     return staged(chosen.mapInArrow(run, ROUND), "round", partition_by="kind")
 
 
@@ -420,7 +423,7 @@ def grown(open_: DataFrame, roots: DataFrame, texts: DataFrame, size: int, simil
             discard(last, chosen, more)
             shares *= 64  # what is left after the first pairs lies mostly below the bound
         discard(left)
-        open_ = found.filter("kind = 0").select("key", "part", "node", "n", "sketch", "done")
+        open_ = found.filter("kind = 0").select("key", "part", "node", "n", "sketch")
         open_.staged_path = found.staged_path
         turn += 1
     discard(open_, held)

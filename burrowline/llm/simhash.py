@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from burrowline.llm.common import ready, staged, text_of
+from burrowline.llm.common import forgotten, ready, staged, text_of
 from burrowline.llm.components import components
 from burrowline.llm.near_links import band_keys, least_hashes, shingles, similar_classes
 
@@ -234,6 +234,7 @@ def prepared(docs: DataFrame, size: int) -> DataFrame:
     (the set's size) and, for the task's first row of a node, its fingerprint, least hashes and band keys."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forgotten()
         rid, seen = TaskContext.get().partitionId() << 40, set()
         for b in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
