@@ -5,25 +5,25 @@ A document's set of shingles is its node; equal sets are one node. Which nodes a
   bands     BANDS keys of ROWS of the set's MINIMA least hashes each. Two sets at 0.8 miss all of them with (1 - 0.8^3)^16,
             about one pair in 100,000; only pairs that share a key and agree in NEAR of their least hashes are taken up (at 0.8 a
             pair agrees in 154 of them, give or take 5.5), which about 2.5 pairs in 10,000 at 0.8 don't.
-Under a key not all pairs are formed: in rounds, a few rows of each group that isn't one class yet lead, and are held
-against the group's other classes; small groups are done in the first round, and what has led leaves, as it has met its whole group. Of the
-pairs proposed each class's most promising one comes first, then the best of 64, 4096, ... shares of its pairs, and those
-whose ends have come together meanwhile are dropped: classes grow as in a spanning forest, so that about as many pairs are
-compared as there are nodes, and those that fail. The best of a share is a grouped maximum: no class meets in one task.
+Under a key not all pairs are formed. Small groups propose theirs, of larger ones a row leads and is held against all others:
+three or four pairs for each row at most. Of these each class's most promising one comes first, then the best of 64, 4096, ...
+shares of its pairs, and those whose ends have come together meanwhile are dropped: classes grow as in a spanning forest, so
+that about as many pairs are compared as there are nodes, and those that fail. The best of a share is a grouped maximum: no
+class meets in one task.
 
 Whatever is proposed, a pair links only if the shingles of its two texts say so. Pairs are dealt into blocks by their end of
 fewer pairs, and a block gets each text that it needs once, compressed: a hub's text goes to many blocks, the texts around it
 to one each, and none goes along with every pair.
-After the first round nodes carry a profile: of the shingles that another open node has too, how many fall into each of
-BUCKETS shares of the hashes. Two sets have no more in common than the sum of the lesser counts; a pair that can't reach the
-bound by that isn't proposed, so that many texts that are close, but not close enough, aren't all compared.
-A key of more than CROWD nodes is dealt out in parts, and COMMON of its nodes stand in every part, so that classes grow. Of
-the keys that aren't one class then, every two parts meet, DIAGONALS of distances at a time: no two nodes of a key stay
-apart without having met.
+Groups that aren't one class then get the texts of their rows, and a task compares all rows of a group that aren't yet of one
+class, exactly: no pair leaves it, only links, fewer than the group has rows. The least hashes don't decide anything there.
+A key of more than CROWD nodes or FILL shingles is dealt out in parts, and COMMON of its nodes stand in every part, so that
+classes grow. Of the keys that aren't one class then, every two parts meet, DIAGONALS of distances at a time: no two nodes of
+a key stay apart without having met.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,6 +38,8 @@ from burrowline.llm.components import components
 MINIMA, BANDS, ROWS, NEAR, SURE = 192, 16, 3, 134, 165
 #: Pairs of a node in one block; pairs and rows handled together; groups done at once; groups dealt out, and what they share.
 HUB, PAIRS, CHUNK, SMALL, CROWD, COMMON = 4096, 1 << 14, 1 << 14, 8, 1 << 15, 16
+#: Shingles of a key, and bytes of texts, that are together in a task.
+FILL, HELD = 1 << 21, 1 << 24
 #: Growth of the number of rows that lead in a round: a group is read about log(size) / log(WIDER) times.
 WIDER = 64
 #: Distances of parts of crowded keys that are dealt at once; shingles counted together.
@@ -87,16 +89,17 @@ def changes(*cols: np.ndarray) -> np.ndarray:
 def by_group(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Batches sorted by key and part, put together so that groups are never parted."""
     held: list[pa.RecordBatch] = []
-    count = 0
+    count = size = 0
     for b in batches:
         held.append(b)
-        count += b.num_rows
-        if count >= CHUNK:
+        count, size = count + b.num_rows, size + b.nbytes
+        if count >= CHUNK or size >= HELD:
             t = pa.Table.from_batches(held)
             cut = int(np.flatnonzero(changes(t.column("key").to_numpy(), t.column("part").to_numpy()))[-1])
             if cut:
                 yield t.slice(0, cut)
             held, count = t.slice(cut).combine_chunks().to_batches(), t.num_rows - cut
+            size = sum(x.nbytes for x in held)
     if count:
         yield pa.Table.from_batches(held)
 
@@ -105,9 +108,10 @@ GROUP = "key long, part int, node long, n long, sketch binary"
 
 
 def crowded_keys(keyed: DataFrame) -> DataFrame:
-    """key and parts of the keys of more than CROWD nodes."""
-    counts = keyed.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD)
-    return staged(counts.select("key", F.ceil(F.col("n") / CROWD).cast("int").alias("parts")), "crowded")
+    """key and parts of the keys of more than CROWD nodes or FILL shingles."""
+    counts = keyed.groupBy("key").agg(F.count("*").alias("rows"), F.greatest(F.count("*") / CROWD, F.sum("n") / FILL).alias("fills"))
+    parts = F.least(F.col("rows"), F.ceil("fills")).cast("int")
+    return staged(counts.filter("rows > 1 AND fills > 1").select("key", parts.alias("parts")), "crowded")
 
 
 def keyed_rows(nodes: DataFrame) -> DataFrame:
@@ -391,40 +395,102 @@ def similar_classes(nodes: DataFrame, close: DataFrame, size: int, similarity: f
     discard(links)
     keyed = keyed_rows(nodes)
     crowded = crowded_keys(keyed)
-    roots = grown(dealt(keyed, crowded), roots, texts, size, similarity, 1)
+    found = proposed(rooted(dealt(keyed, crowded), roots).withColumn("profile", F.lit(None).cast("binary")), similarity, 0)
+    roots = grown(found.filter("kind = 1"), roots, texts, size, similarity)
+    roots = met(found.filter("kind = 0"), roots, texts, size, similarity)
+    discard(found)
     most = crowded.agg(F.max("parts")).first()[0] or 0
     for low in range(1, most, DIAGONALS):
-        met = staged(opposite(keyed, crowded, roots, low), "opposite")
-        roots = grown(met, roots, texts, size, similarity, 0)
+        roots = met(opposite(keyed, crowded, roots, low), roots, texts, size, similarity)
     discard(keyed, crowded, texts)
     return roots
 
 
-def grown(open_: DataFrame, roots: DataFrame, texts: DataFrame, size: int, similarity: float, counted: int) -> DataFrame:
-    """roots after all links within the groups of open_ (GROUP). counted: the turn at which profiles are taken."""
-    turn, held = 0, None
-    while not open_.isEmpty():
-        if turn == counted:
-            held = profiles(open_.select("node").distinct(), texts, size)
-        rooted = open_.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rooted = rooted.withColumn("profile", F.lit(None).cast("binary")) if held is None else rooted.join(held, "node", "left")
-        last, found = open_, proposed(rooted, similarity, turn)
-        discard(last)
-        each = staged(found.filter("kind = 1").groupBy("u", "v").agg(F.max("alike").alias("alike")), "pairs")
-        left, shares = apart(with_degrees(each), roots), 1
-        discard(each)
-        while not left.isEmpty():
-            chosen = promising(left, shares)
-            more = linked(chosen, texts, size, similarity)
-            if not more.isEmpty():
-                last, roots = roots, merged_roots(roots, more)
-                discard(last)
-            last, left = left, apart(left.join(chosen, ["u", "v"], "left_anti"), roots)
-            discard(last, chosen, more)
-            shares *= 64  # what is left after the first pairs lies mostly below the bound
-        discard(left)
-        open_ = found.filter("kind = 0").select("key", "part", "node", "n", "sketch")
-        open_.staged_path = found.staged_path
-        turn += 1
-    discard(open_, held)
+def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def with_links(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """roots after new links, which are removed, as are the roots of before."""
+    out = roots
+    if not more.isEmpty():
+        out = merged_roots(roots, more)
+        discard(roots)
+    discard(more)
+    return out
+
+
+def grown(pairs: DataFrame, roots: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """roots after the links among proposed pairs (u, v, alike)."""
+    each = staged(pairs.groupBy("u", "v").agg(F.max("alike").alias("alike")), "pairs")
+    left, shares = apart(with_degrees(each), roots), 1
+    discard(each)
+    while not left.isEmpty():
+        chosen = promising(left, shares)
+        roots = with_links(roots, linked(chosen, texts, size, similarity))
+        last, left = left, apart(left.join(chosen, ["u", "v"], "left_anti"), roots)
+        discard(last, chosen)
+        shares *= 64  # what is left after the first pairs lies mostly below the bound
+    discard(left)
     return roots
+
+
+def links_within(sets: list[np.ndarray], root: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links between sets (sorted, none empty) that connect all those of at least this similarity, besides what has one root
+    already: fewer than there are sets. Each set outside of the main class is held against all sets of like size at once."""
+    n = np.array([len(x) for x in sets])
+    by = np.argsort(n, kind="stable")
+    n, label = n[by], np.unique(root[by], return_inverse=True)[1]
+    main = np.bincount(label).argmax()
+    _, shingle, rows = np.unique(np.concatenate([sets[i] for i in by]), return_inverse=True, return_counts=True)
+    several = rows[shingle] > 1  # what only one set has is in no intersection
+    at = np.concatenate([[0], np.cumsum(several)])[np.concatenate([[0], np.cumsum(n)])]
+    shingle = shingle[several].astype(np.int32)
+    low, high = np.searchsorted(n, n * similarity - 1e-6), np.searchsorted(n, n / similarity + 1e-6, side="right")
+    marked, out = np.zeros(len(rows), bool), []
+    for a in range(len(by)):
+        if label[a] == main:
+            continue
+        some = slice(low[a], high[a])
+        other = label[some] != label[a]
+        if not other.any():
+            continue
+        own = shingle[at[a] : at[a + 1]]
+        marked[own] = True
+        held = np.concatenate([[0], np.cumsum(marked[shingle[at[some.start] : at[some.stop]]])])
+        marked[own] = False
+        from_ = at[some.start : some.stop + 1] - at[some.start]
+        both = np.diff(held[from_])
+        alike = np.flatnonzero(other & (both / (n[a] + n[some] - both) >= similarity)) + some.start
+        joined, first = np.unique(label[alike], return_index=True)
+        if len(joined):
+            out += [(int(by[a]), int(by[b])) for b in alike[first]]
+            label[np.isin(label, np.append(joined, label[a]))] = main if main in joined else label[a]
+    return out
+
+
+def met(open_: DataFrame, roots: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """roots after all links within the groups of open_ (key, part, node), each row compared with its group's in one task."""
+
+    def solve(t: pa.Table) -> pa.RecordBatch:
+        key, part, node, root = (t.column(c).to_numpy() for c in ("key", "part", "node", "root"))
+        once = np.flatnonzero(changes(key, part, node))
+        cuts = np.append(np.flatnonzero(changes(key[once], part[once])), len(once))
+        length, packed = t.column("size"), t.column("packed")
+        out: list[tuple[int, int]] = []
+        for rows in (once[a:z] for a, z in itertools.pairwise(cuts)):
+            sets = [shingles(pa.decompress(packed[i].as_py(), length[i].as_py(), "zstd", asbytes=True), size) for i in rows.tolist()]
+            out += [(node[rows[a]], node[rows[b]]) for a, b in links_within(sets, root[rows], similarity)]
+        pairs = np.array(out, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(pairs.min(axis=1)), pa.array(pairs.max(axis=1))], names=["u", "v"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from map(solve, by_group(batches))
+
+    order = ("key", "part", "node")
+    rows = staged(rooted(open_.select(*order), roots), "open")
+    mixed = staged(rows.groupBy("key", "part").agg(F.min("root").alias("a"), F.max("root").alias("z")).filter("a <> z").select("key", "part"), "mixed")
+    sent = rows.join(mixed, ["key", "part"], "left_semi").join(texts, "node").select(*order, "root", "size", "packed")
+    links = staged(sent.repartition("key", "part").sortWithinPartitions(*order).mapInArrow(run, "u long, v long"), "links")
+    discard(rows, mixed)
+    return with_links(roots, links)
