@@ -83,9 +83,10 @@ def media_class(path: Column) -> Column:
 
 def natural_key(name: Column) -> Column:
     """Sort key under which digits compare as numbers (O2)."""
-    plain = lambda p: F.regexp_replace(p, "^0+(?=.)", "")
+    bare = lambda p: F.ltrim(p, F.lit("0"))
     # a number is its own length and then its digits, so runs of any length compare as numbers
-    part = lambda p: F.when(p.rlike("^[0-9]"), F.concat(F.lpad(F.length(plain(p)).cast("string"), 9, "0"), plain(p))).otherwise(p)
+    number_ = lambda p: F.when(bare(p) == "", "0000000010").otherwise(F.concat(F.lpad(F.length(bare(p)).cast("string"), 9, "0"), bare(p)))
+    part = lambda p: F.when(F.substring(p, 1, 1).between("0", "9"), number_(p)).otherwise(p)
     return F.array_join(F.transform(F.regexp_extract_all(name, F.lit(r"([0-9]+|[^0-9]+)"), F.lit(1)), part), "")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from burrowline.functions import scalar
@@ -112,6 +112,7 @@ def trial_videos(sessions: DataFrame, files: DataFrame, rules: TaskRules) -> tup
     subject_id, session_id, name. A session starts when its first video does; each video has its own offset from then (Q3)."""
     name = F.col("session")
     kept = discover.without_stimulus(files).select(*KEY, "name", scalar.name_time(F.col("name")).alias("start_ts"))
+    kept = shared.written(kept, "kept")  # a name's time is read once
     counted = kept.groupBy(*KEY).agg(F.count("*").alias("n"), F.count_if(F.col("start_ts").isNull()).alias("undated"))
     counted = shared.written(counted, "counted")
     several = F.coalesce(*[F.when(name.contains(p), F.lit(called)) for p, called in rules.trials], F.lit(None).cast("string"))
@@ -122,9 +123,9 @@ def trial_videos(sessions: DataFrame, files: DataFrame, rules: TaskRules) -> tup
     ])
     good, bad = guards.split_rejects(judged.withColumn("reason", reason))
     rows = good.select(*KEY, several.alias("called"), "n").join(kept, KEY)
-    order = [scalar.natural_key(F.col("name")), F.col("name")]
-    numbered = discover.numbered(rows, KEY, order, "trial")
-    first = align.with_first(numbered, KEY, ["trial"], "start_ts", "session_start")
+    by = Window.partitionBy(*KEY).orderBy("_natural", "name").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # the place and the first time come of one sort, for which a name's key is made once
+    first = rows.withColumn("_natural", scalar.natural_key(F.col("name"))).select("*", F.row_number().over(by).alias("trial"), F.first("start_ts").over(by).alias("session_start"))
     as_trial = F.col("called").isNotNull() & (F.lit(rules.lone) | (F.col("n") > 1))
     called = F.when(as_trial, F.concat(F.lit("BehavioralVideo"), "called", F.lit("Trial"), "trial")).otherwise("BehavioralVideo")
     epoch = F.when(as_trial, F.array("trial"))
