@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from burrowline.operators import scans
 from burrowline.operators.intervals import interval_join
+from burrowline.sources import shared
 
 
 def step_intervals(ttl: DataFrame, key: list[str], at: str, state: str, order: list[str] | None = None, per_block: int = scans.PER_BLOCK) -> DataFrame:
@@ -136,7 +137,7 @@ def electrode_group_list(electrode_rows: DataFrame) -> DataFrame:
 
 def gain_conversion(channels: DataFrame, key: list[str], gain: str) -> DataFrame:
     """One gain: a scalar conversion in volts. Several: 1e-6 and a gain per channel."""
-    g = channels.groupBy(*key).agg(F.count_distinct(gain).alias("n_gains"), F.min(gain).alias("gain"))
+    g = shared.dealt(channels, *key).groupBy(*key).agg(F.count_distinct(gain).alias("n_gains"), F.min(gain).alias("gain"))
     return g.withColumn("conversion", F.when(F.col("n_gains") == 1, F.col("gain") * 1e-6).otherwise(F.lit(1e-6)))
 
 

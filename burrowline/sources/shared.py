@@ -32,6 +32,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a task sorts or groups at once, about.
+TASK_ROWS = 1 << 18
+
+
+def dealt(df: DataFrame, *by: str, rows: int | None = None) -> DataFrame:
+    """df dealt by key to so many tasks that each has some TASK_ROWS rows; as it is where Spark's own number of tasks does. A
+    fixed number would let a task's memory grow with the table. rows: how many
+    df has at most; else they are counted, which costs little for a table that is read."""
+    parts = -(-(df.count() if rows is None else rows) // TASK_ROWS)
+    return df.repartition(parts, *by) if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def as_csv(df: DataFrame, name: str, path: str | None = None, files: int | None = None, **options) -> str:
     """Write df as CSV with a header, cells as they are, and return the folder."""
     path = path or fresh_path(df.sparkSession, name)
