@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from burrowline.functions.scalar import natural_key
-from burrowline.operators import substrings
+from burrowline.operators import products, substrings
 from burrowline.operators.guards import exactly_one
 from burrowline.sources import shared
 
@@ -33,7 +33,7 @@ def folder_of(line: Column, cohort: Column, task: Column, session: Column) -> Co
 
 def with_folder(sessions: DataFrame, files: DataFrame, folder: str = "dir") -> DataFrame:
     """Attach the files of a session's folder; sessions without one keep a null name."""
-    return sessions.join(files, folder, "left")
+    return products.attached(sessions, files, [folder])
 
 
 def match_names(rows: DataFrame, files: DataFrame, block: list[str], key: list[str], patterns: list[Column], name: str = "name") -> DataFrame:
