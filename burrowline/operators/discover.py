@@ -92,22 +92,25 @@ def match_observation(rows: DataFrame, observations: DataFrame, block: list[str]
     return first_match(hit, key, [F.col("observation_id")]) if first else hit
 
 
-def _left_match(rows: DataFrame, found: DataFrame, block: list[str], name: str, pattern: Column) -> DataFrame:
-    """Every row with each of the block's names that contain its pattern, once with nulls where none does."""
-    asked = rows.withColumn("_pattern", pattern)
-    pairs = substrings.containing(found, asked, block, name, "_pattern").join(found, [*block, name])
-    return asked.join(pairs, [*block, "_pattern"], "left").drop("_pattern")
+def _left_match(rows: DataFrame, found: DataFrame, block: list[str], key: list[str], name: str, pattern: Column) -> DataFrame:
+    """Every row with each of the block's names that contain its pattern, once with nulls where none does; and a reason for keys
+    without exactly one. Names are counted by pattern, so that nothing is sorted or moved for each row with each name."""
+    asked, on = rows.withColumn("_pattern", pattern), [*block, "_pattern"]
+    hits = shared.written(substrings.containing(found, asked, block, name, "_pattern").join(found, [*block, name]), "hits")
+    counted = asked.join(hits.groupBy(*on).agg(F.count("*").alias("_n")), on, "left")
+    judged = exactly_one(counted, key, hits=F.sum(F.coalesce("_n", F.lit(0)))).drop("_n")
+    return products.attached(judged, hits, on).drop("_pattern")
 
 
 def unique_observation(rows: DataFrame, observations: DataFrame, block: list[str], key: list[str], pattern: Column) -> DataFrame:
     """Exactly one observation or a reason (Q9)."""
-    return exactly_one(_left_match(rows, observations, block, "observation_id", pattern), key, F.col("observation_id").isNotNull())
+    return _left_match(rows, observations, block, key, "observation_id", pattern)
 
 
 def match_second_token(sessions: DataFrame, files: DataFrame, block: list[str], key: list[str], session: str = "session", name: str = "name") -> DataFrame:
     """The one analysis file whose name contains the second part of the session id."""
     token = F.try_element_at(F.split(F.col(session), "_"), F.lit(2))
-    return exactly_one(_left_match(sessions, files.select(*block, name), block, name, token), key, F.col(name).isNotNull())
+    return _left_match(sessions, files.select(*block, name), block, key, name, token)
 
 
 def side_file(sessions: DataFrame, files: DataFrame, on: list[str], name: str, as_list: bool = False) -> DataFrame:

@@ -24,10 +24,11 @@ def discovery_log(rejects: DataFrame, task: str = "task", reason: str = "reason"
     return rejects.groupBy(task, reason).agg(F.count("*").alias("n"))
 
 
-def exactly_one(df: DataFrame, key: list[str], found: Column | None = None, reason: str = "reason") -> DataFrame:
+def exactly_one(df: DataFrame, key: list[str], found: Column | None = None, reason: str = "reason", hits: Column | None = None) -> DataFrame:
     """none or multiple for keys without or with several matches, else null (C1). found: whether a row is a match (a left
-    join's row without a partner isn't)."""
-    hits = F.count("*") if found is None else F.count(F.when(found, 1))
+    join's row without a partner isn't). hits: a key's matches as an aggregate, where they are counted already."""
+    if hits is None:
+        hits = F.count("*") if found is None else F.count(F.when(found, 1))
     n = hits.over(Window.partitionBy(*key))
     return df.withColumn(reason, F.when(n == 0, "none").when(n > 1, "multiple"))
 
